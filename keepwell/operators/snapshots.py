@@ -25,6 +25,7 @@ from keepwell.config import SPLIT_ORDER, SnapshotParams
 from keepwell.functions.columns import (
     days_between,
     epoch_micros,
+    SEGMENT_OTHER,
     geographic_segment,
     is_positive_purchase,
     micros_between,
@@ -161,8 +162,20 @@ def _gap_rows(dates: DataFrame, keys, order_cols, bucket_days: float) -> DataFra
     return inner.unionByName(cross)
 
 
+def segment_expr(country: Column, segment_map: dict | None) -> Column:
+    """Country → segment: the retail rule by default, or an explicit (small) map
+    such as nation → region; unmapped countries are 'Rest of world'."""
+    if not segment_map:
+        return geographic_segment(country)
+    kv = []
+    for k, v in sorted(segment_map.items()):
+        kv += [F.lit(k), F.lit(v)]
+    return F.coalesce(F.try_element_at(F.create_map(*kv), country), F.lit(SEGMENT_OTHER))
+
+
 def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] | None = None,
-                      events: DataFrame | None = None, bucket_days: float = 1.0) -> DataFrame:
+                      events: DataFrame | None = None, bucket_days: float = 1.0,
+                      segment_map: dict | None = None) -> DataFrame:
     """Per (split, cutoff, customer) feature aggregates over ``(cutoff-history, cutoff]``."""
     plan = plan or cutoff_plan(params)
     events = events if events is not None else deduplicated_events(tx)
@@ -236,7 +249,7 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
         "historical_invoice_count",
         ((F.col("recent_invoice_count") + F.lit(1.0)) / (F.col("historical_invoice_count") + F.lit(1.0)))
         .alias("frequency_change_ratio"),
-        geographic_segment(F.col("_country")).alias("geographic_segment"),
+        segment_expr(F.col("_country"), segment_map).alias("geographic_segment"),
         "first_purchase_date",
         "last_purchase_date",
         F.col("last_purchase_date").alias("feature_max_event_date"),
@@ -295,14 +308,14 @@ SNAPSHOT_COLUMNS = KEYS + NUMERIC_FEATURES + SNAPSHOT_TAIL
 
 
 def snapshot_candidates(tx: DataFrame, params: SnapshotParams, bounds=None, bucket_days: float = 1.0,
-                        strict: bool = True) -> DataFrame:
+                        strict: bool = True, segment_map: dict | None = None) -> DataFrame:
     """All (split, cutoff, customer) candidates with features, label, lineage and
     eligibility columns. ``bounds`` defaults to one scalar job over ``tx``."""
     params.validate()
     bounds = bounds if bounds is not None else transaction_bounds(tx)
     plan = cutoff_plan(params, bounds, strict=strict)
     events = deduplicated_events(tx)
-    feats = customer_features(tx, params, plan, events, bucket_days)
+    feats = customer_features(tx, params, plan, events, bucket_days, segment_map)
     labels = future_labels(tx, params, plan, events)
     snap = feats.join(labels, KEYS, "left")
     cutoff = F.col("cutoff_date")
@@ -397,13 +410,13 @@ def assert_eligibility(snapshots: DataFrame, params: SnapshotParams) -> None:
 
 
 def build_snapshots(tx: DataFrame, params: SnapshotParams, check: bool = True,
-                    bucket_days: float = 1.0) -> tuple[DataFrame, DataFrame]:
+                    bucket_days: float = 1.0, segment_map: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Eligible snapshots of every cutoff plus the per-cutoff eligibility summary.
 
     With ``check`` the gates run as scalar jobs: a cutoff without candidates or
     without eligible customers raises, and so does any integrity violation.
     """
-    candidates = snapshot_candidates(tx, params, bucket_days=bucket_days)
+    candidates = snapshot_candidates(tx, params, bucket_days=bucket_days, segment_map=segment_map)
     summary = eligibility_summary(candidates)
     snapshots = candidates.filter(F.col("is_eligible"))
     if check:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams
 from keepwell.operators import decisioning as dec
+from keepwell.operators import drift
 from keepwell.operators import evaluation as ev
 from keepwell.operators.eligibility import recency_threshold
 from keepwell.operators.normalize import normalize_transactions
@@ -32,7 +33,7 @@ from keepwell.operators.snapshots import (
 )
 from keepwell.operators.validation import transaction_eda, validation_summary
 from keepwell.plans.stages import stage
-from keepwell.sources.tables import events_transactions, orders_transactions
+from keepwell.sources.tables import events_transactions, nation_region_map, orders_transactions
 
 PARAMS = ORDERS_PARAMS
 SCENARIO = ORDERS_SCENARIO
@@ -71,7 +72,8 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All snapshot candidates of every cutoff (written once: the snapshot sink)."""
     return stage(spark, sf_dir, "candidates",
-                 lambda: snapshot_candidates(transactions(spark, sf_dir), PARAMS))
+                 lambda: snapshot_candidates(transactions(spark, sf_dir), PARAMS,
+                                             segment_map=nation_region_map(spark, sf_dir)))
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +301,42 @@ def q_policy_decomposition(spark, sf_dir):
     return present(dec.policy_decomposition(rows[0].unionByName(rows[1])))
 
 
+def _drift_frames(spark, sf_dir):
+    return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
+
+
+def q_baseline_stats(spark, sf_dir):
+    ref, _ = _drift_frames(spark, sf_dir)
+    return present(drift.baseline_stats(ref))
+
+
+def q_baseline_quantiles(spark, sf_dir):
+    ref, _ = _drift_frames(spark, sf_dir)
+    return present(drift.baseline_quantiles(ref))
+
+
+def q_psi(spark, sf_dir):
+    return present(drift.psi(*_drift_frames(spark, sf_dir)))
+
+
+def q_ks(spark, sf_dir):
+    return present(drift.ks_statistic(*_drift_frames(spark, sf_dir)))
+
+
+def q_range_and_missing(spark, sf_dir):
+    ref, cur = _drift_frames(spark, sf_dir)
+    return present(drift.range_and_missing(drift.baseline_stats(ref), cur))
+
+
+def q_new_categories(spark, sf_dir):
+    return present(drift.new_categories(*_drift_frames(spark, sf_dir)))
+
+
+def q_drift_alerts(spark, sf_dir):
+    a = drift.drift_alerts(*_drift_frames(spark, sf_dir))
+    return present(a.withColumn("alert_order", F.col("alert_order").cast("long")))
+
+
 QUERIES = {
     "normalize_transactions": q_normalize_transactions,
     "event_transactions": q_event_transactions,
@@ -338,4 +376,11 @@ QUERIES = {
     "value_by_budget": q_value_by_budget,
     "hashed_queue": q_hashed_queue,
     "policy_decomposition": q_policy_decomposition,
+    "baseline_stats": q_baseline_stats,
+    "baseline_quantiles": q_baseline_quantiles,
+    "psi": q_psi,
+    "ks": q_ks,
+    "range_and_missing": q_range_and_missing,
+    "new_categories": q_new_categories,
+    "drift_alerts": q_drift_alerts,
 }

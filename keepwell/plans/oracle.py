@@ -92,6 +92,11 @@ def segment_sql(col: str) -> str:
 
 def snapshot_ctes(params, tx_cte: str = ORDERS_TX) -> list[str]:
     h, hz, r = params.history_days, params.horizon_days, params.recent_window_days
+    if tx_cte is ORDERS_TX:
+        seg = ("coalesce((SELECT r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey "
+               "WHERE n.n_name = latest.country), 'Rest of world')")
+    else:
+        seg = segment_sql('latest.country')
     return [tx_cte, NTX, cut_cte(params),
             "bnd AS (SELECT min(invoice_date) AS lo, max(invoice_date) AS hi FROM ntx)",
             """lines AS (SELECT *, (NOT is_cancellation AND coalesce(quantity > 0, false)
@@ -140,7 +145,7 @@ def snapshot_ctes(params, tx_cte: str = ORDERS_TX) -> list[str]:
                 coalesce(CAST(b.his_v AS DOUBLE), {d(0)}) AS historical_spend,
                 CAST(coalesce(b.rec_n, 0) AS BIGINT) AS recent_invoice_count,
                 CAST(coalesce(b.his_n, 0) AS BIGINT) AS historical_invoice_count,
-                {segment_sql('latest.country')} AS geographic_segment,
+                {seg} AS geographic_segment,
                 b.first_d AS first_purchase_date, b.last_d AS last_purchase_date,
                 b.last_d AS feature_max_event_date, CAST(b.n_ev AS BIGINT) AS feature_event_count
               FROM base b
@@ -191,14 +196,19 @@ def pct(col: str, desc: bool = False) -> str:
             f" / {d(2)}) / CAST(count(*) OVER () AS DOUBLE))")
 
 
-def cohort_ctes(split: str = "test") -> list[str]:
-    return snapshot_ctes(P) + [
-        f"""coh0 AS (SELECT *, {pct('recency_days')} AS r1, {pct('recent_purchasing_trend', True)} AS r2
+def scored_ctes(split: str, name: str) -> list[str]:
+    return [
+        f"""{name}0 AS (SELECT *, {pct('recency_days')} AS r1, {pct('recent_purchasing_trend', True)} AS r2
               FROM snap WHERE split = '{split}')""",
-        f"coh AS (SELECT *, least(greatest({d(0.7)} * r1 + {d(0.3)} * r2, {d(0.001)}), {d(0.999)}) AS churn_probability FROM coh0)",
+        f"""{name} AS (SELECT *, least(greatest({d(0.7)} * r1 + {d(0.3)} * r2, {d(0.001)}), {d(0.999)})
+              AS churn_probability FROM {name}0)""",
     ]
 
 
+def cohort_ctes(split: str = "test") -> list[str]:
+    return snapshot_ctes(P) + scored_ctes(split, "coh")
+
+
 FEATURE_COLUMNS = [
     "recency_days", "purchase_frequency", "monetary_value", "average_order_value", "customer_tenure_days",
     "number_of_invoices", "number_of_unique_products", "recent_purchasing_trend", "cancellation_rate",
@@ -532,4 +542,105 @@ def build() -> dict[str, str]:
         + f"""SELECT f.fr AS max_contact_fraction, vb.r AS contacts, vb.cum AS expected_net_value
       FROM (VALUES {frv}) f(fr) JOIN vb ON vb.r = greatest(1, CAST(trunc(CAST(vb.n AS DOUBLE) * f.fr) AS BIGINT))""",
                                  dbl=["max_contact_fraction", "expected_net_value"])
+    q.update(drift_sql())
+    return q
+
+
+MONITORED = ["recency_days", "purchase_frequency", "monetary_value", "average_order_value", "customer_tenure_days",
+             "number_of_invoices", "number_of_unique_products", "purchase_regularity_days", "recent_purchasing_trend",
+             "cancellation_rate", "quantity_purchased", "recent_spend", "historical_spend", "spend_change_ratio",
+             "recent_invoice_count", "historical_invoice_count", "frequency_change_ratio"]
+NUMERIC_MON = MONITORED + ["churn_probability"]
+ORDER_OF = {c: i for i, c in enumerate(MONITORED + ["geographic_segment", "churn_probability"])}
+
+
+def _long(src: str, name: str) -> str:
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in NUMERIC_MON]
+    return f"{name} AS ({' UNION ALL '.join(parts)})"
+
+
+def drift_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    levels = "CAST([" + ", ".join(repr(i / 10) for i in range(11)) + "] AS DOUBLE[])"
+    base = snapshot_ctes(P) + scored_ctes("train", "ref") + scored_ctes("test", "cur") + [
+        _long("ref", "lref"), _long("cur", "lcur")]
+    one, zero = d(1), d(0)
+    kind = "CASE WHEN column_name = 'churn_probability' THEN 'probability' ELSE 'numeric' END"
+    bstats = f"""SELECT column_name, {kind} AS kind, avg(CASE WHEN value IS NULL THEN {one} ELSE {zero} END) AS missing_rate,
+          CASE WHEN column_name = 'churn_probability' THEN {zero} ELSE min(value) END AS minimum,
+          CASE WHEN column_name = 'churn_probability' THEN {one} ELSE max(value) END AS maximum,
+          CAST(NULL AS VARCHAR) AS categories FROM lref GROUP BY column_name
+        UNION ALL SELECT 'geographic_segment', 'categorical',
+          avg(CASE WHEN geographic_segment IS NULL THEN {one} ELSE {zero} END), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+          string_agg(DISTINCT geographic_segment, ',' ORDER BY geographic_segment) FROM ref"""
+    q["baseline_stats"] = final(with_(*base) + bstats, dbl=["missing_rate", "minimum", "maximum"])
+    numeric_only = "column_name <> 'churn_probability'"
+    q["baseline_quantiles"] = final(with_(*base) + f"""SELECT column_name, unnest(range(11)) AS q_index,
+        unnest({levels}) AS q, unnest(quantile_cont(value, {levels})) AS quantile
+        FROM lref WHERE value IS NOT NULL AND {numeric_only} GROUP BY column_name""", dbl=["q", "quantile"])
+    ctes = base + [
+        f"""edges AS (SELECT column_name, list_sort(list_distinct(quantile_cont(value, {levels}))) AS ed
+             FROM lref WHERE value IS NOT NULL GROUP BY column_name)""",
+        """both_ AS (SELECT column_name, value, true AS is_ref FROM lref WHERE value IS NOT NULL
+             UNION ALL SELECT column_name, value, false FROM lcur WHERE value IS NOT NULL)""",
+        """binned AS (SELECT b.*, len(list_filter(list_slice(e.ed, 2, len(e.ed) - 1), lambda x: x <= b.value)) AS bin,
+             len(e.ed) AS ne FROM both_ b JOIN edges e USING (column_name))""",
+        """sizes AS (SELECT column_name, count_if(is_ref) AS n_ref, count_if(NOT is_ref) AS n_cur,
+             avg(value) FILTER (WHERE is_ref) AS mr, avg(value) FILTER (WHERE NOT is_ref) AS mc, max(ne) AS ne
+             FROM binned GROUP BY column_name)""",
+        """pb AS (SELECT column_name, bin, count_if(is_ref) AS r, count_if(NOT is_ref) AS c FROM binned GROUP BY column_name, bin)""",
+        f"""ps AS (SELECT column_name, sum((cs - rs) * ln(cs / rs)) AS s FROM (SELECT pb.column_name,
+             greatest(CAST(c AS DOUBLE) / CAST(n_cur AS DOUBLE), {d(1e-6)}) AS cs,
+             greatest(CAST(r AS DOUBLE) / CAST(n_ref AS DOUBLE), {d(1e-6)}) AS rs FROM pb JOIN sizes USING (column_name))
+             GROUP BY column_name)""",
+        f"""psi AS (SELECT column_name, CASE WHEN n_ref = 0 OR n_cur = 0 THEN CAST(NULL AS DOUBLE) WHEN ne < 3 THEN
+             CASE WHEN abs(mr - mc) <= {d(1e-8)} + {d(1e-5)} * abs(mc) THEN {zero} ELSE {one} END ELSE s END AS psi
+             FROM sizes LEFT JOIN ps USING (column_name))""",
+        """kc AS (SELECT column_name, value, count_if(is_ref) AS r, count_if(NOT is_ref) AS c FROM both_ GROUP BY column_name, value)""",
+        """kw AS (SELECT column_name, sum(r) OVER w AS cr, sum(c) OVER w AS cc, sum(r) OVER (PARTITION BY column_name) AS nr,
+             sum(c) OVER (PARTITION BY column_name) AS nc FROM kc
+             WINDOW w AS (PARTITION BY column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        """ks AS (SELECT column_name, CASE WHEN max(nr) > 0 AND max(nc) > 0 THEN
+             max(abs(CAST(cr AS DOUBLE) / CAST(nr AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(nc AS DOUBLE))) END AS ks_statistic
+             FROM kw GROUP BY column_name)""",
+        f"bs AS ({bstats})",
+        f"""rm AS (SELECT l.column_name, avg(CASE WHEN l.value IS NULL THEN {one} ELSE {zero} END) AS missing_rate,
+             avg({zero}) AS type_error_rate,
+             avg(CASE WHEN coalesce(l.value < bs.minimum OR l.value > bs.maximum, false) THEN {one} ELSE {zero} END)
+               AS outside_reference_range_rate
+             FROM lcur l JOIN bs USING (column_name) GROUP BY l.column_name
+           UNION ALL SELECT 'geographic_segment', avg(CASE WHEN geographic_segment IS NULL THEN {one} ELSE {zero} END),
+             CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM cur)""",
+        """nc_ AS (SELECT 'geographic_segment' AS column_name, category FROM (
+             SELECT DISTINCT geographic_segment AS category FROM cur WHERE geographic_segment IS NOT NULL
+             EXCEPT SELECT DISTINCT geographic_segment FROM ref WHERE geographic_segment IS NOT NULL))""",
+    ]
+    q["psi"] = final(with_(*ctes) + "SELECT column_name, psi FROM psi", dbl=["psi"])
+    q["ks"] = final(with_(*ctes) + "SELECT column_name, ks_statistic FROM ks", dbl=["ks_statistic"])
+    q["range_and_missing"] = final(with_(*ctes) + "SELECT * FROM rm",
+                                   dbl=["missing_rate", "type_error_rate", "outside_reference_range_rate"])
+    q["new_categories"] = final(with_(*ctes) + "SELECT * FROM nc_")
+    order_case = "CASE column_name " + " ".join(f"WHEN '{c}' THEN {i}" for c, i in ORDER_OF.items()) + " END"
+    t_missing, t_out, t_psi, t_ks = 0.05, 0.01, 0.20, 0.15
+    met = f"""met AS (SELECT bs.column_name, bs.kind, bs.missing_rate AS bmr, rm.missing_rate AS mr, rm.type_error_rate AS ter,
+        rm.outside_reference_range_rate AS orr, psi.psi, ks.ks_statistic AS ks,
+        (SELECT string_agg(category, ',' ORDER BY category) FROM nc_ WHERE nc_.column_name = bs.column_name) AS newc,
+        {order_case} AS co
+      FROM bs JOIN rm USING (column_name) LEFT JOIN psi USING (column_name) LEFT JOIN ks USING (column_name))"""
+    fin = "NOT isnan({c}) AND NOT isinf({c})"
+    alerts = f"""
+      SELECT (co + 1) * 100 + 0 AS alert_order, 'warning' AS severity, column_name, 'missing_rate_increase' AS issue,
+        mr AS value, CAST(NULL AS VARCHAR) AS detail FROM met WHERE mr - bmr > {d(t_missing)}
+      UNION ALL SELECT (co + 1) * 100 + 1, 'blocking', column_name, 'invalid_numeric_type', ter, NULL FROM met
+        WHERE kind <> 'categorical' AND ter > 0
+      UNION ALL SELECT (co + 1) * 100 + 2, 'warning', column_name, 'values_outside_reference_range', orr, NULL FROM met
+        WHERE kind <> 'categorical' AND orr > {d(t_out)}
+      UNION ALL SELECT (co + 1) * 100 + 3, 'warning', column_name, 'psi_drift', psi, NULL FROM met
+        WHERE kind <> 'categorical' AND psi IS NOT NULL AND {fin.format(c='psi')} AND psi >= {d(t_psi)}
+      UNION ALL SELECT (co + 1) * 100 + 4, 'warning', column_name, 'ks_drift', ks, NULL FROM met
+        WHERE kind <> 'categorical' AND ks IS NOT NULL AND {fin.format(c='ks')} AND ks >= {d(t_ks)}
+      UNION ALL SELECT (co + 1) * 100 + 5, 'warning', column_name, 'new_categories', CAST(NULL AS DOUBLE), newc FROM met
+        WHERE kind = 'categorical' AND newc IS NOT NULL"""
+    q["drift_alerts"] = final(with_(*ctes, met) + f"SELECT CAST(alert_order AS BIGINT) AS alert_order, severity, column_name,"
+                              f" issue, value, detail FROM ({alerts})", dbl=["value"])
     return q

@@ -69,3 +69,12 @@ def events_to_transactions(ev: DataFrame, country: str = "United Kingdom") -> Da
             F.lit(country).alias("country"),
         )
     )
+
+
+def nation_region_map(spark: SparkSession, sf_dir: str) -> dict:
+    """Country (nation name) → segment (region name); the nation dimension has a
+    fixed 25 rows, so collecting it is size-safe."""
+    nation = load_table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    region = load_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    rows = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
+    return {r["n_name"]: r["r_name"] for r in rows.collect()}
