@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams
 from keepwell.operators import decisioning as dec
 from keepwell.operators import drift
+from keepwell.operators import portfolio as pf
 from keepwell.operators import evaluation as ev
 from keepwell.operators.eligibility import recency_threshold
 from keepwell.operators.normalize import normalize_transactions
@@ -301,6 +302,33 @@ def q_policy_decomposition(spark, sf_dir):
     return present(dec.policy_decomposition(rows[0].unionByName(rows[1])))
 
 
+def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test-cutoff candidate (eligible or not), scored by the heuristic."""
+    return stage(spark, sf_dir, "portfolio_test",
+                 lambda: heuristic_probability(candidates(spark, sf_dir).filter(F.col("split") == "test")))
+
+
+def known_segments(spark, sf_dir) -> list[str]:
+    return sorted(set(nation_region_map(spark, sf_dir).values()) | {"Rest of world"})
+
+
+def q_contract_violations(spark, sf_dir):
+    return present(pf.contract_violations(portfolio(spark, sf_dir)).select("customer_id", "violations", "is_valid"))
+
+
+def q_row_warnings(spark, sf_dir):
+    out = pf.row_warnings(portfolio(spark, sf_dir), known_segments(spark, sf_dir))
+    return present(out.select("customer_id", "warning_count", "warnings"))
+
+
+def q_decision_reasons(spark, sf_dir):
+    return present(pf.decision_reasons(portfolio(spark, sf_dir), SCENARIO, PARAMS))
+
+
+def q_batch_decisions(spark, sf_dir):
+    return present(pf.batch_decisions(portfolio(spark, sf_dir), SCENARIO, PARAMS)[0])
+
+
 def _drift_frames(spark, sf_dir):
     return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
 
@@ -383,4 +411,8 @@ QUERIES = {
     "range_and_missing": q_range_and_missing,
     "new_categories": q_new_categories,
     "drift_alerts": q_drift_alerts,
+    "contract_violations": q_contract_violations,
+    "row_warnings": q_row_warnings,
+    "decision_reasons": q_decision_reasons,
+    "batch_decisions": q_batch_decisions,
 }

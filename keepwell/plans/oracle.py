@@ -196,10 +196,10 @@ def pct(col: str, desc: bool = False) -> str:
             f" / {d(2)}) / CAST(count(*) OVER () AS DOUBLE))")
 
 
-def scored_ctes(split: str, name: str) -> list[str]:
+def scored_ctes(split: str, name: str, src: str = "snap") -> list[str]:
     return [
         f"""{name}0 AS (SELECT *, {pct('recency_days')} AS r1, {pct('recent_purchasing_trend', True)} AS r2
-              FROM snap WHERE split = '{split}')""",
+              FROM {src} WHERE split = '{split}')""",
         f"""{name} AS (SELECT *, least(greatest({d(0.7)} * r1 + {d(0.3)} * r2, {d(0.001)}), {d(0.999)})
               AS churn_probability FROM {name}0)""",
     ]
@@ -543,6 +543,58 @@ def build() -> dict[str, str]:
       FROM (VALUES {frv}) f(fr) JOIN vb ON vb.r = greatest(1, CAST(trunc(CAST(vb.n AS DOUBLE) * f.fr) AS BIGINT))""",
                                  dbl=["max_contact_fraction", "expected_net_value"])
     q.update(drift_sql())
+    q.update(portfolio_sql())
+    return q
+
+
+def portfolio_sql() -> dict[str, str]:
+    from keepwell.operators.portfolio import CONTRACT_RANGES, CONTRACT_TEXT, WARN_RECENCY, WARN_REGULARITY, WARN_SEGMENT
+    q: dict[str, str] = {}
+    port = snapshot_ctes(P) + scored_ctes("test", "port", "cand")
+    checks = []
+    for name, lo, hi, nullable in CONTRACT_RANGES:
+        x = f"CAST({name} AS DOUBLE)"
+        bad = f"({x} < {d(lo)} OR {x} > {d(hi)} OR isnan({x}))"
+        if nullable:
+            checks.append(f"CASE WHEN {x} IS NOT NULL AND {bad} THEN '{name} outside [{lo}, {hi}]' END")
+        else:
+            checks.append(f"CASE WHEN {x} IS NULL THEN '{name} is required' WHEN {bad} THEN '{name} outside [{lo}, {hi}]' END")
+    for name, lo, hi in CONTRACT_TEXT:
+        checks.append(f"CASE WHEN {name} IS NULL OR length({name}) < {lo} OR length({name}) > {hi} "
+                      f"THEN '{name} length outside [{lo}, {hi}]' END")
+    lst = f"list_filter([{', '.join(checks)}], lambda x: x IS NOT NULL)"
+    q["contract_violations"] = final(with_(*port) + f"""SELECT customer_id, array_to_string({lst}, ',') AS violations,
+        len({lst}) = 0 AS is_valid FROM port""")
+    known = "(SELECT list(DISTINCT r_name) || ['Rest of world'] FROM region)"
+    wl = (f"list_filter([CASE WHEN purchase_regularity_days IS NULL THEN '{WARN_REGULARITY}' END, "
+          f"CASE WHEN recency_days > customer_tenure_days THEN '{WARN_RECENCY}' END, "
+          f"CASE WHEN NOT coalesce(list_contains({known}, geographic_segment), false) THEN '{WARN_SEGMENT}' END], "
+          f"lambda x: x IS NOT NULL)")
+    q["row_warnings"] = final(with_(*port) + f"""SELECT customer_id, CAST(len({wl}) AS BIGINT) AS warning_count,
+        array_to_string({wl}, ' | ') AS warnings FROM port""")
+    ops = (f"list_filter([CASE WHEN NOT coalesce(observation_history_complete, true) THEN 'incomplete_observation_history' END, "
+           f"CASE WHEN recency_days > {P.max_recency_days} THEN 'recency_above_maximum' END, "
+           f"CASE WHEN number_of_invoices < {P.minimum_invoices} THEN 'insufficient_invoices' END], lambda x: x IS NOT NULL)")
+    econ_port = port + [f"pops AS (SELECT *, {ops} AS ops FROM port)", _economics_select("pops")]
+    q["decision_reasons"] = final(with_(*econ_port) + f"""SELECT customer_id, churn_probability,
+        estimated_margin_at_risk AS margin_at_risk, expected_net_value,
+        len(ops) = 0 AND coalesce(expected_net_value > 0, false) AS economic_eligibility,
+        CASE WHEN len(ops) > 0 THEN 'Operational eligibility failed: ' || array_to_string(ops, ', ')
+             WHEN NOT coalesce(expected_net_value > 0, false) THEN 'Expected net value is not positive under the configured scenario'
+             ELSE 'Positive expected net value; portfolio ranking is still required' END AS reason FROM econ""",
+        dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
+    batch = port + [f"pops AS (SELECT *, {ops} AS ops FROM port)",
+                    "allecon AS (SELECT * FROM pops)",
+                    _economics_select("(SELECT * FROM pops WHERE len(ops) = 0)")] + \
+        _capacity_ctes("expected_value") + [_ranked_cte("expected_value"),
+        _economics_select("(SELECT * FROM pops WHERE len(ops) > 0)").replace("econ AS", "inecon AS", 1)]
+    q["batch_decisions"] = final(with_(*batch) + """SELECT customer_id, churn_probability,
+          estimated_margin_at_risk AS margin_at_risk, expected_net_value, economic_eligibility, recommended_action,
+          policy_rank, selection_reason AS reason FROM ranked
+        UNION ALL SELECT customer_id, churn_probability, estimated_margin_at_risk, expected_net_value, false,
+          'do_not_contact', CAST(row_number() OVER (ORDER BY customer_id) + (SELECT count(*) FROM ranked) AS BIGINT),
+          'Operational eligibility failed: ' || array_to_string(ops, ',') FROM inecon""",
+        dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
     return q
 
 
