@@ -52,7 +52,7 @@ def _bucket_edges(keyed: DataFrame, n: int, n_buckets: int, seed: int = 17):
     if n_buckets <= 1 or n == 0:
         return []
     fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n, 1))
-    sample = [r["_key"] for r in keyed.select("_key").sample(False, fraction, seed).collect()]
+    sample = [r["_okey"] for r in keyed.select("_okey").sample(False, fraction, seed).collect()]
     if len(sample) < 2:
         return []
     sample.sort(key=_py_key)
@@ -84,20 +84,20 @@ def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_c
     by = list(by)
     spark = df.sparkSession
     key = sort_key(order, by)
-    keyed = df.withColumn("_key", key)
+    keyed = df.withColumn("_okey", key)
     n = keyed.count()
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     nb = n_buckets or choose_buckets(n, parallelism)
     edges = _bucket_edges(keyed, n, nb)
     if edges:
-        key_type = keyed.schema["_key"].dataType
+        key_type = keyed.schema["_okey"].dataType
         arr = F.array(*[_literal_struct(e, key_type) for e in edges])
-        bucket = F.size(F.filter(arr, lambda e: e < F.col("_key")))
+        bucket = F.size(F.filter(arr, lambda e: e < F.col("_okey")))
     else:
         bucket = F.lit(0)
     rows = keyed.withColumn("_bucket", bucket.cast("int"))
     part = [*by, "_bucket"]
-    w = Window.partitionBy(*part).orderBy("_key")
+    w = Window.partitionBy(*part).orderBy("_okey")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = rows.select(
         "*",

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams
 from keepwell.operators import decisioning as dec
 from keepwell.operators import drift
+from keepwell.operators import model
 from keepwell.operators import portfolio as pf
 from keepwell.operators import evaluation as ev
 from keepwell.operators.eligibility import recency_threshold
@@ -329,6 +330,42 @@ def q_batch_decisions(spark, sf_dir):
     return present(pf.batch_decisions(portfolio(spark, sf_dir), SCENARIO, PARAMS)[0])
 
 
+_MODELS: dict = {}
+
+
+def trained(spark, sf_dir):
+    """Train/select/calibrate once per application and data folder; the scored
+    test cohort is written as a stage."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        bundle, comparison, scored = model.train_and_select(snapshots(spark, sf_dir), ModelParams())
+        comp = stage(spark, sf_dir, "model_comparison", lambda: comparison)
+        sc = stage(spark, sf_dir, "scored_cohort", lambda: scored)
+        _MODELS[key] = (bundle, comp, sc)
+    return _MODELS[key]
+
+
+def q_model_comparison(spark, sf_dir):
+    return present(trained(spark, sf_dir)[1])
+
+
+def q_scored_cohort(spark, sf_dir):
+    return present(trained(spark, sf_dir)[2].select(*KEYS, "churn", "churn_probability", "model_version"))
+
+
+def q_permutation_importance(spark, sf_dir):
+    bundle = trained(spark, sf_dir)[0]
+    test = snapshots(spark, sf_dir).filter(F.col("split") == "test")
+    return present(model.permutation_importance(bundle, test, repeats=ModelParams().permutation_repeats))
+
+
+def q_matured_performance(spark, sf_dir):
+    """Performance of the fitted model on the test cohort once labels matured."""
+    perf = ev.matured_performance(trained(spark, sf_dir)[2], BUDGET_FRACTION)
+    return present(perf.select("roc_auc", "average_precision", "brier_score", "recall_at_budget",
+                               "precision_at_budget", "lift_at_budget"))
+
+
 def _drift_frames(spark, sf_dir):
     return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
 
@@ -415,4 +452,8 @@ QUERIES = {
     "row_warnings": q_row_warnings,
     "decision_reasons": q_decision_reasons,
     "batch_decisions": q_batch_decisions,
+    "model_comparison": q_model_comparison,
+    "scored_cohort": q_scored_cohort,
+    "permutation_importance": q_permutation_importance,
+    "matured_performance": q_matured_performance,
 }
