@@ -69,7 +69,12 @@ def _literal_struct(row, dtype: T.StructType) -> Column:
 
 
 def choose_buckets(n: int, parallelism: int) -> int:
-    return int(max(1, min(MAX_BUCKETS, max(parallelism, math.ceil(n / TARGET_BUCKET_ROWS)))))
+    """One bucket per ~TARGET_BUCKET_ROWS rows (so no task orders more than that),
+    capped at MAX_BUCKETS; ``parallelism`` is a floor once data is large."""
+    needed = math.ceil(n / TARGET_BUCKET_ROWS)
+    if needed <= 1:
+        return 1
+    return int(min(MAX_BUCKETS, max(parallelism, needed)))
 
 
 def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_col: str = "_rank",

@@ -34,7 +34,8 @@ from keepwell.operators.snapshots import (
     split_bounds,
 )
 from keepwell.operators.validation import transaction_eda, validation_summary
-from keepwell.plans.stages import stage
+from keepwell.plans.stages import stage, stage_path
+from keepwell.streaming import jobs as streams
 from keepwell.sources.tables import events_transactions, nation_region_map, orders_transactions
 
 PARAMS = ORDERS_PARAMS
@@ -366,6 +367,37 @@ def q_matured_performance(spark, sf_dir):
                                "precision_at_budget", "lift_at_budget"))
 
 
+def q_stream_transactions(spark, sf_dir):
+    """The events table replayed as a stream, normalized and deduplicated."""
+    # a glob path: the file source treats a plain file path as its own base directory
+    src = spark.readStream.schema(streams.EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    root = streams.stream_root(spark, f"transactions_{abs(hash(sf_dir))}")
+    streams.run_available(streams.transaction_stream(src), f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.parquet(f"{root}/out"))
+
+
+def q_stream_scoring(spark, sf_dir):
+    """Test-cutoff candidates streamed through the fitted model, contract and economics."""
+    bundle = trained(spark, sf_dir)[0]
+    cand = candidates(spark, sf_dir)
+    src = spark.readStream.schema(cand.schema).parquet(stage_path(spark, sf_dir, "candidates")) \
+        .filter(F.col("split") == "test")
+    root = streams.stream_root(spark, f"scoring_{abs(hash(sf_dir))}")
+    out = streams.scoring_stream(src, bundle, SCENARIO, PARAMS, known_segments(spark, sf_dir))
+    streams.run_available(out, f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.parquet(f"{root}/out"))
+
+
+def q_stream_drift(spark, sf_dir):
+    """The scored test cohort as a stream, drift alerts per micro-batch."""
+    ref, cur = _drift_frames(spark, sf_dir)
+    src = spark.readStream.schema(cur.schema).parquet(stage_path(spark, sf_dir, "cohort_test"))
+    root = streams.stream_root(spark, f"drift_{abs(hash(sf_dir))}")
+    streams.drift_per_batch(src, ref, f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.schema("alert_order int, severity string, column_name string, issue string, "
+                                      "value double, detail string, batch_id long").parquet(f"{root}/out"))
+
+
 def _drift_frames(spark, sf_dir):
     return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
 
@@ -456,4 +488,7 @@ QUERIES = {
     "scored_cohort": q_scored_cohort,
     "permutation_importance": q_permutation_importance,
     "matured_performance": q_matured_performance,
+    "stream_transactions": q_stream_transactions,
+    "stream_scoring": q_stream_scoring,
+    "stream_drift": q_stream_drift,
 }

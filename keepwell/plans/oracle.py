@@ -315,6 +315,8 @@ def build() -> dict[str, str]:
                                         dbl=["quantity", "unit_price", "line_value"], ts=["invoice_date"])
     q["event_transactions"] = final(with_(EVENTS_TX, NTX) + "SELECT * FROM ntx",
                                     dbl=["quantity", "unit_price", "line_value"], ts=["invoice_date"])
+    # the stream keeps one line per event id; event ids are unique in the events table
+    q["stream_transactions"] = q["event_transactions"]
     usable = "customer_id IS NOT NULL AND customer_id <> ''"
     iso = ("CASE WHEN strftime({c}, '%f') = '000000' THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
            "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END")

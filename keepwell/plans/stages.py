@@ -20,12 +20,16 @@ _LOCK = threading.RLock()
 _DONE: dict[str, str] = {}
 
 
-def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Return the stage ``name`` for ``sf_dir``, building and writing it on first use."""
+def stage_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     app = spark.sparkContext.applicationId
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = f"{root}/keepwell_stages/{app}/{tag}/{name}"
+    return f"{root}/keepwell_stages/{app}/{tag}/{name}"
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Return the stage ``name`` for ``sf_dir``, building and writing it on first use."""
+    path = stage_path(spark, sf_dir, name)
     with _LOCK:
         if path not in _DONE:
             build().write.mode("overwrite").parquet(path)
