@@ -247,3 +247,13 @@ def drift_alerts(reference: DataFrame, current: DataFrame, thresholds: DriftThre
 
 def drift_status(alerts: DataFrame) -> str:
     return "alert" if alerts.limit(1).count() else "ok"
+
+
+def save_baseline(reference: DataFrame, path: str) -> None:
+    """Persist the baseline tables (per-column stats and quantiles) as Parquet."""
+    baseline_stats(reference).write.mode("overwrite").parquet(f"{path}/stats")
+    baseline_quantiles(reference).write.mode("overwrite").parquet(f"{path}/quantiles")
+
+
+def load_baseline(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{path}/stats"), spark.read.parquet(f"{path}/quantiles")

@@ -398,6 +398,34 @@ def q_stream_drift(spark, sf_dir):
                                       "value double, detail string, batch_id long").parquet(f"{root}/out"))
 
 
+def q_sensitivity_range(spark, sf_dir):
+    """Report fact: range of scenario value over the sensitivity grid."""
+    grid = dec.sensitivity_analysis(cohort(spark, sf_dir), SCENARIO, PARAMS.history_days)
+    return present(grid.agg(F.min("expected_net_value").alias("minimum_value"),
+                            F.max("expected_net_value").alias("maximum_value"),
+                            F.count(F.lit(1)).alias("configurations")))
+
+
+def q_snapshot_facts(spark, sf_dir):
+    """Report facts over eligible snapshots: rows, customers, cutoff range, churn rate."""
+    snap = snapshots(spark, sf_dir)
+    return present(snap.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("customer_id").alias("customers"),
+                            F.min("cutoff_date").alias("first_cutoff"), F.max("cutoff_date").alias("last_cutoff"),
+                            F.avg(F.col("churn").cast("double")).alias("churn_rate")))
+
+
+def q_policy_lift_comparison(spark, sf_dir):
+    """Report input: value policy vs churn policy lift and value, side by side."""
+    c = cohort(spark, sf_dir)
+    churn = dec.apply_policy(c, SCENARIO, "churn_probability", PARAMS.history_days)[1]
+    value = dec.apply_policy(c, SCENARIO, "expected_value", PARAMS.history_days)[1]
+    one = F.lit(1)
+    return present(churn.select(one.alias("_k"), F.col("lift_at_budget").alias("churn_policy_lift"),
+                                F.col("expected_net_value").alias("churn_policy_value"))
+                   .join(value.select(one.alias("_k"), F.col("lift_at_budget").alias("value_policy_lift"),
+                                      F.col("expected_net_value").alias("value_policy_value")), "_k").drop("_k"))
+
+
 def _drift_frames(spark, sf_dir):
     return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
 
@@ -488,6 +516,9 @@ QUERIES = {
     "scored_cohort": q_scored_cohort,
     "permutation_importance": q_permutation_importance,
     "matured_performance": q_matured_performance,
+    "sensitivity_range": q_sensitivity_range,
+    "snapshot_facts": q_snapshot_facts,
+    "policy_lift_comparison": q_policy_lift_comparison,
     "stream_transactions": q_stream_transactions,
     "stream_scoring": q_stream_scoring,
     "stream_drift": q_stream_drift,

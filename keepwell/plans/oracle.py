@@ -535,6 +535,21 @@ def build() -> dict[str, str]:
         dbl=["incremental_retention_effect", "offer_acceptance_probability", "margin_multiplier",
              "expected_net_value", "expected_campaign_cost"])
 
+    sens = q["sensitivity_grid"]
+    q["sensitivity_range"] = final(f"""SELECT min(expected_net_value) AS minimum_value,
+        max(expected_net_value) AS maximum_value, CAST(count(*) AS BIGINT) AS configurations FROM ({sens})""",
+                                   dbl=["minimum_value", "maximum_value"])
+    q["snapshot_facts"] = final(with_(*snap) + """SELECT CAST(count(*) AS BIGINT) AS rows,
+        CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, min(cutoff_date) AS first_cutoff,
+        max(cutoff_date) AS last_cutoff, avg(CAST(churn AS DOUBLE)) AS churn_rate FROM snap""",
+                                dbl=["churn_rate"], ts=["first_cutoff", "last_cutoff"])
+    q["policy_lift_comparison"] = final(
+        f"""SELECT c.lift_at_budget AS churn_policy_lift, c.expected_net_value AS churn_policy_value,
+              v.lift_at_budget AS value_policy_lift, v.expected_net_value AS value_policy_value
+            FROM ({with_(*pc)}{summary_select('churn_probability')}) c,
+                 ({with_(*pv)}{summary_select('expected_value')}) v""",
+        dbl=["churn_policy_lift", "churn_policy_value", "value_policy_lift", "value_policy_value"])
+
     import numpy as np
     fr = [float(v) for v in np.linspace(0.05, 0.50, 10)]
     frv = ", ".join(f"({d(f)})" for f in fr)
