@@ -93,6 +93,15 @@ def _psi_edges(reference: DataFrame, cols: list[str]) -> dict[str, list[float]]:
     return {c: sorted(set(v)) for c, v in edges.items()}
 
 
+def reference_head(reference: DataFrame, n: int | None, order=("cutoff_date", "customer_id")) -> DataFrame:
+    """Parity option: keep the first ``n`` reference rows in snapshot order (the
+    original study compared distributions on such a head sample); None keeps all."""
+    if not n:
+        return reference
+    ranked = ordered_prefix(reference, [(c, True) for c in order], rank_col="_head_rank")
+    return ranked.filter(F.col("_head_rank") <= F.lit(n)).drop("_head_rank")
+
+
 def psi(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Population stability index per numeric column: reference deciles (distinct)
     as edges with open outer ends, bins [a, b), shares floored at 1e-6.

@@ -426,6 +426,14 @@ def q_policy_lift_comparison(spark, sf_dir):
                                       F.col("expected_net_value").alias("value_policy_value")), "_k").drop("_k"))
 
 
+def q_policy_table(spark, sf_dir):
+    """Report table (R1) for the churn and value policies."""
+    c = cohort(spark, sf_dir)
+    rows = [dec.apply_policy(c, SCENARIO, p, PARAMS.history_days)[1] for p in ("churn_probability",
+                                                                            "expected_value")]
+    return present(dec.policy_table(rows[0].unionByName(rows[1])))
+
+
 def _drift_frames(spark, sf_dir):
     return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
 
@@ -517,6 +525,7 @@ QUERIES = {
     "permutation_importance": q_permutation_importance,
     "matured_performance": q_matured_performance,
     "sensitivity_range": q_sensitivity_range,
+    "policy_table": q_policy_table,
     "snapshot_facts": q_snapshot_facts,
     "policy_lift_comparison": q_policy_lift_comparison,
     "stream_transactions": q_stream_transactions,

@@ -550,6 +550,20 @@ def build() -> dict[str, str]:
                  ({with_(*pv)}{summary_select('expected_value')}) v""",
         dbl=["churn_policy_lift", "churn_policy_value", "value_policy_lift", "value_policy_value"])
 
+    rate = ["average_churn_probability", "observed_churn_rate", "recall_at_budget", "precision_at_budget",
+            "lift_at_budget"]
+
+    def fmt(c):
+        return f"format('{{:.3f}}', {c}) AS {c}" if c in rate else f"format('{{:,.2f}}', {c}) AS {c}"
+    both = (f"SELECT *, precision_at_budget AS observed_churn_rate FROM "
+            f"(SELECT * FROM ({with_(*pc)}{summary_select('churn_probability')}) UNION ALL "
+            f"SELECT * FROM ({with_(*pv)}{summary_select('expected_value')}))")
+    cols = ["average_churn_probability", "average_estimated_margin_at_risk", "expected_net_value_per_contact",
+            "observed_churn_rate", "recall_at_budget", "precision_at_budget", "lift_at_budget", "expected_net_value",
+            "expected_campaign_cost"]
+    q["policy_table"] = final(f"""SELECT policy, customers_contacted, {", ".join(fmt(c) for c in cols)},
+        binding_constraint, {fmt("scenario_realized_net_value")} FROM ({both})""")
+
     import numpy as np
     fr = [float(v) for v in np.linspace(0.05, 0.50, 10)]
     frv = ", ".join(f"({d(f)})" for f in fr)
