@@ -68,35 +68,67 @@ def brier(scored: DataFrame, label: str = "churn", score: str = "churn_probabili
     return scored.agg(F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"))
 
 
+def _ranking_metrics(st: DataFrame) -> DataFrame:
+    """ROC-AUC and AP from one threshold sweep (one row)."""
+    num = (F.col("neg").cast("decimal(38,0)") *
+           (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)"))
+    tot = st.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    j = st.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
+    agg = j.agg(F.sum(num).alias("_num"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
+                F.sum(F.when(F.col("_p") > 0, (F.col("pos") / F.col("_p")) *
+                             (F.col("tp") / (F.col("tp") + F.col("fp"))))).alias("average_precision"))
+    return agg.select(F.when((F.col("_p") > 0) & (F.col("_n") > 0),
+                             F.col("_num").cast("double") / (F.lit(2.0) * F.col("_p").cast("double")
+                                                             * F.col("_n").cast("double"))).alias("roc_auc"),
+                      "average_precision")
+
+
 def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn",
                          score: str = "churn_probability", tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
-    """One row of budget, ranking and calibration metrics (zero-division → 0)."""
-    sel = budget_selection(scored, fraction, score, tiebreak)
-    y = F.col(label) == 1
-    s = F.col("selected")
-    counts = sel.agg(
-        F.count(F.lit(1)).alias("customers"), F.count_if(s).alias("contacted"),
-        F.count_if(y).alias("observed_churners"),
-        F.count_if(~y & ~s).alias("tn"), F.count_if(~y & s).alias("fp"),
-        F.count_if(y & ~s).alias("fn"), F.count_if(y & s).alias("tp"),
-        F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"),
-    )
-    tp, fp, fn = F.col("tp").cast("double"), F.col("fp").cast("double"), F.col("fn").cast("double")
-    base = F.col("observed_churners").cast("double") / F.col("customers").cast("double")
-    prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
-    rec = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
-    metrics = counts.select(
-        "*",
-        prec.alias("precision"), rec.alias("recall"),
-        F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(F.lit(0.0)).alias("f1"),
-        rec.alias("recall_at_budget"), prec.alias("precision_at_budget"),
-        F.when(base > 0, prec / base).otherwise(F.lit(0.0)).alias("lift_at_budget"),
-        F.lit(float(fraction)).alias("budget_fraction"),
-    )
-    one = F.lit(1)
-    return (metrics.withColumn("_k", one)
-            .join(roc_auc(scored, label, score).withColumn("_k", one), "_k")
-            .join(average_precision(scored, label, score).withColumn("_k", one), "_k").drop("_k"))
+    """One row of budget, ranking and calibration metrics (zero-division → 0).
+
+    The three needed columns are projected and persisted once; the sweep over
+    distinct scores serves ROC and AP; only the metric row reaches the driver."""
+    spark = scored.sparkSession
+    base = scored.select(F.col(label).cast("int").alias(label), F.col(score).cast("double").alias(score),
+                         *tiebreak).persist()
+    try:
+        n = base.count()
+        k = budget_count(n, fraction) if n else 0
+        ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], rank_col="budget_rank",
+                                n_rows=n)
+        y = F.col(label) == 1
+        s = F.col("budget_rank") <= F.lit(k)
+        counts = ranked.agg(
+            F.count(F.lit(1)).alias("customers"), F.count_if(s).alias("contacted"),
+            F.count_if(y).alias("observed_churners"),
+            F.count_if(~y & ~s).alias("tn"), F.count_if(~y & s).alias("fp"),
+            F.count_if(y & ~s).alias("fn"), F.count_if(y & s).alias("tp"),
+            F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"),
+        ).first().asDict()
+        ranking = _ranking_metrics(score_table(base, label, score)).first().asDict()
+    finally:
+        base.unpersist()
+    tp, fp, fn = float(counts["tp"]), float(counts["fp"]), float(counts["fn"])
+    customers = counts["customers"]
+    base_rate = counts["observed_churners"] / customers if customers else 0.0
+    prec = tp / (tp + fp) if tp + fp > 0 else 0.0
+    rec = tp / (tp + fn) if tp + fn > 0 else 0.0
+    row = dict(counts)
+    row.update({
+        "precision": prec, "recall": rec,
+        "f1": 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn > 0 else 0.0,
+        "recall_at_budget": rec, "precision_at_budget": prec,
+        "lift_at_budget": prec / base_rate if base_rate else 0.0,
+        "budget_fraction": float(fraction),
+        "roc_auc": ranking["roc_auc"], "average_precision": ranking["average_precision"],
+    })
+    schema = ("customers long, contacted long, observed_churners long, tn long, fp long, fn long, tp long, "
+              "brier_score double, precision double, recall double, f1 double, recall_at_budget double, "
+              "precision_at_budget double, lift_at_budget double, budget_fraction double, roc_auc double, "
+              "average_precision double")
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(row[c] for c in names)], schema)
 
 
 def calibration_table(scored: DataFrame, n_bins: int = 8, label: str = "churn",

@@ -69,16 +69,14 @@ def _literal_struct(row, dtype: T.StructType) -> Column:
 
 
 def choose_buckets(n: int, parallelism: int) -> int:
-    """One bucket per ~TARGET_BUCKET_ROWS rows (so no task orders more than that),
-    capped at MAX_BUCKETS; ``parallelism`` is a floor once data is large."""
-    needed = math.ceil(n / TARGET_BUCKET_ROWS)
-    if needed <= 1:
-        return 1
-    return int(min(MAX_BUCKETS, max(parallelism, needed)))
+    """At least one bucket per shuffle partition, and one per ~TARGET_BUCKET_ROWS
+    rows as data grows (so no task orders more than that), capped at MAX_BUCKETS."""
+    return int(max(1, min(MAX_BUCKETS, max(parallelism, math.ceil(n / TARGET_BUCKET_ROWS)))))
 
 
 def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_col: str = "_rank",
-                   groups_bound: int | None = None, n_buckets: int | None = None) -> DataFrame:
+                   groups_bound: int | None = None, n_buckets: int | None = None,
+                   n_rows: int | None = None) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order`` within each ``by`` group)
     and, for every ``name -> column`` in ``sums``, the inclusive running sum ``name``.
 
@@ -90,7 +88,7 @@ def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_c
     spark = df.sparkSession
     key = sort_key(order, by)
     keyed = df.withColumn("_okey", key)
-    n = keyed.count()
+    n = n_rows if n_rows is not None else keyed.count()
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     nb = n_buckets or choose_buckets(n, parallelism)
     edges = _bucket_edges(keyed, n, nb)
