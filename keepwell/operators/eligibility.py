@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +60,3 @@ def check_configured_ceiling(derived: dict, params: SnapshotParams, full_data: b
         raise ValueError(
             f"Configured max_recency_days {params.max_recency_days} differs from the "
             f"training-derived ceiling {derived['max_recency_days']}")
-
-
-def ceil_days(value: float) -> int:
-    return int(math.ceil(value))

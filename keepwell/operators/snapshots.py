@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwell.config import SPLIT_ORDER, SnapshotParams
+from keepwell.config import SnapshotParams
 from keepwell.functions.columns import (
     days_between,
     epoch_micros,
@@ -370,11 +370,15 @@ def leakage_violations(snapshots: DataFrame, tx: DataFrame, params: SnapshotPara
         F.count_if(F.col("label_min_event_date") <= F.col("cutoff_date")).alias("label_at_or_before_cutoff"),
         F.count_if(F.col("label_min_event_date") < F.col("label_window_start")).alias("label_before_window"),
     )
+    # an event overlaps when it has a line on both sides of a cutoff; flags per
+    # (cutoff, event) are a decomposable max, so a huge copy group stays cheap
     lines = tx.select("event_id", "invoice_date")
-    feature_ev = _explode_windows(lines, plan, "feature").select("cutoff_date", "event_id")
-    label_ev = _explode_windows(lines, plan, "label").select("cutoff_date", "event_id")
-    overlap = feature_ev.join(label_ev, ["cutoff_date", "event_id"], "left_semi") \
-        .agg(F.count(F.lit(1)).alias("overlapping_events"))
+    t = F.col("invoice_date")
+    sides = lines.withColumn("_c", F.explode(F.filter(
+        _cutoff_array(plan), lambda c: (t > c["feature_start"]) & (t <= c["label_end"]))))
+    flags = sides.groupBy(F.col("_c.cutoff").alias("cutoff_date"), "event_id").agg(
+        F.max(t <= F.col("_c.cutoff")).alias("_f"), F.max(t > F.col("_c.cutoff")).alias("_l"))
+    overlap = flags.agg(F.count_if(F.col("_f") & F.col("_l")).alias("overlapping_events"))
     sb = split_bounds(snapshots)
     order = F.when(F.col("split") == "train", 0).when(F.col("split") == "validation", 1).otherwise(2)
     a = sb.select(order.alias("_ea"), F.col("last_label_end").alias("_end"))
@@ -430,10 +434,3 @@ def build_snapshots(tx: DataFrame, params: SnapshotParams, check: bool = True,
         assert_point_in_time(snapshots, tx, params)
         assert_eligibility(snapshots, params)
     return snapshots, summary
-
-
-def split_order_index(col: Column) -> Column:
-    expr = None
-    for i, s in enumerate(SPLIT_ORDER):
-        expr = F.when(col == s, F.lit(i)) if expr is None else expr.when(col == s, F.lit(i))
-    return expr.otherwise(F.lit(len(SPLIT_ORDER)))

@@ -132,3 +132,16 @@ def test_events_history_incomplete(spark):
     early = EVENTS_PARAMS.with_(split_cutoffs={"train": ["2024-01-13"]})
     reasons = {r["primary_exclusion_reason"] for r in snapshot_candidates(t, early).collect()}
     assert reasons == {"incomplete_observation_history"}
+
+
+def test_tampered_snapshot_is_rejected(spark):
+    from keepwell.operators.snapshots import assert_point_in_time
+    t = tx(spark, ROWS)
+    snaps = snapshot_candidates(t, P).filter("is_eligible")
+    tampered = snaps.withColumn("feature_max_event_date", F.timestamp_add("DAY", F.lit(1), F.col("cutoff_date")))
+    with pytest.raises(PointInTimeError, match="feature_after_cutoff"):
+        assert_point_in_time(tampered, t, P)
+    overlapping = P.with_(split_cutoffs={"train": ["2024-01-20"], "validation": ["2024-01-22"]})
+    snaps2 = snapshot_candidates(t, overlapping, strict=False).filter("is_eligible")
+    with pytest.raises(PointInTimeError, match="split_order_violations"):
+        assert_point_in_time(snaps2, t, overlapping)
