@@ -141,7 +141,7 @@ def test_tampered_snapshot_is_rejected(spark):
     tampered = snaps.withColumn("feature_max_event_date", F.timestamp_add("DAY", F.lit(1), F.col("cutoff_date")))
     with pytest.raises(PointInTimeError, match="feature_after_cutoff"):
         assert_point_in_time(tampered, t, P)
-    overlapping = P.with_(split_cutoffs={"train": ["2024-01-20"], "validation": ["2024-01-22"]})
+    overlapping = P.with_(split_cutoffs={"train": ["2024-01-18"], "validation": ["2024-01-20"]})
     snaps2 = snapshot_candidates(t, overlapping, strict=False).filter("is_eligible")
     with pytest.raises(PointInTimeError, match="split_order_violations"):
         assert_point_in_time(snaps2, t, overlapping)
