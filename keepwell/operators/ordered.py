@@ -68,6 +68,24 @@ def _literal_struct(row, dtype: T.StructType) -> Column:
     return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
 
 
+BLOCK = 32
+
+
+def _bucket_of(key: Column, edges: list) -> Column:
+    """Number of (sorted) edges strictly below ``key``: a two-level search – whole
+    blocks of 32 edges via their last edge, then the edges of one block – so a
+    row costs at most ~64 comparisons however many buckets there are."""
+    if len(edges) <= 2 * BLOCK:
+        return F.size(F.filter(F.array(*edges), lambda e: e < key))
+    blocks = [edges[i:i + BLOCK] for i in range(0, len(edges), BLOCK)]
+    lasts = F.array(*[b[-1] for b in blocks])
+    below = F.size(F.filter(lasts, lambda e: e < key))
+    inside = F.size(F.filter(F.slice(F.array(*edges), F.least(below, F.lit(len(blocks) - 1)) * BLOCK + 1, BLOCK),
+                             lambda e: e < key))
+    # every block below (the last may be partial): all edges are below the key
+    return F.when(below == len(blocks), F.lit(len(edges))).otherwise(below * BLOCK + inside)
+
+
 def choose_buckets(n: int, parallelism: int) -> int:
     """At least one bucket per shuffle partition, and one per ~TARGET_BUCKET_ROWS
     rows as data grows (so no task orders more than that), capped at MAX_BUCKETS."""
@@ -94,8 +112,7 @@ def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_c
     edges = _bucket_edges(keyed, n, nb)
     if edges:
         key_type = keyed.schema["_okey"].dataType
-        arr = F.array(*[_literal_struct(e, key_type) for e in edges])
-        bucket = F.size(F.filter(arr, lambda e: e < F.col("_okey")))
+        bucket = _bucket_of(F.col("_okey"), [_literal_struct(e, key_type) for e in edges])
     else:
         bucket = F.lit(0)
     rows = keyed.withColumn("_bucket", bucket.cast("int"))

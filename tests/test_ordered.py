@@ -37,3 +37,11 @@ def test_no_single_partition_exchange(spark):
     df = spark.range(0, 100).select("id", (F.col("id") % 7).cast("double").alias("v"))
     plan = ordered_prefix(df, [("v", False), ("id", True)])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_two_level_bucket_search_matches_linear(spark):
+    from keepwell.operators.ordered import _bucket_of
+    edges = [float(e) for e in range(0, 300, 3)]          # 100 edges -> 4 blocks
+    df = spark.range(-5, 310).select(F.col("id").cast("double").alias("x"))
+    got = df.select("x", _bucket_of(F.col("x"), [F.lit(e) for e in edges]).alias("b")).collect()
+    assert all(r["b"] == sum(1 for e in edges if e < r["x"]) for r in got)
