@@ -19,6 +19,7 @@ from keepwell.operators import decisioning as dec
 from keepwell.operators import drift, evaluation as ev
 from keepwell.operators.eligibility import check_configured_ceiling, derive_recency_threshold
 from keepwell.operators.model import save_bundle, score, train_and_select
+from keepwell.operators.normalize import normalize_transactions
 from keepwell.operators.snapshots import build_snapshots, eligibility_rollup
 from keepwell.operators.validation import validate_transactions
 from keepwell.sources.files import read_snapshots, write_csv, write_one_row, write_snapshots
@@ -33,7 +34,7 @@ def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params
               segment_map: dict | None = None, random_repetitions: int = 200, salt: str = "customer:") -> dict:
     out = out_dir.rstrip("/")
     validate_horizon_alignment(params.horizon_days, scenario)
-    transactions.write.mode("overwrite").parquet(f"{out}/transactions")
+    normalize_transactions(transactions).write.mode("overwrite").parquet(f"{out}/transactions")
     tx = spark.read.parquet(f"{out}/transactions")
     summary = validate_transactions(tx)
     write_one_row(_one_row(spark, summary), f"{out}/data_validation")
