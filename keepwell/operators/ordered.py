@@ -48,14 +48,13 @@ def _py_key(row):
     return tuple((0, 0) if v is None else (1, v) for v in row)
 
 
-def _bucket_edges(keyed: DataFrame, n: int, n_buckets: int, seed: int = 17):
-    if n_buckets <= 1 or n == 0:
-        return []
-    fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n, 1))
-    sample = [r["_okey"] for r in keyed.select("_okey").sample(False, fraction, seed).collect()]
-    if len(sample) < 2:
+SMALL_INPUT_ROWS = 10_000
+
+
+def _edges_from(sample: list, n_buckets: int) -> list:
+    if n_buckets <= 1 or len(sample) < 2:
         return []
-    sample.sort(key=_py_key)
+    sample = sorted(sample, key=_py_key)
     edges = []
     for i in range(1, n_buckets):
         e = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)]
@@ -64,6 +63,14 @@ def _bucket_edges(keyed: DataFrame, n: int, n_buckets: int, seed: int = 17):
     return edges
 
 
+def _bucket_edges(keyed: DataFrame, n: int, n_buckets: int, seed: int = 17):
+    if n_buckets <= 1 or n == 0:
+        return []
+    fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n, 1))
+    sample = [r["_okey"] for r in keyed.select("_okey").sample(False, fraction, seed).collect()]
+    return _edges_from(sample, n_buckets)
+
+
 def _literal_struct(row, dtype: T.StructType) -> Column:
     return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
 
@@ -106,10 +113,16 @@ def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_c
     spark = df.sparkSession
     key = sort_key(order, by)
     keyed = df.withColumn("_okey", key)
-    n = n_rows if n_rows is not None else keyed.count()
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    head = None
+    if n_rows is None or n_rows <= SMALL_INPUT_ROWS:
+        # a small input is its own sample: at most SMALL_INPUT_ROWS keys, one job
+        head = [r["_okey"] for r in keyed.select("_okey").limit(SMALL_INPUT_ROWS + 1).collect()]
+        if len(head) > SMALL_INPUT_ROWS:
+            head = None
+    n = len(head) if head is not None else (n_rows if n_rows is not None else keyed.count())
     nb = n_buckets or choose_buckets(n, parallelism)
-    edges = _bucket_edges(keyed, n, nb)
+    edges = _edges_from(head, nb) if head is not None else _bucket_edges(keyed, n, nb)
     if edges:
         key_type = keyed.schema["_okey"].dataType
         bucket = _bucket_of(F.col("_okey"), [_literal_struct(e, key_type) for e in edges])

@@ -45,3 +45,14 @@ def test_two_level_bucket_search_matches_linear(spark):
     df = spark.range(-5, 310).select(F.col("id").cast("double").alias("x"))
     got = df.select("x", _bucket_of(F.col("x"), [F.lit(e) for e in edges]).alias("b")).collect()
     assert all(r["b"] == sum(1 for e in edges if e < r["x"]) for r in got)
+
+
+def test_sampled_edges_path(spark, monkeypatch):
+    import keepwell.operators.ordered as ordered
+    monkeypatch.setattr(ordered, "SMALL_INPUT_ROWS", 100)
+    df = spark.range(0, 3000).select(F.col("id"), ((F.col("id") * 7919) % 97).cast("double").alias("v"))
+    out = ordered.ordered_prefix(df, [("v", False), ("id", True)], n_buckets=9, rank_col="r").toPandas()
+    pdf = df.toPandas().sort_values(["v", "id"], ascending=[False, True])
+    assert list(out.sort_values("r")["id"]) == list(pdf["id"])
+    q = ordered.exact_quantiles(df, "v", [0.5, 0.9]).orderBy("q_index").toPandas()
+    assert np.allclose(q["quantile"], np.quantile(pdf["v"].values, [0.5, 0.9]))
