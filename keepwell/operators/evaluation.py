@@ -68,47 +68,14 @@ def brier(scored: DataFrame, label: str = "churn", score: str = "churn_probabili
     return scored.agg(F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"))
 
 
-def _ranking_metrics(st: DataFrame) -> DataFrame:
-    """ROC-AUC and AP from one threshold sweep (one row)."""
-    num = (F.col("neg").cast("decimal(38,0)") *
-           (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)"))
-    tot = st.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    j = st.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-    agg = j.agg(F.sum(num).alias("_num"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
-                F.sum(F.when(F.col("_p") > 0, (F.col("pos") / F.col("_p")) *
-                             (F.col("tp") / (F.col("tp") + F.col("fp"))))).alias("average_precision"))
-    return agg.select(F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                             F.col("_num").cast("double") / (F.lit(2.0) * F.col("_p").cast("double")
-                                                             * F.col("_n").cast("double"))).alias("roc_auc"),
-                      "average_precision")
+METRIC_SCHEMA = ("customers long, contacted long, observed_churners long, tn long, fp long, fn long, tp long, "
+                 "brier_score double, precision double, recall double, f1 double, recall_at_budget double, "
+                 "precision_at_budget double, lift_at_budget double, budget_fraction double, roc_auc double, "
+                 "average_precision double")
+METRIC_NAMES = [c.split()[0] for c in METRIC_SCHEMA.split(", ")]
 
 
-def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn",
-                         score: str = "churn_probability", tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
-    """One row of budget, ranking and calibration metrics (zero-division → 0).
-
-    The three needed columns are projected and persisted once; the sweep over
-    distinct scores serves ROC and AP; only the metric row reaches the driver."""
-    spark = scored.sparkSession
-    base = scored.select(F.col(label).cast("int").alias(label), F.col(score).cast("double").alias(score),
-                         *tiebreak).persist()
-    try:
-        n = base.count()
-        k = budget_count(n, fraction) if n else 0
-        ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], rank_col="budget_rank",
-                                n_rows=n)
-        y = F.col(label) == 1
-        s = F.col("budget_rank") <= F.lit(k)
-        counts = ranked.agg(
-            F.count(F.lit(1)).alias("customers"), F.count_if(s).alias("contacted"),
-            F.count_if(y).alias("observed_churners"),
-            F.count_if(~y & ~s).alias("tn"), F.count_if(~y & s).alias("fp"),
-            F.count_if(y & ~s).alias("fn"), F.count_if(y & s).alias("tp"),
-            F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"),
-        ).first().asDict()
-        ranking = _ranking_metrics(score_table(base, label, score)).first().asDict()
-    finally:
-        base.unpersist()
+def _finish(counts: dict, ranking: dict, fraction: float) -> dict:
     tp, fp, fn = float(counts["tp"]), float(counts["fp"]), float(counts["fn"])
     customers = counts["customers"]
     base_rate = counts["observed_churners"] / customers if customers else 0.0
@@ -121,14 +88,63 @@ def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn
         "recall_at_budget": rec, "precision_at_budget": prec,
         "lift_at_budget": prec / base_rate if base_rate else 0.0,
         "budget_fraction": float(fraction),
-        "roc_auc": ranking["roc_auc"], "average_precision": ranking["average_precision"],
+        "roc_auc": ranking.get("roc_auc"), "average_precision": ranking.get("average_precision"),
     })
-    schema = ("customers long, contacted long, observed_churners long, tn long, fp long, fn long, tp long, "
-              "brier_score double, precision double, recall double, f1 double, recall_at_budget double, "
-              "precision_at_budget double, lift_at_budget double, budget_fraction double, roc_auc double, "
-              "average_precision double")
-    names = [c.split()[0] for c in schema.split(", ")]
-    return spark.createDataFrame([tuple(row[c] for c in names)], schema)
+    return row
+
+
+def evaluate_groups(scored: DataFrame, fraction: float, group: str, label: str = "churn",
+                    score: str = "churn_probability", tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
+    """Metrics for every value of ``group`` (e.g. several candidate models) in one
+    pass: budget ranks and threshold sweeps are partitioned by group. Returns one
+    row per group; only those rows reach the driver."""
+    spark = scored.sparkSession
+    base = scored.select(F.col(group).cast("string").alias("_grp"), F.col(label).cast("int").alias(label),
+                         F.col(score).cast("double").alias(score), *tiebreak).persist()
+    try:
+        sizes = {r["_grp"]: r["n"] for r in base.groupBy("_grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+        k_expr = F.lit(0)
+        for g, n in sizes.items():
+            k_expr = F.when(F.col("_grp") == g, F.lit(budget_count(n, fraction) if n else 0)).otherwise(k_expr)
+        ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], by=["_grp"],
+                                rank_col="budget_rank", groups_bound=len(sizes), n_rows=sum(sizes.values()))
+        y = F.col(label) == 1
+        sel = F.col("budget_rank") <= k_expr
+        counts = {r["_grp"]: r.asDict() for r in ranked.groupBy("_grp").agg(
+            F.count(F.lit(1)).alias("customers"), F.count_if(sel).alias("contacted"),
+            F.count_if(y).alias("observed_churners"),
+            F.count_if(~y & ~sel).alias("tn"), F.count_if(~y & sel).alias("fp"),
+            F.count_if(y & ~sel).alias("fn"), F.count_if(y & sel).alias("tp"),
+            F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score")).collect()}
+        per = base.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy("_grp", score).agg(
+            F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+        st = ordered_prefix(per, [(score, False)], sums={"tp": F.col("pos"), "fp": F.col("neg")}, by=["_grp"],
+                            rank_col="threshold_rank", groups_bound=len(sizes))
+        tot = per.groupBy("_grp").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+        num = (F.col("neg").cast("decimal(38,0)") *
+               (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)"))
+        ranking = {r["_grp"]: r.asDict() for r in st.join(F.broadcast(tot), "_grp").groupBy("_grp").agg(
+            F.sum(num).alias("_num"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
+            F.sum(F.when(F.col("_p") > 0, (F.col("pos") / F.col("_p")) *
+                         (F.col("tp") / (F.col("tp") + F.col("fp"))))).alias("average_precision")).select(
+            "_grp", F.when((F.col("_p") > 0) & (F.col("_n") > 0),
+                           F.col("_num").cast("double") / (F.lit(2.0) * F.col("_p").cast("double")
+                                                           * F.col("_n").cast("double"))).alias("roc_auc"),
+            "average_precision").collect()}
+    finally:
+        base.unpersist()
+    rows = []
+    for g in sizes:
+        r = _finish(counts[g], ranking.get(g, {}), fraction)
+        rows.append((g, *[r[c] for c in METRIC_NAMES]))
+    return spark.createDataFrame(rows, f"{group} string, " + METRIC_SCHEMA)
+
+
+def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn",
+                         score: str = "churn_probability", tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
+    """One row of budget, ranking and calibration metrics (zero-division → 0)."""
+    out = evaluate_groups(scored.withColumn("_all", F.lit("all")), fraction, "_all", label, score, tiebreak)
+    return out.drop("_all")
 
 
 def calibration_table(scored: DataFrame, n_bins: int = 8, label: str = "churn",
