@@ -119,6 +119,11 @@ def q_recency_threshold(spark, sf_dir):
     return present(recency_threshold(transactions(spark, sf_dir), PARAMS))
 
 
+def q_event_recency_threshold(spark, sf_dir):
+    """Recency ceiling on the events preset (microsecond timestamps, same-day gaps)."""
+    return present(recency_threshold(event_transactions(spark, sf_dir), EVENTS_PARAMS))
+
+
 FEATURE_COLUMNS = [
     "recency_days", "purchase_frequency", "monetary_value", "average_order_value", "customer_tenure_days",
     "number_of_invoices", "number_of_unique_products", "recent_purchasing_trend", "cancellation_rate",
@@ -477,6 +482,7 @@ QUERIES = {
     "duplicate_event_rate": q_duplicate_event_rate,
     "transaction_eda": q_transaction_eda,
     "recency_threshold": q_recency_threshold,
+    "event_recency_threshold": q_event_recency_threshold,
     "customer_features": q_customer_features,
     "purchase_regularity": q_purchase_regularity,
     "latest_segment": q_latest_segment,

@@ -339,23 +339,8 @@ def build() -> dict[str, str]:
         avg(CASE WHEN is_cancellation THEN 1.0 ELSE 0.0 END) AS cancellation_rate FROM ntx""",
                                  dbl=["cancellation_rate"], ts=["start", '"end"'])
 
-    tc = _ts(P.threshold_cutoff)
-    thr = [ORDERS_TX, NTX,
-           """tl AS (SELECT *, (NOT is_cancellation AND coalesce(quantity > 0, false) AND coalesce(unit_price >= 0, false)) AS pos
-                FROM ntx WHERE customer_id IS NOT NULL)""",
-           f"""tpos AS (SELECT * FROM tl WHERE pos AND invoice_date <= TIMESTAMP '{tc.isoformat(sep=' ')}'
-                QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY quantity, unit_price, description, country) = 1)""",
-           "tinv AS (SELECT customer_id, invoice_no, min(invoice_date) AS dt FROM tpos GROUP BY customer_id, invoice_no)",
-           f"""tgap AS (SELECT CAST(epoch_us(dt) - epoch_us(lag(dt) OVER (PARTITION BY customer_id ORDER BY dt, invoice_no))
-                AS DOUBLE) / {DAY_US} AS g FROM tinv)"""]
-    q["recency_threshold"] = final(with_(*thr) + f"""SELECT '{tc.date().isoformat()}' AS training_cutoff,
-        {d(P.recency_quantile)} AS quantile, qv AS observed_interval_days, CAST(ceil(qv) AS BIGINT) AS max_recency_days,
-        CAST((SELECT count(g) FROM tgap) AS BIGINT) AS repeat_intervals,
-        CAST((SELECT count(DISTINCT customer_id) FROM tinv) AS BIGINT) AS training_customers,
-        CAST((SELECT count(*) FROM (SELECT customer_id FROM tinv GROUP BY customer_id HAVING count(*) >= 2)) AS BIGINT)
-          AS repeat_customers
-        FROM (SELECT quantile_cont(g, {d(P.recency_quantile)}) AS qv FROM tgap)""",
-                                   dbl=["quantile", "observed_interval_days"])
+    q["recency_threshold"] = threshold_sql(P, ORDERS_TX)
+    q["event_recency_threshold"] = threshold_sql(EVENTS_PARAMS, EVENTS_TX)
 
     feat_cols = ", ".join(FEATURE_COLUMNS)
     q["customer_features"] = final(with_(*snap) + f"SELECT {KEYS}, {feat_cols} FROM cand", dbl=FEATURE_DOUBLES,
@@ -727,3 +712,22 @@ def drift_sql() -> dict[str, str]:
     q["drift_alerts"] = final(with_(*ctes, met) + f"SELECT CAST(alert_order AS BIGINT) AS alert_order, severity, column_name,"
                               f" issue, value, detail FROM ({alerts})", dbl=["value"])
     return q
+
+def threshold_sql(params, tx_cte) -> str:
+    tc = _ts(params.threshold_cutoff)
+    thr = [tx_cte, NTX,
+           """tl AS (SELECT *, (NOT is_cancellation AND coalesce(quantity > 0, false) AND coalesce(unit_price >= 0, false)) AS pos
+                FROM ntx WHERE customer_id IS NOT NULL)""",
+           f"""tpos AS (SELECT * FROM tl WHERE pos AND invoice_date <= TIMESTAMP '{tc.isoformat(sep=' ')}'
+                QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY quantity, unit_price, description, country) = 1)""",
+           "tinv AS (SELECT customer_id, invoice_no, min(invoice_date) AS dt FROM tpos GROUP BY customer_id, invoice_no)",
+           f"""tgap AS (SELECT CAST(epoch_us(dt) - epoch_us(lag(dt) OVER (PARTITION BY customer_id ORDER BY dt, invoice_no))
+                AS DOUBLE) / {DAY_US} AS g FROM tinv)"""]
+    return final(with_(*thr) + f"""SELECT '{tc.date().isoformat()}' AS training_cutoff,
+        {d(params.recency_quantile)} AS quantile, qv AS observed_interval_days, CAST(ceil(qv) AS BIGINT) AS max_recency_days,
+        CAST((SELECT count(g) FROM tgap) AS BIGINT) AS repeat_intervals,
+        CAST((SELECT count(DISTINCT customer_id) FROM tinv) AS BIGINT) AS training_customers,
+        CAST((SELECT count(*) FROM (SELECT customer_id FROM tinv GROUP BY customer_id HAVING count(*) >= 2)) AS BIGINT)
+          AS repeat_customers
+        FROM (SELECT quantile_cont(g, {d(params.recency_quantile)}) AS qv FROM tgap)""",
+                 dbl=["quantile", "observed_interval_days"])
