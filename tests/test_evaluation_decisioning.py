@@ -87,3 +87,13 @@ def test_hashed_queue_is_salted_prefix(spark):
     from keepwell.functions.columns import pseudonymize
     got = df.select(pseudonymize(F.col("customer_id"), "s:")).first()[0]
     assert got == hashlib.sha256(b"s:C1").hexdigest()[:16]
+
+
+def test_random_benchmark_blocks_do_not_change_result(spark, monkeypatch):
+    df = spark.createDataFrame([(f"C{i}", (i % 10) / 10, 100.0 + i, i % 2) for i in range(120)],
+                               "customer_id string, churn_probability double, monetary_value double, churn int")
+    whole = dec.random_benchmark(df, EconomicScenario(), 180, repetitions=12).first().asDict()
+    monkeypatch.setattr(dec, "DRAW_BLOCK_ROWS", 500)   # 4 draws per block
+    blocked = dec.random_benchmark(df, EconomicScenario(), 180, repetitions=12).first().asDict()
+    for k, v in whole.items():
+        assert blocked[k] == (pytest.approx(v) if isinstance(v, float) else v), k
