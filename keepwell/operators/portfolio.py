@@ -102,7 +102,7 @@ def decision_reasons(df: DataFrame, scenario: EconomicScenario, params: Snapshot
     ec = dec.with_economics(df, scenario, params.history_days).withColumn("_ops", operational_reasons(df, params))
     ok = F.size("_ops") == 0
     reason = (F.when(~ok, F.concat(F.lit(REASON_OPERATIONAL), F.array_join("_ops", ", ")))
-              .when(~F.coalesce(F.col("expected_net_value") > 0, F.lit(False)), F.lit(REASON_SINGLE_NONPOSITIVE))
+              .when(F.coalesce(F.col("expected_net_value") <= 0, F.lit(False)), F.lit(REASON_SINGLE_NONPOSITIVE))
               .otherwise(F.lit(REASON_SINGLE_POSITIVE)))
     return ec.select(
         "customer_id", "churn_probability", F.col("estimated_margin_at_risk").alias("margin_at_risk"),

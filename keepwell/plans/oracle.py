@@ -253,7 +253,7 @@ def _ranked_cte(policy: str) -> str:
     sel = ("expected_net_value > 0 AND policy_rank <= k" if policy == "expected_value" else "policy_rank <= k")
     if policy == "expected_value":
         reason = ("CASE WHEN sel THEN 'Highest positive expected net value within portfolio constraints' "
-                  "WHEN NOT coalesce(expected_net_value > 0, false) THEN 'Non-positive expected net value' "
+                  "WHEN coalesce(expected_net_value <= 0, false) THEN 'Non-positive expected net value' "
                   "ELSE 'Below the rank allowed by ' || binding END")
     else:
         reason = ("CASE WHEN sel THEN 'Highest churn probability within portfolio constraints' "
@@ -596,7 +596,7 @@ def portfolio_sql() -> dict[str, str]:
         estimated_margin_at_risk AS margin_at_risk, expected_net_value,
         len(ops) = 0 AND coalesce(expected_net_value > 0, false) AS economic_eligibility,
         CASE WHEN len(ops) > 0 THEN 'Operational eligibility failed: ' || array_to_string(ops, ', ')
-             WHEN NOT coalesce(expected_net_value > 0, false) THEN 'Expected net value is not positive under the configured scenario'
+             WHEN coalesce(expected_net_value <= 0, false) THEN 'Expected net value is not positive under the configured scenario'
              ELSE 'Positive expected net value; portfolio ranking is still required' END AS reason FROM econ""",
         dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
     batch = port + [f"pops AS (SELECT *, {ops} AS ops FROM port)",

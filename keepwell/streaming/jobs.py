@@ -58,7 +58,7 @@ def _score_columns(scored: DataFrame, scenario: EconomicScenario, params: Snapsh
         .withColumn("_ops", portfolio.operational_reasons(scored, params))
     ok = F.size("_ops") == 0
     reason = (F.when(~ok, F.concat(F.lit(portfolio.REASON_OPERATIONAL), F.array_join("_ops", ", ")))
-              .when(~F.coalesce(F.col("expected_net_value") > 0, F.lit(False)),
+              .when(F.coalesce(F.col("expected_net_value") <= 0, F.lit(False)),
                     F.lit(portfolio.REASON_SINGLE_NONPOSITIVE))
               .otherwise(F.lit(portfolio.REASON_SINGLE_POSITIVE)))
     return ec.select("customer_id", "churn_probability", "model_version", "violations", "is_valid", "warnings",

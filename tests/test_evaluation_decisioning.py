@@ -97,3 +97,15 @@ def test_random_benchmark_blocks_do_not_change_result(spark, monkeypatch):
     blocked = dec.random_benchmark(df, EconomicScenario(), 180, repetitions=12).first().asDict()
     for k, v in whole.items():
         assert blocked[k] == (pytest.approx(v) if isinstance(v, float) else v), k
+
+
+def test_value_policy_reasons_and_null_value(spark):
+    df = spark.createDataFrame([("a", 0.9, 5000.0), ("b", 0.01, 10.0), ("c", 0.9, None)],
+                               "customer_id string, churn_probability double, monetary_value double")
+    ranked, _, cap = dec.apply_policy(df, EconomicScenario(max_contact_fraction=1.0), "expected_value", 180)
+    r = {x["customer_id"]: x for x in ranked.collect()}
+    assert r["a"]["recommended_action"] == "contact" and r["a"]["policy_rank"] == 1
+    assert r["b"]["selection_reason"] == "Non-positive expected net value"
+    # unknown value: not eligible, ranked last, and not called non-positive
+    assert r["c"]["policy_rank"] == 3 and not r["c"]["economic_eligibility"]
+    assert r["c"]["selection_reason"] == f"Below the rank allowed by {cap.binding_constraint}"
