@@ -10,6 +10,10 @@ from keepwell.functions.columns import cancellation_flag, event_id_expr
 from keepwell.schemas import CANONICAL_COLUMNS, SOURCE_COLUMN_MAP, require_columns
 
 
+# fixed values: text layouts tried after ISO-8601, month first like the source export
+FALLBACK_TIMESTAMP_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d")
+
+
 def _lenient_timestamp(df: DataFrame, name: str):
     dtype = df.schema[name].dataType
     c = F.col(name)
@@ -18,7 +22,9 @@ def _lenient_timestamp(df: DataFrame, name: str):
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
     # text (or anything else): unparseable → null, never an error
-    return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+    text = F.trim(c.cast("string"))
+    parsed = [F.try_to_timestamp(text)] + [F.try_to_timestamp(text, F.lit(f)) for f in FALLBACK_TIMESTAMP_FORMATS]
+    return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
 def _lenient_double(df: DataFrame, name: str):

@@ -79,3 +79,12 @@ def test_reader_dispatch(spark, tmp_path):
     tx = normalize_transactions(read_raw_transactions(spark, str(path)))
     r = tx.first()
     assert r["customer_id"] == "17850" and r["line_value"] == 2.5
+
+
+def test_month_first_export_dates(spark):
+    df = normalize_transactions(raw(spark, [
+        ("1", "P", "x", "6", "12/1/2010 8:26", "2.55", "17850.0", "United Kingdom"),
+        ("2", "P", "x", "6", "2010-12-01 08:26:00", "2.55", "17850.0", "United Kingdom"),
+    ]))
+    dates = {r["invoice_date"] for r in df.collect()}
+    assert dates == {dt.datetime(2010, 12, 1, 8, 26)}
