@@ -1,7 +1,7 @@
 import os
 
 from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, ModelParams
-from keepwell.plans.pipeline import run_study
+from keepwell.plans.study import run_study
 from keepwell.sources.tables import nation_region_map, orders_transactions
 
 from conftest import SF001
