@@ -177,9 +177,8 @@ def q_eligibility_rollup(spark, sf_dir):
 
 
 def q_leakage_violations(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    snap = snapshot_candidates(tx, PARAMS).filter(F.col("is_eligible"))
-    return present(leakage_violations(snap, tx, PARAMS))
+    """Integrity gate over the written snapshot output and all transaction lines."""
+    return present(leakage_violations(snapshots(spark, sf_dir), transactions(spark, sf_dir), PARAMS))
 
 
 def q_split_bounds(spark, sf_dir):
