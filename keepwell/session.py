@@ -41,6 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()  # set via setCheckpointDir
+    if current.isDefined():
+        # the context stores its own sub-folder; its parent is the shared folder
+        folder = current.get().rstrip("/").rsplit("/", 1)[0]
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
     local = tempfile.mkdtemp(prefix="keepwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
