@@ -12,9 +12,9 @@ it rejects good ones at a rate below the rule's part of the risk.
   corrected over strata and rules (Bonferroni); along one rule's cutoffs, from the
   strictest evidence to the weakest, testing stops at the first failure (a fixed
   sequence needs no further correction, as the rejected sets are nested).
-* Of the cutoffs that pass, the one that gains most (share of bad documents rejected
-  less share of good ones) is used; with no gain, or no passing cutoff, the rule
-  rejects nothing in that stratum.
+* Of the cutoffs that pass, the one that gains most (labelled bad documents rejected
+  less good ones) is used; with no gain, or no passing cutoff, the rule rejects
+  nothing in that stratum.
 
 Counts per (stratum, rule, cutoff) are combined before the shuffle, so a stratum that
 holds a third of all rows costs one row per cutoff and task.
@@ -81,7 +81,6 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"))
     (m,) = fresh(docs, "measured")
-    # array_max of a one-element array keeps the struct in one piece, so it is computed once
     rows = docs.withColumn(m, let(measured, lambda x: x))
     f = lambda *path: F.col(".".join([m, *path]))
     out = rows.select(*[F.col(f"`{c}`") for c in docs.columns], f("w", "n_words"), f("word_chars"), f("n_symbols"),
@@ -146,7 +145,7 @@ def cutoffs(labelled: DataFrame, stratum: str, good: str, risk: float = 0.1, err
                    F.sum(F.when(hit, F.col("good")).otherwise(0)).alias("good_out"),
                    F.sum(F.when(hit, F.col("bad")).otherwise(0)).alias("bad_out")))
     tail = F.when(F.col("n_good") > 0, binomial_tail(F.col("good_out"), F.greatest("n_good", F.lit(1)), part)).otherwise(1.0)
-    gain = (F.col("bad_out") / F.greatest("n_bad", F.lit(1)) - F.col("good_out") / F.greatest("n_good", F.lit(1)))
+    gain = F.col("bad_out") - F.col("good_out")
     # from the highest cutoff down; a failure closes all lower ones
     down = Window.partitionBy("stratum", "rule").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
     passed = (counts.withColumn("passes", F.min((tail <= level).cast("int")).over(down) == 1)
@@ -157,8 +156,9 @@ def cutoffs(labelled: DataFrame, stratum: str, good: str, risk: float = 0.1, err
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          stratum_col: str = "lang", label_col: str = "quality", risk: float = 0.1, error: float = 0.05) -> DataFrame:
-    """``docs`` (all columns) with the features, ``base_failed`` and ``kept``.
+          stratum_col: str = "lang", label_col: str = "quality", risk: float = 0.1, error: float = 0.05,
+          keep_text: bool = True) -> DataFrame:
+    """``docs`` (all columns, the text only if ``keep_text``) with the features, ``base_failed`` and ``kept``.
 
     ``labels`` holds ``id_col`` and ``label_col`` (1 good, 0 bad; null labels and null ids
     are not used, several labels of an id count as good only if all are). Rows whose base
@@ -172,7 +172,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         raise ValueError(f"input columns may not be named like results: {sorted(made)}")
     own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in made])
     stratum, = fresh(own, "stratum")
-    scored = written(features(own, text_col)
+    measured = features(own, text_col)
+    scored = written((measured if keep_text else measured.drop(text_col))
                      .withColumn(stratum, F.coalesce(F.concat(F.lit("s"), F.col(stratum_col).cast("string")), F.lit("n"))),
                      "features")
     marks = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
