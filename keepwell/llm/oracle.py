@@ -38,9 +38,9 @@ shares AS MATERIALIZED (
                       for r, (a, b) in RULES.items())}),
 marks AS (SELECT doc_id, min((quality = 1)::INT) = 1 AS good FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
 lab AS MATERIALIZED (SELECT stratum, rule, share, good FROM shares JOIN marks USING (doc_id) WHERE NOT base_failed),
-grid AS (SELECT unnest({[i + 1 for i in range(len(CUTOFFS))]}) AS at, unnest({list(CUTOFFS)}) AS cutoff),
+grid AS (SELECT unnest({[i + 1 for i in range(len(CUTOFFS))]}) AS step, unnest({list(CUTOFFS)}) AS cutoff),
 cnt AS (
-  SELECT stratum, rule, at, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND share >= cutoff) AS k,
+  SELECT stratum, rule, step, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND share >= cutoff) AS k,
          count(*) FILTER (NOT good AND share >= cutoff) AS b
   FROM lab, grid GROUP BY ALL),
 tail AS (
@@ -49,8 +49,8 @@ tail AS (
       FOR j IN range(0, k + 1)]) END AS p FROM cnt),
 ok AS (
   SELECT *, min((p <= 0.05 / ((SELECT count(DISTINCT stratum) FROM lab) * {len(RULES)}))::INT) OVER (
-      PARTITION BY stratum, rule ORDER BY at DESC) = 1 AS passes FROM tail),
-best AS (SELECT stratum, rule, max_by(cutoff, (b - k) * 100 + at) AS cutoff FROM ok WHERE passes AND b > k GROUP BY ALL),
+      PARTITION BY stratum, rule ORDER BY step DESC) = 1 AS passes FROM tail),
+best AS (SELECT stratum, rule, max_by(cutoff, (b - k) * 100 + step) AS cutoff FROM ok WHERE passes AND b > k GROUP BY ALL),
 out AS (SELECT DISTINCT doc_id FROM shares JOIN best USING (stratum, rule) WHERE share >= cutoff)
 SELECT m.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
