@@ -7,7 +7,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from keepwell.llm import exact, mixing, packing, quality, simhash
 from keepwell.llm.common import table, written
@@ -15,8 +14,7 @@ from keepwell.llm.common import table, written
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; cutoffs come from the labels of ``sf_dir``."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,10 +83,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged, n_bytes, live = _flagged(docs, text_of(text_col), prefix_chars)
     (sha,) = fresh(flagged, "sha")
     rows = [F.col(f"`{c}`") for c in docs.columns]
+    fields = [c.alias(f"c{i}") for i, c in enumerate(rows)]
     alone = flagged.where(F.col(live).isNull()).select(*rows)
     met = (flagged.where(F.col(live).isNotNull())
            .withColumn(sha, F.sha2(text_of(text_col), 256))
            .groupBy(n_bytes, sha)
-           .agg(F.max_by(F.struct(*rows), F.struct(F.col(id_col))).alias("row"))
-           .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
-    return alone.unionByName(met)
+           .agg(F.max_by(F.struct(*fields), F.struct(F.col(id_col))).alias("row"))
+           .select(*[F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    return alone.union(met)

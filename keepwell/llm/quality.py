@@ -189,3 +189,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         over = over | F.coalesce(_share(rule) >= F.col(at), F.lit(False))
     out = scored.join(limits, F.col(stratum) == F.col(names[0]), "left").withColumn("kept", ~F.col("base_failed") & ~over)
     return out.drop(stratum, *names)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              stratum_col: str = "lang", label_col: str = "quality", risk: float = 0.1, error: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, whatever they are
+    named (other columns go under numbers meanwhile)."""
+    used = [id_col, text_col, stratum_col]
+    other = [c for c in docs.columns if c not in used]
+    slim = docs.select(*used, *[F.col(f"`{c}`").alias(f"other_{i}") for i, c in enumerate(other)])
+    good = judge(slim, labels, id_col, text_col, stratum_col, label_col, risk, error).where("kept")
+    names = {c: f"other_{i}" for i, c in enumerate(other)}
+    return good.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])

@@ -91,8 +91,9 @@ def blocks(total: int, shards: int, block_rows: int) -> tuple[np.ndarray, np.nda
     return np.array(size, dtype=np.int64), np.array(shard, dtype=np.int64), np.array(first, dtype=np.int64)
 
 
-def _deal(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int) -> Iterator[pa.RecordBatch]:
-    """Adds the block of each row; columns ``at`` and ``at + 1`` are partition and row in it."""
+def _deal(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int, name: str) -> Iterator[pa.RecordBatch]:
+    """Adds the block of each row as column ``name``; columns ``at`` and ``at + 1`` are the
+    partition and the row in it."""
     parts, rows, columns = plan.value
     place = {int(p): i for i, p in enumerate(parts)}
     known: dict[int, np.ndarray] = {}
@@ -108,8 +109,7 @@ def _deal(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int) -> Iterat
                 known[p] = np.random.default_rng([seed, 2, i]).permutation(dealt)
             mine = part == p
             block[mine] = known[p][nth[mine]]
-        yield batch.append_column("__block", pa.array(block)) if hasattr(batch, "append_column") else \
-            pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=[*batch.schema.names, "__block"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=[*batch.schema.names, name])
 
 
 def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int = 1 << 16) -> DataFrame:
@@ -128,9 +128,8 @@ def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int =
     size, shard, first = blocks(sum(n for _, n in counts), shards, block_rows)
     plan = spark.sparkContext.broadcast((np.array([p for p, _ in counts]), np.array([n for _, n in counts], dtype=np.int64), size))
     at = len(own.columns)
-    dealt = numbered.mapInArrow(partial(_deal, at=at, plan=plan, seed=seed),
-                                StructType([*numbered.schema.fields, StructField("__block", IntegerType())]))
-    dealt = dealt.toDF(*numbered.columns, block)
+    dealt = numbered.mapInArrow(partial(_deal, at=at, plan=plan, seed=seed, name=block),
+                                StructType([*numbered.schema.fields, StructField(block, IntegerType())]))
     schema = StructType([*own.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
     shard_of, first_of = dict(enumerate(shard.tolist())), dict(enumerate(first.tolist()))
 
