@@ -1,22 +1,25 @@
 """Reference-based drift monitoring.
 
-Every monitored column is unpivoted to (column, value) so all columns are
-handled by one job: quantiles, PSI bins and KS distribution sweeps are grouped
-by column. The baseline is a small table (one row per column plus quantile
-rows); raw reference values stay in the reference table.
+A reference is read once and kept as a baseline of four tables: one row per monitored
+column, the counts of its distinct values, its quantiles, and its categories. A current
+batch is unpivoted and counted once and compared with the baseline's tables; the raw
+reference is not needed again, so a saved baseline serves any number of batches. All
+columns are handled by the same jobs, grouped by column.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.config import DriftThresholds
-from keepwell.operators.ordered import exact_quantiles, ordered_prefix
+from keepwell.operators.ordered import counted_quantiles, ordered_prefix
 from keepwell.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from keepwell.scratch import written
 
 PROBABILITY = "churn_probability"
 QUANTILE_LEVELS = [i / 10 for i in range(11)]
@@ -24,19 +27,20 @@ PSI_FLOOR = 1e-6
 # numpy.allclose defaults (fixed values)
 ALLCLOSE_RTOL = 1e-5
 ALLCLOSE_ATOL = 1e-8
+MONITORED = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, PROBABILITY]
+ALERT_SCHEMA = "alert_order int, severity string, column_name string, issue string, value double, detail string"
 
 
 def monitored_columns(df: DataFrame) -> list[tuple[str, str]]:
     """(column, kind) in baseline order: numeric features, categorical, probability."""
-    cols = [(c, "numeric") for c in NUMERIC_FEATURES if c in df.columns]
-    cols += [(c, "categorical") for c in CATEGORICAL_FEATURES if c in df.columns]
-    if PROBABILITY in df.columns:
-        cols.append((PROBABILITY, "probability"))
-    return cols
+    def kind(c: str) -> str:
+        return "probability" if c == PROBABILITY else "categorical" if c in CATEGORICAL_FEATURES else "numeric"
 
+    return [(c, kind(c)) for c in MONITORED if c in df.columns]
 
-def _numeric_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value, raw_present) rows; text columns parse leniently."""
+
+def numeric_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value, present) rows; text columns parse leniently."""
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, value double, present boolean")
     parts = []
@@ -47,222 +51,233 @@ def _numeric_long(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(F.array(*parts)).alias("_u")).select("_u.*")
 
 
-def baseline_stats(reference: DataFrame) -> DataFrame:
-    """One row per monitored column: kind, missing rate, min, max, categories."""
+def _counted(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value, present, n): how often each value occurs. Null values with
+    ``present`` are text that is no number."""
+    return written(numeric_long(df, cols).groupBy("column_name", "value", "present").agg(F.count(F.lit(1)).alias("n")),
+                   "value_counts")
+
+
+def _categories(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, category, n), null as its own category."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, category string, n long")
+    parts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in cols])
+    return written(df.select(F.explode(parts).alias("_u")).groupBy("_u.column_name", "_u.category")
+                   .agg(F.count(F.lit(1)).alias("n")), "category_counts")
+
+
+@dataclass
+class Baseline:
+    """stats: column_name, column_order, kind, rows, missing_rate, minimum, maximum, n_categories;
+    values and categories: counts; quantiles: column_name, q_index, q, quantile."""
+
+    stats: DataFrame
+    values: DataFrame
+    quantiles: DataFrame
+    categories: DataFrame
+
+
+def build_baseline(reference: DataFrame) -> Baseline:
     cols = monitored_columns(reference)
-    numeric = [c for c, k in cols if k != "categorical"]
-    kinds = {c: k for c, k in cols}
-    long = _numeric_long(reference, numeric)
-    stats = long.groupBy("column_name").agg(
-        F.avg(F.when(F.col("present"), 0.0).otherwise(1.0)).alias("missing_rate"),
-        F.min("value").alias("minimum"), F.max("value").alias("maximum"))
-    kind = F.lit(None).cast("string")
-    for c, k in kinds.items():
-        kind = F.when(F.col("column_name") == c, F.lit(k)).otherwise(kind)
+    values = _counted(reference, [c for c, k in cols if k != "categorical"])
+    categories = _categories(reference, [c for c, k in cols if k == "categorical"])
+    missing = F.sum(F.when(F.col("present"), 0).otherwise(F.col("n"))) / F.sum("n")
     is_prob = F.col("column_name") == F.lit(PROBABILITY)
-    stats = stats.select(
-        "column_name", kind.alias("kind"), "missing_rate",
-        F.when(is_prob, F.lit(0.0)).otherwise(F.col("minimum")).alias("minimum"),
-        F.when(is_prob, F.lit(1.0)).otherwise(F.col("maximum")).alias("maximum"),
-        F.lit(None).cast("string").alias("categories"))
-    for c, k in cols:
-        if k == "categorical":
-            cat = reference.agg(
-                F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).alias("missing_rate"),
-                F.array_join(F.sort_array(F.collect_set(F.col(c).cast("string"))), ",").alias("categories"))
-            stats = stats.unionByName(cat.select(
-                F.lit(c).alias("column_name"), F.lit("categorical").alias("kind"), "missing_rate",
-                F.lit(None).cast("double").alias("minimum"), F.lit(None).cast("double").alias("maximum"),
-                "categories"))
-    return stats
-
-
-def baseline_quantiles(reference: DataFrame) -> DataFrame:
+    of_values = values.groupBy("column_name").agg(F.sum("n").alias("rows"), missing.alias("missing_rate"),
+                                                  F.min("value").alias("lo"), F.max("value").alias("hi")).select(
+        "column_name", "rows", "missing_rate", F.when(is_prob, F.lit(0.0)).otherwise(F.col("lo")).alias("minimum"),
+        F.when(is_prob, F.lit(1.0)).otherwise(F.col("hi")).alias("maximum"), F.lit(None).cast("long").alias("n_categories"))
+    of_categories = categories.groupBy("column_name").agg(
+        F.sum("n").alias("rows"), (F.sum(F.when(F.col("category").isNull(), F.col("n")).otherwise(0)) / F.sum("n")).alias("missing_rate"),
+        F.lit(None).cast("double").alias("minimum"), F.lit(None).cast("double").alias("maximum"),
+        F.count("category").alias("n_categories"))
+    known = reference.sparkSession.createDataFrame(
+        [(c, MONITORED.index(c), k) for c, k in cols], "column_name string, column_order int, kind string")
+    stats = written(known.join(of_values.unionByName(of_categories), "column_name"), "baseline_stats")
+    quantiles = written(counted_quantiles(_present(values), "value", "n", QUANTILE_LEVELS, by=["column_name"]), "baseline_quantiles")
+    return Baseline(stats, values, quantiles, categories)
+
+
+def _present(values: DataFrame) -> DataFrame:
+    return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def as_baseline(reference: DataFrame | Baseline) -> Baseline:
+    return reference if isinstance(reference, Baseline) else build_baseline(reference)
+
+
+def baseline_stats(reference: DataFrame | Baseline) -> DataFrame:
+    """One row per monitored column: kind, missing rate, range or number of categories."""
+    return as_baseline(reference).stats.select("column_name", "kind", "rows", "missing_rate", "minimum", "maximum", "n_categories")
+
+
+def baseline_quantiles(reference: DataFrame | Baseline) -> DataFrame:
     """The 11 reference quantiles (0, .1, …, 1) of every numeric column."""
-    numeric = [c for c, k in monitored_columns(reference) if k == "numeric"]
-    long = _numeric_long(reference, numeric)
-    return exact_quantiles(long, "value", QUANTILE_LEVELS, by=["column_name"], groups_bound=len(numeric) or 1)
+    return as_baseline(reference).quantiles.where(F.col("column_name") != PROBABILITY)
+
 
+@dataclass
+class Batch:
+    """A current batch, counted once."""
 
-def _psi_edges(reference: DataFrame, cols: list[str]) -> dict[str, list[float]]:
-    long = _numeric_long(reference, cols)
-    q = exact_quantiles(long, "value", QUANTILE_LEVELS, by=["column_name"], groups_bound=len(cols) or 1)
-    edges: dict[str, list[float]] = {}
-    for r in q.collect():  # ≤ 11 scalars per column
-        edges.setdefault(r["column_name"], []).append(r["quantile"])
-    return {c: sorted(set(v)) for c, v in edges.items()}
+    columns: list[str]
+    values: DataFrame
+    categories: DataFrame
 
 
-def reference_head(reference: DataFrame, n: int | None, order=("cutoff_date", "customer_id")) -> DataFrame:
-    """Parity option: keep the first ``n`` reference rows in snapshot order (the
-    original study compared distributions on such a head sample); None keeps all."""
-    if not n:
-        return reference
-    ranked = ordered_prefix(reference, [(c, True) for c in order], rank_col="_head_rank")
-    return ranked.filter(F.col("_head_rank") <= F.lit(n)).drop("_head_rank")
+def count_batch(current: DataFrame) -> Batch:
+    cols = monitored_columns(current)
+    return Batch(current.columns, _counted(current, [c for c, k in cols if k != "categorical"]),
+                 _categories(current, [c for c, k in cols if k == "categorical"]))
 
 
-def psi(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def as_batch(current: DataFrame | Batch) -> Batch:
+    return current if isinstance(current, Batch) else count_batch(current)
+
+
+def _side_by_side(base: Baseline, batch: Batch) -> DataFrame:
+    """(column_name, value, r, c): counts of every value on both sides, for columns of both."""
+    ref = _present(base.values).select("column_name", "value", F.col("n").alias("r"), F.lit(0).cast("long").alias("c"))
+    cur = _present(batch.values).select("column_name", "value", F.lit(0).cast("long").alias("r"), F.col("n").alias("c"))
+    shared = base.values.select("column_name").distinct().intersect(batch.values.select("column_name").distinct())
+    return ref.unionByName(cur).groupBy("column_name", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c")) \
+        .join(F.broadcast(shared), "column_name")  # one row per monitored column
+
+
+def psi(reference: DataFrame | Baseline, current: DataFrame | Batch) -> DataFrame:
     """Population stability index per numeric column: reference deciles (distinct)
     as edges with open outer ends, bins [a, b), shares floored at 1e-6.
     Empty side → null; fewer than 3 edges → 0 if the means are close, else 1."""
-    cols = columns or [c for c, k in monitored_columns(reference) if k != "categorical" and c in current.columns]
-    edges = _psi_edges(reference, cols)
-    ref = _numeric_long(reference, cols).filter(F.col("value").isNotNull()).withColumn("_ref", F.lit(True))
-    cur = _numeric_long(current, cols).filter(F.col("value").isNotNull()).withColumn("_ref", F.lit(False))
-    both = ref.unionByName(cur)
-    b = F.lit(0)
-    for c, e in edges.items():
-        inner = e[1:-1]
-        expr = F.lit(0)
-        for x in inner:
-            expr = expr + F.when(F.lit(float(x)) <= F.col("value"), 1).otherwise(0)
-        b = F.when(F.col("column_name") == c, expr).otherwise(b)
-    binned = both.withColumn("bin", b)
-    sizes = binned.groupBy("column_name").agg(
-        F.count_if("_ref").alias("n_ref"), F.count_if(~F.col("_ref")).alias("n_cur"),
-        F.avg(F.when(F.col("_ref"), F.col("value"))).alias("mean_ref"),
-        F.avg(F.when(~F.col("_ref"), F.col("value"))).alias("mean_cur"))
-    per_bin = binned.groupBy("column_name", "bin").agg(
-        F.count_if("_ref").alias("r"), F.count_if(~F.col("_ref")).alias("c"))
-    j = per_bin.join(F.broadcast(sizes), "column_name")  # sizes: one row per column
-    rs = F.greatest(F.col("r") / F.col("n_ref"), F.lit(PSI_FLOOR))
-    cs = F.greatest(F.col("c") / F.col("n_cur"), F.lit(PSI_FLOOR))
-    summed = j.groupBy("column_name").agg(F.sum((cs - rs) * F.log(cs / rs)).alias("_psi"))
-    n_edges = F.lit(0)
-    for c, e in edges.items():
-        n_edges = F.when(F.col("column_name") == c, F.lit(len(e))).otherwise(n_edges)
-    close = F.abs(F.col("mean_ref") - F.col("mean_cur")) <= \
-        F.lit(ALLCLOSE_ATOL) + F.lit(ALLCLOSE_RTOL) * F.abs(F.col("mean_cur"))
-    out = sizes.join(summed, "column_name", "left").select(
-        "column_name",
-        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(None).cast("double"))
-        .when(n_edges < 3, F.when(close, F.lit(0.0)).otherwise(F.lit(1.0)))
-        .otherwise(F.col("_psi")).alias("psi"))
-    return out
-
-
-def ks_statistic(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    base, batch = as_baseline(reference), as_batch(current)
+    edges = base.quantiles.groupBy("column_name").agg(
+        F.array_sort(F.collect_set("quantile")).alias("edges"))  # at most 11 numbers a column
+    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    counts = _side_by_side(base, batch).join(F.broadcast(edges), "column_name").withColumn(
+        "bin", F.size(F.filter(inner, lambda e: e <= F.col("value"))))
+    bins = counts.groupBy("column_name", "bin").agg(
+        F.sum("r").alias("r"), F.sum("c").alias("c"), F.sum(F.col("r") * F.col("value")).alias("vr"),
+        F.sum(F.col("c") * F.col("value")).alias("vc"), F.max(F.size("edges")).alias("n_edges"))
+    per = bins.groupBy("column_name").agg(
+        F.collect_list(F.struct("r", "c")).alias("bins"),  # at most 10 bins a column
+        F.sum("r").alias("nr"), F.sum("c").alias("nc"), F.sum("vr").alias("vr"), F.sum("vc").alias("vc"),
+        F.max("n_edges").alias("n_edges"))
+
+    def part(total: Column, b: Column) -> Column:
+        was = F.greatest(b["r"] / F.col("nr"), F.lit(PSI_FLOOR))
+        now = F.greatest(b["c"] / F.col("nc"), F.lit(PSI_FLOOR))
+        return total + (now - was) * F.log(now / was)
+
+    mean_r, mean_c = F.col("vr") / F.col("nr"), F.col("vc") / F.col("nc")
+    close = F.abs(mean_r - mean_c) <= F.lit(ALLCLOSE_ATOL) + F.lit(ALLCLOSE_RTOL) * F.abs(mean_c)
+    return per.select("column_name", F.when((F.col("nr") == 0) | (F.col("nc") == 0), F.lit(None).cast("double"))
+                      .when(F.col("n_edges") < 3, F.when(close, F.lit(0.0)).otherwise(F.lit(1.0)))
+                      .otherwise(F.aggregate("bins", F.lit(0.0), part)).alias("psi"))
+
+
+def ks_statistic(reference: DataFrame | Baseline, current: DataFrame | Batch) -> DataFrame:
     """Two-sample KS statistic per numeric column: max |F_ref − F_cur| over every
     observed value (values collapsed with counts, then an ordered sweep per column)."""
-    cols = columns or [c for c, k in monitored_columns(reference) if k != "categorical" and c in current.columns]
-    ref = _numeric_long(reference, cols).filter(F.col("value").isNotNull()).withColumn("_ref", F.lit(True))
-    cur = _numeric_long(current, cols).filter(F.col("value").isNotNull()).withColumn("_ref", F.lit(False))
-    counts = ref.unionByName(cur).groupBy("column_name", "value").agg(
-        F.count_if("_ref").alias("r"), F.count_if(~F.col("_ref")).alias("c"))
-    swept = ordered_prefix(counts, [("value", True)], sums={"cr": F.col("r"), "cc": F.col("c")}, by=["column_name"],
-                           rank_col="_vr", groups_bound=len(cols) or 1)
-    sizes = counts.groupBy("column_name").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    j = swept.join(F.broadcast(sizes), "column_name")
-    return j.groupBy("column_name").agg(
-        F.max(F.abs(F.col("cr") / F.col("nr") - F.col("cc") / F.col("nc"))).alias("_ks"),
-        F.max("nr").alias("nr"), F.max("nc").alias("nc")).select(
-        "column_name", F.when((F.col("nr") > 0) & (F.col("nc") > 0), F.col("_ks")).alias("ks_statistic"))
-
-
-def range_and_missing(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    swept = ordered_prefix(_side_by_side(as_baseline(reference), as_batch(current)), [("value", True)],
+                           sums={"cr": F.col("r"), "cc": F.col("c")}, by=["column_name"], rank_col="_vr", totals=True)
+    both = (F.col("cr_total") > 0) & (F.col("cc_total") > 0)
+    gap = F.when(both, F.abs(F.col("cr") / F.col("cr_total") - F.col("cc") / F.col("cc_total")))
+    return swept.groupBy("column_name").agg(F.max(gap).alias("ks_statistic"))
+
+
+def range_and_missing(reference: DataFrame | Baseline, current: DataFrame | Batch) -> DataFrame:
     """Per baseline column present in ``current``: missing rate, type-error rate and
     share outside the reference [min, max] (unknown → inside)."""
-    base = {r["column_name"]: r for r in baseline.collect()}  # one row per column
-    numeric = [c for c, r in base.items() if r["kind"] != "categorical" and c in current.columns]
-    long = _numeric_long(current, numeric)
-    lo = F.lit(None).cast("double")
-    hi = F.lit(None).cast("double")
-    for c in numeric:
-        lo = F.when(F.col("column_name") == c, F.lit(base[c]["minimum"]).cast("double")).otherwise(lo)
-        hi = F.when(F.col("column_name") == c, F.lit(base[c]["maximum"]).cast("double")).otherwise(hi)
-    out = long.groupBy("column_name").agg(
-        F.avg(F.when(F.col("present"), 0.0).otherwise(1.0)).alias("missing_rate"),
-        F.avg(F.when(F.col("present") & F.col("value").isNull(), 1.0).otherwise(0.0)).alias("type_error_rate"),
-        F.avg(F.when(F.coalesce((F.col("value") < lo) | (F.col("value") > hi), F.lit(False)), 1.0)
-              .otherwise(0.0)).alias("outside_reference_range_rate"))
-    for c, r in base.items():
-        if r["kind"] == "categorical" and c in current.columns:
-            out = out.unionByName(current.agg(
-                F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).alias("missing_rate")).select(
-                F.lit(c).alias("column_name"), "missing_rate", F.lit(None).cast("double").alias("type_error_rate"),
-                F.lit(None).cast("double").alias("outside_reference_range_rate")))
-    return out
-
-
-def new_categories(reference: DataFrame, current: DataFrame, column: str = "geographic_segment") -> DataFrame:
+    base, batch = as_baseline(reference), as_batch(current)
+    stats = F.broadcast(base.stats.select("column_name", "minimum", "maximum"))  # one row per column
+    n, total = F.col("n"), F.sum("n")
+    rate = lambda cond: F.sum(F.when(F.coalesce(cond, F.lit(False)), n).otherwise(0)) / total
+    numeric = batch.values.join(stats, "column_name").groupBy("column_name").agg(
+        rate(~F.col("present")).alias("missing_rate"),
+        rate(F.col("present") & F.col("value").isNull()).alias("type_error_rate"),
+        rate((F.col("value") < F.col("minimum")) | (F.col("value") > F.col("maximum"))).alias("outside_reference_range_rate"))
+    none = F.lit(None).cast("double")
+    categorical = batch.categories.join(stats, "column_name").groupBy("column_name").agg(
+        rate(F.col("category").isNull()).alias("missing_rate")).withColumns(
+        {"type_error_rate": none, "outside_reference_range_rate": none})
+    return numeric.unionByName(categorical)
+
+
+def new_categories(reference: DataFrame | Baseline, current: DataFrame | Batch) -> DataFrame:
     """Current category values never seen in the reference (anti-join on distinct values)."""
-    seen = reference.select(F.col(column).cast("string").alias("category")).dropna().distinct()
-    now = current.select(F.col(column).cast("string").alias("category")).dropna().distinct()
-    return now.join(seen, "category", "left_anti").select(F.lit(column).alias("column_name"), "category")
+    base, batch = as_baseline(reference), as_batch(current)
+    now = batch.categories.where("category is not null").join(F.broadcast(base.stats.select("column_name")), "column_name")
+    return now.join(base.categories.select("column_name", "category"), ["column_name", "category"], "left_anti") \
+        .select("column_name", "category")
 
 
 ISSUE_ORDER = ("missing_rate_increase", "invalid_numeric_type", "values_outside_reference_range", "psi_drift",
                "ks_drift", "new_categories")
 
 
-def drift_metrics(reference: DataFrame, current: DataFrame) -> DataFrame:
+def drift_metrics(reference: DataFrame | Baseline, current: DataFrame | Batch) -> DataFrame:
     """Per monitored column present in ``current``: every comparison metric."""
-    baseline = baseline_stats(reference)
-    numeric = [c for c, k in monitored_columns(reference) if k != "categorical" and c in current.columns]
-    rm = range_and_missing(baseline, current)
-    m = baseline.select("column_name", "kind", F.col("missing_rate").alias("baseline_missing_rate")) \
-        .join(rm, "column_name") \
-        .join(psi(reference, current, numeric), "column_name", "left") \
-        .join(ks_statistic(reference, current, numeric), "column_name", "left")
-    cats = new_categories(reference, current).groupBy("column_name").agg(
-        F.array_join(F.sort_array(F.collect_list("category")), ",").alias("new_categories"))
-    order = F.lit(None).cast("int")
-    for i, (c, _k) in enumerate(monitored_columns(reference)):
-        order = F.when(F.col("column_name") == c, F.lit(i)).otherwise(order)
-    return m.join(cats, "column_name", "left").withColumn("column_order", order)
-
-
-def drift_alerts(reference: DataFrame, current: DataFrame, thresholds: DriftThresholds = DriftThresholds()) -> DataFrame:
-    """Ordered alerts (alert_order, severity, column, issue, value, detail):
-    missing columns first (blocking), then per column in baseline order."""
-    spark = reference.sparkSession
-    expected = [c for c, _ in monitored_columns(reference)]
-    missing = [c for c in sorted(expected) if c not in current.columns]
-    metrics = drift_metrics(reference, current)
-    t = thresholds
+    base, batch = as_baseline(reference), as_batch(current)
+    return base.stats.select("column_name", "column_order", "kind", F.col("missing_rate").alias("baseline_missing_rate")) \
+        .join(range_and_missing(base, batch), "column_name") \
+        .join(psi(base, batch), "column_name", "left") \
+        .join(ks_statistic(base, batch), "column_name", "left")
+
+
+def drift_alerts(reference: DataFrame | Baseline, current: DataFrame | Batch,
+                 thresholds: DriftThresholds = DriftThresholds()) -> DataFrame:
+    """Ordered alerts (alert_order, severity, column_name, issue, value, detail): missing
+    columns first (blocking), then per column in baseline order, one row per new category."""
+    base, batch = as_baseline(reference), as_batch(current)
+    metrics = drift_metrics(base, batch)
     numeric = F.col("kind") != "categorical"
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c)) & (F.abs(F.col(c)) != F.lit(math.inf))
+    # in ISSUE_ORDER: severity, condition, value
     items = [
-        ("warning", "missing_rate_increase", F.col("missing_rate") - F.col("baseline_missing_rate")
-         > F.lit(t.missing_increase_warning), F.col("missing_rate"), F.lit(None).cast("string")),
-        ("blocking", "invalid_numeric_type", numeric & (F.col("type_error_rate") > 0), F.col("type_error_rate"),
-         F.lit(None).cast("string")),
-        ("warning", "values_outside_reference_range", numeric & (F.col("outside_reference_range_rate")
-                                                                 > F.lit(t.outside_range_warning)),
-         F.col("outside_reference_range_rate"), F.lit(None).cast("string")),
-        ("warning", "psi_drift", numeric & finite("psi") & (F.col("psi") >= F.lit(t.psi_warning)), F.col("psi"),
-         F.lit(None).cast("string")),
-        ("warning", "ks_drift", numeric & finite("ks_statistic") & (F.col("ks_statistic") >= F.lit(t.ks_warning)),
-         F.col("ks_statistic"), F.lit(None).cast("string")),
-        ("warning", "new_categories", (~numeric) & F.col("new_categories").isNotNull(),
-         F.lit(None).cast("double"), F.col("new_categories")),
+        ("warning", F.col("missing_rate") - F.col("baseline_missing_rate") > F.lit(thresholds.missing_increase_warning), "missing_rate"),
+        ("blocking", numeric & (F.col("type_error_rate") > 0), "type_error_rate"),
+        ("warning", numeric & (F.col("outside_reference_range_rate") > F.lit(thresholds.outside_range_warning)),
+         "outside_reference_range_rate"),
+        ("warning", numeric & finite("psi") & (F.col("psi") >= F.lit(thresholds.psi_warning)), "psi"),
+        ("warning", numeric & finite("ks_statistic") & (F.col("ks_statistic") >= F.lit(thresholds.ks_warning)), "ks_statistic"),
     ]
-    structs = [F.when(cond, F.struct(F.lit(i).alias("issue_order"), F.lit(sev).alias("severity"),
-                                     F.lit(issue).alias("issue"), val.cast("double").alias("value"),
-                                     det.alias("detail")))
-               for i, (sev, issue, cond, val, det) in enumerate(items)]
-    alerts = metrics.select("column_name", "column_order", F.explode(F.array_compact(F.array(*structs))).alias("a")) \
-        .select(((F.col("column_order") + 1) * 100 + F.col("a.issue_order")).alias("alert_order"),
-                F.col("a.severity").alias("severity"), "column_name", F.col("a.issue").alias("issue"),
-                F.col("a.value").alias("value"), F.col("a.detail").alias("detail"))
-    if missing:
-        miss = spark.createDataFrame([(i, "blocking", c, "missing_column", None, None) for i, c in enumerate(missing)],
-                                     "alert_order int, severity string, column_name string, issue string, value double, "
-                                     "detail string")
-        alerts = miss.unionByName(alerts.withColumn("alert_order", F.col("alert_order").cast("int")))
-    return alerts
-
-
-def drift_status(alerts: DataFrame) -> str:
-    return "alert" if alerts.limit(1).count() else "ok"
-
-
-def save_baseline(reference: DataFrame, path: str) -> None:
-    """Persist the baseline tables (per-column stats and quantiles) as Parquet."""
-    baseline_stats(reference).write.mode("overwrite").parquet(f"{path}/stats")
-    baseline_quantiles(reference).write.mode("overwrite").parquet(f"{path}/quantiles")
-
-
-def load_baseline(spark, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/stats"), spark.read.parquet(f"{path}/quantiles")
+    cells = [F.when(cond, F.struct(F.lit(i).alias("nth"), F.lit(severity).alias("severity"), F.lit(ISSUE_ORDER[i]).alias("issue"),
+                                   F.col(value).cast("double").alias("value"))) for i, (severity, cond, value) in enumerate(items)]
+    place = lambda nth: ((F.col("column_order") + 1) * 100 + nth).cast("int").alias("alert_order")
+    no_detail = F.lit(None).cast("string").alias("detail")
+    found = metrics.select("column_name", "column_order", F.explode(F.array_compact(F.array(*cells))).alias("a")).select(
+        place(F.col("a.nth")), "a.severity", "column_name", "a.issue", "a.value", no_detail)
+    fresh = new_categories(base, batch).join(F.broadcast(base.stats.select("column_name", "column_order")), "column_name").select(
+        place(F.lit(ISSUE_ORDER.index("new_categories"))), F.lit("warning").alias("severity"), "column_name",
+        F.lit("new_categories").alias("issue"), F.lit(None).cast("double").alias("value"), F.col("category").alias("detail"))
+    gone = base.stats.where(~F.col("column_name").isin(batch.columns)).select(
+        F.lit(0).alias("alert_order"), F.lit("blocking").alias("severity"), "column_name",
+        F.lit("missing_column").alias("issue"), F.lit(None).cast("double").alias("value"), no_detail)
+    return gone.unionByName(found).unionByName(fresh)
+
+
+def drift_record(reference: DataFrame | Baseline, current: DataFrame | Batch, alerts: DataFrame | None = None,
+                 thresholds: DriftThresholds = DriftThresholds()) -> DataFrame:
+    """One row: reference and current rows, missing columns, alerts, blocking alerts, status."""
+    base, batch = as_baseline(reference), as_batch(current)
+    alerts = drift_alerts(base, batch, thresholds) if alerts is None else alerts
+    found = alerts.agg(F.count(F.lit(1)).alias("alerts"), F.count_if(F.col("severity") == "blocking").alias("blocking"),
+                       F.array_join(F.sort_array(F.collect_list(F.when(F.col("issue") == "missing_column", F.col("column_name")))),
+                                    ",").alias("missing_columns"))  # at most one per monitored column
+    rows = lambda t: t.groupBy("column_name").agg(F.sum("n").alias("n")).agg(F.max("n").alias("n"))
+    now = rows(batch.values.select("column_name", "n").unionByName(batch.categories.select("column_name", "n")))
+    # three one-row tables side by side
+    return base.stats.agg(F.max("rows").alias("reference_rows")).join(F.broadcast(now.withColumnRenamed("n", "current_rows"))) \
+        .join(F.broadcast(found)).withColumn("status", F.when(F.col("blocking") > 0, "blocking").when(F.col("alerts") > 0, "alert")
+                                             .otherwise("ok"))
+
+
+def save_baseline(reference: DataFrame | Baseline, path: str) -> None:
+    """Persist the baseline's tables as Parquet under ``path``."""
+    base = as_baseline(reference)
+    for name in ("stats", "values", "quantiles", "categories"):
+        getattr(base, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_baseline(spark: SparkSession, path: str) -> Baseline:
+    return Baseline(*[spark.read.parquet(f"{path}/{name}") for name in ("stats", "values", "quantiles", "categories")])

@@ -9,34 +9,33 @@ from pyspark.sql import functions as F
 
 from keepwell.config import SnapshotParams, _ts
 from keepwell.operators.ordered import exact_quantiles
-from keepwell.operators.snapshots import _gap_rows, deduplicated_events, positive_events, ts_lit
+from keepwell.functions.columns import beside
+from keepwell.operators.snapshots import _gap_rows, deduplicated_events, positive_events, within
+from keepwell.scratch import written
 
 
 def repeat_gaps(tx: DataFrame, training_cutoff: dt.datetime, bucket_days: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """(invoices, gaps): invoice start per (customer, invoice) from positive lines at or
     before the cutoff (filter, then dedup), and the day gaps between a customer's
-    consecutive invoices ordered by (date, invoice)."""
-    pos = positive_events(deduplicated_events(tx)).filter(F.col("invoice_date") <= ts_lit(training_cutoff))
-    invoices = pos.groupBy("customer_id", "invoice_no").agg(F.min("invoice_date").alias("d"))
-    gaps = _gap_rows(invoices.select("customer_id", "invoice_no", "d"), ["customer_id"], ["d", "invoice_no"],
-                     bucket_days)
-    return invoices, gaps
+    consecutive invoices ordered by (date, invoice). Invoices are written once."""
+    pos = positive_events(deduplicated_events(within(tx, None, training_cutoff)))
+    invoices = written(pos.groupBy("customer_id", "invoice_no").agg(F.min("invoice_date").alias("d")), "invoices")
+    return invoices, _gap_rows(invoices, ["customer_id"], ["d", "invoice_no"], bucket_days)
 
 
 def recency_threshold(tx: DataFrame, params: SnapshotParams) -> DataFrame:
     """One row: cutoff, quantile, observed gap quantile (days), integer ceiling,
     number of gaps, training customers and repeat customers."""
     q = params.recency_quantile
-    if not 0 < q < 1:
-        raise ValueError("quantile must be in (0, 1)")
+    params.validate()
     cutoff = _ts(params.threshold_cutoff)
     invoices, gaps = repeat_gaps(tx, cutoff)
-    quant = exact_quantiles(gaps, "gap_days", [q]).select(F.col("quantile").alias("observed_interval_days"))
+    quant = exact_quantiles(gaps, "gap_days", [q]).agg(F.max("quantile").alias("observed_interval_days"))
     per_customer = invoices.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
     counts = per_customer.agg(F.count(F.lit(1)).alias("training_customers"),
                               F.count_if(F.col("_n") >= 2).alias("repeat_customers"),
                               F.sum(F.col("_n") - 1).alias("repeat_intervals"))
-    return quant.withColumn("_k", F.lit(1)).join(counts.withColumn("_k", F.lit(1)), "_k").select(
+    return beside(quant, counts).select(
         F.lit(cutoff.date().isoformat()).alias("training_cutoff"),
         F.lit(q).alias("quantile"),
         "observed_interval_days",

@@ -10,58 +10,74 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.operators.ordered import exact_quantiles, ordered_prefix
+from keepwell.scratch import written
 
 DEFAULT_TIEBREAK = ("cutoff_date", "customer_id")
 
 
-def budget_count(n: int, fraction: float) -> int:
-    """max(1, floor(n · fraction)) – at least one customer is always contacted."""
+def _check_fraction(fraction: float) -> None:
     if not 0 < fraction <= 1:
         raise ValueError("budget fraction must be in (0, 1]")
+
+
+def budget_count(n: int, fraction: float) -> int:
+    """max(1, floor(n · fraction)) – at least one customer is always contacted."""
+    _check_fraction(fraction)
     return max(1, int(math.floor(n * fraction)))
 
 
+def _within_budget(rank: str, fraction: float) -> Column:
+    """Whether a rank lies in the budget of its group, whose size is ``<rank>_total``."""
+    _check_fraction(fraction)
+    return F.col(rank) <= F.greatest(F.lit(1).cast("long"), F.floor(F.col(f"{rank}_total") * F.lit(float(fraction))))
+
+
 def budget_selection(scored: DataFrame, fraction: float, score: str = "churn_probability",
                      tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
     """Rank by score desc (ties in tie-break order) and flag the top ``budget_count``."""
-    ranked = ordered_prefix(scored, [(score, False), *[(c, True) for c in tiebreak]], rank_col="budget_rank")
-    n = scored.count()
-    k = budget_count(n, fraction) if n else 0
-    return ranked.withColumn("selected", F.col("budget_rank") <= F.lit(k))
+    ranked = ordered_prefix(scored, [(score, False), *[(c, True) for c in tiebreak]], rank_col="budget_rank", totals=True)
+    return ranked.withColumn("selected", _within_budget("budget_rank", fraction)).drop("budget_rank_total")
 
 
-def score_table(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
-    """One row per distinct score: positives, negatives, and inclusive running
-    counts in descending score order (the threshold sweep)."""
-    per = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(score).agg(
+def score_table(scored: DataFrame, label: str = "churn", score: str = "churn_probability", by=()) -> DataFrame:
+    """One row per distinct score (and ``by`` group): positives, negatives, inclusive
+    running counts in descending score order (the threshold sweep) and their totals."""
+    per = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    return ordered_prefix(per, [(score, False)], sums={"tp": F.col("pos"), "fp": F.col("neg")},
-                          rank_col="threshold_rank")
+    return sweep(per, score, by)
+
+
+def sweep(per_score: DataFrame, score: str = "churn_probability", by=()) -> DataFrame:
+    """Running and total counts over a table of (``by``, ``score``, pos, neg)."""
+    return ordered_prefix(per_score, [(score, False)], sums={"tp": F.col("pos"), "fp": F.col("neg")}, by=by,
+                          rank_col="threshold_rank", totals=True)
+
+
+def _auc() -> Column:
+    """Ties counted half: Σ neg·(2·pos_above + pos) / (2·P·N), accumulated exactly in decimal."""
+    above = (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)")
+    num = F.sum(F.col("neg").cast("decimal(38,0)") * above).cast("double")
+    p, n = F.max("tp_total").cast("double"), F.max("fp_total").cast("double")
+    return F.when((p > 0) & (n > 0), num / (F.lit(2.0) * p * n))
+
+
+def step_precision() -> Column:
+    return F.sum(F.when(F.col("tp_total") > 0, (F.col("pos") / F.col("tp_total"))
+                        * (F.col("tp") / (F.col("tp") + F.col("fp")))))
 
 
 def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
-    """Area under ROC with ties counted half: Σ neg·(2·pos_above + pos) / (2·P·N),
-    accumulated exactly in decimal."""
-    st = score_table(scored, label, score)
-    num = (F.col("neg").cast("decimal(38,0)") *
-           (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)"))
-    agg = st.agg(F.sum(num).alias("_num"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return agg.select(F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                             F.col("_num").cast("double") / (F.lit(2.0) * F.col("_p").cast("double")
-                                                             * F.col("_n").cast("double"))).alias("roc_auc"))
+    """Area under ROC, ties counted half."""
+    return score_table(scored, label, score).agg(_auc().alias("roc_auc"))
 
 
 def average_precision(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
     """Step-wise AP: Σ over thresholds of (recall gained) × precision at that threshold."""
-    st = score_table(scored, label, score)
-    total = st.agg(F.sum("pos").alias("_p"))
-    joined = st.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k")
-    return joined.agg(F.sum(F.when(F.col("_p") > 0, (F.col("pos") / F.col("_p")) *
-                                   (F.col("tp") / (F.col("tp") + F.col("fp"))))).alias("average_precision"))
+    return score_table(scored, label, score).agg(step_precision().alias("average_precision"))
 
 
 def brier(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
@@ -99,42 +115,21 @@ def evaluate_groups(scored: DataFrame, fraction: float, group: str, label: str =
     pass: budget ranks and threshold sweeps are partitioned by group. Returns one
     row per group; only those rows reach the driver."""
     spark = scored.sparkSession
-    base = scored.select(F.col(group).cast("string").alias("_grp"), F.col(label).cast("int").alias(label),
-                         F.col(score).cast("double").alias(score), *tiebreak).persist()
-    try:
-        sizes = {r["_grp"]: r["n"] for r in base.groupBy("_grp").agg(F.count(F.lit(1)).alias("n")).collect()}
-        k_expr = F.lit(0)
-        for g, n in sizes.items():
-            k_expr = F.when(F.col("_grp") == g, F.lit(budget_count(n, fraction) if n else 0)).otherwise(k_expr)
-        ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], by=["_grp"],
-                                rank_col="budget_rank", groups_bound=len(sizes), n_rows=sum(sizes.values()))
-        y = F.col(label) == 1
-        sel = F.col("budget_rank") <= k_expr
-        counts = {r["_grp"]: r.asDict() for r in ranked.groupBy("_grp").agg(
-            F.count(F.lit(1)).alias("customers"), F.count_if(sel).alias("contacted"),
-            F.count_if(y).alias("observed_churners"),
-            F.count_if(~y & ~sel).alias("tn"), F.count_if(~y & sel).alias("fp"),
-            F.count_if(y & ~sel).alias("fn"), F.count_if(y & sel).alias("tp"),
-            F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score")).collect()}
-        per = base.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy("_grp", score).agg(
-            F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-        st = ordered_prefix(per, [(score, False)], sums={"tp": F.col("pos"), "fp": F.col("neg")}, by=["_grp"],
-                            rank_col="threshold_rank", groups_bound=len(sizes))
-        tot = per.groupBy("_grp").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-        num = (F.col("neg").cast("decimal(38,0)") *
-               (F.lit(2) * (F.col("tp") - F.col("pos")) + F.col("pos")).cast("decimal(38,0)"))
-        ranking = {r["_grp"]: r.asDict() for r in st.join(F.broadcast(tot), "_grp").groupBy("_grp").agg(
-            F.sum(num).alias("_num"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
-            F.sum(F.when(F.col("_p") > 0, (F.col("pos") / F.col("_p")) *
-                         (F.col("tp") / (F.col("tp") + F.col("fp"))))).alias("average_precision")).select(
-            "_grp", F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                           F.col("_num").cast("double") / (F.lit(2.0) * F.col("_p").cast("double")
-                                                           * F.col("_n").cast("double"))).alias("roc_auc"),
-            "average_precision").collect()}
-    finally:
-        base.unpersist()
+    base = written(scored.select(F.col(group).cast("string").alias("_grp"), F.col(label).cast("int").alias(label),
+                                 F.col(score).cast("double").alias(score), *tiebreak), "scores")
+    ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], by=["_grp"],
+                            rank_col="budget_rank", totals=True)
+    y, sel = F.col(label) == 1, _within_budget("budget_rank", fraction)
+    counts = {r["_grp"]: r.asDict() for r in ranked.groupBy("_grp").agg(  # one row per group
+        F.count(F.lit(1)).alias("customers"), F.count_if(sel).alias("contacted"),
+        F.count_if(y).alias("observed_churners"),
+        F.count_if(~y & ~sel).alias("tn"), F.count_if(~y & sel).alias("fp"),
+        F.count_if(y & ~sel).alias("fn"), F.count_if(y & sel).alias("tp"),
+        F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score")).collect()}
+    ranking = {r["_grp"]: r.asDict() for r in score_table(base, label, score, by=["_grp"]).groupBy("_grp").agg(
+        _auc().alias("roc_auc"), step_precision().alias("average_precision")).collect()}
     rows = []
-    for g in sizes:
+    for g in counts:
         r = _finish(counts[g], ranking.get(g, {}), fraction)
         rows.append((g, *[r[c] for c in METRIC_NAMES]))
     return spark.createDataFrame(rows, f"{group} string, " + METRIC_SCHEMA)
@@ -165,26 +160,21 @@ def calibration_table(scored: DataFrame, n_bins: int = 8, label: str = "churn",
 
 
 def pr_curve(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
-    st = score_table(scored, label, score)
-    total = st.agg(F.sum("pos").alias("_p"))
-    joined = st.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k")
-    return joined.select(
+    return score_table(scored, label, score).select(
         F.col(score).alias("threshold"), "tp", "fp",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.when(F.col("_p") > 0, F.col("tp") / F.col("_p")).alias("recall"))
+        F.when(F.col("tp_total") > 0, F.col("tp") / F.col("tp_total")).alias("recall"))
 
 
 def gains_table(scored: DataFrame, label: str = "churn", score: str = "churn_probability",
                 tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
     """Cumulative share of churners captured vs share of customers contacted."""
     ranked = ordered_prefix(scored, [(score, False), *[(c, True) for c in tiebreak]],
-                            sums={"captured": F.col(label).cast("long")}, rank_col="position")
-    totals = scored.agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p")).first()
-    n, p = totals["_n"], totals["_p"] or 0
+                            sums={"captured": F.col(label).cast("long")}, rank_col="position", totals=True)
     return ranked.select(
         "position", "captured",
-        (F.col("position") / F.lit(float(n))).alias("population_fraction"),
-        (F.col("captured") / F.lit(float(max(p, 1)))).alias("gain"))
+        (F.col("position") / F.col("position_total").cast("double")).alias("population_fraction"),
+        (F.col("captured") / F.greatest(F.coalesce("captured_total", F.lit(0)), F.lit(1)).cast("double")).alias("gain"))
 
 
 def matured_performance(current: DataFrame, fraction: float, label: str = "churn",

@@ -12,6 +12,10 @@ from keepwell.schemas import CANONICAL_COLUMNS, SOURCE_COLUMN_MAP, require_colum
 
 # fixed values: text layouts tried after ISO-8601, month first like the source export
 FALLBACK_TIMESTAMP_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d")
+#: A date has a four-digit year and two more parts; bare numbers are no dates.
+DATE_TEXT = r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}/\d{1,2}/\d{4})([ T].*)?$"
+#: Digits with an optional sign, point and exponent; type suffixes and words are no numbers.
+NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _lenient_timestamp(df: DataFrame, name: str):
@@ -24,13 +28,16 @@ def _lenient_timestamp(df: DataFrame, name: str):
     # text (or anything else): unparseable → null, never an error
     text = F.trim(c.cast("string"))
     parsed = [F.try_to_timestamp(text)] + [F.try_to_timestamp(text, F.lit(f)) for f in FALLBACK_TIMESTAMP_FORMATS]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    return F.when(text.rlike(DATE_TEXT), F.coalesce(*parsed)).cast("timestamp_ntz")
 
 
 def _lenient_double(df: DataFrame, name: str):
     c = F.col(name)
-    dtype = df.schema[name].dataType
-    parsed = c.cast("double") if isinstance(dtype, T.NumericType) else c.cast("string").try_cast("double")
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        parsed = c.cast("double")
+    else:
+        text = F.trim(c.cast("string"))
+        parsed = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
     return F.when(F.isnan(parsed), F.lit(None).cast("double")).otherwise(parsed)
 
 

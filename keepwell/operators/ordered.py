@@ -1,12 +1,13 @@
 """Distributed ordered prefix: global ranks, running sums and exact quantiles
 without a single-partition exchange.
 
-``row_number().over(Window.orderBy(x))`` funnels every row through one task.
-Here rows are cut into contiguous key ranges ("buckets") whose edges come from
-a small sample of the sort key; each bucket is ordered on its own, and bucket
-totals (a tiny table: one row per bucket) give every bucket its starting offset.
-Edges are literals fixed before the job runs, so the result never depends on
-how data is partitioned; a skewed sample only changes balance, never values.
+``row_number().over(Window.orderBy(x))`` funnels every row through one task. Here
+the input is written once, Spark's range partitioning cuts it into contiguous key
+ranges ("buckets") whose number follows the rows, each bucket is ordered on its own,
+and bucket totals (one row per bucket and group) give every bucket its offset. The
+bucket of a row is written with it, so every later step agrees on it; where the edges
+fall only changes balance, never values. One path serves every size.
+
 Heavy ties on the sort key should be collapsed first (group by value and carry
 a count), which all callers in this package do.
 """
@@ -17,12 +18,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-TARGET_BUCKET_ROWS = 2_000_000
-MAX_BUCKETS = 1024
-SAMPLES_PER_BUCKET = 20
-BROADCAST_ROWS = 200_000
+from keepwell.scratch import written
+
+BUCKET_ROWS = 2_000_000
 
 
 def _col(c) -> Column:
@@ -44,120 +43,39 @@ def sort_key(order, by=()) -> Column:
     return F.struct(*fields)
 
 
-def _py_key(row):
-    return tuple((0, 0) if v is None else (1, v) for v in row)
-
-
-SMALL_INPUT_ROWS = 10_000
-
-
-def _edges_from(sample: list, n_buckets: int) -> list:
-    if n_buckets <= 1 or len(sample) < 2:
-        return []
-    sample = sorted(sample, key=_py_key)
-    edges = []
-    for i in range(1, n_buckets):
-        e = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)]
-        if not edges or _py_key(e) != _py_key(edges[-1]):
-            edges.append(e)
-    return edges
-
-
-def _bucket_edges(keyed: DataFrame, n: int, n_buckets: int, seed: int = 17):
-    if n_buckets <= 1 or n == 0:
-        return []
-    fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n, 1))
-    sample = [r["_okey"] for r in keyed.select("_okey").sample(False, fraction, seed).collect()]
-    return _edges_from(sample, n_buckets)
-
-
-def _literal_struct(row, dtype: T.StructType) -> Column:
-    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
-
-
-BLOCK = 32
-
-
-def _bucket_of(key: Column, edges: list) -> Column:
-    """Number of (sorted) edges strictly below ``key``: a two-level search – whole
-    blocks of 32 edges via their last edge, then the edges of one block – so a
-    row costs at most ~64 comparisons however many buckets there are."""
-    if len(edges) <= 2 * BLOCK:
-        return F.size(F.filter(F.array(*edges), lambda e: e < key))
-    blocks = [edges[i:i + BLOCK] for i in range(0, len(edges), BLOCK)]
-    lasts = F.array(*[b[-1] for b in blocks])
-    below = F.size(F.filter(lasts, lambda e: e < key))
-    inside = F.size(F.filter(F.slice(F.array(*edges), F.least(below, F.lit(len(blocks) - 1)) * BLOCK + 1, BLOCK),
-                             lambda e: e < key))
-    # every block below (the last may be partial): all edges are below the key
-    return F.when(below == len(blocks), F.lit(len(edges))).otherwise(below * BLOCK + inside)
-
-
-def choose_buckets(n: int, parallelism: int) -> int:
-    """At least one bucket per shuffle partition, and one per ~TARGET_BUCKET_ROWS
-    rows as data grows (so no task orders more than that), capped at MAX_BUCKETS."""
-    return int(max(1, min(MAX_BUCKETS, max(parallelism, math.ceil(n / TARGET_BUCKET_ROWS)))))
-
-
 def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_col: str = "_rank",
-                   groups_bound: int | None = None, n_buckets: int | None = None,
-                   n_rows: int | None = None) -> DataFrame:
+                   totals: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order`` within each ``by`` group)
-    and, for every ``name -> column`` in ``sums``, the inclusive running sum ``name``.
+    and, for every ``name -> column`` in ``sums``, the inclusive running sum ``name``;
+    with ``totals`` also the whole group's values as ``<name>_total``.
 
-    Row order must be total (include a unique tie-breaker) for ranks to be
+    Nulls add nothing; a group of nulls only has null sums. Row order must be total (include a unique tie-breaker) for ranks to be
     deterministic; running sums over ties follow the same order.
     """
-    sums = sums or {}
-    by = list(by)
-    spark = df.sparkSession
-    key = sort_key(order, by)
-    keyed = df.withColumn("_okey", key)
-    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    head = None
-    if n_rows is None or n_rows <= SMALL_INPUT_ROWS:
-        # a small input is its own sample: at most SMALL_INPUT_ROWS keys, one job
-        head = [r["_okey"] for r in keyed.select("_okey").limit(SMALL_INPUT_ROWS + 1).collect()]
-        if len(head) > SMALL_INPUT_ROWS:
-            head = None
-    n = len(head) if head is not None else (n_rows if n_rows is not None else keyed.count())
-    nb = n_buckets or choose_buckets(n, parallelism)
-    edges = _edges_from(head, nb) if head is not None else _bucket_edges(keyed, n, nb)
-    if edges:
-        key_type = keyed.schema["_okey"].dataType
-        bucket = _bucket_of(F.col("_okey"), [_literal_struct(e, key_type) for e in edges])
-    else:
-        bucket = F.lit(0)
-    rows = keyed.withColumn("_bucket", bucket.cast("int"))
+    sums, by = sums or {}, list(by)
+    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    keyed = written(df.select("*", sort_key(order, by).alias("_okey"),
+                              *[c.alias(f"_add_{name}") for name, c in sums.items()]), "ordered_input")
+    buckets = max(1, parallelism, math.ceil(keyed.count() / bucket_rows))
+    rows = written(keyed.repartitionByRange(buckets, "_okey").withColumn("_bucket", F.spark_partition_id()),
+                   "ordered_buckets")
     part = [*by, "_bucket"]
-    w = Window.partitionBy(*part).orderBy("_okey")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.select(
-        "*",
-        F.row_number().over(w).alias("_lrank"),
-        *[F.sum(c).over(running).alias(f"_run_{name}") for name, c in sums.items()],
-    )
-    tot = local.groupBy(*part).agg(
-        F.max("_lrank").alias("_cnt"),
-        *[F.max_by(f"_run_{name}", "_lrank").alias(f"_tot_{name}") for name in sums],
-    )
-    wb = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(
-        *part,
-        F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).alias("_off_cnt"),
-        *[F.sum(f"_tot_{name}").over(wb).alias(f"_off_{name}") for name in sums],
-    )
-    bounded = not by or (groups_bound is not None and len(edges) + groups_bound <= BROADCAST_ROWS)
-    off = F.broadcast(off) if bounded else off
-    joined = local.join(off, on=part, how="inner")
-    out_cols = [c for c in df.columns]
-    result = joined.select(
-        *out_cols,
-        (F.col("_off_cnt") + F.col("_lrank")).alias(rank_col),
-        *[(F.coalesce(F.col(f"_off_{name}"), F.lit(0).cast(local.schema[f"_run_{name}"].dataType))
-           + F.col(f"_run_{name}")).alias(name) for name in sums],
-    )
-    return result
+    per = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_in"), *[F.sum(f"_add_{n}").alias(f"_in_{n}") for n in sums])
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    named = {rank_col: "_in", **{n: f"_in_{n}" for n in sums}}
+    # one row per bucket and group; its size is known when the join below is planned
+    offsets = written(per.select(
+        *part, *[F.coalesce(F.sum(c).over(before), F.sum(c).over(whole) * 0).alias(f"_off_{n}") for n, c in named.items()],
+        *[F.sum(c).over(whole).alias(f"{n}_total") for n, c in named.items() if totals]), "ordered_offsets")
+    local = Window.partitionBy(*part).orderBy("_okey")
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = rows.select("*", F.row_number().over(local).alias("_nth"),
+                         *[F.sum(f"_add_{n}").over(running).alias(f"_run_{n}") for n in sums])
+    return ranked.join(offsets, part).select(
+        *df.columns, (F.col(f"_off_{rank_col}") + F.col("_nth")).alias(rank_col),
+        *[F.coalesce(F.col(f"_off_{n}") + F.col(f"_run_{n}"), F.col(f"_off_{n}")).alias(n) for n in sums],
+        *[F.col(f"{n}_total") for n in named if totals])
 
 
 def lerp(a: Column, b: Column, t: Column) -> Column:
@@ -166,7 +84,7 @@ def lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - diff * (F.lit(1.0) - t)).otherwise(a + diff * t)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=(), groups_bound: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy/pandas default) per ``by`` group.
 
     Values are first collapsed to (value, count), so a hot value is one row; the
@@ -174,37 +92,30 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=(), groups_bound: int |
     rows that hold a target index survive. Output: (*by, q_index, q, quantile).
     """
     by = list(by)
-    probs = [float(p) for p in probs]
     vals = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
-    pref = ordered_prefix(vals, [(value, True)], sums={"_end": F.col("_c")}, by=by,
-                          rank_col="_vrank", groups_bound=groups_bound)
-    ranged = pref.select(*by, F.col(value).cast("double").alias("_v"),
-                         (F.col("_end") - F.col("_c")).alias("_start"), (F.col("_end") - 1).alias("_last"))
-
-    def targets_for(n: Column) -> Column:
-        items = []
-        for i, p in enumerate(probs):
-            h = (n - 1).cast("double") * F.lit(p)
-            lo = F.floor(h).cast("long")
-            items.append(F.struct(F.lit(i).alias("i"), F.lit(p).alias("q"), h.alias("h"), lo.alias("lo"),
-                                  F.least(lo + 1, n - 1).alias("hi")))
-        return F.array(*items)
-
-    if by:
-        sizes = vals.groupBy(*by).agg(F.sum("_c").alias("_n"))
-        sizes = sizes.select(*by, targets_for(F.col("_n")).alias("_targets"))
-        small = groups_bound is not None and groups_bound <= BROADCAST_ROWS
-        with_t = ranged.join(F.broadcast(sizes) if small else sizes, on=by, how="inner")
-    else:
-        n = vals.agg(F.sum("_c")).first()[0] or 0
-        with_t = ranged.withColumn("_targets", targets_for(F.lit(n).cast("long")))
+    return counted_quantiles(vals, value, "_c", probs, by)
+
+
+def counted_quantiles(vals: DataFrame, value: str, count: str, probs, by=()) -> DataFrame:
+    """``exact_quantiles`` of distinct non-null values that occur ``count`` times."""
+    by, probs = list(by), [float(p) for p in probs]
+    pref = ordered_prefix(vals.select(*by, value, count), [(value, True)], sums={"_end": F.col(count)}, by=by,
+                          rank_col="_vrank", totals=True)
+    ranged = pref.select(*by, F.col(value).cast("double").alias("_v"), F.col("_end_total").alias("_n"),
+                         (F.col("_end") - F.col(count)).alias("_start"), (F.col("_end") - 1).alias("_last"))
+    items = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1).cast("double") * F.lit(p)
+        lo = F.floor(h).cast("long")
+        items.append(F.struct(F.lit(i).alias("i"), F.lit(p).alias("q"), h.alias("h"), lo.alias("lo"),
+                              F.least(lo + 1, F.col("_n") - 1).alias("hi")))
 
     def covers(idx):
         return (idx >= F.col("_start")) & (idx <= F.col("_last"))
 
-    hits = with_t.select(*by, "_v", "_start", "_last", F.explode(F.filter(
-        "_targets", lambda t: covers(t["lo"]) | covers(t["hi"]))).alias("_t"))
+    hits = ranged.select(*by, "_v", "_start", "_last", F.explode(F.filter(
+        F.array(*items), lambda t: covers(t["lo"]) | covers(t["hi"]))).alias("_t"))
     hits = hits.select(*by, F.col("_t.i").alias("q_index"), F.col("_t.q").alias("q"),
                        F.col("_t.h").alias("_h"), F.col("_t.lo").alias("_lo"),
                        F.when(covers(F.col("_t.lo")), F.col("_v")).alias("_a"),

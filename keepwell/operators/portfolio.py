@@ -14,6 +14,7 @@ from keepwell.config import EconomicScenario, SnapshotParams
 from keepwell.functions.columns import KNOWN_SEGMENTS
 from keepwell.operators import decisioning as dec
 from keepwell.operators.ordered import ordered_prefix
+from keepwell.scratch import written
 
 # ---- fixed values: feature-row contract (field, minimum, maximum, nullable) --------
 CONTRACT_RANGES = (
@@ -70,6 +71,9 @@ def contract_violations(df: DataFrame) -> DataFrame:
             checks.append(F.when(c.isNull(), F.lit(f"{name} is required"))
                           .when(bad_range, F.lit(f"{name} outside [{lo}, {hi}]")))
     for name, lo, hi in CONTRACT_TEXT:
+        if name not in df.columns:
+            checks.append(F.lit(f"{name} is missing"))
+            continue
         c = F.col(name)
         checks.append(F.when(c.isNull() | (F.length(c) < lo) | (F.length(c) > hi),
                              F.lit(f"{name} length outside [{lo}, {hi}]")))
@@ -77,6 +81,20 @@ def contract_violations(df: DataFrame) -> DataFrame:
     return df.withColumns({"violations": F.array_join(arr, ","), "is_valid": F.size(arr) == 0})
 
 
+CONTRACT_FIELDS = frozenset([name for name, *_ in CONTRACT_RANGES] + [name for name, *_ in CONTRACT_TEXT])
+
+
+def split_by_contract(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet the feature contract, quarantined rows with their ``violations``)."""
+    checked = contract_violations(df)
+    return checked.where("is_valid").drop("violations", "is_valid"), checked.where("not is_valid").drop("is_valid")
+
+
+def unknown_fields(df: DataFrame, allowed=()) -> list[str]:
+    """Columns that neither the contract nor ``allowed`` names."""
+    return sorted(set(df.columns) - CONTRACT_FIELDS - set(allowed))
+
+
 def row_warnings(df: DataFrame, known_segments=KNOWN_SEGMENTS) -> DataFrame:
     """Non-blocking warnings per row, ' | '-joined, with their count; a segment is
     unseen when it is not among the model's known segments."""
@@ -117,18 +135,20 @@ def assert_unique_ids(df: DataFrame, key: str = "customer_id") -> None:
 
 
 def batch_decisions(df: DataFrame, scenario: EconomicScenario, params: SnapshotParams,
-                    check_unique: bool = True) -> tuple[DataFrame, DataFrame]:
+                    check_unique: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rank the operationally eligible rows with the value policy; ineligible rows
-    follow, numbered after the ranked ones in customer-id order. Returns
-    (decisions, one-row campaign summary)."""
+    follow, numbered after the ranked ones in customer-id order. Rows that break the
+    feature contract are not decided. Returns (decisions, one-row campaign summary,
+    quarantined rows)."""
     if check_unique:
         assert_unique_ids(df)
-    tagged = df.withColumn("_ops", operational_reasons(df, params))
+    valid, quarantine = split_by_contract(df)
+    tagged = written(valid.withColumn("_ops", operational_reasons(valid, params)), "portfolio")
     eligible = tagged.filter(F.size("_ops") == 0).drop("_ops")
     n_eligible = eligible.count()
     if n_eligible == 0:
-        raise PortfolioError("Portfolio contains no operationally eligible active repeat customers")
-    ranked, summary, _cap = dec.apply_policy(eligible, scenario, "expected_value", params.history_days)
+        raise PortfolioError("no valid row of the portfolio is operationally eligible")
+    ranked, summary = dec.apply_policy(eligible, scenario, "expected_value", params.history_days)
     ranked_out = ranked.select(
         "customer_id", "churn_probability", F.col("estimated_margin_at_risk").alias("margin_at_risk"),
         "expected_net_value", "economic_eligibility", "recommended_action", "policy_rank",
@@ -141,4 +161,4 @@ def batch_decisions(df: DataFrame, scenario: EconomicScenario, params: SnapshotP
         F.lit("do_not_contact").alias("recommended_action"),
         (F.col("_ord") + F.lit(n_eligible)).alias("policy_rank"),
         F.concat(F.lit(REASON_OPERATIONAL), F.array_join("_ops", ",")).alias("reason"))
-    return ranked_out.unionByName(inel_out), summary
+    return ranked_out.unionByName(inel_out), summary, quarantine

@@ -6,24 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.operators.ordered import ordered_prefix
+from keepwell.scratch import written
 
 
 def pct_rank(df: DataFrame, col: str, out: str, ascending: bool = True) -> DataFrame:
     """Average-tie percentile rank ``(below + (ties + 1) / 2) / n`` (nulls stay null).
 
-    Ties are collapsed before ordering (one row per distinct value), so a value
-    shared by a third of the rows is a single row in the ordered step; the rank
-    returns to the rows through an equi-join on the value.
+    Ties are collapsed before ordering (one row per distinct value). The ranks are
+    written before they join the rows on the value, so a value that a third of the
+    rows share is split by the planner's skew handling (or the ranks are broadcast).
     """
     val = F.col(col) if ascending else -F.col(col)
     keyed = df.withColumn("_pv", val)
     counts = keyed.filter(F.col("_pv").isNotNull()).groupBy("_pv").agg(F.count(F.lit(1)).alias("_ties"))
-    ranked = ordered_prefix(counts, [("_pv", True)], sums={"_upto": F.col("_ties")}, rank_col="_vr")
-    total_n = counts.agg(F.sum("_ties").alias("_n")).first()["_n"] or 0
-    pct = ranked.select(
+    ranked = ordered_prefix(counts, [("_pv", True)], sums={"_upto": F.col("_ties")}, rank_col="_vr", totals=True)
+    pct = written(ranked.select(
         "_pv",
         (((F.col("_upto") - F.col("_ties")).cast("double") + (F.col("_ties") + 1).cast("double") / F.lit(2.0))
-         / F.lit(float(total_n))).alias(out))
+         / F.col("_upto_total").cast("double")).alias(out)), "percentiles")
     return keyed.join(pct, on="_pv", how="left").drop("_pv")
 
 

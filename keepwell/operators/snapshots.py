@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from keepwell.config import SnapshotParams
 from keepwell.functions.columns import (
+    beside,
     days_between,
     epoch_micros,
     SEGMENT_OTHER,
@@ -31,10 +32,15 @@ from keepwell.functions.columns import (
     micros_between,
     MICROS_PER_DAY,
 )
-from keepwell.schemas import NUMERIC_FEATURES
+from keepwell.schemas import NUMERIC_FEATURES, require_columns
+from keepwell.scratch import written
 
 KEYS = ["split", "cutoff_date", "customer_id"]
-MONEY = "decimal(18,4)"
+#: What the integrity rules read.
+LINEAGE_COLUMNS = ["feature_max_event_date", "label_min_event_date", "label_window_start", "label_window_end"]
+#: Line values are multiplied as doubles and summed as decimals of this type, so sums do not
+#: depend on order; a value of 1e26 or more has no place in it and counts as unknown.
+MONEY = "decimal(38,12)"
 
 # ---- fixed values: eligibility criteria names, in evaluation order ----------------
 CRITERIA = (
@@ -107,8 +113,22 @@ def _by_cutoff(plan: list[dict], field: str) -> Column:
     return expr.otherwise(F.lit(None))
 
 
-_LINE_FIELDS = ["quantity", "unit_price", "description", "country", "invoice_no", "stock_code",
-                "invoice_date", "customer_id", "is_cancellation"]
+#: Equal for all lines of an event, as its id is a hash of them.
+_EVENT_FIELDS = ["event_id", "invoice_no", "stock_code", "invoice_date", "customer_id"]
+#: What tells copies apart, in order of the tie-break.
+_LINE_FIELDS = ["quantity", "unit_price", "description", "country", "is_cancellation"]
+
+
+def within(tx: DataFrame, after: dt.datetime | None, until: dt.datetime) -> DataFrame:
+    """Lines in (``after``, ``until``]. All lines of an event have its timestamp, so this may
+    come before deduplication, where it reaches the scan."""
+    rows = tx.filter(F.col("invoice_date") <= ts_lit(until))
+    return rows if after is None else rows.filter(F.col("invoice_date") > ts_lit(after))
+
+
+def used_lines(tx: DataFrame, plan: list[dict]) -> DataFrame:
+    """The lines that lie in any feature or label window of ``plan``."""
+    return within(tx, min(c["feature_start"] for c in plan), max(c["label_end"] for c in plan))
 
 
 def deduplicated_events(tx: DataFrame) -> DataFrame:
@@ -117,19 +137,19 @@ def deduplicated_events(tx: DataFrame) -> DataFrame:
     positive line or null. Both are decomposable, so copies pre-aggregate map-side."""
     line = F.struct(*_LINE_FIELDS)
     return (tx.filter(F.col("customer_id").isNotNull())
-            .groupBy("event_id")
+            .groupBy(*_EVENT_FIELDS)
             .agg(F.min(line).alias("first"),
                  F.min(F.when(is_positive_purchase(), line)).alias("first_positive")))
 
 
 def feature_lines(events: DataFrame) -> DataFrame:
     """Deduplicated lines (feature rule: dedup first, filter positives later)."""
-    return events.select("event_id", "first.*")
+    return events.select(*_EVENT_FIELDS, "first.*")
 
 
 def positive_events(events: DataFrame) -> DataFrame:
     """Events with at least one positive line, carried by their first positive line."""
-    return events.filter(F.col("first_positive").isNotNull()).select("event_id", "first_positive.*")
+    return events.filter(F.col("first_positive").isNotNull()).select(*_EVENT_FIELDS, "first_positive.*")
 
 
 def _explode_windows(lines: DataFrame, plan: list[dict], side: str) -> DataFrame:
@@ -178,10 +198,10 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
                       segment_map: dict | None = None) -> DataFrame:
     """Per (split, cutoff, customer) feature aggregates over ``(cutoff-history, cutoff]``."""
     plan = plan or cutoff_plan(params)
-    events = events if events is not None else deduplicated_events(tx)
+    events = events if events is not None else deduplicated_events(used_lines(tx, plan))
     feat = _explode_windows(feature_lines(events), plan, "feature")
     pos = is_positive_purchase()
-    value = F.col("quantity").cast(MONEY) * F.col("unit_price").cast(MONEY)
+    value = (F.col("quantity") * F.col("unit_price")).try_cast(MONEY)
     t = F.col("invoice_date")
     recent = t > F.col("_c.recent_start")
     hist = (t > F.col("_c.historical_start")) & (t <= F.col("_c.recent_start"))
@@ -190,17 +210,17 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
         F.count_if(F.col("is_cancellation")).alias("n_cancel"),
         F.max(F.struct("invoice_date", "country")).alias("latest"),
         F.count_if(pos).alias("n_pos"),
-        F.sum(F.when(pos, value)).alias("value"),
+        F.try_sum(F.when(pos, value)).alias("value"),
         F.sum(F.when(pos, F.col("quantity"))).alias("qty"),
         F.min(F.when(pos, t)).alias("first_t"),
         F.max(F.when(pos, t)).alias("last_t"),
-        F.sum(F.when(pos & recent, value)).alias("recent_value"),
+        F.try_sum(F.when(pos & recent, value)).alias("recent_value"),
         F.max(pos & recent).alias("in_recent"),
-        F.sum(F.when(pos & hist, value)).alias("hist_value"),
+        F.try_sum(F.when(pos & hist, value)).alias("hist_value"),
         F.max(pos & hist).alias("in_hist"),
     )
     cust = inv.groupBy(*KEYS).agg(
-        F.sum("value").alias("_monetary"),
+        F.try_sum("value").alias("_monetary"),
         F.sum("qty").alias("quantity_purchased"),
         F.count_if(F.col("n_pos") > 0).alias("number_of_invoices"),
         F.min("first_t").alias("first_purchase_date"),
@@ -208,9 +228,9 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
         F.sum("n_pos").alias("feature_event_count"),
         (F.sum("n_cancel") / F.sum("n_lines")).alias("cancellation_rate"),
         F.max("latest").getField("country").alias("_country"),
-        F.sum("recent_value").alias("_recent"),
+        F.try_sum("recent_value").alias("_recent"),
         F.count_if("in_recent").alias("recent_invoice_count"),
-        F.sum("hist_value").alias("_hist"),
+        F.try_sum("hist_value").alias("_hist"),
         F.count_if("in_hist").alias("historical_invoice_count"),
     ).filter(F.col("number_of_invoices") > 0)
 
@@ -262,7 +282,8 @@ def future_labels(tx: DataFrame, params: SnapshotParams, plan: list[dict] | None
     """Label lineage per (split, cutoff, customer) over ``(cutoff, cutoff+horizon]``:
     positive purchases, not deduplicated (distinct events only)."""
     plan = plan or cutoff_plan(params)
-    events = events if events is not None else deduplicated_events(tx)
+    if events is None:
+        events = deduplicated_events(within(tx, min(c["cutoff"] for c in plan), max(c["label_end"] for c in plan)))
     lab = _explode_windows(positive_events(events), plan, "label")
     return lab.groupBy(*KEYS).agg(
         F.min("invoice_date").alias("label_min_event_date"),
@@ -314,7 +335,7 @@ def snapshot_candidates(tx: DataFrame, params: SnapshotParams, bounds=None, buck
     params.validate()
     bounds = bounds if bounds is not None else transaction_bounds(tx)
     plan = cutoff_plan(params, bounds, strict=strict)
-    events = deduplicated_events(tx)
+    events = deduplicated_events(used_lines(tx, plan))
     feats = customer_features(tx, params, plan, events, bucket_days, segment_map)
     labels = future_labels(tx, params, plan, events)
     snap = feats.join(labels, KEYS, "left")
@@ -364,6 +385,7 @@ def leakage_violations(snapshots: DataFrame, tx: DataFrame, params: SnapshotPara
     """Integrity rules as violation counts (all must be 0): feature after cutoff,
     label at/before cutoff, label before window, feature/label event overlap per
     cutoff (over all lines), and split order over every ordered pair of splits."""
+    require_columns(snapshots, [*KEYS, *LINEAGE_COLUMNS], "snapshot")
     plan = cutoff_plan(params)
     rules = snapshots.agg(
         F.count_if(F.col("feature_max_event_date") > F.col("cutoff_date")).alias("feature_after_cutoff"),
@@ -372,7 +394,7 @@ def leakage_violations(snapshots: DataFrame, tx: DataFrame, params: SnapshotPara
     )
     # an event overlaps when it has a line on both sides of a cutoff; flags per
     # (cutoff, event) are a decomposable max, so a huge copy group stays cheap
-    lines = tx.select("event_id", "invoice_date")
+    lines = used_lines(tx, plan).select("event_id", "invoice_date")
     t = F.col("invoice_date")
     sides = lines.withColumn("_c", F.explode(F.filter(
         _cutoff_array(plan), lambda c: (t > c["feature_start"]) & (t <= c["label_end"]))))
@@ -386,10 +408,7 @@ def leakage_violations(snapshots: DataFrame, tx: DataFrame, params: SnapshotPara
     # ≤ 3 rows per side: pairs of splits, an inequality join on a bounded table
     pairs = a.join(F.broadcast(b), F.col("_ea") < F.col("_lb")) \
         .agg(F.count_if(F.col("_end") >= F.col("_start")).alias("split_order_violations"))
-    def one(d):
-        return d.withColumn("_k", F.lit(1))
-    # three one-row aggregates side by side
-    return one(rules).join(one(overlap), "_k").join(one(pairs), "_k").drop("_k")
+    return beside(rules, overlap, pairs)
 
 
 def assert_point_in_time(snapshots: DataFrame, tx: DataFrame, params: SnapshotParams) -> None:
@@ -400,28 +419,27 @@ def assert_point_in_time(snapshots: DataFrame, tx: DataFrame, params: SnapshotPa
 
 
 def assert_eligibility(snapshots: DataFrame, params: SnapshotParams) -> None:
+    require_columns(snapshots, [*KEYS, "is_eligible", "recency_days", "number_of_invoices", *LINEAGE_COLUMNS], "snapshot")
     row = snapshots.agg(
-        F.count_if(~F.col("is_eligible")).alias("ineligible"),
-        F.count_if(F.col("recency_days") > params.max_recency_days).alias("recency"),
-        F.count_if(F.col("number_of_invoices") < params.minimum_invoices).alias("invoices"),
-    ).first()
-    if row["ineligible"]:
-        raise ValueError("Ineligible customers are present in the snapshot output")
-    if row["recency"]:
-        raise ValueError("A snapshot exceeds the configured recency ceiling")
-    if row["invoices"]:
-        raise ValueError("A snapshot has fewer invoices than the eligibility minimum")
+        F.count_if(~F.col("is_eligible")).alias("rows that are not eligible"),
+        F.count_if(F.col("recency_days") > params.max_recency_days).alias("rows above the recency ceiling"),
+        F.count_if(F.col("number_of_invoices") < params.minimum_invoices).alias("rows with too few invoices"),
+    ).first().asDict()
+    found = ", ".join(f"{n} {what}" for what, n in row.items() if n)
+    if found:
+        raise ValueError(f"the snapshot holds {found}")
 
 
 def build_snapshots(tx: DataFrame, params: SnapshotParams, check: bool = True,
                     bucket_days: float = 1.0, segment_map: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Eligible snapshots of every cutoff plus the per-cutoff eligibility summary.
 
-    With ``check`` the gates run as scalar jobs: a cutoff without candidates or
-    without eligible customers raises, and so does any integrity violation.
+    Candidates are written once; with ``check`` the gates run over the written table: a
+    cutoff without candidates or without eligible customers raises, and so does any
+    integrity violation.
     """
-    candidates = snapshot_candidates(tx, params, bucket_days=bucket_days, segment_map=segment_map)
-    summary = eligibility_summary(candidates)
+    candidates = written(snapshot_candidates(tx, params, bucket_days=bucket_days, segment_map=segment_map), "candidates")
+    summary = written(eligibility_summary(candidates), "eligibility")
     snapshots = candidates.filter(F.col("is_eligible"))
     if check:
         seen = {(r["split"], r["cutoff_date"]): r for r in summary.collect()}  # ≤ one row per cutoff

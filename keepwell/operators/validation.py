@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.config import ValidationRules
+from keepwell.functions.columns import beside
 from keepwell.schemas import VALIDATION_REQUIRED, SchemaError, require_columns
 
 
@@ -47,9 +48,7 @@ def validation_summary(tx: DataFrame) -> DataFrame:
     customers = kept.select("customer_id").distinct().agg(F.count(F.lit(1)).alias("customers"))
     events = kept.select("event_id").distinct().agg(F.count(F.lit(1)).alias("_distinct_events"))
 
-    def one(d):
-        return d.withColumn("_k", F.lit(1))
-    row = one(plain).join(one(customers), "_k").join(one(events), "_k")
+    row = beside(plain, customers, events)
     return row.select(
         "all_rows", "rows", "customers",
         iso_text(F.col("_min_date")).alias("minimum_date"),
@@ -77,29 +76,23 @@ def validate_transactions(tx: DataFrame, rules: ValidationRules = ValidationRule
     if not isinstance(tx.schema["invoice_date"].dataType, (T.TimestampNTZType, T.TimestampType)):
         raise DataValidationError("invoice_date must be a timestamp column")
     row = validation_summary(tx).first().asDict()
-    if row["all_rows"] == 0:
-        raise DataValidationError("Transaction dataset is empty")
-    if row["_null_dates"]:
-        raise DataValidationError("invoice_date contains unparseable values")
-    if row["_null_numbers"]:
-        raise DataValidationError("quantity and unit_price must be numeric and non-missing")
-    if row["negative_price_rate"] > rules.negative_price_rate_max:
-        raise DataValidationError(
-            f"negative unit_price rate {row['negative_price_rate']:.2%} exceeds "
-            f"{rules.negative_price_rate_max:.1%}")
-    if row["rows"] == 0:
-        raise DataValidationError("No transactions have a usable customer identifier")
-    if row["duplicate_event_rate"] > rules.duplicate_rate_max:
-        raise DataValidationError(
-            f"Duplicate event rate {row['duplicate_event_rate']:.2%} exceeds {rules.duplicate_rate_max:.0%}")
+    # in this order: the first that holds is reported
+    blocking = (
+        (not row["all_rows"], "there are no transaction lines"),
+        (row["_null_dates"], f"{row['_null_dates']} lines have no readable invoice_date"),
+        (row["_null_numbers"], f"{row['_null_numbers']} lines have no numeric quantity or unit_price"),
+        ((row["negative_price_rate"] or 0) > rules.negative_price_rate_max,
+         f"negative unit_price on {row['negative_price_rate']} of all lines, {rules.negative_price_rate_max} are allowed"),
+        (not row["rows"], "no line names a customer"),
+        ((row["duplicate_event_rate"] or 0) > rules.duplicate_rate_max,
+         f"duplicate events are {row['duplicate_event_rate']} of the lines, {rules.duplicate_rate_max} are allowed"),
+    )
+    for holds, message in blocking:
+        if holds:
+            raise DataValidationError(message)
     return {k: row[k] for k in SUMMARY_COLUMNS}
 
 
-def duplicate_event_rate(tx: DataFrame) -> DataFrame:
-    """(rows − distinct event ids) / rows over usable customers."""
-    return validation_summary(tx).select("rows", "duplicate_event_rate")
-
-
 def transaction_eda(tx: DataFrame) -> DataFrame:
     """Rows, customers, first and last timestamp, cancellation rate (all lines)."""
     return tx.agg(

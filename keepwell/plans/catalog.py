@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams
+from keepwell.functions.columns import beside
 from keepwell.operators import decisioning as dec
 from keepwell.operators import drift
 from keepwell.operators import model
@@ -35,6 +36,8 @@ from keepwell.operators.snapshots import (
 )
 from keepwell.operators.validation import transaction_eda, validation_summary
 from keepwell.plans.stages import stage, stage_path
+from keepwell.schemas import NUMERIC_FEATURES
+from keepwell.sources.files import read_raw_transactions, write_csv
 from keepwell.streaming import jobs as streams
 from keepwell.sources.tables import events_transactions, nation_region_map, orders_transactions
 
@@ -159,8 +162,8 @@ def q_snapshots(spark, sf_dir):
 def q_event_snapshots(spark, sf_dir):
     snap = snapshot_candidates(event_transactions(spark, sf_dir), EVENTS_PARAMS)
     return present(snap.select(*KEYS, "recency_days", "number_of_invoices", "monetary_value",
-                               "purchase_regularity_days", "label_event_count", "churn", "is_eligible",
-                               "eligibility_reason"))
+                               "purchase_regularity_days", "geographic_segment", "label_event_count", "churn",
+                               "is_eligible", "eligibility_reason"))
 
 
 def q_eligibility_reasons(spark, sf_dir):
@@ -190,9 +193,9 @@ def q_snapshot_eda(spark, sf_dir):
     by = ["split", "cutoff_date"]
     base = snap.groupBy(*by).agg(F.count(F.lit(1)).alias("customers"),
                                  F.avg(F.col("churn").cast("double")).alias("churn_rate"))
-    med_r = exact_quantiles(snap, "recency_days", [0.5], by=by, groups_bound=64) \
+    med_r = exact_quantiles(snap, "recency_days", [0.5], by=by) \
         .select(*by, F.col("quantile").alias("median_recency_days"))
-    med_v = exact_quantiles(snap, "monetary_value", [0.5], by=by, groups_bound=64) \
+    med_v = exact_quantiles(snap, "monetary_value", [0.5], by=by) \
         .select(*by, F.col("quantile").alias("median_monetary_value"))
     return present(base.join(med_r, by).join(med_v, by))
 
@@ -249,7 +252,7 @@ def q_margin_and_value(spark, sf_dir):
 
 
 def q_campaign_capacity(spark, sf_dir):
-    _, summary, _ = dec.apply_policy(cohort(spark, sf_dir), SCENARIO, "expected_value", PARAMS.history_days)
+    _, summary = dec.apply_policy(cohort(spark, sf_dir), SCENARIO, "expected_value", PARAMS.history_days)
     return present(summary.select("customers", "budget_based_contact_capacity", "operations_based_contact_capacity",
                                   "economically_eligible_customers", "contact_capacity", "binding_constraint"))
 
@@ -318,12 +321,34 @@ def known_segments(spark, sf_dir) -> list[str]:
     return sorted(set(nation_region_map(spark, sf_dir).values()) | {"Rest of world"})
 
 
+def strained_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The portfolio with every kind of contract violation: by customer number modulo
+    ``STRAIN``, one field is too high, null, too low, empty or too long."""
+    df = portfolio(spark, sf_dir)
+    m = F.col("customer_id").cast("long") % STRAIN
+    changed = {}
+    for i, (name, lo, hi, _) in enumerate(pf.CONTRACT_RANGES):
+        kind = df.schema[name].dataType
+        changed[name] = (F.when(m == i, F.lit(hi + 1).cast(kind)).when(m == 20 + i, F.lit(None).cast(kind))
+                         .when(m == 40 + i, F.lit(lo - 1).cast(kind)).otherwise(F.col(name)))
+    changed["geographic_segment"] = (F.when(m == 57, F.lit("")).when(m == 58, F.lit(None).cast("string"))
+                                     .when(m == 59, F.lit("x" * 65)).otherwise(F.col("geographic_segment")))
+    return df.withColumns(changed)
+
+
+STRAIN = 300
+
+
 def q_contract_violations(spark, sf_dir):
-    return present(pf.contract_violations(portfolio(spark, sf_dir)).select("customer_id", "violations", "is_valid"))
+    return present(pf.contract_violations(strained_portfolio(spark, sf_dir)).select("customer_id", "violations", "is_valid"))
+
+
+def q_quarantined_rows(spark, sf_dir):
+    return present(pf.split_by_contract(strained_portfolio(spark, sf_dir))[1].select("customer_id", "violations"))
 
 
 def q_row_warnings(spark, sf_dir):
-    out = pf.row_warnings(portfolio(spark, sf_dir), known_segments(spark, sf_dir))
+    out = pf.row_warnings(strained_portfolio(spark, sf_dir), known_segments(spark, sf_dir))
     return present(out.select("customer_id", "warning_count", "warnings"))
 
 
@@ -332,7 +357,7 @@ def q_decision_reasons(spark, sf_dir):
 
 
 def q_batch_decisions(spark, sf_dir):
-    return present(pf.batch_decisions(portfolio(spark, sf_dir), SCENARIO, PARAMS)[0])
+    return present(pf.batch_decisions(strained_portfolio(spark, sf_dir), SCENARIO, PARAMS)[0])
 
 
 _MODELS: dict = {}
@@ -365,41 +390,83 @@ def q_permutation_importance(spark, sf_dir):
 
 
 def q_matured_performance(spark, sf_dir):
-    """Performance of the fitted model on the test cohort once labels matured."""
+    """Performance of the heuristic on the test cohort once labels matured."""
+    perf = ev.matured_performance(cohort(spark, sf_dir), BUDGET_FRACTION)
+    return present(perf.select("roc_auc", "average_precision", "brier_score", "recall_at_budget",
+                               "precision_at_budget", "lift_at_budget"))
+
+
+def q_fitted_performance(spark, sf_dir):
+    """The same of the fitted model."""
     perf = ev.matured_performance(trained(spark, sf_dir)[2], BUDGET_FRACTION)
     return present(perf.select("roc_auc", "average_precision", "brier_score", "recall_at_budget",
                                "precision_at_budget", "lift_at_budget"))
 
 
+def _train(spark, sf_dir):
+    return snapshots(spark, sf_dir).filter(F.col("split") == "train")
+
+
+def q_train_medians(spark, sf_dir):
+    long = drift.numeric_long(_train(spark, sf_dir), NUMERIC_FEATURES)
+    return present(exact_quantiles(long, "value", [0.5], by=["column_name"])
+                   .select("column_name", F.col("quantile").alias("median")))
+
+
+def q_segment_mode(spark, sf_dir):
+    return present(_train(spark, sf_dir).agg(F.mode(F.col(model.SEGMENT), deterministic=True).alias("segment")))
+
+
+def q_class_weights(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    return present(train.withColumn("weight", model.class_weights(train)).groupBy("churn").agg(
+        F.max("weight").alias("weight"), F.count(F.lit(1)).alias("rows")))
+
+
+#: Calibration with given scalars, so that the formula has an exact answer.
+PLATT = (0.8, -0.25)
+
+
+def q_platt_apply(spark, sf_dir):
+    return present(cohort(spark, sf_dir).select(*KEYS, model.calibrated(F.col("churn_probability"), *PLATT).alias("calibrated")))
+
+
 def q_stream_transactions(spark, sf_dir):
     """The events table replayed as a stream, normalized and deduplicated."""
     # a glob path: the file source treats a plain file path as its own base directory
     src = spark.readStream.schema(streams.EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
-    root = streams.stream_root(spark, f"transactions_{abs(hash(sf_dir))}")
-    streams.run_available(streams.transaction_stream(src), f"{root}/out", f"{root}/ckpt")
-    return present(spark.read.parquet(f"{root}/out"))
+    root = _stream_root(spark, sf_dir, "transactions")
+    streams.run_transactions(src, f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.parquet(f"{root}/out/lines").drop("batch", "_event_time"))
+
+
+def _stream_root(spark, sf_dir, name):
+    """Stage tables belong to an application, so streams over them do too."""
+    return stage_path(spark, sf_dir, f"stream_{name}")
+
+
+def _scored_stream(spark, sf_dir):
+    cand = candidates(spark, sf_dir)
+    return spark.readStream.schema(cand.schema).parquet(stage_path(spark, sf_dir, "candidates")) \
+        .filter(F.col("split") == "test")
 
 
 def q_stream_scoring(spark, sf_dir):
     """Test-cutoff candidates streamed through the fitted model, contract and economics."""
     bundle = trained(spark, sf_dir)[0]
-    cand = candidates(spark, sf_dir)
-    src = spark.readStream.schema(cand.schema).parquet(stage_path(spark, sf_dir, "candidates")) \
-        .filter(F.col("split") == "test")
-    root = streams.stream_root(spark, f"scoring_{abs(hash(sf_dir))}")
-    out = streams.scoring_stream(src, bundle, SCENARIO, PARAMS, known_segments(spark, sf_dir))
+    root = _stream_root(spark, sf_dir, "scoring")
+    out = streams.scoring_stream(_scored_stream(spark, sf_dir), bundle, SCENARIO, PARAMS, known_segments(spark, sf_dir))
     streams.run_available(out, f"{root}/out", f"{root}/ckpt")
     return present(spark.read.parquet(f"{root}/out"))
 
 
 def q_stream_drift(spark, sf_dir):
-    """The scored test cohort as a stream, drift alerts per micro-batch."""
-    ref, cur = _drift_frames(spark, sf_dir)
+    """The shifted test cohort as a stream, drift alerts per micro-batch against a saved baseline."""
+    cur = cohort(spark, sf_dir, "test")
     src = spark.readStream.schema(cur.schema).parquet(stage_path(spark, sf_dir, "cohort_test"))
-    root = streams.stream_root(spark, f"drift_{abs(hash(sf_dir))}")
-    streams.drift_per_batch(src, ref, f"{root}/out", f"{root}/ckpt")
-    return present(spark.read.schema("alert_order int, severity string, column_name string, issue string, "
-                                      "value double, detail string, batch_id long").parquet(f"{root}/out"))
+    root = _stream_root(spark, sf_dir, "drift")
+    streams.drift_per_batch(shifted(src), baseline(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.schema(drift.ALERT_SCHEMA + ", batch_id long").parquet(f"{root}/out"))
 
 
 def q_sensitivity_range(spark, sf_dir):
@@ -421,13 +488,10 @@ def q_snapshot_facts(spark, sf_dir):
 def q_policy_lift_comparison(spark, sf_dir):
     """Report input: value policy vs churn policy lift and value, side by side."""
     c = cohort(spark, sf_dir)
-    churn = dec.apply_policy(c, SCENARIO, "churn_probability", PARAMS.history_days)[1]
-    value = dec.apply_policy(c, SCENARIO, "expected_value", PARAMS.history_days)[1]
-    one = F.lit(1)
-    return present(churn.select(one.alias("_k"), F.col("lift_at_budget").alias("churn_policy_lift"),
-                                F.col("expected_net_value").alias("churn_policy_value"))
-                   .join(value.select(one.alias("_k"), F.col("lift_at_budget").alias("value_policy_lift"),
-                                      F.col("expected_net_value").alias("value_policy_value")), "_k").drop("_k"))
+    churn, value = (dec.apply_policy(c, SCENARIO, p, PARAMS.history_days)[1].select(
+        F.col("lift_at_budget").alias(f"{name}_policy_lift"), F.col("expected_net_value").alias(f"{name}_policy_value"))
+        for p, name in (("churn_probability", "churn"), ("expected_value", "value")))
+    return present(beside(churn, value))
 
 
 def q_policy_table(spark, sf_dir):
@@ -438,40 +502,123 @@ def q_policy_table(spark, sf_dir):
     return present(dec.policy_table(rows[0].unionByName(rows[1])))
 
 
-def _drift_frames(spark, sf_dir):
-    return cohort(spark, sf_dir, "train"), cohort(spark, sf_dir, "test")
+_BASELINES: dict = {}
+
+
+def baseline(spark, sf_dir) -> drift.Baseline:
+    """The train cohort's baseline, saved once and loaded by every query that compares with it."""
+    path = stage_path(spark, sf_dir, "drift_baseline")
+    if path not in _BASELINES:
+        drift.save_baseline(cohort(spark, sf_dir, "train"), path)
+        _BASELINES[path] = drift.load_baseline(spark, path)
+    return _BASELINES[path]
+
+
+def shifted(df: DataFrame) -> DataFrame:
+    """A cohort with every kind of drift: higher money, missing regularity, text among
+    quantities, a segment the reference does not have, and a column that is gone."""
+    last = F.substring("customer_id", -1, 1)
+    return df.withColumns({
+        "monetary_value": F.col("monetary_value") * 3,
+        "purchase_regularity_days": F.when(last.isin("1", "3", "5", "7", "9"), F.col("purchase_regularity_days")),
+        "quantity_purchased": F.when(last == "7", F.lit("n/a")).otherwise(F.col("quantity_purchased").cast("string")),
+        "geographic_segment": F.when(F.col("geographic_segment") == "ASIA", F.lit("OCEANIA")).otherwise(F.col("geographic_segment")),
+    }).drop("spend_change_ratio")
+
+
+_BATCHES: dict = {}
+
+
+def _current(spark, sf_dir) -> drift.Batch:
+    key = stage_path(spark, sf_dir, "shifted")
+    if key not in _BATCHES:
+        _BATCHES[key] = drift.count_batch(shifted(cohort(spark, sf_dir, "test")))
+    return _BATCHES[key]
 
 
 def q_baseline_stats(spark, sf_dir):
-    ref, _ = _drift_frames(spark, sf_dir)
-    return present(drift.baseline_stats(ref))
+    return present(drift.baseline_stats(baseline(spark, sf_dir)))
 
 
 def q_baseline_quantiles(spark, sf_dir):
-    ref, _ = _drift_frames(spark, sf_dir)
-    return present(drift.baseline_quantiles(ref))
+    return present(drift.baseline_quantiles(baseline(spark, sf_dir)))
+
+
+def q_baseline_categories(spark, sf_dir):
+    return present(baseline(spark, sf_dir).categories)
 
 
 def q_psi(spark, sf_dir):
-    return present(drift.psi(*_drift_frames(spark, sf_dir)))
+    return present(drift.psi(baseline(spark, sf_dir), _current(spark, sf_dir)))
 
 
 def q_ks(spark, sf_dir):
-    return present(drift.ks_statistic(*_drift_frames(spark, sf_dir)))
+    return present(drift.ks_statistic(baseline(spark, sf_dir), _current(spark, sf_dir)))
 
 
 def q_range_and_missing(spark, sf_dir):
-    ref, cur = _drift_frames(spark, sf_dir)
-    return present(drift.range_and_missing(drift.baseline_stats(ref), cur))
+    return present(drift.range_and_missing(baseline(spark, sf_dir), _current(spark, sf_dir)))
 
 
 def q_new_categories(spark, sf_dir):
-    return present(drift.new_categories(*_drift_frames(spark, sf_dir)))
+    return present(drift.new_categories(baseline(spark, sf_dir), _current(spark, sf_dir)))
 
 
 def q_drift_alerts(spark, sf_dir):
-    a = drift.drift_alerts(*_drift_frames(spark, sf_dir))
-    return present(a.withColumn("alert_order", F.col("alert_order").cast("long")))
+    return present(drift.drift_alerts(baseline(spark, sf_dir), _current(spark, sf_dir)))
+
+
+def q_drift_record(spark, sf_dir):
+    return present(drift.drift_record(baseline(spark, sf_dir), _current(spark, sf_dir)))
+
+
+def q_compare_policies(spark, sf_dir):
+    """Random, churn and value policies side by side."""
+    return present(dec.compare_policies(cohort(spark, sf_dir), SCENARIO, PARAMS.history_days, 200).select(*SUMMARY_COLUMNS))
+
+
+#: Scenarios in which the budget, the value of a contact, and all limits at once bind.
+BRANCHES = (
+    SCENARIO.with_(scenario_name="tight_budget", total_budget=150.0),
+    SCENARIO.with_(scenario_name="costly_contact", contact_cost=900.0, max_contact_fraction=1.0, total_budget=1e9),
+    SCENARIO.with_(scenario_name="free_contact", contact_cost=0.0, offer_cost_if_accepted=0.0, max_contact_fraction=1.0),
+)
+
+
+def _branches(spark, sf_dir):
+    c = cohort(spark, sf_dir)
+    return [(s.scenario_name, *dec.apply_policy(c, s, "expected_value", PARAMS.history_days)) for s in BRANCHES]
+
+
+def _stacked(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_policy_branches(spark, sf_dir):
+    return present(_stacked([r.select("economic_scenario", "customer_id", "policy_rank", "recommended_action", "selection_reason")
+                             for _, r, _ in _branches(spark, sf_dir)]))
+
+
+def q_capacity_branches(spark, sf_dir):
+    return present(_stacked([s.select(F.lit(name).alias("economic_scenario"), *SUMMARY_COLUMNS)
+                             for name, _, s in _branches(spark, sf_dir)]))
+
+
+def q_top_importances(spark, sf_dir):
+    return present(model.top_importances(q_permutation_importance(spark, sf_dir)))
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """Raw lines (with quotes, commas and line ends in the description) written as CSV,
+    read back and normalized."""
+    awkward = F.concat(F.lit('SET "'), F.col("description"), F.lit('", LARGE\nsecond line, "'), F.col("country"), F.lit('"'))
+    raw = orders_transactions(spark, sf_dir).withColumn("description", awkward)
+    path = f"{stage_path(spark, sf_dir, 'raw_lines')}.csv"
+    write_csv(raw, path)
+    return present(normalize_transactions(read_raw_transactions(spark, path)))
 
 
 QUERIES = {
@@ -516,19 +663,32 @@ QUERIES = {
     "policy_decomposition": q_policy_decomposition,
     "baseline_stats": q_baseline_stats,
     "baseline_quantiles": q_baseline_quantiles,
+    "baseline_categories": q_baseline_categories,
     "psi": q_psi,
     "ks": q_ks,
     "range_and_missing": q_range_and_missing,
     "new_categories": q_new_categories,
     "drift_alerts": q_drift_alerts,
+    "drift_record": q_drift_record,
     "contract_violations": q_contract_violations,
+    "quarantined_rows": q_quarantined_rows,
     "row_warnings": q_row_warnings,
     "decision_reasons": q_decision_reasons,
     "batch_decisions": q_batch_decisions,
     "model_comparison": q_model_comparison,
     "scored_cohort": q_scored_cohort,
     "permutation_importance": q_permutation_importance,
+    "top_importances": q_top_importances,
+    "fitted_performance": q_fitted_performance,
     "matured_performance": q_matured_performance,
+    "train_medians": q_train_medians,
+    "segment_mode": q_segment_mode,
+    "class_weights": q_class_weights,
+    "platt_apply": q_platt_apply,
+    "compare_policies": q_compare_policies,
+    "policy_branches": q_policy_branches,
+    "capacity_branches": q_capacity_branches,
+    "csv_round_trip": q_csv_round_trip,
     "sensitivity_range": q_sensitivity_range,
     "policy_table": q_policy_table,
     "snapshot_facts": q_snapshot_facts,

@@ -8,8 +8,9 @@ Literals are cast to DOUBLE so arithmetic is binary floating point, as in Spark.
 
 from __future__ import annotations
 
-from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams, _ts
+from keepwell.config import EconomicScenario, ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, ModelParams, _ts
 from keepwell.functions.columns import EUROPE_COUNTRIES
+from keepwell.sources.tables import EVENT_COUNTRIES
 
 P = ORDERS_PARAMS
 S = ORDERS_SCENARIO
@@ -61,10 +62,12 @@ tx AS (
     ts AS invoice_date,
     CAST(value AS DOUBLE) AS unit_price,
     regexp_replace(CAST(user_id AS VARCHAR), '\.0$', '') AS customer_id,
-    'United Kingdom' AS country
+    ({EVENT_COUNTRIES}::VARCHAR[])[(user_id % {N})::INT + 1] AS country
   FROM events WHERE event_type IN ('purchase', 'error')
 )"""
 
+EVENTS_TX = EVENTS_TX.replace("{EVENT_COUNTRIES}", str(list(EVENT_COUNTRIES))).replace("{N}", str(len(EVENT_COUNTRIES)))
+
 NTX = r"""
 ntx AS (
   SELECT *,
@@ -106,7 +109,7 @@ def snapshot_ctes(params, tx_cte: str = ORDERS_TX) -> list[str]:
                  invoice_no NULLS FIRST, stock_code NULLS FIRST, invoice_date NULLS FIRST) = 1)""",
             f"""hist AS (SELECT c.split, c.cutoff_date, x.* FROM dedup x JOIN cut c
                  ON x.invoice_date > c.cutoff_date - INTERVAL {h} DAY AND x.invoice_date <= c.cutoff_date)""",
-            "posh AS (SELECT *, CAST(quantity AS DECIMAL(18,4)) * CAST(unit_price AS DECIMAL(18,4)) AS pv FROM hist WHERE pos)",
+            "posh AS (SELECT *, quantity * unit_price AS pv FROM hist WHERE pos)",
             f"""base AS (SELECT split, cutoff_date, customer_id, sum(pv) AS mon, sum(quantity) AS qty,
                  count(DISTINCT invoice_no) AS n_inv, count(DISTINCT stock_code) AS n_prod,
                  min(invoice_date) AS first_d, max(invoice_date) AS last_d, count(DISTINCT event_id) AS n_ev,
@@ -222,7 +225,7 @@ FEATURE_DOUBLES = ["recency_days", "purchase_frequency", "monetary_value", "aver
 KEYS = "split, cutoff_date, customer_id"
 
 
-def _economics_select(src: str = "coh") -> str:
+def _economics_select(src: str = "coh", S: EconomicScenario = S) -> str:
     annual = S.economic_horizon_days / P.history_days
     unit = S.expected_contact_cost()
     return f"""econ AS (SELECT *, p_ * {d(S.incremental_retention_effect)} * m_ - {d(unit)} AS expected_net_value,
@@ -232,7 +235,7 @@ def _economics_select(src: str = "coh") -> str:
                FROM {src}))"""
 
 
-def _capacity_ctes(policy: str) -> list[str]:
+def _capacity_ctes(policy: str, S: EconomicScenario = S) -> list[str]:
     unit = S.expected_contact_cost()
     econ_cap = "least(n, greatest(0, e))" if policy == "expected_value" else "n"
     bind_value = "CASE WHEN k = e_cap THEN 'positive_expected_value' END" if policy == "expected_value" else "NULL"
@@ -248,7 +251,7 @@ def _capacity_ctes(policy: str) -> list[str]:
     ]
 
 
-def _ranked_cte(policy: str) -> str:
+def _ranked_cte(policy: str, S: EconomicScenario = S) -> str:
     score = "expected_net_value" if policy == "expected_value" else "churn_probability"
     sel = ("expected_net_value > 0 AND policy_rank <= k" if policy == "expected_value" else "policy_rank <= k")
     if policy == "expected_value":
@@ -259,17 +262,17 @@ def _ranked_cte(policy: str) -> str:
         reason = ("CASE WHEN sel THEN 'Highest churn probability within portfolio constraints' "
                   "ELSE 'Below the rank allowed by ' || binding END")
     return f"""ranked AS (SELECT *, CASE WHEN sel THEN 'contact' ELSE 'do_not_contact' END AS recommended_action,
-                 {reason} AS selection_reason, 'base_case' AS economic_scenario,
+                 {reason} AS selection_reason, '{S.scenario_name}' AS economic_scenario,
                  coalesce(expected_net_value > 0, false) AS economic_eligibility
                FROM (SELECT *, {sel} AS sel FROM (SELECT e.*, cap.k, cap.binding, cap.b_cap, cap.o_cap, CAST(row_number() OVER
                  (ORDER BY {score} DESC NULLS LAST, customer_id) AS BIGINT) AS policy_rank FROM econ e, cap)))"""
 
 
-def policy_ctes(policy: str) -> list[str]:
-    return cohort_ctes() + [_economics_select()] + _capacity_ctes(policy) + [_ranked_cte(policy)]
+def policy_ctes(policy: str, S: EconomicScenario = S) -> list[str]:
+    return cohort_ctes() + [_economics_select(S=S)] + _capacity_ctes(policy, S) + [_ranked_cte(policy, S)]
 
 
-def summary_select(policy: str) -> str:
+def summary_select(policy: str, S: EconomicScenario = S) -> str:
     unit = S.expected_contact_cost()
     eff = S.incremental_retention_effect
     return f"""SELECT '{policy}' AS policy, CAST(count(*) AS BIGINT) AS customers,
@@ -359,7 +362,8 @@ def build() -> dict[str, str]:
                                "label_window_end"])
     ev_snap = snapshot_ctes(EVENTS_PARAMS, EVENTS_TX)
     q["event_snapshots"] = final(with_(*ev_snap) + f"""SELECT {KEYS}, recency_days, number_of_invoices, monetary_value,
-        purchase_regularity_days, label_event_count, churn, is_eligible, eligibility_reason FROM cand""",
+        purchase_regularity_days, geographic_segment, label_event_count, churn, is_eligible, eligibility_reason
+      FROM cand""",
                                  dbl=["recency_days", "monetary_value", "purchase_regularity_days"], ts=["cutoff_date"])
     q["eligibility_reasons"] = final(with_(*snap) + f"""SELECT {KEYS}, observation_history_complete, is_eligible,
         eligibility_reason, primary_exclusion_reason FROM cand""", ts=["cutoff_date"])
@@ -484,6 +488,7 @@ def build() -> dict[str, str]:
         f"FROM (SELECT * FROM ({with_(*pc)}{summary_select('churn_probability')}) UNION ALL "
         f"SELECT * FROM ({with_(*pv)}{summary_select('expected_value')}))",
         dbl=["average_churn_probability", "average_estimated_margin_at_risk", "expected_net_value_per_contact"])
+    q.update(policy_sql(pc, pv, econ))
     q["hashed_queue"] = final(with_(*pv) + """SELECT substr(sha256('customer:' || customer_id), 1, 16) AS customer_id,
         churn_probability, value_at_risk, expected_net_value, economic_eligibility, recommended_action, selection_reason,
         policy_rank, economic_scenario FROM ranked""", dbl=["churn_probability", "value_at_risk", "expected_net_value"])
@@ -491,8 +496,8 @@ def build() -> dict[str, str]:
     from keepwell.operators.decisioning import sensitivity_grid
     grid = sensitivity_grid(S)
     gvals = ", ".join(
-        f"({g['grid_id']}, {d(g['effect'])}, {d(g['acceptance'])}, {d(g['mult'])}, {d(g['scenario'].gross_margin_rate)}, "
-        f"{d(g['scenario'].expected_contact_cost())})" for g in grid)
+        f"({i}, {d(effect)}, {d(g.offer_acceptance_probability)}, {d(mult)}, {d(g.gross_margin_rate)}, "
+        f"{d(g.expected_contact_cost())})" for i, (effect, mult, g) in enumerate(grid))
     annual = S.economic_horizon_days / P.history_days
     unit_cap = (f"CASE WHEN unit = 0 THEN n ELSE least(n, CAST(floor({d(S.total_budget)} / unit) AS BIGINT)) END")
     q["sensitivity_grid"] = final(with_(*coh,
@@ -558,15 +563,98 @@ def build() -> dict[str, str]:
         + f"""SELECT f.fr AS max_contact_fraction, vb.r AS contacts, vb.cum AS expected_net_value
       FROM (VALUES {frv}) f(fr) JOIN vb ON vb.r = greatest(1, CAST(trunc(CAST(vb.n AS DOUBLE) * f.fr) AS BIGINT))""",
                                  dbl=["max_contact_fraction", "expected_net_value"])
+    q["matured_performance"] = final(
+        f"""SELECT roc_auc, average_precision, brier_score, recall_at_budget, precision_at_budget, lift_at_budget
+            FROM ({q["roc_auc"]}), ({q["average_precision"]}), ({q["brier"]}), ({q["budget_metrics"]})""",
+        dbl=["roc_auc", "average_precision", "brier_score", "recall_at_budget", "precision_at_budget", "lift_at_budget"])
+    q["csv_round_trip"] = q["normalize_transactions"].replace(
+        "p.p_name AS description", "'SET \"' || p.p_name || '\", LARGE' || chr(10) || 'second line, \"' || cn.n_name || '\"' AS description")
+    q.update(model_step_sql())
     q.update(drift_sql())
     q.update(portfolio_sql())
     return q
 
 
+def policy_sql(pc: list[str], pv: list[str], econ: list[str]) -> dict[str, str]:
+    """Random draws, the three policies together, and scenarios in which each limit binds."""
+    from keepwell.plans.catalog import BRANCHES
+
+    q: dict[str, str] = {}
+    unit, eff = S.expected_contact_cost(), S.incremental_retention_effect
+    k = f"least(n, CAST(floor({d(S.total_budget)} / {d(unit)}) AS BIGINT), CAST(floor(CAST(n AS DOUBLE) * {d(S.max_contact_fraction)}) AS BIGINT))"
+    draws = econ + [
+        "tot AS (SELECT count(*) AS n, count_if(churn = 1) AS churners, count_if(expected_net_value > 0) AS worth FROM econ)",
+        f"""drawn AS (SELECT e.*, r.draw, CAST(CAST('0x' || substr(md5(CAST({S.random_seed} + r.draw AS VARCHAR) || ':' || customer_id), 1, 13)
+              AS BIGINT) AS DOUBLE) / {d(16 ** 13)} AS u FROM econ e, range(200) r(draw))""",
+        """placed AS (SELECT *, row_number() OVER (PARTITION BY draw ORDER BY u DESC, customer_id) AS nth FROM drawn)""",
+        f"""per AS (SELECT draw, CAST(count(*) AS DOUBLE) AS c, sum(expected_net_value) AS env, sum(value_at_risk) AS var_,
+              avg(churn_probability) AS p, avg(estimated_margin_at_risk) AS m, CAST(count_if(churn = 1) AS DOUBLE) AS hit,
+              sum(churn * {d(eff)} * estimated_margin_at_risk - {d(unit)}) AS realized
+            FROM placed, tot WHERE nth <= {k} GROUP BY draw)""",
+        f"""rnd AS (SELECT 'random' AS policy, max(n) AS customers, max({k}) AS contact_capacity,
+              max(least(n, CAST(floor({d(S.total_budget)} / {d(unit)}) AS BIGINT))) AS budget_based_contact_capacity,
+              max(CAST(floor(CAST(n AS DOUBLE) * {d(S.max_contact_fraction)}) AS BIGINT)) AS operations_based_contact_capacity,
+              max(worth) AS economically_eligible_customers, CAST(max(c) AS BIGINT) AS customers_contacted,
+              max(c) / max(n) AS contact_rate, avg(env) AS expected_net_value, avg(env / c) AS expected_net_value_per_contact,
+              avg(var_) AS estimated_value_at_risk, avg(p) AS average_churn_probability, avg(m) AS average_estimated_margin_at_risk,
+              avg(c * {d(unit)}) AS expected_campaign_cost, avg({d(S.total_budget)} - c * {d(unit)}) AS remaining_budget,
+              avg(c * {d(unit)} / {d(S.total_budget)} * 100) AS budget_utilization_percentage,
+              avg(hit) AS observed_churners_contacted, max(churners) AS observed_churners,
+              avg(hit / churners) AS recall_at_budget, avg(hit / c) AS precision_at_budget,
+              avg((hit / c) / (CAST(churners AS DOUBLE) / n)) AS lift_at_budget, avg(realized) AS scenario_realized_net_value
+            FROM per, tot)""",
+        """rnd2 AS (SELECT *, CASE WHEN contact_capacity = budget_based_contact_capacity
+              AND contact_capacity = operations_based_contact_capacity THEN 'joint:financial_budget+operational_capacity'
+              WHEN contact_capacity = budget_based_contact_capacity THEN 'financial_budget' ELSE 'operational_capacity' END
+              AS binding_constraint FROM rnd)"""]
+    rnd = with_(*draws) + "SELECT * FROM rnd2"
+    q["policy_random"] = final(f"""SELECT *, customers_contacted AS actual_selected_customers, precision_at_budget AS observed_churn_rate,
+        CAST(200 AS BIGINT) AS benchmark_repetitions FROM ({rnd})""",
+                               dbl=[*SUMMARY_DOUBLES, "observed_churners_contacted", "observed_churn_rate"])
+    both = [f"SELECT * FROM ({with_(*c)}{summary_select(name)})" for c, name in ((pc, "churn_probability"), (pv, "expected_value"))]
+    q["compare_policies"] = final(" UNION ALL BY NAME ".join([f"SELECT * FROM ({rnd})", *both]),
+                                  dbl=[*SUMMARY_DOUBLES, "observed_churners_contacted"])
+    ctes = {b.scenario_name: (policy_ctes("expected_value", b), b) for b in BRANCHES}
+    q["policy_branches"] = " UNION ALL ".join(
+        f"SELECT economic_scenario, customer_id, policy_rank, recommended_action, selection_reason FROM ({with_(*c)}SELECT * FROM ranked)"
+        for c, _ in ctes.values())
+    q["capacity_branches"] = final(" UNION ALL ".join(
+        f"SELECT '{name}' AS economic_scenario, * FROM ({with_(*c)}{summary_select('expected_value', b)})"
+        for name, (c, b) in ctes.items()), dbl=SUMMARY_DOUBLES)
+    return q
+
+
+def model_step_sql() -> dict[str, str]:
+    from keepwell.plans.catalog import PLATT
+    from keepwell.schemas import NUMERIC_FEATURES
+
+    snap = snapshot_ctes(P) + ["tr AS (SELECT * FROM snap WHERE split = 'train')"]
+    q = {"train_medians": final(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM ({with_(*snap)}SELECT * FROM tr)"
+        for c in NUMERIC_FEATURES), dbl=["median"])}
+    q["segment_mode"] = with_(*snap) + """SELECT geographic_segment AS segment FROM tr WHERE geographic_segment IS NOT NULL
+        GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1"""
+    q["class_weights"] = final(with_(*snap) + """SELECT CAST(churn AS BIGINT) AS churn,
+        CAST((SELECT count(*) FROM tr) AS DOUBLE) / (2 * count(*)) AS weight, CAST(count(*) AS BIGINT) AS rows FROM tr GROUP BY churn""",
+                               dbl=["weight"])
+    a, b = PLATT
+    p = f"least(greatest(churn_probability, {d(1e-6)}), {d(1 - 1e-6)})"
+    q["platt_apply"] = final(with_(*cohort_ctes()) + f"""SELECT {KEYS}, 1 / (1 + exp(-({d(a)} * ln({p} / (1 - {p})) + {d(b)})))
+        AS calibrated FROM coh""", dbl=["calibrated"], ts=["cutoff_date"])
+    return q
+
+
 def portfolio_sql() -> dict[str, str]:
     from keepwell.operators.portfolio import CONTRACT_RANGES, CONTRACT_TEXT, WARN_RECENCY, WARN_REGULARITY, WARN_SEGMENT
     q: dict[str, str] = {}
-    port = snapshot_ctes(P) + scored_ctes("test", "port", "cand")
+    from keepwell.plans.catalog import STRAIN
+
+    plain = snapshot_ctes(P) + scored_ctes("test", "port", "cand")
+    m = f"CAST(customer_id AS BIGINT) % {STRAIN}"
+    changed = [f"CASE {m} WHEN {i} THEN {hi + 1} WHEN {20 + i} THEN NULL WHEN {40 + i} THEN {lo - 1} ELSE {name} END AS {name}"
+               for i, (name, lo, hi, _) in enumerate(CONTRACT_RANGES)]
+    changed.append(f"CASE {m} WHEN 57 THEN '' WHEN 58 THEN NULL WHEN 59 THEN repeat('x', 65) ELSE geographic_segment END AS geographic_segment")
+    port = plain[:-1] + [plain[-1].replace("port AS (", "port_ AS (", 1), f"port AS (SELECT * REPLACE ({', '.join(changed)}) FROM port_)"]
     checks = []
     for name, lo, hi, nullable in CONTRACT_RANGES:
         x = f"CAST({name} AS DOUBLE)"
@@ -581,6 +669,7 @@ def portfolio_sql() -> dict[str, str]:
     lst = f"list_filter([{', '.join(checks)}], lambda x: x IS NOT NULL)"
     q["contract_violations"] = final(with_(*port) + f"""SELECT customer_id, array_to_string({lst}, ',') AS violations,
         len({lst}) = 0 AS is_valid FROM port""")
+    q["quarantined_rows"] = f"SELECT customer_id, violations FROM ({q['contract_violations']}) WHERE NOT is_valid"
     known = "(SELECT list(DISTINCT r_name) || ['Rest of world'] FROM region)"
     wl = (f"list_filter([CASE WHEN purchase_regularity_days IS NULL THEN '{WARN_REGULARITY}' END, "
           f"CASE WHEN recency_days > customer_tenure_days THEN '{WARN_RECENCY}' END, "
@@ -591,7 +680,7 @@ def portfolio_sql() -> dict[str, str]:
     ops = (f"list_filter([CASE WHEN NOT coalesce(observation_history_complete, true) THEN 'incomplete_observation_history' END, "
            f"CASE WHEN recency_days > {P.max_recency_days} THEN 'recency_above_maximum' END, "
            f"CASE WHEN number_of_invoices < {P.minimum_invoices} THEN 'insufficient_invoices' END], lambda x: x IS NOT NULL)")
-    econ_port = port + [f"pops AS (SELECT *, {ops} AS ops FROM port)", _economics_select("pops")]
+    econ_port = plain + [f"pops AS (SELECT *, {ops} AS ops FROM port)", _economics_select("pops")]
     q["decision_reasons"] = final(with_(*econ_port) + f"""SELECT customer_id, churn_probability,
         estimated_margin_at_risk AS margin_at_risk, expected_net_value,
         len(ops) = 0 AND coalesce(expected_net_value > 0, false) AS economic_eligibility,
@@ -599,7 +688,7 @@ def portfolio_sql() -> dict[str, str]:
              WHEN coalesce(expected_net_value <= 0, false) THEN 'Expected net value is not positive under the configured scenario'
              ELSE 'Positive expected net value; portfolio ranking is still required' END AS reason FROM econ""",
         dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
-    batch = port + [f"pops AS (SELECT *, {ops} AS ops FROM port)",
+    batch = port + [f"pops AS (SELECT *, {ops} AS ops FROM port WHERE len({lst}) = 0)",
                     "allecon AS (SELECT * FROM pops)",
                     _economics_select("(SELECT * FROM pops WHERE len(ops) = 0)")] + \
         _capacity_ctes("expected_value") + [_ranked_cte("expected_value"),
@@ -622,26 +711,35 @@ NUMERIC_MON = MONITORED + ["churn_probability"]
 ORDER_OF = {c: i for i, c in enumerate(MONITORED + ["geographic_segment", "churn_probability"])}
 
 
-def _long(src: str, name: str) -> str:
-    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in NUMERIC_MON]
+def _long(src: str, name: str, without: str = "", unread: str = "") -> str:
+    """``without``: a column that is gone; ``unread``: quantities are text where this holds."""
+    value = lambda c: f"CASE WHEN {unread} THEN NULL ELSE {c} END" if unread and c == "quantity_purchased" else c
+    parts = [f"SELECT '{c}' AS column_name, CAST({value(c)} AS DOUBLE) AS value, {c} IS NOT NULL AS present FROM {src}"
+             for c in NUMERIC_MON if c != without]
     return f"{name} AS ({' UNION ALL '.join(parts)})"
 
 
 def drift_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     levels = "CAST([" + ", ".join(repr(i / 10) for i in range(11)) + "] AS DOUBLE[])"
-    base = snapshot_ctes(P) + scored_ctes("train", "ref") + scored_ctes("test", "cur") + [
-        _long("ref", "lref"), _long("cur", "lcur")]
+    base = snapshot_ctes(P) + scored_ctes("train", "ref") + scored_ctes("test", "cur0") + [
+        """cur AS (SELECT * REPLACE (monetary_value * 3 AS monetary_value,
+              CASE WHEN right(customer_id, 1) IN ('1', '3', '5', '7', '9') THEN purchase_regularity_days END AS purchase_regularity_days,
+              CASE WHEN geographic_segment = 'ASIA' THEN 'OCEANIA' ELSE geographic_segment END AS geographic_segment) FROM cur0)""",
+        _long("ref", "lref"), _long("cur", "lcur", "spend_change_ratio", "right(customer_id, 1) = '7'")]
     one, zero = d(1), d(0)
     kind = "CASE WHEN column_name = 'churn_probability' THEN 'probability' ELSE 'numeric' END"
-    bstats = f"""SELECT column_name, {kind} AS kind, avg(CASE WHEN value IS NULL THEN {one} ELSE {zero} END) AS missing_rate,
+    bstats = f"""SELECT column_name, {kind} AS kind, CAST(count(*) AS BIGINT) AS rows,
+          avg(CASE WHEN present THEN {zero} ELSE {one} END) AS missing_rate,
           CASE WHEN column_name = 'churn_probability' THEN {zero} ELSE min(value) END AS minimum,
           CASE WHEN column_name = 'churn_probability' THEN {one} ELSE max(value) END AS maximum,
-          CAST(NULL AS VARCHAR) AS categories FROM lref GROUP BY column_name
-        UNION ALL SELECT 'geographic_segment', 'categorical',
+          CAST(NULL AS BIGINT) AS n_categories FROM lref GROUP BY column_name
+        UNION ALL SELECT 'geographic_segment', 'categorical', CAST(count(*) AS BIGINT),
           avg(CASE WHEN geographic_segment IS NULL THEN {one} ELSE {zero} END), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-          string_agg(DISTINCT geographic_segment, ',' ORDER BY geographic_segment) FROM ref"""
+          CAST(count(DISTINCT geographic_segment) AS BIGINT) FROM ref"""
     q["baseline_stats"] = final(with_(*base) + bstats, dbl=["missing_rate", "minimum", "maximum"])
+    q["baseline_categories"] = with_(*base) + """SELECT 'geographic_segment' AS column_name, geographic_segment AS category,
+        CAST(count(*) AS BIGINT) AS n FROM ref GROUP BY geographic_segment"""
     numeric_only = "column_name <> 'churn_probability'"
     q["baseline_quantiles"] = final(with_(*base) + f"""SELECT column_name, unnest(range(11)) AS q_index,
         unnest({levels}) AS q, unnest(quantile_cont(value, {levels})) AS quantile
@@ -649,7 +747,8 @@ def drift_sql() -> dict[str, str]:
     ctes = base + [
         f"""edges AS (SELECT column_name, list_sort(list_distinct(quantile_cont(value, {levels}))) AS ed
              FROM lref WHERE value IS NOT NULL GROUP BY column_name)""",
-        """both_ AS (SELECT column_name, value, true AS is_ref FROM lref WHERE value IS NOT NULL
+        """both_ AS (SELECT column_name, value, true AS is_ref FROM lref
+             WHERE value IS NOT NULL AND column_name IN (SELECT DISTINCT column_name FROM lcur)
              UNION ALL SELECT column_name, value, false FROM lcur WHERE value IS NOT NULL)""",
         """binned AS (SELECT b.*, len(list_filter(list_slice(e.ed, 2, len(e.ed) - 1), lambda x: x <= b.value)) AS bin,
              len(e.ed) AS ne FROM both_ b JOIN edges e USING (column_name))""",
@@ -672,8 +771,8 @@ def drift_sql() -> dict[str, str]:
              max(abs(CAST(cr AS DOUBLE) / CAST(nr AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(nc AS DOUBLE))) END AS ks_statistic
              FROM kw GROUP BY column_name)""",
         f"bs AS ({bstats})",
-        f"""rm AS (SELECT l.column_name, avg(CASE WHEN l.value IS NULL THEN {one} ELSE {zero} END) AS missing_rate,
-             avg({zero}) AS type_error_rate,
+        f"""rm AS (SELECT l.column_name, avg(CASE WHEN l.present THEN {zero} ELSE {one} END) AS missing_rate,
+             avg(CASE WHEN l.present AND l.value IS NULL THEN {one} ELSE {zero} END) AS type_error_rate,
              avg(CASE WHEN coalesce(l.value < bs.minimum OR l.value > bs.maximum, false) THEN {one} ELSE {zero} END)
                AS outside_reference_range_rate
              FROM lcur l JOIN bs USING (column_name) GROUP BY l.column_name
@@ -692,7 +791,6 @@ def drift_sql() -> dict[str, str]:
     t_missing, t_out, t_psi, t_ks = 0.05, 0.01, 0.20, 0.15
     met = f"""met AS (SELECT bs.column_name, bs.kind, bs.missing_rate AS bmr, rm.missing_rate AS mr, rm.type_error_rate AS ter,
         rm.outside_reference_range_rate AS orr, psi.psi, ks.ks_statistic AS ks,
-        (SELECT string_agg(category, ',' ORDER BY category) FROM nc_ WHERE nc_.column_name = bs.column_name) AS newc,
         {order_case} AS co
       FROM bs JOIN rm USING (column_name) LEFT JOIN psi USING (column_name) LEFT JOIN ks USING (column_name))"""
     fin = "NOT isnan({c}) AND NOT isinf({c})"
@@ -707,10 +805,17 @@ def drift_sql() -> dict[str, str]:
         WHERE kind <> 'categorical' AND psi IS NOT NULL AND {fin.format(c='psi')} AND psi >= {d(t_psi)}
       UNION ALL SELECT (co + 1) * 100 + 4, 'warning', column_name, 'ks_drift', ks, NULL FROM met
         WHERE kind <> 'categorical' AND ks IS NOT NULL AND {fin.format(c='ks')} AND ks >= {d(t_ks)}
-      UNION ALL SELECT (co + 1) * 100 + 5, 'warning', column_name, 'new_categories', CAST(NULL AS DOUBLE), newc FROM met
-        WHERE kind = 'categorical' AND newc IS NOT NULL"""
+      UNION ALL SELECT ({ORDER_OF['geographic_segment']} + 1) * 100 + 5, 'warning', column_name, 'new_categories', CAST(NULL AS DOUBLE),
+        category FROM nc_
+      UNION ALL SELECT 0, 'blocking', column_name, 'missing_column', CAST(NULL AS DOUBLE), NULL FROM bs
+        WHERE column_name = 'spend_change_ratio'"""
     q["drift_alerts"] = final(with_(*ctes, met) + f"SELECT CAST(alert_order AS BIGINT) AS alert_order, severity, column_name,"
                               f" issue, value, detail FROM ({alerts})", dbl=["value"])
+    q["stream_drift"] = f"SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({q['drift_alerts']})"
+    q["drift_record"] = with_(*ctes, met) + f"""SELECT (SELECT CAST(count(*) AS BIGINT) FROM ref) AS reference_rows,
+        (SELECT CAST(count(*) AS BIGINT) FROM cur) AS current_rows, CAST(count(*) AS BIGINT) AS alerts,
+        CAST(count_if(severity = 'blocking') AS BIGINT) AS blocking, 'spend_change_ratio' AS missing_columns, 'blocking' AS status
+      FROM ({alerts})"""
     return q
 
 def threshold_sql(params, tx_cte) -> str:

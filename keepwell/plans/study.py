@@ -2,9 +2,9 @@
 threshold → snapshots → leakage gate → train → score → decide → monitor.
 
 Every stage writes its table under ``out_dir`` (Parquet, CSV for the public
-queue and comparisons, JSON for one-row summaries) and the next stage reads it
-back, so a stage can be rerun alone and a lost executor never forces a
-recomputation from raw inputs.
+queue and comparisons, JSON for one-row summaries) and later stages read it
+back, so a lost executor never forces a recomputation from raw inputs. Beside each
+table lies a lineage record: row count, content checksum, parameters, time.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from keepwell.operators.model import save_bundle, score, train_and_select
 from keepwell.operators.normalize import normalize_transactions
 from keepwell.operators.snapshots import build_snapshots, eligibility_rollup
 from keepwell.operators.validation import validate_transactions
-from keepwell.sources.files import read_snapshots, write_csv, write_one_row, write_snapshots
+from keepwell.sources.files import read_csv, read_snapshots, write_csv, write_one_row, write_snapshots
+from keepwell.sources.lineage import lineage_record, table_checksum
 
 
 def _one_row(spark: SparkSession, record: dict) -> DataFrame:
@@ -31,7 +32,8 @@ def _one_row(spark: SparkSession, record: dict) -> DataFrame:
 
 def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params: SnapshotParams,
               scenario: EconomicScenario, model_params: ModelParams = ModelParams(), full_data: bool = False,
-              segment_map: dict | None = None, random_repetitions: int = 200, salt: str = "customer:") -> dict:
+              segment_map: dict | None = None, random_repetitions: int = 200, salt: str = "customer:",
+              source_commit: str = "unknown") -> dict:
     out = out_dir.rstrip("/")
     validate_horizon_alignment(params.horizon_days, scenario)
     normalize_transactions(transactions).write.mode("overwrite").parquet(f"{out}/transactions")
@@ -54,19 +56,32 @@ def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params
     scored_test.write.mode("overwrite").parquet(f"{out}/scored_test")
     scored = spark.read.parquet(f"{out}/scored_test")
 
-    comparison_df = dec.compare_policies(scored, scenario, params.history_days, random_repetitions)
-    write_csv(comparison_df, f"{out}/policy_comparison")
-    write_csv(dec.sensitivity_analysis(scored, scenario, params.history_days), f"{out}/sensitivity_analysis")
-    ranked, _, _ = dec.apply_policy(scored, scenario, "expected_value", params.history_days)
+    facts = {}
+    for name, table in (("policy_comparison", dec.compare_policies(scored, scenario, params.history_days, random_repetitions)),
+                        ("sensitivity_analysis", dec.sensitivity_analysis(scored, scenario, params.history_days))):
+        write_csv(table, f"{out}/{name}")
+        facts[name] = read_csv(spark, f"{out}/{name}", table.schema)  # the report reads the files
+    policies = {r["policy"]: r["expected_net_value"] for r in facts["policy_comparison"].collect()}  # three rows
+    spread = facts["sensitivity_analysis"].agg(F.min("expected_net_value").alias("lowest"),
+                                               F.max("expected_net_value").alias("highest")).first().asDict()
+    ranked, _ = dec.apply_policy(scored, scenario, "expected_value", params.history_days)
     write_csv(dec.hashed_queue(ranked, salt), f"{out}/decision_queue")
 
-    reference = score(bundle, snapshots.filter(F.col("split") == "train"))
-    drift.save_baseline(reference, f"{out}/monitoring_baseline")
-    drift.drift_alerts(reference, scored).write.mode("overwrite").parquet(f"{out}/drift_alerts")
+    score(bundle, snapshots.filter(F.col("split") == "train")).write.mode("overwrite").parquet(f"{out}/scored_train")
+    drift.save_baseline(spark.read.parquet(f"{out}/scored_train"), f"{out}/monitoring_baseline")
+    baseline, batch = drift.load_baseline(spark, f"{out}/monitoring_baseline"), drift.count_batch(scored)
+    drift.drift_alerts(baseline, batch).write.mode("overwrite").parquet(f"{out}/drift_alerts")
+    write_one_row(drift.drift_record(baseline, batch, spark.read.parquet(f"{out}/drift_alerts")), f"{out}/drift_record")
     perf = ev.matured_performance(scored, model_params.budget_fraction)
     if perf is not None:
         perf.write.mode("overwrite").parquet(f"{out}/observed_performance")
+    given = {"params": params, "scenario": scenario, "model": model_params}
+    for name in ("transactions", "snapshots", "model_comparison", "scored_test", "drift_alerts"):
+        sums = table_checksum(spark.read.parquet(f"{out}/{name}")).first()
+        write_one_row(lineage_record(spark, source_commit=source_commit, source_mode="full" if full_data else "partial",
+                                     inputs={"transactions": out}, extra={"table": name, **sums.asDict(), **given}),
+                      f"{out}/lineage/{name}")
     record = {"validation": summary, "threshold": threshold, "model": bundle.model_name,
-              "test_metrics": bundle.test_metrics}
+              "test_metrics": bundle.test_metrics, "policies": policies, "sensitivity": spread}
     write_one_row(_one_row(spark, record), f"{out}/run_summary")
     return record

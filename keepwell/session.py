@@ -34,26 +34,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; only a session without one (tests,
-    local runs) gets a private scratch folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Return ``spark.checkpoint.dir``. Only a local session without one (tests, local
+    runs) gets a scratch folder; on a cluster a folder of one machine would lose
+    what executors write, so the setting is required there."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not context._jsc.sc().getCheckpointDir().isDefined():
+            context.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()  # set via setCheckpointDir
+    current = context._jsc.sc().getCheckpointDir()  # set via setCheckpointDir
     if current.isDefined():
         # the context stores its own sub-folder; its parent is the shared folder
         folder = current.get().rstrip("/").rsplit("/", 1)[0]
         spark.conf.set("spark.checkpoint.dir", folder)
         return folder
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="keepwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    context.setCheckpointDir(local)
     return local
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 
 SUPPORTED_SUFFIXES = (".csv", ".parquet")
+#: A quote inside a quoted field is doubled, as spreadsheets write it.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def _suffix(path: str) -> str:
@@ -16,9 +18,13 @@ def _suffix(path: str) -> str:
     return os.path.splitext(base)[1].lower()
 
 
-def read_raw_transactions(spark: SparkSession, source: str) -> DataFrame:
+def read_raw_transactions(spark: SparkSession, source: str, multi_line: bool = True) -> DataFrame:
     """Dispatch on suffix: CSV (read as text, parsed leniently later) or Parquet.
 
+    Quoted fields may hold commas, doubled quotes and, with ``multi_line``, line ends. A
+    file read so is not split among tasks; give many files, or Parquet, or turn it off
+    where no field holds a line end.
+
     Unknown suffix → ValueError; missing path → FileNotFoundError (checked via the
     Hadoop filesystem, so it works for any cluster storage).
     """
@@ -32,7 +38,7 @@ def read_raw_transactions(spark: SparkSession, source: str) -> DataFrame:
         raise FileNotFoundError(f"Transaction source does not exist: {source}")
     if suffix == ".csv":
         # every column as text; the lenient numeric/date parse happens in normalize
-        return spark.read.option("header", True).option("inferSchema", False).csv(source)
+        return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(source)
     return spark.read.parquet(source)
 
 
@@ -48,9 +54,11 @@ def ingest_transactions(spark: SparkSession, source: str, destination: str | Non
 
 
 def write_snapshots(snapshots: DataFrame, path: str) -> None:
-    """Snapshots partitioned by split and cutoff so readers prune partitions."""
+    """Snapshots partitioned by split and cutoff so readers prune partitions; the customers
+    of a cutoff are spread over as many tasks as a shuffle has."""
+    tasks = int(snapshots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (snapshots.withColumn("cutoff_day", F.date_format("cutoff_date", "yyyy-MM-dd"))
-     .repartition("split", "cutoff_day")
+     .repartition("split", "cutoff_day", F.pmod(F.xxhash64("customer_id"), F.lit(tasks)))
      .sortWithinPartitions("customer_id")
      .write.mode("overwrite").partitionBy("split", "cutoff_day").parquet(path))
 
@@ -68,4 +76,9 @@ def write_one_row(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A CSV written by ``write_csv``, with the types of ``schema``."""
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)

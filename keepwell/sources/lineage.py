@@ -7,11 +7,39 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keepwell.workers import ship
+
+
+#: Bytes of a file that are hashed at once.
+CHUNK_BYTES = 64 << 20
+
+
+def _digests(batches):
+    """(path, length) rows to (path, length, sha256), a file read in chunks."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            local = path.startswith("file:")
+            system, name = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if local else fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with system.open_input_stream(name, compression=None) as stream:
+                while data := stream.read(CHUNK_BYTES):
+                    digest.update(data)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
 
 def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
-    """SHA-256 of every file matched (read as binary by the executors)."""
-    return spark.read.format("binaryFile").load(path_glob).select(
-        "path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    """SHA-256 of every file matched; executors read each file in chunks, so its size does
+    not matter."""
+    ship(spark)
+    files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
+    return files.mapInArrow(_digests, "path string, length long, sha256 string")
 
 
 def table_checksum(df: DataFrame) -> DataFrame:

@@ -44,16 +44,20 @@ def orders_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_transactions(spark: SparkSession, sf_dir: str, country: str = "United Kingdom") -> DataFrame:
+#: Countries of the events preset, by user: one of each segment of the retail rule and more.
+EVENT_COUNTRIES = ("United Kingdom", "France", "Germany", "Japan", "EIRE", "Australia", "unlisted")
+
+
+def events_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases and errors from the event stream as transaction lines.
 
     An error is a cancellation (invoice prefixed with C, quantity -1).
     """
     ev = load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    return events_to_transactions(ev, country)
+    return events_to_transactions(ev)
 
 
-def events_to_transactions(ev: DataFrame, country: str = "United Kingdom") -> DataFrame:
+def events_to_transactions(ev: DataFrame) -> DataFrame:
     is_error = F.col("event_type") == F.lit("error")
     return (
         ev.filter(F.col("event_type").isin("purchase", "error"))
@@ -66,7 +70,8 @@ def events_to_transactions(ev: DataFrame, country: str = "United Kingdom") -> Da
             F.col("ts").alias("invoice_date"),
             F.col("value").alias("unit_price"),
             F.col("user_id").cast("string").alias("customer_id"),
-            F.lit(country).alias("country"),
+            F.element_at(F.array(*[F.lit(c) for c in EVENT_COUNTRIES]),
+                         (F.col("user_id") % len(EVENT_COUNTRIES) + 1).cast("int")).alias("country"),
         )
     )
 

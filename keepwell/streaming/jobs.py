@@ -1,25 +1,30 @@
 """Structured Streaming re-aims of the online surface.
 
 * X2 ``transaction_stream``: raw lines → normalized lines, deduplicated by event
-  id within an event-time watermark (``dropDuplicatesWithinWatermark``). Unlike
-  the batch rule (smallest line per event), a stream keeps the first copy to
-  *arrive*, and copies later than the watermark are not matched.
-* X1 ``scoring_stream``: stateless per-row scoring with the fitted bundle plus
-  contract violations, warnings and single-row economics.
-* X3 ``drift_per_batch``: ``foreachBatch`` compares every micro-batch with the
-  reference table and appends the alerts.
-Sinks and checkpoints live under the shared checkpoint folder, so a restarted
-query resumes exactly once from its offsets.
+  id. Unlike the batch rule (smallest line per event), a stream keeps the first copy
+  to *arrive*. Copies are matched within an event-time watermark; lines that come
+  later than that are not dropped but kept apart, so nothing is lost:
+  ``run_transactions`` writes kept, repeated and late lines of every batch.
+* X1 ``scoring_stream``: stateless per-row scoring with the fitted bundle, warnings and
+  single-row economics for rows that meet the feature contract; the others go to
+  ``quarantine_stream``.
+* X3 ``drift_per_batch``: ``foreachBatch`` compares every micro-batch with a saved
+  baseline and writes the alerts of a batch to the batch's own folder.
+Sinks and checkpoints live under the shared checkpoint folder at names that do not
+change, so a restarted query resumes from its offsets; a batch that runs again
+overwrites its own output.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from keepwell.config import EconomicScenario, SnapshotParams
 from keepwell.operators import drift, portfolio
 from keepwell.operators.normalize import normalize_transactions
+from keepwell.scratch import written
 from keepwell.session import ensure_checkpoint_dir
 from keepwell.sources.tables import events_to_transactions
 
@@ -27,28 +32,82 @@ EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type strin
 
 
 def stream_root(spark: SparkSession, name: str) -> str:
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/keepwell_streams/{spark.sparkContext.applicationId}/{name}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/keepwell_streams/{name}"
 
 
-def transaction_stream(raw_events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Normalize an event stream into transaction lines and drop repeated event
-    ids that arrive within the watermark."""
+def timed_lines(raw_events: DataFrame) -> DataFrame:
+    """Normalized lines with ``_event_time``: watermarks need an instant, so the wall-clock
+    time is read as UTC."""
     lines = normalize_transactions(events_to_transactions(raw_events))
-    # watermarks need an instant type: the wall-clock time read as UTC
-    timed = lines.withColumn("_event_time", F.to_utc_timestamp(F.col("invoice_date").cast("timestamp"), "UTC"))
-    return (timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(["event_id"])
-            .drop("_event_time"))
+    return lines.withColumn("_event_time", F.to_utc_timestamp(F.col("invoice_date").cast("timestamp"), "UTC"))
+
+
+def transaction_stream(raw_events: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """Normalize an event stream into transaction lines and drop repeated event ids that
+    arrive within the watermark (later lines are dropped by Spark; see ``run_transactions``)."""
+    return (timed_lines(raw_events).withWatermark("_event_time", watermark)
+            .dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time"))
+
+
+def run_transactions(raw_events: DataFrame, sink: str, checkpoint: str, watermark: str = "1 day"):
+    """Process what is available: under ``sink``, ``lines`` (first copies), ``late`` (lines
+    older than the newest seen line less the watermark when their batch began) and ``repeats``.
+    Every input line is in exactly one of them. Lines of a batch are compared with those
+    kept within the watermark before; each batch writes its own folder, so running it
+    again changes nothing."""
+    spark = raw_events.sparkSession
+    delay = F.expr(f"INTERVAL {watermark}")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = written(batch, "stream_batch")
+        before = _earlier(spark, f"{sink}/lines", batch.schema, batch_id)
+        seen = _earlier(spark, f"{sink}/newest", StructType([batch.schema["_event_time"]]), batch_id)  # a row per batch
+        newest = None if seen is None else seen.agg(F.max("_event_time").alias("t")).first()["t"]
+        floor = F.lit(newest) - delay if newest is not None else F.lit(None).cast("timestamp")
+        is_late = F.coalesce(F.col("_event_time") < floor, F.lit(False))
+        # the smallest line of an event within a batch stands for it, as in the batch rule
+        firsts = batch.where(~is_late).groupBy("event_id").agg(F.min(F.struct(*batch.columns)).alias("l"),
+                                                               F.count(F.lit(1)).alias("copies"))
+        if before is not None:
+            recent = before.where(F.col("_event_time") >= floor).select("event_id").distinct()
+            firsts = firsts.join(recent.withColumn("seen", F.lit(True)), "event_id", "left")
+        else:
+            firsts = firsts.withColumn("seen", F.lit(None).cast("boolean"))
+        firsts = written(firsts, "stream_firsts")
+        new = F.col("seen").isNull()
+        firsts.where(new).select("l.*").write.mode("overwrite").parquet(f"{sink}/lines/batch={batch_id}")
+        repeats = F.col("copies") - F.when(new, 1).otherwise(0)
+        firsts.select("event_id", repeats.alias("repeats")).where("repeats > 0").write.mode("overwrite").parquet(
+            f"{sink}/repeats/batch={batch_id}")
+        batch.where(is_late).write.mode("overwrite").parquet(f"{sink}/late/batch={batch_id}")
+        batch.agg(F.max("_event_time").alias("_event_time")).write.mode("overwrite").parquet(f"{sink}/newest/batch={batch_id}")
+
+    q = (timed_lines(raw_events).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def _earlier(spark: SparkSession, folder: str, schema, batch_id: int) -> DataFrame | None:
+    """Lines that batches before ``batch_id`` have kept; None before the first."""
+    if batch_id == 0:
+        return None
+    typed = StructType([*schema.fields, StructField("batch", LongType())])
+    return spark.read.schema(typed).parquet(folder).where(F.col("batch") < batch_id)
 
 
 def scoring_stream(features: DataFrame, bundle, scenario: EconomicScenario, params: SnapshotParams,
                    known_segments) -> DataFrame:
-    """Per-row scoring with contract checks, warnings and economics (no state)."""
+    """Per-row scoring with warnings and economics (no state) of rows that meet the contract."""
     from keepwell.operators.model import score
 
-    checked = portfolio.contract_violations(features)
-    warned = portfolio.row_warnings(checked, known_segments)
-    return _score_columns(score(bundle, warned), scenario, params)
+    valid, _ = portfolio.split_by_contract(features)
+    return _score_columns(score(bundle, portfolio.row_warnings(valid, known_segments)), scenario, params)
+
+
+def quarantine_stream(features: DataFrame) -> DataFrame:
+    """Rows that break the feature contract, with their violations."""
+    return portfolio.split_by_contract(features)[1]
 
 
 def _score_columns(scored: DataFrame, scenario: EconomicScenario, params: SnapshotParams) -> DataFrame:
@@ -61,7 +120,7 @@ def _score_columns(scored: DataFrame, scenario: EconomicScenario, params: Snapsh
               .when(F.coalesce(F.col("expected_net_value") <= 0, F.lit(False)),
                     F.lit(portfolio.REASON_SINGLE_NONPOSITIVE))
               .otherwise(F.lit(portfolio.REASON_SINGLE_POSITIVE)))
-    return ec.select("customer_id", "churn_probability", "model_version", "violations", "is_valid", "warnings",
+    return ec.select("customer_id", "churn_probability", "model_version", "warnings",
                      F.col("estimated_margin_at_risk").alias("margin_at_risk"), "expected_net_value",
                      (ok & F.col("economic_eligibility")).alias("economic_eligibility"), reason.alias("reason"))
 
@@ -74,11 +133,10 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "ap
     return q
 
 
-def drift_per_batch(stream: DataFrame, reference: DataFrame, sink: str, checkpoint: str):
-    """Alerts of every micro-batch against the reference, appended with the batch id."""
+def drift_per_batch(stream: DataFrame, baseline: drift.Baseline, sink: str, checkpoint: str):
+    """Alerts of every micro-batch against the baseline, in a folder per batch id."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = drift.drift_alerts(reference, batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        alerts.write.mode("append").parquet(sink)
+        drift.drift_alerts(baseline, batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -88,3 +88,35 @@ def test_month_first_export_dates(spark):
     ]))
     dates = {r["invoice_date"] for r in df.collect()}
     assert dates == {dt.datetime(2010, 12, 1, 8, 26)}
+
+
+def test_lenient_parse_takes_no_suffixes_or_bare_numbers(spark):
+    df = normalize_transactions(raw(spark, [
+        ("1", "P", "x", "5d", "12346", "2.5f", "1", "UK"),
+        ("2", "P", "x", "1e3", "2010-12-01T08:26:00", ".5", "1", "UK"),
+        ("3", "P", "x", "NaN", "20101201", "Infinity", "1", "UK"),
+        ("4", "P", "x", " -7 ", "2010-12-01", "1.", "1", "UK"),
+    ]))
+    rows = {r["invoice_no"]: r for r in df.collect()}
+    assert [rows[i]["quantity"] for i in "1234"] == [None, 1000.0, None, -7.0]
+    assert [rows[i]["unit_price"] for i in "1234"] == [None, 0.5, None, 1.0]
+    assert [rows[i]["invoice_date"] and rows[i]["invoice_date"].year for i in "1234"] == [None, 2010, None, 2010]
+
+
+def test_csv_quotes_commas_and_line_ends(spark, tmp_path):
+    path = tmp_path / "tx.csv"
+    path.write_text("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                    '1,P1,"SET ""A"", LARGE",2,2024-01-01,1.25,17850.0,United Kingdom\n'
+                    '2,P1,"two\nlines",3,2024-01-01,1.5,17851.0,France\n'
+                    "3,P1,plain,4,2024-01-01,1.5,17852.0,France\n")
+    rows = {r["invoice_no"]: r for r in normalize_transactions(read_raw_transactions(spark, str(path))).collect()}
+    assert len(rows) == 3 and rows["1"]["description"] == 'SET "A", LARGE' and rows["2"]["description"] == "two\nlines"
+    assert [rows[i]["quantity"] for i in "123"] == [2.0, 3.0, 4.0] and rows["2"]["customer_id"] == "17851"
+
+
+def test_csv_sink_reads_back(spark, tmp_path):
+    from keepwell.sources.files import read_csv, write_csv
+    df = spark.createDataFrame([('a "b", c', 1.5, 2), ("d", None, 3)], "t string, x double, n int")
+    write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, str(tmp_path / "out"), df.schema)
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)

@@ -6,8 +6,8 @@ from keepwell.operators.ordered import exact_quantiles, ordered_prefix
 
 def test_prefix_matches_global_order_with_many_buckets(spark):
     df = spark.range(0, 3000).select(F.col("id"), ((F.col("id") * 7919) % 97).cast("double").alias("v"))
-    for buckets in (1, 5, 37):
-        out = ordered_prefix(df, [("v", False), ("id", True)], sums={"cum": F.col("v")}, n_buckets=buckets,
+    for rows in (10_000, 600, 80):
+        out = ordered_prefix(df, [("v", False), ("id", True)], sums={"cum": F.col("v")}, bucket_rows=rows,
                              rank_col="r").toPandas().sort_values("r")
         pdf = df.toPandas().sort_values(["v", "id"], ascending=[False, True])
         assert list(out["id"]) == list(pdf["id"])
@@ -20,7 +20,7 @@ def test_prefix_partition_count_independent(spark):
     for parts in ("1", "16"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         results.append(sorted(tuple(r) for r in ordered_prefix(
-            df, [("v", True), ("id", True)], by=["g"], groups_bound=13, rank_col="r").collect()))
+            df, [("v", True), ("id", True)], by=["g"], rank_col="r").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1]
 
@@ -39,20 +39,17 @@ def test_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
-def test_two_level_bucket_search_matches_linear(spark):
-    from keepwell.operators.ordered import _bucket_of
-    edges = [float(e) for e in range(0, 300, 3)]          # 100 edges -> 4 blocks
-    df = spark.range(-5, 310).select(F.col("id").cast("double").alias("x"))
-    got = df.select("x", _bucket_of(F.col("x"), [F.lit(e) for e in edges]).alias("b")).collect()
-    assert all(r["b"] == sum(1 for e in edges if e < r["x"]) for r in got)
+def test_totals_and_null_sums_per_group(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None), ("b", 3, None)], "g string, id int, x double")
+    rows = {r["id"]: r for r in ordered_prefix(df, [("id", True)], sums={"s": F.col("x")}, by=["g"], rank_col="r",
+                                               totals=True, bucket_rows=1).collect()}
+    assert [(rows[i]["r"], rows[i]["r_total"], rows[i]["s"], rows[i]["s_total"]) for i in (1, 2, 3)] == [
+        (1, 2, 2.0, 2.0), (2, 2, 2.0, 2.0), (1, 1, None, None)]
 
 
-def test_sampled_edges_path(spark, monkeypatch):
-    import keepwell.operators.ordered as ordered
-    monkeypatch.setattr(ordered, "SMALL_INPUT_ROWS", 100)
+def test_tiny_buckets_and_empty_input(spark):
     df = spark.range(0, 3000).select(F.col("id"), ((F.col("id") * 7919) % 97).cast("double").alias("v"))
-    out = ordered.ordered_prefix(df, [("v", False), ("id", True)], n_buckets=9, rank_col="r").toPandas()
-    pdf = df.toPandas().sort_values(["v", "id"], ascending=[False, True])
-    assert list(out.sort_values("r")["id"]) == list(pdf["id"])
-    q = ordered.exact_quantiles(df, "v", [0.5, 0.9]).orderBy("q_index").toPandas()
-    assert np.allclose(q["quantile"], np.quantile(pdf["v"].values, [0.5, 0.9]))
+    q = exact_quantiles(df, "v", [0.5, 0.9]).orderBy("q_index").toPandas()
+    assert np.allclose(q["quantile"], np.quantile(df.toPandas()["v"].values, [0.5, 0.9]))
+    assert ordered_prefix(df.where("false"), [("id", True)], sums={"s": F.col("v")}, totals=True).count() == 0
+    assert exact_quantiles(df.where("false"), "v", [0.5]).count() == 0

@@ -50,3 +50,37 @@ def test_stream_dedup_within_watermark(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == 2
     assert got.filter(F.col("is_cancellation")).count() == 1
+
+
+def test_no_line_is_lost_over_several_batches(spark, tmp_path):
+    """Four files, newest first, one per batch: every line is kept, late or a repeat."""
+    src = tmp_path / "events"
+    src.mkdir()
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    rows = [(i, day(20 - 4 * (i % 5), i % 12), i % 3, "purchase", 1.0 + i, '{"k": 3}') for i in range(40)]
+    rows += [rows[3], rows[3], rows[8]]
+    rows.sort(key=lambda r: r[1], reverse=True)
+    schema = jobs.EVENTS_SCHEMA
+    for i in range(4):
+        spark.createDataFrame(rows[i * 11:(i + 1) * 11], schema).coalesce(1).write.parquet(str(src / f"f{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    jobs.run_transactions(stream, out, ckpt)
+    lines, late = spark.read.parquet(f"{out}/lines"), spark.read.parquet(f"{out}/late")
+    repeats = spark.read.parquet(f"{out}/repeats").agg(F.sum("repeats")).first()[0] or 0
+    assert lines.count() + late.count() + repeats == len(rows)
+    assert late.count() > 0 and lines.groupBy("event_id").count().where("count > 1").count() == 0
+    jobs.run_transactions(stream, out, ckpt)  # a restart finds nothing new
+    assert spark.read.parquet(f"{out}/lines").count() == lines.count()
+
+
+def test_checkpoint_folder_is_required_off_a_local_master(spark):
+    import pytest
+    from types import SimpleNamespace
+    from keepwell import session
+    nothing = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="yarn", getConf=lambda: SimpleNamespace(get=lambda k, d=None: d),
+                              _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: nothing)))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(cluster)

@@ -145,3 +145,31 @@ def test_tampered_snapshot_is_rejected(spark):
     snaps2 = snapshot_candidates(t, overlapping, strict=False).filter("is_eligible")
     with pytest.raises(PointInTimeError, match="split_order_violations"):
         assert_point_in_time(snaps2, t, overlapping)
+
+
+def test_small_and_huge_prices(spark):
+    """Products are doubles: four lines at 4e-5 add up, and a price of 1e15 ends nothing."""
+    rows = [(f"i{i}", f"S{i}", "x", 1.0, D(2024, 1, 12 + i), 0.00004, "T", "Spain") for i in range(4)]
+    rows += [("h1", "S", "x", 3.0, D(2024, 1, 13), 1e15, "H", "Spain"), ("h2", "S", "x", 1.0, D(2024, 1, 14), 1e30, "H", "Spain")]
+    rows += [("z1", "S", "x", 1.0, D(2024, 1, 1), 1.0, None, "Spain"), ("z2", "S", "x", 1.0, D(2024, 1, 30), 1.0, None, "Spain")]
+    out = {r["customer_id"]: r for r in snapshot_candidates(tx(spark, rows), P).collect()}
+    assert out["T"]["monetary_value"] == pytest.approx(0.00016)
+    assert out["H"]["monetary_value"] == pytest.approx(3e15)
+
+
+def test_date_windows_reach_the_scan(spark, tmp_path):
+    from keepwell.operators.snapshots import cutoff_plan, deduplicated_events, used_lines
+    tx(spark, ROWS).write.parquet(str(tmp_path / "tx"))
+    plan = deduplicated_events(used_lines(spark.read.parquet(str(tmp_path / "tx")), cutoff_plan(P)))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = text.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThan(invoice_date" in pushed and "LessThanOrEqual(invoice_date" in pushed
+
+
+def test_missing_lineage_columns_are_named(spark, cand):
+    from keepwell.operators.snapshots import assert_eligibility
+    from keepwell.schemas import SchemaError
+    with pytest.raises(SchemaError, match="label_window_end"):
+        assert_eligibility(spark.createDataFrame([("train",)], "split string"), P)
