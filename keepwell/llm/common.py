@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.session import ensure_checkpoint_dir
+from keepwell.scratch import scratch, written
+from keepwell.workers import ship
+
+__all__ = ["BUCKETS", "SPACE", "bucket", "fresh", "let", "scratch", "ship", "table", "text_of", "words", "written"]
 
 #: Fixed value: white space of the word rule (blank, tab, LF, VT, FF, CR), as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -20,37 +18,6 @@ SPACE = r"[\x20\x09-\x0D]"
 BUCKETS = 1 << 17
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir``."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/keepwell_llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there, a lost executor
-    costs one re-read, and the planner knows its size before it plans a join."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, so that the
-    functions of an operator can be imported on every executor."""
-    context = spark.sparkContext
-    if getattr(context, "_keepwell_shipped", False):
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="keepwell-"), "keepwell.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-        for folder, _, names in sorted(os.walk(package)):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                archive.write(full, os.path.relpath(full, os.path.dirname(package)))
-    context.addPyFile(path)
-    context._keepwell_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

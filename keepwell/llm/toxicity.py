@@ -36,14 +36,14 @@ _CHUNK = 1 << 17
 class Settings:
     """Bounds of the training sample, and FTRL's rates and penalties."""
 
-    sample_docs: int = 8192
-    sample_bytes: int = 64 << 20
-    alpha: float = 0.3
+    sample_docs: int = 20_000
+    sample_bytes: int = 96 << 20
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
-    epochs: int = 4
-    least_docs: int = 3
+    l1: float = 6.0
+    l2: float = 0.0
+    epochs: int = 8
+    least_docs: int = 8
 
 
 def _hashed(text: str) -> Iterator[np.ndarray]:
