@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from keepwell.llm.chat import BODY, CLOSE, CONTROL, END, OPEN, RESERVED
 from keepwell.llm.quality import CUTOFFS, MAX_REPEAT_PERCENT, MIN_WORDS, RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -81,4 +84,33 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
-ORACLE_SQL = {"op2_exact_dedup": OP2, "op6_quality_rules": OP6, "op8_mixing": OP8}
+#: Base32 of a SHA-1: eight times five hex digits make eight times four base32 digits.
+OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, strlen(p.h)::BIGINT AS payload_bytes,
+       array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1) FOR s IN [15, 10, 5, 0]], '')
+                        FOR v IN [('0x' || substr(x, 5 * i + 1, 5))::INT FOR i IN range(8)]], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS digest_ok
+FROM p JOIN f ON p.h = f.h
+"""
+
+_SHOWN = "(length({x}) + len(regexp_extract_all({x}, '{p}')))"
+_CONTROLS = "|".join(["\\\\", *map(re.escape, CONTROL)])
+OP4 = f"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r)) AS turns_sha256,
+       coalesce(sum(length(x)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY turn, r) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       (sum({len("".join(RESERVED[i] for i in (OPEN, BODY, CLOSE)))} + {_SHOWN.format(x="r", p=_CONTROLS)} + {_SHOWN.format(x="x", p=_CONTROLS)})
+        + {len(RESERVED[END])})::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLE_SQL = {"op1_warc": OP1, "op4_chat_format": OP4,
+              "op2_exact_dedup": OP2, "op6_quality_rules": OP6, "op8_mixing": OP8}
