@@ -94,7 +94,7 @@ def blocks(total: int, shards: int, block_rows: int) -> tuple[np.ndarray, np.nda
 def _deal(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int, name: str) -> Iterator[pa.RecordBatch]:
     """Adds the block of each row as column ``name``; columns ``at`` and ``at + 1`` are the
     partition and the row in it."""
-    parts, rows, columns = plan.value
+    parts, rows, columns = plan.value[:3]
     place = {int(p): i for i, p in enumerate(parts)}
     known: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -126,18 +126,19 @@ def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int =
         nth, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
     counts = sorted((r[0], r[1]) for r in numbered.groupBy(part).count().collect())  # one row a partition
     size, shard, first = blocks(sum(n for _, n in counts), shards, block_rows)
-    plan = spark.sparkContext.broadcast((np.array([p for p, _ in counts]), np.array([n for _, n in counts], dtype=np.int64), size))
+    # numbers per partition and per block only; the matrix itself is drawn in the tasks
+    plan = spark.sparkContext.broadcast((np.array([p for p, _ in counts]), np.array([n for _, n in counts], dtype=np.int64),
+                                         size, shard, first))
     at = len(own.columns)
     dealt = numbered.mapInArrow(partial(_deal, at=at, plan=plan, seed=seed, name=block),
                                 StructType([*numbered.schema.fields, StructField(block, IntegerType())]))
     schema = StructType([*own.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
-    shard_of, first_of = dict(enumerate(shard.tolist())), dict(enumerate(first.tolist()))
 
     def permuted(group: pa.Table) -> pa.Table:
         group = group.sort_by([(part, "ascending"), (nth, "ascending")])  # whatever order the rows came in
-        b = group[block][0].as_py()
-        if group.num_rows != size[b]:
-            raise ValueError(f"block {b} got {group.num_rows} rows, the matrix says {size[b]}")
+        b, (_, _, sizes, shard_of, first_of) = group[block][0].as_py(), plan.value
+        if group.num_rows != sizes[b]:
+            raise ValueError(f"block {b} got {group.num_rows} rows, the matrix says {sizes[b]}")
         slots = first_of[b] + np.random.default_rng([seed, 3, b]).permutation(group.num_rows)
         return (group.drop_columns([part, nth, block])
                 .append_column("shard", pa.array(np.full(group.num_rows, shard_of[b]), pa.int32()))
