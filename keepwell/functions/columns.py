@@ -75,11 +75,6 @@ def pseudonymize(customer_id: Column, salt: str = "customer:") -> Column:
     return F.substring(F.sha2(F.concat(F.lit(salt), customer_id.cast("string")), 256), 1, 16)
 
 
-def money(col: Column) -> Column:
-    """Two-decimal money as exact decimal, so sums do not depend on order."""
-    return col.cast("decimal(18,2)")
-
-
 def beside(first, *others):
     """One-row tables as one row: every other side is broadcast, as it is one row."""
     for other in others:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
+# fixed values: names of the canonical columns
 CANONICAL_COLUMNS = [
     "invoice_no", "stock_code", "description", "quantity",
     "invoice_date", "unit_price", "customer_id", "country",
@@ -22,27 +22,13 @@ SOURCE_COLUMN_MAP = {
     "Country": "country",
 }
 
-RAW_STRING_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SOURCE_COLUMN_MAP])
-
-NORMALIZED_SCHEMA = T.StructType([
-    T.StructField("invoice_no", T.StringType(), True),
-    T.StructField("stock_code", T.StringType(), True),
-    T.StructField("description", T.StringType(), True),
-    T.StructField("quantity", T.DoubleType(), True),
-    T.StructField("invoice_date", T.TimestampNTZType(), True),
-    T.StructField("unit_price", T.DoubleType(), True),
-    T.StructField("customer_id", T.StringType(), True),
-    T.StructField("country", T.StringType(), True),
-    T.StructField("is_cancellation", T.BooleanType(), False),
-    T.StructField("line_value", T.DoubleType(), True),
-    T.StructField("event_id", T.StringType(), False),
-])
-
+# fixed values: what validation reads
 VALIDATION_REQUIRED = [
     "invoice_no", "stock_code", "quantity", "invoice_date", "unit_price",
     "customer_id", "country", "is_cancellation", "line_value", "event_id",
 ]
 
+# fixed values: names of the features
 NUMERIC_FEATURES = [
     "recency_days",
     "purchase_frequency",
