@@ -19,27 +19,26 @@ from keepwell.llm.common import bucket, fresh, text_of, written
 PREFIX_CHARS = 64
 
 
-def _suspects(df: DataFrame, keys: list[str], hit: str) -> DataFrame:
-    """The hash buckets of key groups with several rows: ``BUCKETS`` rows at most."""
+def _suspects(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The hash buckets (``suspect``) of key groups with several rows: ``BUCKETS`` rows at most."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return written(groups.select(bucket(*keys).alias(hit)).distinct(), "suspects")
+    return written(groups.select(bucket(*keys).alias("suspect")).distinct(), "suspects")
 
 
 def _flagged(docs: DataFrame, text: Column, prefix_chars: int) -> tuple[DataFrame, str, str]:
     """``docs`` with its byte length and a flag that is null unless length and prefix
     hash are shared with another row."""
-    n_bytes, prefix, by_len, by_prefix = fresh(docs, "n_bytes", "prefix", "by_len", "by_prefix")
-    sized = docs.withColumn(n_bytes, F.octet_length(text))
-    lengths = _suspects(sized.select(n_bytes), [n_bytes], by_len)
-    # round 2 reads prefixes only of rows whose length is shared
+    n_bytes, place, flag = fresh(docs, "n_bytes", "place", "flag")
     hashed = F.xxhash64(F.substring(text, 1, prefix_chars))
-    sized = sized.withColumn(by_len, bucket(n_bytes))
-    live = sized.join(F.broadcast(lengths), by_len, "left_semi").withColumn(prefix, hashed)
-    prefixes = _suspects(live.select(n_bytes, prefix), [n_bytes, prefix], by_prefix)
-    key = F.when(F.col(n_bytes).isNotNull(), bucket(F.col(n_bytes), hashed))
-    hit = prefixes.withColumnRenamed(by_prefix, by_len).withColumn(by_prefix, F.lit(True))
-    return (sized.withColumn(by_len, key).join(F.broadcast(hit), by_len, "left").drop(by_len),
-            n_bytes, by_prefix)
+    sized = docs.withColumn(n_bytes, F.octet_length(text))
+    lengths = _suspects(sized.select(n_bytes), [n_bytes])
+    # round 2 reads the prefixes of rows whose length is shared
+    live = (sized.withColumn(place, bucket(n_bytes))
+            .join(F.broadcast(lengths.withColumnRenamed("suspect", place)), place, "left_semi")
+            .select(F.col(n_bytes).alias("n_bytes"), hashed.alias("prefix")))
+    prefixes = _suspects(live, ["n_bytes", "prefix"]).select(F.col("suspect").alias(place), F.lit(True).alias(flag))
+    out = sized.withColumn(place, bucket(F.col(n_bytes), hashed)).join(F.broadcast(prefixes), place, "left")
+    return out.drop(place), n_bytes, flag
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
