@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import (chat, exact, mixing, packing, quality, sharding, simhash, token_count, toxicity, warc)
+from keepwell.llm import (chat, exact, mixing, packing, quality, sharding, simhash, token_count, tokens, toxicity, warc)
 from keepwell.llm.common import table, written
 
 
@@ -61,7 +61,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_count.count_documents(table(spark, sf_dir, "documents"))
+    return token_count.count_documents(table(spark, sf_dir, "documents"), vocab=tokens.public("byte_bpe_multi_50k.tiktoken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
