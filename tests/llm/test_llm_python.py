@@ -435,3 +435,24 @@ def test_scan_stitches_blocks(spark, monkeypatch):
         got = token_count.scan(spark.createDataFrame(files, "path string, tokens long"), end=0, block_tokens=block)
         rows = [tuple(r) for r in got.select("path", "nth", "start", "n_tokens", "ended").collect()]
         assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_written_shards(spark, tmp_path):
+    docs = docs_of(spark, [(i, f"t{i}") for i in range(50)])
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=6, block_rows=3)
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+        assert r.text == f"t{r.doc_id}"
+    assert sorted(map(len, slots.values())) == [8, 8, 8, 8, 9, 9] and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shuffle_is_the_same_after_lost_tasks(spark):
+    """The same rows in the same partitions give the same shards, in whatever order a task
+    reads them: numbers are written, draws are seeded by node, partition and block."""
+    rows = spark.range(500).repartition(7, "id").withColumnRenamed("id", "doc_id")
+    a = {(r.doc_id, r.shard, r.slot) for r in sharding.shuffle(rows, 5, seed=3, block_rows=20).collect()}
+    b = {(r.doc_id, r.shard, r.slot) for r in sharding.shuffle(rows, 5, seed=3, block_rows=20).collect()}
+    c = {(r.doc_id, r.shard, r.slot) for r in sharding.shuffle(rows, 5, seed=4, block_rows=20).collect()}
+    assert a == b and a != c
