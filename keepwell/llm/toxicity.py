@@ -72,10 +72,17 @@ def train(examples: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[
     y = labels.astype(np.float64)
     share = (y.sum() + 0.5) / (len(y) + 10.0)
     prior = float(np.log(share / (1 - share)))
+    # most features are of one example: a table of 2**24 counts, never below a feature's own
+    # count, drops them before they are sorted
+    seen = np.zeros(1 << 24, dtype=np.uint32)
+    low = np.uint32(len(seen) - 1)
+    for x in examples:
+        seen[x & low] += 1
+    examples = [x[seen[x & low] >= s.least_docs] for x in examples]
     every = np.concatenate([*examples, np.zeros(0, np.uint32)])
     names, counts = np.unique(every, return_counts=True)
     names = names[counts >= s.least_docs]
-    del every, counts
+    del every, counts, seen
     places = []
     for x in examples:
         at = np.searchsorted(names, x)
