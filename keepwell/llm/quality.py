@@ -106,22 +106,28 @@ def _lgamma(x: Column) -> Column:
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Binomial(n, p), the exact sum. Terms are added from k down;
-    those more than 14 standard deviations below k are under 1e-40 of the sum when the
-    result is small, and the result is 1 when k >= n."""
+    """P(X <= k) for X ~ Binomial(n, p). Below the mean the terms are added from k down,
+    from the mean on it is 1 less the terms from k + 1 up, so the sum always starts at its
+    largest term. Terms more than 14 standard deviations and 60 steps further out are under
+    1e-35 of the part of the distribution that is summed; the result is 1 when k >= n."""
     k, n = k.cast("double"), n.cast("double")
-    top = (_lgamma(n + 1) - _lgamma(k + 1) - _lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
-    terms = F.least(k, F.ceil(14 * F.sqrt(n * p * (1 - p))) + 60).cast("int")
+    low = k < n * p
+    first = F.when(low, k).otherwise(F.least(k + 1, n))
+    top = (_lgamma(n + 1) - _lgamma(first + 1) - _lgamma(n - first + 1) + first * math.log(p)
+           + (n - first) * math.log1p(-p))
+    terms = F.least(F.when(low, k).otherwise(n - first), F.ceil(14 * F.sqrt(n * p * (1 - p))) + 60).cast("int")
     start = F.struct(top.alias("term"), F.exp(top).alias("sum"))
 
-    def down(acc: Column, j: Column) -> Column:  # the j-th step goes from k - j + 1 to k - j
-        at = k - j + 1
-        term = acc.getField("term") + F.log(at * (1 - p) / ((n - at + 1) * p))
+    def out(acc: Column, j: Column) -> Column:  # the j-th step leads j terms away from the first
+        at = F.when(low, first - j + 1).otherwise(n - first - j + 1)
+        odds = F.when(low, F.lit((1 - p) / p)).otherwise(F.lit(p / (1 - p)))
+        term = acc.getField("term") + F.log(at * odds / (n - at + 1))
         return F.struct(term.alias("term"), (acc.getField("sum") + F.exp(term)).alias("sum"))
 
     steps = F.when(terms >= 1, F.sequence(F.lit(1), terms)).otherwise(F.array().cast("array<int>"))
-    total = F.aggregate(steps, start, down, lambda acc: acc.getField("sum"))
-    return F.when(k >= n, F.lit(1.0)).otherwise(F.least(F.lit(1.0), total))
+    total = F.aggregate(steps, start, out, lambda acc: acc.getField("sum"))
+    tail = F.when(low, total).otherwise(1 - total)
+    return F.when(k >= n, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
 
 
 def cutoffs(labelled: DataFrame, stratum: str, good: str, risk: float = 0.1, error: float = 0.05) -> DataFrame:

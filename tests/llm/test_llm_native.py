@@ -156,6 +156,25 @@ def test_binomial_tail_is_exact(spark):
         assert got == pytest.approx(want, rel=1e-8)
 
 
+def test_binomial_tail_far_above_the_mean(spark):
+    for k, n, p in [(500, 5000, 0.025), (1000, 20_000, 0.025), (300, 1000, 0.025), (4999, 5000, 0.025), (126, 5000, 0.025), (160, 5000, 0.025), (125, 5000, 0.025)]:
+        above = sum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p)
+                             + (n - j) * math.log1p(-p)) for j in range(k + 1, n + 1))
+        got = spark.range(1).select(quality.binomial_tail(F.lit(k), F.lit(n), p)).first()[0]
+        assert got == pytest.approx(1 - above, rel=1e-8)
+
+
+def test_a_jump_of_rejected_good_ones_is_refused(spark):
+    """At cutoffs down to 0.25, 1 % of the good documents go, from 0.2 on 30 %: more bad ones
+    would go there, but no cutoff below 0.25 may be used."""
+    schema = ("stratum string, good boolean, n_words long, word_chars long, n_symbols long, n_capitals long, "
+              "n_lines long, n_dup_lines long, n_repeat_words long")
+    kinds = [(True, 20, 520), (True, 580, 220), (True, 1400, 0), (False, 1000, 520), (False, 3000, 220)]
+    rows = [("a", good, 200, 1000, symbols, 0, 20, 0, 0) for good, n, symbols in kinds for _ in range(n)]
+    (limit,) = quality.cutoffs(spark.createDataFrame(rows, schema), "stratum", "good", risk=0.1).collect()
+    assert limit["symbols"] == 0.5
+
+
 def _labelled(spark, n_good, n_bad, bad_good=0):
     """Good documents without symbols (``bad_good`` of them with), bad ones full of them."""
     plain = " ".join(f"w{i}" for i in range(60))
