@@ -8,12 +8,15 @@ smallest, ``dot`` the one whose residual is best aligned with the demand (larges
 weighted dot product of the two, each as parts of the capacity).
 
 Documents are tokenized where they are read and only (id, place, length, checksum)
-goes on. Pieces are dealt by hash into groups of about ``group_pieces``, each packed
-alone in one task: a group wastes at most a few sequences of its thousand.
+goes on. Pieces are dealt by hash into groups of about ``group_pieces``, or of as many as
+fill ``GROUP_SEQUENCES`` where that is more, each packed alone in one task. The pieces
+of sequences that a group leaves unfilled are dealt again, among those of the other
+groups, as long as that saves sequences.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -23,12 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from keepwell.llm.common import ship, text_of, written
 from keepwell.llm.tokens import word_bpe
 
 EOS = 1
+#: A group is not made for fewer full sequences than this. With ``Capacity.documents`` it
+#: bounds the pieces of a group, however short they are.
+GROUP_SEQUENCES = 16
 
 
 @dataclass(frozen=True)
@@ -111,26 +117,64 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
 
 def _pack_group(group: pa.Table, capacity: Capacity) -> pa.Table:
     group = group.sort_by("row")  # the same result whatever order the rows came in
-    bins, offsets = best_fit(group["length"].to_numpy(), capacity)
+    lengths = group["length"].to_numpy()
+    bins, offsets = best_fit(lengths, capacity)
+    demand = lengths.astype(np.float64)
+    tokens, documents, attention = np.bincount(bins, demand), np.bincount(bins), np.bincount(bins, demand ** 2)
+    least = lengths.min(initial=capacity.tokens)
+    unfilled = ((tokens + least <= capacity.tokens) & (documents < capacity.documents)
+                & (attention + float(least) ** 2 <= capacity.attention))
     first = group["bin_group"][0].as_py() << 32
     return (group.drop_columns(["bin_group"]).append_column("sequence_id", pa.array(bins + first, pa.int64()))
-            .append_column("offset", pa.array(offsets, pa.int64())))
+            .append_column("offset", pa.array(offsets, pa.int64())).append_column("unfilled", pa.array(unfilled[bins])))
+
+
+def _least(n: int, tokens: int, attention: float, capacity: Capacity) -> int:
+    """The sequences that pieces of these totals need at least."""
+    return max(-(-n // capacity.documents), -(-tokens // capacity.tokens), math.ceil(attention / capacity.attention))
 
 
 def pack(cut: DataFrame, capacity: Capacity = Capacity(), group_pieces: int = 4096) -> DataFrame:
     """``cut`` (any columns, ``length`` from 1 to the token capacity) with ``sequence_id``
     and ``offset``. Pieces of a sequence lie one after another from 0. An empty table gives
-    no rows; repeated rows are pieces of their own."""
+    no rows; repeated rows are pieces of their own.
+
+    Rounds end when one group holds what is left, when the unfilled sequences are as few as
+    their pieces allow, or when a round saves less than 1 % of the sequences it dealt again."""
     ship(cut.sparkSession)
-    numbered = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
-    groups = max(1, -(-numbered.count() // group_pieces))
-    dealt = numbered.withColumn("bin_group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
-    schema = StructType([*numbered.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    rows = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    schema = StructType([*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType()),
+                         StructField("unfilled", BooleanType())])
 
     def packed(group: pa.Table) -> pa.Table:
         return _pack_group(group, capacity)
 
-    return dealt.groupBy("bin_group").applyInArrow(packed, schema).drop("row")
+    totals = (F.count("length"), F.sum("length"), F.sum(F.col("length").cast("double") ** 2))
+    total = [x or 0 for x in rows.agg(*totals).first()]
+    base, before, parts = 0, None, []
+    while True:
+        groups = max(1, min(-(-total[0] // group_pieces), _least(*total, capacity) // GROUP_SEQUENCES))
+        dealt = rows.withColumn("bin_group", (F.pmod(F.xxhash64("row", F.lit(base)), F.lit(groups)) + base).cast("int"))
+        done = written(dealt.groupBy("bin_group").applyInArrow(packed, schema), "packed")
+        begins, unfilled = F.col("offset") == 0, F.col("unfilled")
+        length = F.when(unfilled, F.col("length"))
+        made, left, *total = (x or 0 for x in done.agg(
+            F.count_if(begins), F.count_if(begins & unfilled), F.count(length), F.sum(length),
+            F.sum(length.cast("double") ** 2)).first())
+        if before is not None and made >= before[0]:  # nothing saved: they stay as they were
+            parts.append(before[1])
+            break
+        slow = before is not None and 100 * (before[0] - made) < before[0]
+        if groups == 1 or slow or left <= _least(*total, capacity):
+            parts.append(done)
+            break
+        parts.append(done.where("not unfilled"))
+        before = (left, done.where("unfilled"))
+        rows, base = before[1].select(*rows.columns), base + groups
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop("row", "unfilled")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: Capacity = Capacity(),

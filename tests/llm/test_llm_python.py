@@ -340,6 +340,14 @@ def test_best_fit_holds_every_capacity(rule):
     assert max(Counter(bins.tolist()).values()) <= 3
 
 
+def test_short_pieces_fill_sequences_of_all_groups(spark):
+    for lengths, want in ((F.lit(1) + F.col("id") % 3, 10), (F.lit(10).cast("long"), 49)):
+        rows = packing.pack(spark.range(20_000).select("id", lengths.alias("length")), group_pieces=500).collect()
+        assert sorted(r.id for r in rows) == list(range(20_000))
+        _check_places(rows)
+        assert len({r.sequence_id for r in rows}) == want
+
+
 def test_packing_empty_group():
     bins, offsets = packing.best_fit(np.zeros(0, np.int64), packing.Capacity())
     assert len(bins) == len(offsets) == 0
