@@ -5,7 +5,7 @@ words left out, each counted once. FTRL-proximal keeps a rate per coordinate and
 penalty, so most coordinates are exactly 0 and the weights are few enough to broadcast.
 
 Training sees a bounded sample of labelled rows: at most ``sample_docs`` documents and
-``sample_bytes`` of text, the first in order of a hash of the id. Features are made where
+``sample_bytes`` of text, the first that fit in order of a hash of the id. Features are made where
 the texts are; one task runs the sequential updates over them. Scoring reads every whole
 text, distributed.
 """
@@ -13,6 +13,7 @@ text, distributed.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
@@ -129,6 +130,28 @@ def _train(batches: Iterable[pa.RecordBatch], settings: Settings) -> Iterator[pa
     yield pa.RecordBatch.from_pydict({"feature": [-1, *names.tolist()], "weight": [bias, *w.tolist()]})
 
 
+def _fitting(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, h, label, size) in order to (id, nth, label) of those that fit into ``most`` together."""
+    left, nth = most, 0
+    for batch in batches:
+        rows, places = [], []
+        for i, size in enumerate(batch.column(3).to_pylist()):
+            if size <= left:
+                left, nth = left - size, nth + 1
+                rows.append(i), places.append(nth)
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(places, pa.int32()), batch.column(2).take(at)],
+                                         names=["id", "nth", "label"])
+
+
+def _warn_if_few(sizes: DataFrame, used: DataFrame, least: int) -> None:
+    """Warn of a label that has fewer than ``least`` examples because of the byte bound."""
+    drawn, kept = ({r["label"]: r["count"] for r in x.groupBy("label").count().collect()} for x in (sizes, used))
+    for label, n in sorted(drawn.items()):
+        if kept.get(label, 0) < min(n, least):
+            warnings.warn(f"{kept.get(label, 0)} of {n} examples of label {label} fit into the training sample", stacklevel=3)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         settings: Settings = Settings()) -> DataFrame:
     """The model (feature long, weight double); feature -1 is the bias.
@@ -143,10 +166,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
     # at most sample_docs rows: a bounded broadcast and, below, a bounded window
     drawn = texts.join(F.broadcast(first), "id").groupBy("id", "h", "label").agg(F.min("t").alias("t"))
-    upto = Window.partitionBy(F.lit(0)).orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = drawn.select("id", "h", F.octet_length("t").alias("size"))
-    used = written(sizes.withColumn("upto", F.sum("size").over(upto)).withColumn("nth", F.row_number().over(
-        Window.partitionBy(F.lit(0)).orderBy("h", "id"))).where(F.col("upto") <= settings.sample_bytes).select("id", "nth"), "used")
+    # a text that the bytes left cannot hold is left out, later ones that fit are used
+    sizes = written(drawn.select("id", "h", "label", F.octet_length("t").cast("long").alias("size")), "sizes")
+    schema = StructType([sizes.schema["id"], StructField("nth", IntegerType()), sizes.schema["label"]])
+    used = written(sizes.repartition(1).sortWithinPartitions("h", "id").mapInArrow(partial(_fitting, most=settings.sample_bytes), schema), "used")
+    _warn_if_few(sizes, used, settings.least_docs)
+    used = used.select("id", "nth")
     chosen = drawn.join(F.broadcast(used), "id").select("nth", "label", "t")
     made = written(chosen.mapInArrow(_examples, "nth int, label int, features array<int>"), "examples")
     return written(made.coalesce(1).mapInArrow(partial(_train, settings=settings), "feature long, weight double"), "model")

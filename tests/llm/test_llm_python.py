@@ -132,6 +132,17 @@ def test_toxicity_bounds_and_edges(spark):
     assert toxicity.score(docs.where("false"), nothing).count() == 0
 
 
+def test_a_long_text_does_not_end_the_sample(spark):
+    rows = _toxic_rows(1500, 1)
+    longest = spark.createDataFrame([(r[0],) for r in rows], "id long").orderBy(F.xxhash64("id")).first().id
+    texts = [(i, "long " * 200_000 if i == longest else t) for i, t, _ in rows]
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(spark, texts), labels, settings=toxicity.Settings(sample_bytes=900_000))
+    assert model.count() > 1
+    with pytest.warns(UserWarning, match="examples of label"):
+        toxicity.fit(docs_of(spark, texts), labels, settings=toxicity.Settings(sample_bytes=1000))
+
+
 def test_features_do_not_depend_on_stretches(monkeypatch):
     text = " ".join(f"w{i % 37}" for i in range(100))
     whole = toxicity.text_features(text)
