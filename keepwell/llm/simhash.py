@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from keepwell.llm.common import ship, text_of, written
+from keepwell.llm.common import fresh, ship, text_of, written
 from keepwell.llm.components import components
 
 BITS, SEED = 64, 42
@@ -211,9 +211,16 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` (all columns) without those whose component has a smaller id.
-    Rows with a null id cannot be named by a component and stay; rows that repeat an id
-    share its fate."""
-    verdict = group(docs, id_col, text_col, size, radius)
-    gone = written(verdict.where(F.col(id_col) > F.col("component_id")).select(id_col).distinct(), "dropped")
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` (all columns) that stay: of each component those with the smallest
+    id, null last, and of several texts under that id one. A row goes by its id and text (a
+    64-bit hash of it), so rows that repeat an id with other texts are judged apart; rows
+    equal in id and text share their fate."""
+    late, own, text = F.col(id_col).isNull(), F.col(id_col), F.xxhash64(text_of(text_col))
+    keyed = docs.select(F.struct(late.alias("late"), own.alias("own"), text.alias("text")).alias("key"),
+                        text_of(text_col).alias("text"))
+    verdict = group(keyed, "key", "text", size, radius)
+    named = fresh(docs, "gone_id", "gone_text")
+    gone = written(verdict.where(F.col("key") > F.col("component_id")).select(
+        F.col("key.own").alias(named[0]), F.col("key.text").alias(named[1])).distinct(), "dropped")
+    return (docs.join(gone, own.eqNullSafe(F.col(named[0])) & (text == F.col(named[1])), "left_anti")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

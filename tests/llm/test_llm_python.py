@@ -255,6 +255,14 @@ def test_simhash_edges(spark):
     assert simhash.group(docs.where("false")).count() == 0
 
 
+def test_simhash_judges_rows_of_an_id_apart(spark):
+    same, lone, near = "one two three", " ".join(f"w{i}" for i in range(60)), "ONE two three"
+    rows = [(1, same), (2, near), (2, lone), (None, near), (3, "a b c"), (3, "A b c"), (None, "p q r"), (None, "P q r")]
+    out = [(r.doc_id, r.text) for r in simhash.deduplicate(docs_of(spark, rows)).collect()]
+    assert (1, same) in out and (2, lone) in out and (2, near) not in out and (None, near) not in out
+    assert sum(i == 3 for i, _ in out) == 1 and sum(i is None for i, _ in out) == 1 and len(out) == 4
+
+
 @pytest.mark.parametrize("cap", [1024, 6])
 def test_links_find_every_component(spark, cap):
     rnd = random.Random(5)
