@@ -3,12 +3,14 @@ same, their DuckDB SQL. Each runs its operator over its whole table."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import (chat, exact, mixing, packing, quality, sharding, simhash, token_count, tokens, toxicity, warc)
+from keepwell.llm import (bpe, chat, exact, merkle, mixing, packing, quality, sharding, simhash, token_count, tokens, toxicity,
+                          warc, whiten)
 from keepwell.llm.common import table, written
 
 
@@ -64,6 +66,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_documents(table(spark, sf_dir, "documents"), vocab=tokens.public("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, text = table(spark, sf_dir, "documents"), F.col("text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    built = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], claims=(tampered, {"text": lowered}))
+    return merkle.prove(built)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = whiten.transform(vectors, whiten.fit(vectors, components=16))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = tokens.public("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocab=vocab), vocab=vocab)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_toxicity, op4_chat_format, op5_simhash, op6_quality_rules,
-                            op7_best_fit_packing, op8_mixing, op9_sharding, op10_token_counts)}
+                            op7_best_fit_packing, op8_mixing, op9_sharding, op10_token_counts, op11_merkle_manifest,
+                            op12_embedding_whitening, op13_byte_bpe)}
