@@ -39,7 +39,7 @@ from keepwell.plans.stages import stage, stage_path
 from keepwell.schemas import NUMERIC_FEATURES
 from keepwell.sources.files import read_raw_transactions, write_csv
 from keepwell.streaming import jobs as streams
-from keepwell.sources.tables import events_transactions, nation_region_map, orders_transactions
+from keepwell.sources.tables import events_transactions, load_table, nation_region_map, orders_transactions
 
 PARAMS = ORDERS_PARAMS
 SCENARIO = ORDERS_SCENARIO
@@ -437,7 +437,33 @@ def q_stream_transactions(spark, sf_dir):
     src = spark.readStream.schema(streams.EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     root = _stream_root(spark, sf_dir, "transactions")
     streams.run_transactions(src, f"{root}/out", f"{root}/ckpt")
-    return present(spark.read.parquet(f"{root}/out/lines").drop("batch", "_event_time"))
+    return present(spark.read.parquet(f"{root}/out/lines"))
+
+
+def q_stream_accounting(spark, sf_dir):
+    """What the stream made of every line of an input in which events recur: copies of
+    every 7th event come with the rest, those of every 11th as a second file that is read
+    when the watermark has passed them."""
+    ev = load_table(spark, sf_dir, "events").select(*[c.split()[0] for c in streams.EVENTS_SCHEMA.split(", ")])
+    again = lambda k: ev.where(F.col("event_id") % k == 0)
+    root = _stream_root(spark, sf_dir, "accounting")
+    for part, events in (("first", ev.unionByName(again(7))), ("second", again(11).unionByName(stale(again(13))))):
+        events.write.mode("append").parquet(f"{root}/in/{part}")
+        src = spark.readStream.schema(streams.EVENTS_SCHEMA).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        streams.run_transactions(src, f"{root}/out", f"{root}/ckpt")
+    read = spark.read.schema(streams.EVENTS_SCHEMA).option("recursiveFileLookup", True).parquet(f"{root}/in")
+    repeats, late = streams.account(read, f"{root}/out")
+    kept = spark.read.parquet(f"{root}/out/lines")
+    fate = lambda df, name, n: df.groupBy("customer_id").agg(n.cast("long").alias("lines")).select(
+        "customer_id", F.lit(name).alias("fate"), "lines")
+    owner = kept.select("event_id", "customer_id")
+    return present(fate(kept, "kept", F.count(F.lit(1))).unionByName(fate(late, "late", F.count(F.lit(1)))).unionByName(
+        fate(repeats.join(owner, "event_id"), "repeated", F.sum("repeats"))))
+
+
+def stale(events: DataFrame) -> DataFrame:
+    """New events (ids of their own) from ten years before."""
+    return events.withColumns({"event_id": -F.col("event_id") - 1, "ts": F.col("ts") - F.expr("INTERVAL 10 YEARS")})
 
 
 def _stream_root(spark, sf_dir, name):
@@ -694,6 +720,7 @@ QUERIES = {
     "snapshot_facts": q_snapshot_facts,
     "policy_lift_comparison": q_policy_lift_comparison,
     "stream_transactions": q_stream_transactions,
+    "stream_accounting": q_stream_accounting,
     "stream_scoring": q_stream_scoring,
     "stream_drift": q_stream_drift,
 }

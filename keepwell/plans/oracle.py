@@ -320,6 +320,11 @@ def build() -> dict[str, str]:
                                     dbl=["quantity", "unit_price", "line_value"], ts=["invoice_date"])
     # the stream keeps one line per event id; event ids are unique in the events table
     q["stream_transactions"] = q["event_transactions"]
+    number = "CAST(replace(invoice_no, 'C', '') AS BIGINT)"
+    copies = f"count(*) + count_if({number} % 7 = 0) + count_if({number} % 11 = 0) - count(DISTINCT event_id)"
+    q["stream_accounting"] = with_(EVENTS_TX, NTX) + " UNION ALL ".join(
+        f"SELECT customer_id, '{fate}' AS fate, CAST({n} AS BIGINT) AS lines FROM ntx GROUP BY customer_id HAVING {n} > 0"
+        for fate, n in (("kept", "count(DISTINCT event_id)"), ("repeated", copies), ("late", f"count_if({number} % 13 = 0)")))
     usable = "customer_id IS NOT NULL AND customer_id <> ''"
     iso = ("CASE WHEN strftime({c}, '%f') = '000000' THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
            "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END")

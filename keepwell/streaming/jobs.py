@@ -2,9 +2,9 @@
 
 * X2 ``transaction_stream``: raw lines → normalized lines, deduplicated by event
   id. Unlike the batch rule (smallest line per event), a stream keeps the first copy
-  to *arrive*. Copies are matched within an event-time watermark; lines that come
-  later than that are not dropped but kept apart, so nothing is lost:
-  ``run_transactions`` writes kept, repeated and late lines of every batch.
+  to *arrive*. Copies are matched by Spark's own state within an event-time watermark;
+  lines that come later than that are dropped by Spark. ``account`` finds repeats and late
+  lines afterwards from input and output, so no line goes unnoticed.
 * X1 ``scoring_stream``: stateless per-row scoring with the fitted bundle, warnings and
   single-row economics for rows that meet the feature contract; the others go to
   ``quarantine_stream``.
@@ -19,12 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from keepwell.config import EconomicScenario, SnapshotParams
 from keepwell.operators import drift, portfolio
 from keepwell.operators.normalize import normalize_transactions
-from keepwell.scratch import written
 from keepwell.session import ensure_checkpoint_dir
 from keepwell.sources.tables import events_to_transactions
 
@@ -50,50 +48,28 @@ def transaction_stream(raw_events: DataFrame, watermark: str = "1 day") -> DataF
 
 
 def run_transactions(raw_events: DataFrame, sink: str, checkpoint: str, watermark: str = "1 day"):
-    """Process what is available: under ``sink``, ``lines`` (first copies), ``late`` (lines
-    older than the newest seen line less the watermark when their batch began) and ``repeats``.
-    Every input line is in exactly one of them. Lines of a batch are compared with those
-    kept within the watermark before; each batch writes its own folder, so running it
-    again changes nothing."""
-    spark = raw_events.sparkSession
-    delay = F.expr(f"INTERVAL {watermark}")
+    """Process what is available of a stream of events: first copies go to ``sink``/lines.
+    Watermark, state and its expiry are Spark's; a restart resumes from ``checkpoint``."""
+    return run_available(transaction_stream(raw_events, watermark), f"{sink}/lines", checkpoint)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = written(batch, "stream_batch")
-        before = _earlier(spark, f"{sink}/lines", batch.schema, batch_id)
-        seen = _earlier(spark, f"{sink}/newest", StructType([batch.schema["_event_time"]]), batch_id)  # a row per batch
-        newest = None if seen is None else seen.agg(F.max("_event_time").alias("t")).first()["t"]
-        floor = F.lit(newest) - delay if newest is not None else F.lit(None).cast("timestamp")
-        is_late = F.coalesce(F.col("_event_time") < floor, F.lit(False))
-        # the smallest line of an event within a batch stands for it, as in the batch rule
-        firsts = batch.where(~is_late).groupBy("event_id").agg(F.min(F.struct(*batch.columns)).alias("l"),
-                                                               F.count(F.lit(1)).alias("copies"))
-        if before is not None:
-            recent = before.where(F.col("_event_time") >= floor).select("event_id").distinct()
-            firsts = firsts.join(recent.withColumn("seen", F.lit(True)), "event_id", "left")
-        else:
-            firsts = firsts.withColumn("seen", F.lit(None).cast("boolean"))
-        firsts = written(firsts, "stream_firsts")
-        new = F.col("seen").isNull()
-        firsts.where(new).select("l.*").write.mode("overwrite").parquet(f"{sink}/lines/batch={batch_id}")
-        repeats = F.col("copies") - F.when(new, 1).otherwise(0)
-        firsts.select("event_id", repeats.alias("repeats")).where("repeats > 0").write.mode("overwrite").parquet(
-            f"{sink}/repeats/batch={batch_id}")
-        batch.where(is_late).write.mode("overwrite").parquet(f"{sink}/late/batch={batch_id}")
-        batch.agg(F.max("_event_time").alias("_event_time")).write.mode("overwrite").parquet(f"{sink}/newest/batch={batch_id}")
-
-    q = (timed_lines(raw_events).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+
+def account(raw_events: DataFrame, sink: str) -> tuple[DataFrame, DataFrame]:
+    """What became of the other lines, from the events that the stream has read (as a table)
+    and the lines it kept: (repeats, late).
+
+    ``repeats`` (event_id, repeats) counts the further copies of kept events, whenever they
+    came; ``late`` has the lines of events of which no copy was kept, as all of them came
+    behind the watermark. Lines kept, repeats and late lines add up to the input. Only
+    event ids and counts meet in the join of repeats; late lines are an anti-join."""
+    lines = normalize_transactions(events_to_transactions(raw_events))
+    kept = _counted_ids(lines.sparkSession.read.parquet(f"{sink}/lines"), "kept")
+    repeats = (_counted_ids(lines, "copies").join(kept, "event_id")
+               .select("event_id", (F.col("copies") - F.col("kept")).alias("repeats")).where("repeats > 0"))
+    return repeats, lines.join(kept.select("event_id"), "event_id", "left_anti").select(*lines.columns)
 
 
-def _earlier(spark: SparkSession, folder: str, schema, batch_id: int) -> DataFrame | None:
-    """Lines that batches before ``batch_id`` have kept; None before the first."""
-    if batch_id == 0:
-        return None
-    typed = StructType([*schema.fields, StructField("batch", LongType())])
-    return spark.read.schema(typed).parquet(folder).where(F.col("batch") < batch_id)
+def _counted_ids(lines: DataFrame, name: str) -> DataFrame:
+    return lines.groupBy("event_id").agg(F.count(F.lit(1)).alias(name))
 
 
 def scoring_stream(features: DataFrame, bundle, scenario: EconomicScenario, params: SnapshotParams,

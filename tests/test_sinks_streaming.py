@@ -53,7 +53,8 @@ def test_stream_dedup_within_watermark(spark, tmp_path):
 
 
 def test_no_line_is_lost_over_several_batches(spark, tmp_path):
-    """Four files, newest first, one per batch: every line is kept, late or a repeat."""
+    """Files newest first, one per batch, more of them after a restart: every line is kept, a
+    repeat or late, and Spark's own state decides which."""
     src = tmp_path / "events"
     src.mkdir()
     day = lambda d, h=0: dt.datetime(2024, 1, d, h)
@@ -61,17 +62,41 @@ def test_no_line_is_lost_over_several_batches(spark, tmp_path):
     rows += [rows[3], rows[3], rows[8]]
     rows.sort(key=lambda r: r[1], reverse=True)
     schema = jobs.EVENTS_SCHEMA
-    for i in range(4):
-        spark.createDataFrame(rows[i * 11:(i + 1) * 11], schema).coalesce(1).write.parquet(str(src / f"f{i}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
+
+    def put(name, some):
+        spark.createDataFrame(some, schema).coalesce(1).write.parquet(str(src / name))
+
+    def told():
+        read = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(src))
+        lines, (repeats, late) = spark.read.parquet(f"{out}/lines"), jobs.account(read, out)
+        n = lines.count(), repeats.agg(F.sum("repeats")).first()[0] or 0, late.count()
+        assert sum(n) == read.count()
+        assert lines.groupBy("event_id").count().where("count > 1").count() == 0
+        assert late.join(lines, "event_id").count() == 0
+        return n
+
+    for i in range(4):
+        put(f"f{i}", rows[i * 11:(i + 1) * 11])
     jobs.run_transactions(stream, out, ckpt)
-    lines, late = spark.read.parquet(f"{out}/lines"), spark.read.parquet(f"{out}/late")
-    repeats = spark.read.parquet(f"{out}/repeats").agg(F.sum("repeats")).first()[0] or 0
-    assert lines.count() + late.count() + repeats == len(rows)
-    assert late.count() > 0 and lines.groupBy("event_id").count().where("count > 1").count() == 0
+    first = told()
+    assert first[2] > 0
     jobs.run_transactions(stream, out, ckpt)  # a restart finds nothing new
-    assert spark.read.parquet(f"{out}/lines").count() == lines.count()
+    assert told() == first
+    put("f4", [*rows[:3], (90, day(21), 1, "purchase", 2.0, '{"k": 1}'), (91, day(2), 1, "purchase", 2.0, '{"k": 1}')])
+    jobs.run_transactions(stream, out, ckpt)  # a restart with old state: repeats are known, new is new, old is late
+    assert told() == (first[0] + 1, first[1] + 3, first[2] + 1)
+
+
+def test_stream_keeps_no_state_of_its_own(spark, tmp_path):
+    """What has been seen is in the state store of Spark's checkpoint; the sink holds lines only."""
+    src = tmp_path / "events"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 7, "purchase", 2.5, '{"k": 3}')], jobs.EVENTS_SCHEMA).write.parquet(str(src))
+    out = tmp_path / "out"
+    jobs.run_transactions(spark.readStream.schema(jobs.EVENTS_SCHEMA).parquet(str(src)), str(out), str(tmp_path / "ckpt"))
+    assert (tmp_path / "ckpt" / "state").is_dir()
+    assert sorted(p.name for p in out.iterdir()) == ["lines"]
 
 
 def test_checkpoint_folder_is_required_off_a_local_master(spark):
