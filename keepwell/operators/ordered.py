@@ -1,80 +1,81 @@
-"""Distributed ordered prefix: global ranks, running sums and exact quantiles
-without a single-partition exchange.
+"""Distributed ordered prefix (global ranks, running sums) and exact quantiles by radix
+selection, both without a single-partition exchange.
 
 ``row_number().over(Window.orderBy(x))`` funnels every row through one task. Here
-the input is written once, Spark's range partitioning cuts it into contiguous key
-ranges ("buckets") whose number follows the rows, each bucket is ordered on its own,
-and bucket totals (one row per bucket and group) give every bucket its offset. The
-bucket of a row is written with it, so every later step agrees on it; where the edges
-fall only changes balance, never values. One path serves every size.
+Spark's range partitioning cuts the rows into contiguous key ranges, each is sorted where it
+lies, and they are written once with a number whose high bits are the range and whose low
+bits the place in it. Totals per range (one row per range and group) give every range its
+offset, so a rank needs no further shuffle. Where the range edges fall only changes balance,
+never values. One path serves every size.
+
+Quantiles need no order at all: the bits of a double, read as a number, rank as the doubles
+do. Counting by leading bits shows which value of them holds a wanted place, and only rows
+with those bits are counted by the next ones.
 
 Heavy ties on the sort key should be collapsed first (group by value and carry
-a count), which all callers in this package do.
+a count), which all callers of the prefix in this package do.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwell.scratch import written
-
-BUCKET_ROWS = 2_000_000
+from keepwell.scratch import settled, written
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sort_key(order, by=()) -> Column:
-    """Struct whose ascending order is the requested order, nulls last per key.
+def sort_keys(order, by=()) -> list[Column]:
+    """Sort expressions of the requested order, nulls last per key.
 
     ``order`` is a list of (column, ascending). Descending keys must be numeric
     (they are negated) – every ordered operator here sorts numbers descending and
     breaks ties on text ascending.
     """
-    fields = [_col(b).alias(f"g{i}") for i, b in enumerate(by)]
-    for i, (c, asc) in enumerate(order):
-        col = _col(c)
-        fields.append(col.isNull().alias(f"n{i}"))
-        fields.append((col if asc else -col).alias(f"v{i}"))
-    return F.struct(*fields)
+    return [*[_col(b).asc() for b in by], *[(_col(c) if asc else -_col(c)).asc_nulls_last() for c, asc in order]]
 
 
 def ordered_prefix(df: DataFrame, order, sums: dict | None = None, by=(), rank_col: str = "_rank",
-                   totals: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                   totals: bool = False, ranges: int | None = None, running: bool = True) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order`` within each ``by`` group)
     and, for every ``name -> column`` in ``sums``, the inclusive running sum ``name``;
-    with ``totals`` also the whole group's values as ``<name>_total``.
+    with ``totals`` also the whole group's values as ``<name>_total``, with ``running``
+    off only those.
 
-    Nulls add nothing; a group of nulls only has null sums. Row order must be total (include a unique tie-breaker) for ranks to be
-    deterministic; running sums over ties follow the same order.
+    Nulls add nothing; a group of nulls only has null sums. Row order must be total (include
+    a unique tie-breaker) for ranks to be deterministic; running sums over ties follow the
+    same order. The number of key ranges is that of shuffle partitions, less what adaptive
+    execution joins, unless ``ranges`` says otherwise.
     """
-    sums, by = sums or {}, list(by)
-    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    keyed = written(df.select("*", sort_key(order, by).alias("_okey"),
-                              *[c.alias(f"_add_{name}") for name, c in sums.items()]), "ordered_input")
-    buckets = max(1, parallelism, math.ceil(keyed.count() / bucket_rows))
-    rows = written(keyed.repartitionByRange(buckets, "_okey").withColumn("_bucket", F.spark_partition_id()),
-                   "ordered_buckets")
-    part = [*by, "_bucket"]
-    per = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_in"), *[F.sum(f"_add_{n}").alias(f"_in_{n}") for n in sums])
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums, by, keys = sums or {}, list(by), sort_keys(order, by)
+    kept = df.columns
+    # range partitioning looks at its input twice; a plan that is not a plain scan is written first
+    keyed = settled(df.select("*", *[c.alias(f"_add_{name}") for name, c in sums.items()]), "ordered_input")
+    dealt = keyed.repartitionByRange(ranges, *keys) if ranges else keyed.repartitionByRange(*keys)
+    rows = written(dealt.sortWithinPartitions(*keys).withColumn("_seq", F.monotonically_increasing_id()), "ordered_rows") \
+        .withColumn("_range", F.shiftright("_seq", 33))
+    part = [*by, "_range"]
+    per = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_in"), F.min("_seq").alias("_first"),
+                                  *[F.sum(f"_add_{n}").alias(f"_in_{n}") for n in sums])
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     named = {rank_col: "_in", **{n: f"_in_{n}" for n in sums}}
-    # one row per bucket and group; its size is known when the join below is planned
+    offset = lambda c: F.coalesce(F.sum(c).over(before), F.sum(c).over(whole) * 0)
+    # one row per range and group; its size is known when the join below is planned
     offsets = written(per.select(
-        *part, *[F.coalesce(F.sum(c).over(before), F.sum(c).over(whole) * 0).alias(f"_off_{n}") for n, c in named.items()],
+        *part, (offset("_in") - F.col("_first") + 1).alias("_shift"),
+        *[offset(c).alias(f"_off_{n}") for n, c in named.items() if n in sums and running],
         *[F.sum(c).over(whole).alias(f"{n}_total") for n, c in named.items() if totals]), "ordered_offsets")
-    local = Window.partitionBy(*part).orderBy("_okey")
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select("*", F.row_number().over(local).alias("_nth"),
-                         *[F.sum(f"_add_{n}").over(running).alias(f"_run_{n}") for n in sums])
-    return ranked.join(offsets, part).select(
-        *df.columns, (F.col(f"_off_{rank_col}") + F.col("_nth")).alias(rank_col),
-        *[F.coalesce(F.col(f"_off_{n}") + F.col(f"_run_{n}"), F.col(f"_off_{n}")).alias(n) for n in sums],
+    out = rows
+    if running and sums:
+        local = Window.partitionBy(*part).orderBy("_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = rows.select("*", *[F.sum(f"_add_{n}").over(local).alias(f"_run_{n}") for n in sums])
+    return out.join(offsets, part).select(
+        *kept, (F.col("_seq") + F.col("_shift")).alias(rank_col),
+        *[F.coalesce(F.col(f"_off_{n}") + F.col(f"_run_{n}"), F.col(f"_off_{n}")).alias(n) for n in sums if running],
         *[F.col(f"{n}_total") for n in named if totals])
 
 
@@ -84,44 +85,60 @@ def lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - diff * (F.lit(1.0) - t)).otherwise(a + diff * t)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy/pandas default) per ``by`` group.
+def ordered_bits(value: Column) -> Column:
+    """A long that ranks as the double does: the bits of the double, those of a negative one
+    but for the sign reversed. Both zeros are one."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
 
-    Values are first collapsed to (value, count), so a hot value is one row; the
-    ordered prefix then gives each distinct value its index range, and only the
-    rows that hold a target index survive. Output: (*by, q_index, q, quantile).
-    """
-    by = list(by)
-    vals = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
-    return counted_quantiles(vals, value, "_c", probs, by)
 
+#: Leading, middle and last bits of a double by which values are counted.
+DIGITS = (22, 21, 21)
 
-def counted_quantiles(vals: DataFrame, value: str, count: str, probs, by=()) -> DataFrame:
-    """``exact_quantiles`` of distinct non-null values that occur ``count`` times."""
+
+def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy/pandas default) per ``by`` group; nulls and
+    NaN do not count. Output: (*by, q_index, q, quantile), nothing for a group of no values.
+
+    Three counts by the digits of ``ordered_bits``, combined before the shuffle, so hot values
+    cost nothing. The first covers all rows, the others those whose leading digits hold a
+    wanted place: two per quantile and group. No values are sorted, only digits. Nothing runs
+    here; a costly ``df`` should be a written table, as it is read three times.
+    """
     by, probs = list(by), [float(p) for p in probs]
-    pref = ordered_prefix(vals.select(*by, value, count), [(value, True)], sums={"_end": F.col(count)}, by=by,
-                          rank_col="_vrank", totals=True)
-    ranged = pref.select(*by, F.col(value).cast("double").alias("_v"), F.col("_end_total").alias("_n"),
-                         (F.col("_end") - F.col(count)).alias("_start"), (F.col("_end") - 1).alias("_last"))
-    items = []
+    number = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(number)).select(*by, number.alias("_v"))
+    rows = rows.withColumn("_bits", ordered_bits(F.col("_v")))
+    high, middle, low = DIGITS
+    digits = {"_d1": F.shiftright("_bits", middle + low), "_d2": F.shiftright("_bits", low).bitwiseAND((1 << middle) - 1),
+              "_d3": F.col("_bits").bitwiseAND((1 << low) - 1)}
+
+    def counted(rows: DataFrame, known: list[str], digit: str) -> DataFrame:
+        """How many values come before each value of ``digit`` among those with equal ``known``."""
+        at = Window.partitionBy(*by, *known)
+        counts = rows.groupBy(*by, *known, digit).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_v"))
+        upto = F.sum("_c").over(at.orderBy(digit).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.withColumns({"_begin": upto - F.col("_c"), "_n": F.sum("_c").over(at)})
+
+    places = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1).cast("double") * F.lit(p)
-        lo = F.floor(h).cast("long")
-        items.append(F.struct(F.lit(i).alias("i"), F.lit(p).alias("q"), h.alias("h"), lo.alias("lo"),
-                              F.least(lo + 1, F.col("_n") - 1).alias("hi")))
-
-    def covers(idx):
-        return (idx >= F.col("_start")) & (idx <= F.col("_last"))
-
-    hits = ranged.select(*by, "_v", "_start", "_last", F.explode(F.filter(
-        F.array(*items), lambda t: covers(t["lo"]) | covers(t["hi"]))).alias("_t"))
-    hits = hits.select(*by, F.col("_t.i").alias("q_index"), F.col("_t.q").alias("q"),
-                       F.col("_t.h").alias("_h"), F.col("_t.lo").alias("_lo"),
-                       F.when(covers(F.col("_t.lo")), F.col("_v")).alias("_a"),
-                       F.when(covers(F.col("_t.hi")), F.col("_v")).alias("_b"))
-    out = hits.groupBy(*by, "q_index", "q").agg(
-        F.max("_a").alias("_a"), F.max("_b").alias("_b"), F.max("_h").alias("_h"), F.max("_lo").alias("_lo"))
-    t = F.col("_h") - F.col("_lo").cast("double")
-    return out.select(*by, "q_index", "q",
-                      lerp(F.col("_a"), F.coalesce(F.col("_b"), F.col("_a")), t).alias("quantile"))
+        low_place = F.floor(h).cast("long")
+        places += [F.struct(F.lit(i).alias("i"), F.lit(p).alias("q"), h.alias("h"), F.lit(side).alias("side"), at.alias("at"))
+                   for side, at in ((0, low_place), (1, F.least(low_place + 1, F.col("_n") - 1)))]
+    inside = lambda at: (at >= F.col("_begin")) & (at < F.col("_begin") + F.col("_c"))
+    first = counted(rows.withColumn("_d1", digits["_d1"]), [], "_d1")
+    wanted = first.select(*by, "_d1", F.explode(F.filter(F.array(*places), lambda t: inside(t["at"]))).alias("_t"), "_begin") \
+        .select(*by, "_d1", "_t.i", "_t.q", "_t.h", "_t.side", (F.col("_t.at") - F.col("_begin")).alias("_at"))
+    known = ["_d1"]
+    for digit in ("_d2", "_d3"):
+        rows = rows.withColumns({d: digits[d] for d in known}).join(wanted.select(*by, *known).distinct(), [*by, *known], "left_semi")
+        counts = counted(rows.withColumn(digit, digits[digit]), known, digit)
+        wanted = counts.join(wanted, [*by, *known]).where(inside(F.col("_at"))).select(
+            *by, *known, digit, "i", "q", "h", "side", (F.col("_at") - F.col("_begin")).alias("_at"), "_v")
+        if digit == "_d2":
+            wanted = wanted.drop("_v")
+        known.append(digit)
+    side = lambda s: F.max(F.when(F.col("side") == s, F.col("_v")))
+    found = wanted.groupBy(*by, F.col("i").alias("q_index"), "q").agg(side(0).alias("_a"), side(1).alias("_b"), F.max("h").alias("_h"))
+    return found.select(*by, "q_index", "q", lerp(F.col("_a"), F.col("_b"), F.col("_h") - F.floor("_h").cast("double")).alias("quantile"))

@@ -21,3 +21,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Plan nodes that only pick rows and columns of what they read.
+_PLAIN = {"Project", "Filter", "SubqueryAlias", "LogicalRelation", "RelationV2", "DataSourceV2ScanRelation"}
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself where reading it again costs a scan and no more, else ``written``: for
+    operators that look at their input several times."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _PLAIN or not node.deterministic():
+            return written(df, name)
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return df
