@@ -258,16 +258,18 @@ def ks_statistic(reference: DataFrame | Baseline, current: DataFrame | Batch) ->
     counts = _present_counts(base, batch)
     values = _in_ranges(base, batch)
     found = values.groupBy("column_name", "bucket").agg(F.sum("c").alias("c_in"))
-    ends = base.ranges.join(found, ["column_name", "bucket"], "full").join(F.broadcast(counts), "column_name")
-    order = Window.partitionBy("column_name").orderBy("bucket")  # INDEX_BUCKETS rows and one a column
+    ends = base.ranges.join(found, ["column_name", "bucket"], "full")
+    one_column = Window.partitionBy("column_name")  # INDEX_BUCKETS rows and one a column
+    order = one_column.orderBy("bucket")
     c_upto = F.coalesce(F.sum("c_in").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
     zero = F.lit(0).cast("long")
-    ends = ends.select("column_name", "bucket", "nr", "nc", F.coalesce("before", zero).alias("r0"), F.coalesce("upto", zero).alias("r1"),
+    ends = ends.select("column_name", "bucket", F.max("upto").over(one_column).alias("nr"), F.sum("c_in").over(one_column).alias("nc"),
+                       F.coalesce("before", zero).alias("r0"), F.coalesce("upto", zero).alias("r1"),
                        F.coalesce("c_in", zero).alias("c_in"), c_upto.alias("c1")).withColumn("c0", F.col("c1") - F.col("c_in"))
     gap = lambda r, c: F.abs(F.col(r) / F.col("nr") - F.col(c) / F.col("nc"))
     ends = ends.where("nr > 0 and nc > 0").withColumns({
         "at_ends": F.greatest(gap("r0", "c0"), gap("r1", "c1")), "bound": F.greatest(gap("r1", "c0"), gap("r0", "c1"))})
-    ends = ends.withColumn("best", F.max("at_ends").over(Window.partitionBy("column_name")))
+    ends = ends.withColumn("best", F.max("at_ends").over(one_column))
     open_ranges = ends.where("c_in > 0 and bound > best").select("column_name", "bucket", "r0", "c0", "nr", "nc")
     ref = base.index.join(F.broadcast(open_ranges), ["column_name", "bucket"]).select(
         "column_name", "bucket", "r0", "c0", "nr", "nc", "value", F.col("n").alias("r"), zero.alias("c"))

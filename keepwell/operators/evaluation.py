@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.operators.ordered import exact_quantiles, ordered_prefix
-from keepwell.scratch import written
 
 DEFAULT_TIEBREAK = ("cutoff_date", "customer_id")
 
@@ -66,8 +65,10 @@ def _auc() -> Column:
 
 
 def step_precision() -> Column:
-    return F.sum(F.when(F.col("tp_total") > 0, (F.col("pos") / F.col("tp_total"))
-                        * (F.col("tp") / (F.col("tp") + F.col("fp")))))
+    """Σ pos · precision / positives. Terms are added as decimals, so equal tables give equal
+    sums in whatever order."""
+    term = (F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))).cast("decimal(38,18)")
+    return F.when(F.max("tp_total") > 0, F.sum(term).cast("double") / F.max("tp_total"))
 
 
 def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probability") -> DataFrame:
@@ -84,55 +85,44 @@ def brier(scored: DataFrame, label: str = "churn", score: str = "churn_probabili
     return scored.agg(F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score"))
 
 
-METRIC_SCHEMA = ("customers long, contacted long, observed_churners long, tn long, fp long, fn long, tp long, "
-                 "brier_score double, precision double, recall double, f1 double, recall_at_budget double, "
-                 "precision_at_budget double, lift_at_budget double, budget_fraction double, roc_auc double, "
-                 "average_precision double")
-METRIC_NAMES = [c.split()[0] for c in METRIC_SCHEMA.split(", ")]
+METRIC_NAMES = ["customers", "contacted", "observed_churners", "tn", "fp", "fn", "tp", "brier_score", "precision", "recall", "f1",
+                "recall_at_budget", "precision_at_budget", "lift_at_budget", "budget_fraction", "roc_auc", "average_precision"]
 
 
-def _finish(counts: dict, ranking: dict, fraction: float) -> dict:
-    tp, fp, fn = float(counts["tp"]), float(counts["fp"]), float(counts["fn"])
-    customers = counts["customers"]
-    base_rate = counts["observed_churners"] / customers if customers else 0.0
-    prec = tp / (tp + fp) if tp + fp > 0 else 0.0
-    rec = tp / (tp + fn) if tp + fn > 0 else 0.0
-    row = dict(counts)
-    row.update({
-        "precision": prec, "recall": rec,
-        "f1": 2 * tp / (2 * tp + fp + fn) if 2 * tp + fp + fn > 0 else 0.0,
-        "recall_at_budget": rec, "precision_at_budget": prec,
-        "lift_at_budget": prec / base_rate if base_rate else 0.0,
-        "budget_fraction": float(fraction),
-        "roc_auc": ranking.get("roc_auc"), "average_precision": ranking.get("average_precision"),
-    })
-    return row
+def _share(part: Column, whole: Column) -> Column:
+    """part / whole, 0 where there is no whole."""
+    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
 def evaluate_groups(scored: DataFrame, fraction: float, group: str, label: str = "churn",
                     score: str = "churn_probability", tiebreak=DEFAULT_TIEBREAK) -> DataFrame:
-    """Metrics for every value of ``group`` (e.g. several candidate models) in one
-    pass: budget ranks and threshold sweeps are partitioned by group. Returns one
-    row per group; only those rows reach the driver."""
-    spark = scored.sparkSession
-    base = written(scored.select(F.col(group).cast("string").alias("_grp"), F.col(label).cast("int").alias(label),
-                                 F.col(score).cast("double").alias(score), *tiebreak), "scores")
-    ranked = ordered_prefix(base, [(score, False), *[(c, True) for c in tiebreak]], by=["_grp"],
-                            rank_col="budget_rank", totals=True)
-    y, sel = F.col(label) == 1, _within_budget("budget_rank", fraction)
-    counts = {r["_grp"]: r.asDict() for r in ranked.groupBy("_grp").agg(  # one row per group
-        F.count(F.lit(1)).alias("customers"), F.count_if(sel).alias("contacted"),
-        F.count_if(y).alias("observed_churners"),
-        F.count_if(~y & ~sel).alias("tn"), F.count_if(~y & sel).alias("fp"),
-        F.count_if(y & ~sel).alias("fn"), F.count_if(y & sel).alias("tp"),
-        F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier_score")).collect()}
-    ranking = {r["_grp"]: r.asDict() for r in score_table(base, label, score, by=["_grp"]).groupBy("_grp").agg(
-        _auc().alias("roc_auc"), step_precision().alias("average_precision")).collect()}
-    rows = []
-    for g in counts:
-        r = _finish(counts[g], ranking.get(g, {}), fraction)
-        rows.append((g, *[r[c] for c in METRIC_NAMES]))
-    return spark.createDataFrame(rows, f"{group} string, " + METRIC_SCHEMA)
+    """Metrics for every value of ``group`` (e.g. several candidate models), a row each. One
+    order by (score desc, tie-break) per group serves the budget and the thresholds: the last
+    row of a score carries the counts down to that threshold."""
+    rows = scored.select(F.col(group).cast("string").alias(group), F.col(label).cast("int").alias("_y"),
+                         F.col(score).cast("double").alias("_s"), *tiebreak)
+    known = F.col("_s").isNotNull()
+    ranked = ordered_prefix(rows, [("_s", False), *[(c, True) for c in tiebreak]], by=[group], rank_col="_rank", totals=True, sums={
+        "tp": (known & F.coalesce(F.col("_y") == 1, F.lit(False))).cast("long"),
+        "fp": (known & F.coalesce(F.col("_y") == 0, F.lit(False))).cast("long")})
+    y, sel = F.col("_y") == 1, _within_budget("_rank", fraction)
+    per_score = ranked.groupBy(group, "_s").agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(sel).alias("contacted"), F.count_if(y).alias("observed_churners"),
+        F.count_if(~y & ~sel).alias("n_tn"), F.count_if(~y & sel).alias("n_fp"), F.count_if(y & ~sel).alias("n_fn"), F.count_if(y & sel).alias("n_tp"),
+        F.sum(F.pow(F.col("_s") - F.col("_y"), 2)).alias("squares"), F.count(F.col("_s") - F.col("_y")).alias("n_squares"),
+        F.count_if(known & (F.col("_y") == 1)).alias("pos"), F.count_if(known & (F.col("_y") == 0)).alias("neg"),
+        *[F.max(c).alias(c) for c in ("tp", "fp", "tp_total", "fp_total")])
+    m = per_score.groupBy(group).agg(
+        *[F.sum(c).alias(c) for c in ("customers", "contacted", "observed_churners")],
+        *[F.sum(f"n_{c}").alias(c) for c in ("tn", "fp", "fn", "tp")],
+        (F.sum("squares") / F.sum("n_squares")).alias("brier_score"), _auc().alias("roc_auc"), step_precision().alias("average_precision"))
+    tp, contacts = F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double")
+    actual = (F.col("tp") + F.col("fn")).cast("double")
+    base = _share(F.col("observed_churners").cast("double"), F.col("customers").cast("double"))
+    m = m.withColumns({"precision": _share(tp, contacts), "recall": _share(tp, actual), "f1": _share(2 * tp, contacts + actual),
+                       "budget_fraction": F.lit(float(fraction))})
+    return m.withColumns({"recall_at_budget": F.col("recall"), "precision_at_budget": F.col("precision"),
+                          "lift_at_budget": _share(F.col("precision"), base)}).select(group, *METRIC_NAMES)
 
 
 def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn",
@@ -145,8 +135,9 @@ def evaluate_predictions(scored: DataFrame, fraction: float, label: str = "churn
 def calibration_table(scored: DataFrame, n_bins: int = 8, label: str = "churn",
                       score: str = "churn_probability") -> DataFrame:
     """Quantile bins: edges are exact quantiles of the scores, a score falls in the
-    bin counted by inner edges strictly below it; empty bins do not appear."""
+    bin counted by inner edges strictly below it; empty bins and unknown scores do not appear."""
     probs = [i / n_bins for i in range(n_bins + 1)]
+    scored = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
     edges = [r["quantile"] for r in exact_quantiles(scored, score, probs).orderBy("q_index").collect()]
     inner = edges[1:-1]
     b = F.lit(0)

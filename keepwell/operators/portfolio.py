@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from keepwell.config import EconomicScenario, SnapshotParams
 from keepwell.functions.columns import KNOWN_SEGMENTS
 from keepwell.operators import decisioning as dec
-from keepwell.operators.ordered import ordered_prefix
-from keepwell.scratch import written
 
 # ---- fixed values: feature-row contract (field, minimum, maximum, nullable) --------
 CONTRACT_RANGES = (
@@ -128,37 +126,42 @@ def decision_reasons(df: DataFrame, scenario: EconomicScenario, params: Snapshot
         reason.alias("reason"))
 
 
-def assert_unique_ids(df: DataFrame, key: str = "customer_id") -> None:
-    dup = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise PortfolioError(f"{key} values must be unique")
+#: Columns of a portfolio that the feature contract does not name: what identifies and describes a
+#: snapshot row, its label and eligibility, and scores.
+SNAPSHOT_FIELDS = ("customer_id", "split", "cutoff_date", "churn", "churn_probability", "model_version", "observation_history_complete")
+
+
+def reject_unknown_fields(df: DataFrame, allowed=()) -> None:
+    """A portfolio may not have columns beyond the contract, a snapshot's own and ``allowed``."""
+    if unknown := unknown_fields(df, [*SNAPSHOT_FIELDS, *allowed]):
+        raise PortfolioError(f"unknown fields: {', '.join(unknown)}")
 
 
 def batch_decisions(df: DataFrame, scenario: EconomicScenario, params: SnapshotParams,
-                    check_unique: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+                    check_unique: bool = True, allowed=()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rank the operationally eligible rows with the value policy; ineligible rows
     follow, numbered after the ranked ones in customer-id order. Rows that break the
-    feature contract are not decided. Returns (decisions, one-row campaign summary,
-    quarantined rows)."""
-    if check_unique:
-        assert_unique_ids(df)
-    valid, quarantine = split_by_contract(df)
-    tagged = written(valid.withColumn("_ops", operational_reasons(valid, params)), "portfolio")
-    eligible = tagged.filter(F.size("_ops") == 0).drop("_ops")
-    n_eligible = eligible.count()
-    if n_eligible == 0:
+    feature contract are not decided; columns that neither it nor ``allowed`` names are
+    refused. Returns (decisions, one-row campaign summary, quarantined rows).
+
+    One ordered pass gives the number of eligible rows and both numberings."""
+    reject_unknown_fields(df, allowed)
+    checked = contract_violations(df).withColumn("_ops", operational_reasons(df, params))
+    ready = F.col("is_valid") & (F.size("_ops") == 0)
+    seen = checked.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(ready).alias("ready")) \
+        .agg(F.max("n").alias("most"), F.sum("ready").alias("ready")).first()
+    if check_unique and (seen["most"] or 0) > 1:
+        raise PortfolioError("customer_id values must be unique")
+    if not seen["ready"]:
         raise PortfolioError("no valid row of the portfolio is operationally eligible")
-    ranked, summary = dec.apply_policy(eligible, scenario, "expected_value", params.history_days)
-    ranked_out = ranked.select(
-        "customer_id", "churn_probability", F.col("estimated_margin_at_risk").alias("margin_at_risk"),
-        "expected_net_value", "economic_eligibility", "recommended_action", "policy_rank",
-        F.col("selection_reason").alias("reason"))
-    inel = dec.with_economics(tagged.filter(F.size("_ops") > 0), scenario, params.history_days)
-    inel = ordered_prefix(inel, [("customer_id", True)], rank_col="_ord")
-    inel_out = inel.select(
+    tagged = checked.where("is_valid").withColumn("_eligible", ready).drop("violations", "is_valid")
+    quarantine = checked.where("not is_valid").drop("is_valid", "_ops")
+    ranked = dec.ranked_rows(tagged, scenario, "expected_value", params.history_days, candidate="_eligible")
+    decided = ranked.select(
         "customer_id", "churn_probability", F.col("estimated_margin_at_risk").alias("margin_at_risk"),
-        "expected_net_value", F.lit(False).alias("economic_eligibility"),
-        F.lit("do_not_contact").alias("recommended_action"),
-        (F.col("_ord") + F.lit(n_eligible)).alias("policy_rank"),
-        F.concat(F.lit(REASON_OPERATIONAL), F.array_join("_ops", ",")).alias("reason"))
-    return ranked_out.unionByName(inel_out), summary, quarantine
+        "expected_net_value", (F.col("_eligible") & F.col("economic_eligibility")).alias("economic_eligibility"),
+        "recommended_action", "policy_rank",
+        F.when(F.col("_eligible"), F.col("selection_reason"))
+        .otherwise(F.concat(F.lit(REASON_OPERATIONAL), F.array_join("_ops", ","))).alias("reason"))
+    summary = dec.policy_summary(ranked.where("_eligible"), scenario, "expected_value", "churn" in df.columns)
+    return decided, summary, quarantine

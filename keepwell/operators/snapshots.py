@@ -134,12 +134,23 @@ def used_lines(tx: DataFrame, plan: list[dict]) -> DataFrame:
 def deduplicated_events(tx: DataFrame) -> DataFrame:
     """One row per event id (customers only): ``first`` = smallest line by
     (quantity, unit_price, description, country), ``first_positive`` = smallest
-    positive line or null. Both are decomposable, so copies pre-aggregate map-side."""
+    positive line or null.
+
+    Ids are counted by a 64-bit hash first, which moves two numbers a line at most. A line
+    whose hash occurs once is its event's only one and stays where it is; only lines of
+    repeated hashes are moved and compared, exactly by their id. Counts and minima are
+    decomposable, so copies pre-aggregate map-side."""
+    lines = tx.filter(F.col("customer_id").isNotNull()).select(*_EVENT_FIELDS, *_LINE_FIELDS)
+    key = F.xxhash64("event_id")
+    # written, so that its size is known when the joins are planned: few repeats are broadcast
+    repeated = written(lines.groupBy(key.alias("_event")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_event"), "repeated_events")
     line = F.struct(*_LINE_FIELDS)
-    return (tx.filter(F.col("customer_id").isNotNull())
-            .groupBy(*_EVENT_FIELDS)
-            .agg(F.min(line).alias("first"),
-                 F.min(F.when(is_positive_purchase(), line)).alias("first_positive")))
+    positive = F.when(is_positive_purchase(), line)
+    keyed = lines.withColumn("_event", key)
+    alone = keyed.join(repeated, "_event", "left_anti").select(*_EVENT_FIELDS, line.alias("first"), positive.alias("first_positive"))
+    met = (keyed.join(repeated, "_event", "left_semi").groupBy(*_EVENT_FIELDS)
+           .agg(F.min(line).alias("first"), F.min(positive).alias("first_positive")))
+    return alone.unionByName(met)
 
 
 def feature_lines(events: DataFrame) -> DataFrame:
@@ -152,15 +163,34 @@ def positive_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col("first_positive").isNotNull()).select(*_EVENT_FIELDS, "first_positive.*")
 
 
-def _explode_windows(lines: DataFrame, plan: list[dict], side: str) -> DataFrame:
-    t = F.col("invoice_date")
-    if side == "feature":
-        keep = lambda c: (t > c["feature_start"]) & (t <= c["cutoff"])
-    else:
-        keep = lambda c: (t > c["cutoff"]) & (t <= c["label_end"])
-    return (lines.withColumn("_c", F.explode(F.filter(_cutoff_array(plan), keep)))
-            .withColumn("split", F.col("_c.split"))
-            .withColumn("cutoff_date", F.col("_c.cutoff")))
+#: Time is cut into panes at every edge of a window of any cutoff; in a pane all windows agree.
+_FEATURE_EDGES = ("feature_start", "historical_start", "recent_start", "cutoff")
+
+
+def _edges(plan: list[dict], names) -> list[dt.datetime]:
+    return sorted({c[name] for c in plan for name in names})
+
+
+def _pane(plan: list[dict], names) -> Column:
+    """The pane of ``invoice_date``: how many edges lie before it. Edge i (from 1) is before
+    the lines of panes i and up."""
+    pane = F.lit(0)
+    for edge in _edges(plan, names):
+        pane = pane + (F.col("invoice_date") > ts_lit(edge)).cast("int")
+    return pane
+
+
+def _explode_panes(partials: DataFrame, plan: list[dict], names, first: str, last: str) -> DataFrame:
+    """``partials`` (with ``pane``) once per cutoff whose window (``first``, ``last``] holds the
+    pane, with ``split``, ``cutoff_date`` and the pane numbers ``_c`` of the cutoff's edges."""
+    edges = _edges(plan, names)
+    cells = F.array(*[F.struct(F.lit(c["split"]).alias("split"), ts_lit(c["cutoff"]).alias("cutoff"),
+                               *[F.lit(edges.index(c[name]) + 1).alias(name) for name in dict.fromkeys(["cutoff", *names]) if name != "cutoff"],
+                               F.lit(edges.index(c["cutoff"]) + 1).alias("at")) for c in plan])
+    edge = lambda c, name: c["at"] if name == "cutoff" else c[name]
+    held = lambda c: (F.col("pane") >= edge(c, first)) & (F.col("pane") < edge(c, last))
+    return (partials.withColumn("_c", F.explode(F.filter(cells, held)))
+            .withColumn("split", F.col("_c.split")).withColumn("cutoff_date", F.col("_c.cutoff")))
 
 
 def _gap_rows(dates: DataFrame, keys, order_cols, bucket_days: float) -> DataFrame:
@@ -199,25 +229,38 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
     """Per (split, cutoff, customer) feature aggregates over ``(cutoff-history, cutoff]``."""
     plan = plan or cutoff_plan(params)
     events = events if events is not None else deduplicated_events(used_lines(tx, plan))
-    feat = _explode_windows(feature_lines(events), plan, "feature")
     pos = is_positive_purchase()
     value = (F.col("quantity") * F.col("unit_price")).try_cast(MONEY)
     t = F.col("invoice_date")
-    recent = t > F.col("_c.recent_start")
-    hist = (t > F.col("_c.historical_start")) & (t <= F.col("_c.recent_start"))
-    inv = feat.groupBy(*KEYS, "invoice_no").agg(
+    lines = feature_lines(events).withColumn("pane", _pane(plan, _FEATURE_EDGES))
+    # a line is added up once, whatever the number of cutoffs; a window is a sum of panes. By country
+    # too, so that every buffer has a fixed width and lines are hashed, not sorted
+    panes = lines.groupBy("customer_id", "invoice_no", "country", "pane").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.col("is_cancellation")).alias("n_cancel"),
-        F.max(F.struct("invoice_date", "country")).alias("latest"),
+        F.max("invoice_date").alias("latest"),
         F.count_if(pos).alias("n_pos"),
         F.try_sum(F.when(pos, value)).alias("value"),
         F.sum(F.when(pos, F.col("quantity"))).alias("qty"),
         F.min(F.when(pos, t)).alias("first_t"),
-        F.max(F.when(pos, t)).alias("last_t"),
-        F.try_sum(F.when(pos & recent, value)).alias("recent_value"),
-        F.max(pos & recent).alias("in_recent"),
-        F.try_sum(F.when(pos & hist, value)).alias("hist_value"),
-        F.max(pos & hist).alias("in_hist"),
+        F.max(F.when(pos, t)).alias("last_t"))
+    feat = _explode_panes(panes, plan, _FEATURE_EDGES, "feature_start", "cutoff")
+    recent = F.col("pane") >= F.col("_c.recent_start")
+    hist = (F.col("pane") >= F.col("_c.historical_start")) & ~recent
+    has_pos = F.col("n_pos") > 0
+    inv = feat.groupBy(*KEYS, "invoice_no").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.sum("n_cancel").alias("n_cancel"),
+        F.max(F.struct("latest", "country")).alias("latest"),
+        F.sum("n_pos").alias("n_pos"),
+        F.try_sum("value").alias("value"),
+        F.sum("qty").alias("qty"),
+        F.min("first_t").alias("first_t"),
+        F.max("last_t").alias("last_t"),
+        F.try_sum(F.when(recent, F.col("value"))).alias("recent_value"),
+        F.max(has_pos & recent).alias("in_recent"),
+        F.try_sum(F.when(hist, F.col("value"))).alias("hist_value"),
+        F.max(has_pos & hist).alias("in_hist"),
     )
     cust = inv.groupBy(*KEYS).agg(
         F.try_sum("value").alias("_monetary"),
@@ -234,7 +277,8 @@ def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] |
         F.count_if("in_hist").alias("historical_invoice_count"),
     ).filter(F.col("number_of_invoices") > 0)
 
-    products = (feat.filter(pos).groupBy(*KEYS, "stock_code").agg(F.count(F.lit(1)).alias("_n"))
+    bought = lines.filter(pos).select("customer_id", "stock_code", "pane").distinct()
+    products = (_explode_panes(bought, plan, _FEATURE_EDGES, "feature_start", "cutoff").select(*KEYS, "stock_code").distinct()
                 .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("number_of_unique_products")))
 
     dates = inv.filter(F.col("n_pos") > 0).select(*KEYS, F.col("first_t").alias("d")).distinct()
@@ -284,11 +328,13 @@ def future_labels(tx: DataFrame, params: SnapshotParams, plan: list[dict] | None
     plan = plan or cutoff_plan(params)
     if events is None:
         events = deduplicated_events(within(tx, min(c["cutoff"] for c in plan), max(c["label_end"] for c in plan)))
-    lab = _explode_windows(positive_events(events), plan, "label")
-    return lab.groupBy(*KEYS).agg(
-        F.min("invoice_date").alias("label_min_event_date"),
-        F.max("invoice_date").alias("label_max_event_date"),
-        F.count(F.lit(1)).alias("label_event_count"),
+    names = ("cutoff", "label_end")
+    panes = positive_events(events).withColumn("pane", _pane(plan, names)).groupBy("customer_id", "pane").agg(
+        F.min("invoice_date").alias("first_t"), F.max("invoice_date").alias("last_t"), F.count(F.lit(1)).alias("n"))
+    return _explode_panes(panes, plan, names, "cutoff", "label_end").groupBy(*KEYS).agg(
+        F.min("first_t").alias("label_min_event_date"),
+        F.max("last_t").alias("label_max_event_date"),
+        F.sum("n").alias("label_event_count"),
     )
 
 

@@ -357,7 +357,8 @@ def q_decision_reasons(spark, sf_dir):
 
 
 def q_batch_decisions(spark, sf_dir):
-    return present(pf.batch_decisions(strained_portfolio(spark, sf_dir), SCENARIO, PARAMS)[0])
+    fields = sorted({*pf.CONTRACT_FIELDS, "customer_id", "churn_probability", "observation_history_complete"})
+    return present(pf.batch_decisions(strained_portfolio(spark, sf_dir).select(*fields), SCENARIO, PARAMS)[0])
 
 
 _MODELS: dict = {}
@@ -384,9 +385,14 @@ def q_scored_cohort(spark, sf_dir):
 
 
 def q_permutation_importance(spark, sf_dir):
+    return present(importances(spark, sf_dir))
+
+
+def importances(spark, sf_dir):
+    """Permutation importances of the fitted model on the test split (written once)."""
     bundle = trained(spark, sf_dir)[0]
     test = snapshots(spark, sf_dir).filter(F.col("split") == "test")
-    return present(model.permutation_importance(bundle, test, repeats=ModelParams().permutation_repeats))
+    return stage(spark, sf_dir, "importances", lambda: model.permutation_importance(bundle, test, repeats=ModelParams().permutation_repeats))
 
 
 def q_matured_performance(spark, sf_dir):
@@ -634,7 +640,7 @@ def q_capacity_branches(spark, sf_dir):
 
 
 def q_top_importances(spark, sf_dir):
-    return present(model.top_importances(q_permutation_importance(spark, sf_dir)))
+    return present(model.top_importances(importances(spark, sf_dir)))
 
 
 def q_csv_round_trip(spark, sf_dir):

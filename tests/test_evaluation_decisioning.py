@@ -125,3 +125,52 @@ def test_value_policy_reasons_and_null_value(spark):
     # unknown value: not eligible, ranked last, and not called non-positive
     assert r["c"]["policy_rank"] == 3 and not r["c"]["economic_eligibility"]
     assert r["c"]["selection_reason"] == f"Below the rank allowed by {summary.first()['binding_constraint']}"
+
+
+def test_sensitivity_grid_against_a_plain_loop(spark):
+    """Ties, unknown money, the margin floor, and capacities that bind in turn."""
+    import numpy as np
+    from keepwell.config import EconomicScenario
+    from keepwell.operators import decisioning as dec
+    rng = np.random.default_rng(11)
+    rows = [(f"c{i:03d}", float(np.round(rng.random(), 1)), None if i % 17 == 0 else float(rng.integers(0, 400) * (i % 5))) for i in range(150)]
+    df = spark.createDataFrame(rows, "customer_id string, churn_probability double, monetary_value double").repartition(5)
+    for scenario in (EconomicScenario(), EconomicScenario(total_budget=60.0, max_contact_fraction=.9),
+                     EconomicScenario(total_budget=1e9, max_contact_fraction=1.0, minimum_customer_margin=30.0)):
+        want = {}
+        for effect, mult, s in dec.sensitivity_grid(scenario):
+            unit, values = s.expected_contact_cost(), []
+            for _, p, money in rows:
+                if money is not None:
+                    margin = max(money * s.gross_margin_rate * (s.economic_horizon_days / 180), s.minimum_customer_margin)
+                    values.append(p * effect * margin - unit)
+            worth = sum(v > 0 for v in values)
+            k = int(min(worth, len(rows) if not unit else s.total_budget // unit, np.floor(len(rows) * s.max_contact_fraction), len(rows)))
+            want[effect, s.offer_acceptance_probability, mult] = (k, sum(sorted(values, reverse=True)[:k]), k * unit)
+        got = {(r[0], r[1], r[2]): (r[3], r[4], r[5]) for r in dec.sensitivity_analysis(df, scenario, 180).collect()}
+        assert set(got) == set(want)
+        for cell, (k, value, cost) in want.items():
+            assert got[cell][0] == k and got[cell][1] == pytest.approx(value, abs=1e-6) and got[cell][2] == pytest.approx(cost)
+
+
+def test_sensitivity_grid_orders_each_margin_once(spark):
+    from keepwell.config import EconomicScenario
+    from keepwell.operators import decisioning as dec
+    df = spark.range(50).select(F.col("id").cast("string").alias("customer_id"), F.lit(.5).alias("churn_probability"),
+                                F.col("id").cast("double").alias("monetary_value"))
+    seen = []
+    original = dec.ordered_prefix
+    dec.ordered_prefix = lambda d, *a, **k: seen.append((d, k)) or original(d, *a, **k)
+    try:
+        dec.sensitivity_analysis(df, EconomicScenario(), 180)
+    finally:
+        dec.ordered_prefix = original
+    (rows, kw), = seen
+    assert kw["by"] == ["mult"] and rows.count() == 3 * 50
+
+
+def test_unknown_scores_are_in_no_calibration_bin(spark):
+    from keepwell.operators import evaluation as ev
+    rows = [("2024-01-01", f"c{i}", i / 10 if i < 5 else None, i % 2) for i in range(10)]
+    df = spark.createDataFrame(rows, "cutoff_date string, customer_id string, churn_probability double, churn int")
+    assert sum(r["customers"] for r in ev.calibration_table(df, 4).collect()) == 5
