@@ -34,6 +34,7 @@ from keepwell.functions.columns import (
 )
 from keepwell.schemas import NUMERIC_FEATURES, require_columns
 from keepwell.scratch import written
+from keepwell.sources.publish import publish
 
 KEYS = ["split", "cutoff_date", "customer_id"]
 #: What the integrity rules read.
@@ -375,12 +376,13 @@ SNAPSHOT_COLUMNS = KEYS + NUMERIC_FEATURES + SNAPSHOT_TAIL
 
 
 def snapshot_candidates(tx: DataFrame, params: SnapshotParams, bounds=None, bucket_days: float = 1.0,
-                        strict: bool = True, segment_map: dict | None = None) -> DataFrame:
+                        strict: bool = True, segment_map: dict | None = None, only=None) -> DataFrame:
     """All (split, cutoff, customer) candidates with features, label, lineage and
-    eligibility columns. ``bounds`` defaults to one scalar job over ``tx``."""
+    eligibility columns. ``bounds`` defaults to one scalar job over ``tx``; ``only`` names the
+    cutoffs wanted, if not all."""
     params.validate()
     bounds = bounds if bounds is not None else transaction_bounds(tx)
-    plan = cutoff_plan(params, bounds, strict=strict)
+    plan = [c for c in cutoff_plan(params, bounds, strict=strict) if only is None or c["cutoff"] in only]
     events = deduplicated_events(used_lines(tx, plan))
     feats = customer_features(tx, params, plan, events, bucket_days, segment_map)
     labels = future_labels(tx, params, plan, events)
@@ -397,6 +399,37 @@ def snapshot_candidates(tx: DataFrame, params: SnapshotParams, bounds=None, buck
     return snap.select(*SNAPSHOT_COLUMNS)
 
 
+def changed_cutoffs(added: DataFrame, params: SnapshotParams, before, after) -> list[tuple[str, dt.datetime]]:
+    """(split, cutoff) whose candidates may differ once the lines ``added`` are there: a window
+    holds one of them, or the bounds of all lines (``before``, ``after``) change what is complete.
+    One pass over the new lines, one row back."""
+    was, now = cutoff_plan(params, before, strict=False), cutoff_plan(params, after, strict=False)
+    t = F.col("invoice_date")
+    hits = added.agg(*[F.count_if((t > ts_lit(c["feature_start"])) & (t <= ts_lit(c["label_end"]))) for c in now]).first()
+    flags = ("history_complete", "horizon_complete")
+    return [(b["split"], b["cutoff"]) for a, b, n in zip(was, now, hits, strict=True) if n or any(a[f] != b[f] for f in flags)]
+
+
+SNAPSHOT_PARTITIONS = ["split", "cutoff_day"]
+
+
+def refresh_candidates(tx: DataFrame, added: DataFrame, params: SnapshotParams, path: str, before=None, strict: bool = True,
+                       segment_map: dict | None = None) -> list[tuple[str, str]]:
+    """Bring the published candidates at ``path`` up to date with ``tx``, which holds the lines
+    ``added`` already. Only cutoffs that they concern are built again and replaced, in one
+    step for readers. ``before``: first and last timestamp without the new lines; None for a
+    first build of all. Returns the (split, day) replaced."""
+    after = transaction_bounds(tx)
+    todo = params.cutoffs() if before is None else changed_cutoffs(added, params, before, after)
+    if not todo:
+        return []
+    rows = snapshot_candidates(tx, params, after, strict=strict, segment_map=segment_map, only={c for _, c in todo})
+    rows = rows.withColumn("cutoff_day", F.date_format("cutoff_date", "yyyy-MM-dd"))
+    days = [(split, cutoff.date().isoformat()) for split, cutoff in todo]
+    publish(rows, path, SNAPSHOT_PARTITIONS, None if before is None else days)
+    return days
+
+
 def eligibility_summary(candidates: DataFrame) -> DataFrame:
     """Per (split, cutoff): totals, prevalence, criterion failures, primary reasons."""
     agg = [

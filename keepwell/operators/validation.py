@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,13 +27,10 @@ def usable_customer():
     return F.col("customer_id").isNotNull() & (F.col("customer_id") != F.lit(""))
 
 
-def validation_summary(tx: DataFrame) -> DataFrame:
-    """One aggregate pass for the plain counters plus two pre-grouped distinct
-    counts (customers, event ids) – separate group-bys instead of two distinct
-    aggregates in one pass, which would expand every line three-fold. Rates over
-    usable rows skip null and empty customers."""
+def counters() -> list[F.Column]:
+    """What one pass over the lines tells: everything of the summary but distinct counts."""
     usable = usable_customer()
-    plain = tx.agg(
+    return [
         F.count(F.lit(1)).alias("all_rows"),
         F.count_if(usable).alias("rows"),
         F.min(F.when(usable, F.col("invoice_date"))).alias("_min_date"),
@@ -43,7 +40,32 @@ def validation_summary(tx: DataFrame) -> DataFrame:
         F.count_if(F.coalesce(F.col("unit_price") < 0, F.lit(False))).alias("_negative_price"),
         F.count_if(F.col("invoice_date").isNull()).alias("_null_dates"),
         F.count_if(F.col("unit_price").isNull() | F.col("quantity").isNull()).alias("_null_numbers"),
-    )
+    ]
+
+
+COUNTER_SCHEMA = ("all_rows long, rows long, _min_date timestamp_ntz, _max_date timestamp_ntz, _missing_customers long, "
+                  "_cancelled long, _negative_price long, _null_dates long, _null_numbers long")
+
+
+def write_counted(tx: DataFrame, path: str) -> dict:
+    """Write the lines and return the ``counters`` of what was written, taken by the tasks that
+    write, so the lines are read once. A task that runs again counts once."""
+    seen = Observation("lines")
+    tx.observe(seen, *counters()).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def validation_summary(tx: DataFrame, counted: dict | None = None) -> DataFrame:
+    """Plain counters (of one aggregate pass, or as ``write_counted`` gave them) plus two
+    pre-grouped distinct counts (customers, event ids) – separate group-bys instead of two distinct
+    aggregates in one pass, which would expand every line three-fold. Rates over
+    usable rows skip null and empty customers."""
+    usable = usable_customer()
+    if counted is None:
+        plain = tx.agg(*counters())
+    else:
+        names = [c.split()[0] for c in COUNTER_SCHEMA.split(", ")]
+        plain = tx.sparkSession.createDataFrame([tuple(counted[c] for c in names)], COUNTER_SCHEMA)
     kept = tx.filter(usable)
     customers = kept.select("customer_id").distinct().agg(F.count(F.lit(1)).alias("customers"))
     events = kept.select("event_id").distinct().agg(F.count(F.lit(1)).alias("_distinct_events"))
@@ -67,15 +89,16 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def validate_transactions(tx: DataFrame, rules: ValidationRules = ValidationRules()) -> dict:
-    """Apply the blocking rules in a fixed order; return the summary as a dict."""
+def validate_transactions(tx: DataFrame, rules: ValidationRules = ValidationRules(), counted: dict | None = None) -> dict:
+    """Apply the blocking rules in a fixed order; return the summary as a dict. ``counted``: the
+    counters of ``write_counted``, so that only distinct counts need another pass."""
     try:
         require_columns(tx, VALIDATION_REQUIRED, "required")
     except SchemaError as exc:
         raise DataValidationError(str(exc)) from exc
     if not isinstance(tx.schema["invoice_date"].dataType, (T.TimestampNTZType, T.TimestampType)):
         raise DataValidationError("invoice_date must be a timestamp column")
-    row = validation_summary(tx).first().asDict()
+    row = validation_summary(tx, counted).first().asDict()
     # in this order: the first that holds is reported
     blocking = (
         (not row["all_rows"], "there are no transaction lines"),

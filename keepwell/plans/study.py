@@ -10,6 +10,7 @@ table lies a lineage record: row count, content checksum, parameters, time.
 from __future__ import annotations
 
 import json
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,9 @@ from keepwell.operators.eligibility import check_configured_ceiling, derive_rece
 from keepwell.operators.model import save_bundle, score, train_and_select
 from keepwell.operators.normalize import normalize_transactions
 from keepwell.operators.snapshots import build_snapshots, eligibility_rollup
-from keepwell.operators.validation import validate_transactions
+from keepwell.operators.validation import validate_transactions, write_counted
 from keepwell.sources.files import read_csv, read_snapshots, write_csv, write_one_row, write_snapshots
-from keepwell.sources.lineage import lineage_record, table_checksum
+from keepwell.sources.lineage import file_fingerprints, lineage_record, table_checksum
 
 
 def _one_row(spark: SparkSession, record: dict) -> DataFrame:
@@ -33,12 +34,14 @@ def _one_row(spark: SparkSession, record: dict) -> DataFrame:
 def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params: SnapshotParams,
               scenario: EconomicScenario, model_params: ModelParams = ModelParams(), full_data: bool = False,
               segment_map: dict | None = None, random_repetitions: int = 200, salt: str = "customer:",
-              source_commit: str = "unknown") -> dict:
+              source_commit: str = "unknown", source_files: list[str] | None = None) -> dict:
+    """Run the study. ``source_files``: the files that ``transactions`` came from, whose SHA-256
+    the lineage records hold beside the checksum of the lines and the digests of all parameters."""
     out = out_dir.rstrip("/")
     validate_horizon_alignment(params.horizon_days, scenario)
-    normalize_transactions(transactions).write.mode("overwrite").parquet(f"{out}/transactions")
+    counted = write_counted(normalize_transactions(transactions), f"{out}/transactions")
     tx = spark.read.parquet(f"{out}/transactions")
-    summary = validate_transactions(tx)
+    summary = validate_transactions(tx, counted=counted)
     write_one_row(_one_row(spark, summary), f"{out}/data_validation")
 
     threshold = derive_recency_threshold(tx, params)
@@ -76,12 +79,17 @@ def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params
     if perf is not None:
         perf.write.mode("overwrite").parquet(f"{out}/observed_performance")
     given = {"params": params, "scenario": scenario, "model": model_params}
+    given |= {f"{name}_sha256": sha256(repr(value).encode()).hexdigest() for name, value in given.items()}
+    sources = table_checksum(transactions).first().asDict()  # of the lines as they were given
+    inputs = {"transactions": f"{sources['rows']}:{sources['xor_hash64']}"} | {
+        name: digest for path in (source_files or []) for name, digest in
+        ((r["path"], r["sha256"]) for r in file_fingerprints(spark, path).collect())}  # a row per input file
     for name in ("transactions", "snapshots", "model_comparison", "scored_test", "drift_alerts"):
         sums = table_checksum(spark.read.parquet(f"{out}/{name}")).first()
         write_one_row(lineage_record(spark, source_commit=source_commit, source_mode="full" if full_data else "partial",
-                                     inputs={"transactions": out}, extra={"table": name, **sums.asDict(), **given}),
+                                     inputs=inputs, extra={"table": name, **sums.asDict(), **given}),
                       f"{out}/lineage/{name}")
-    record = {"validation": summary, "threshold": threshold, "model": bundle.model_name,
+    record = {"inputs": inputs, "parameters": {k: v for k, v in given.items() if k.endswith("_sha256")}, "validation": summary, "threshold": threshold, "model": bundle.model_name,
               "test_metrics": bundle.test_metrics, "policies": policies, "sensitivity": spread}
     write_one_row(_one_row(spark, record), f"{out}/run_summary")
     return record

@@ -120,3 +120,20 @@ def test_csv_sink_reads_back(spark, tmp_path):
     write_csv(df, str(tmp_path / "out"))
     back = read_csv(spark, str(tmp_path / "out"), df.schema)
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_counters_come_from_the_pass_that_writes(spark, tmp_path):
+    from pyspark.sql import Observation
+    from keepwell.operators.validation import counters, validate_transactions, validation_summary, write_counted
+    raw = spark.createDataFrame(
+        [(f"{'C' if i % 9 == 0 else ''}{i}", "s", "d", float(i % 4 - 1), f"2024-01-{i % 27 + 1:02d} 10:00:00", 1.5, None if i % 10 == 0 else f"c{i % 6}", "Peru")
+         for i in range(90)], "invoice_no string, stock_code string, description string, quantity double, invoice_date string, "
+        "unit_price double, customer_id string, country string")
+    lines = normalize_transactions(raw)
+    counted = write_counted(lines, str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert validation_summary(back, counted).first() == validation_summary(back).first()
+    assert validate_transactions(back, counted=counted) == validate_transactions(back)
+    plan = back.observe(Observation("x"), *counters())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+    assert write_counted(lines.limit(0), str(tmp_path / "e"))["all_rows"] == 0

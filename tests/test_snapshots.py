@@ -173,3 +173,87 @@ def test_missing_lineage_columns_are_named(spark, cand):
     from keepwell.schemas import SchemaError
     with pytest.raises(SchemaError, match="label_window_end"):
         assert_eligibility(spark.createDataFrame([("train",)], "split string"), P)
+
+
+def _generates_over(node, found):
+    """For every Generate of a logical plan, whether an aggregate lies below it."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    under = any([_generates_over(c, found) for c in children])
+    if node.nodeName() == "Generate":
+        found.append(under)
+    return under or node.nodeName() == "Aggregate"
+
+
+def test_raw_lines_are_not_multiplied_by_cutoffs(spark):
+    from keepwell.operators.snapshots import customer_features, cutoff_plan, deduplicated_events, future_labels, used_lines
+    params = P.with_(split_cutoffs={"train": ["2024-01-20", "2024-01-22", "2024-01-24"]})
+    plan = cutoff_plan(params)
+    events = deduplicated_events(used_lines(tx(spark, ROWS), plan))
+    for df in (customer_features(None, params, plan, events), future_labels(None, params, plan, events)):
+        found = []
+        _generates_over(df._jdf.queryExecution().optimizedPlan(), found)
+        assert found and all(found)
+
+
+def test_panes_equal_a_run_per_cutoff(spark):
+    """Overlapping windows of 13 cutoffs in one plan against 13 plans of one window."""
+    import random
+    random.seed(4)
+    rows = [(f"{'C' if random.random() < .1 else ''}i{i // 3}", f"s{i % 5}", None, float(random.randint(-1, 4)),
+             D(2024, 1, 1) + dt.timedelta(hours=random.randint(0, 24 * 60)), float(random.randint(0, 9)), f"c{i % 7}", random.choice(["Peru", "Spain"]))
+            for i in range(400)]
+    rows += rows[:40]
+    lines = tx(spark, rows)
+    days = [f"2024-01-{d}" for d in range(14, 27)]
+    params = P.with_(split_cutoffs={"train": days})
+    together = snapshot_candidates(lines, params, strict=False)
+    order = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    alone = [r for day in days[::4] for r in order(snapshot_candidates(lines, P.with_(split_cutoffs={"train": [day]}), strict=False))]
+    assert [r for r in order(together) if r[1].strftime("%Y-%m-%d") in days[::4]] == sorted(alone, key=str) and len(alone) > 20
+
+
+def test_single_lines_stay_where_they_are(spark):
+    """Lines of events that occur once meet no exchange; only repeated ids reach the sorted minimum."""
+    from keepwell.operators.snapshots import deduplicated_events
+    events = deduplicated_events(tx(spark, ROWS))
+    assert {r["invoice_no"]: r["first"]["quantity"] for r in events.collect()}["b1"] == 2.0
+    assert events.where("invoice_no = 'd1'").first()["first_positive"]["quantity"] == 5.0
+    text = events._jdf.queryExecution().executedPlan().toString()
+    alone, _, met = text[text.index("Union"):].partition("SortAggregate")
+    assert "LeftAnti" in alone and "Exchange hashpartitioning" not in alone and "Sort [" not in alone and "LeftSemi" in met
+
+
+def test_refresh_replaces_only_what_new_lines_concern(spark, tmp_path):
+    from keepwell.operators.snapshots import refresh_candidates, transaction_bounds
+    from keepwell.sources.publish import publish, read_published
+    params = P.with_(split_cutoffs={"train": ["2024-01-20", "2024-01-22"], "validation": ["2024-02-10"], "test": ["2024-03-10"]})
+    more = [(f"m{i}", "S", "x", 1.0, D(2024, 1, 2) + dt.timedelta(days=i), 2.0, f"M{i % 3}", "Spain") for i in range(75)]
+    old = tx(spark, ROWS + more)
+    path = str(tmp_path / "candidates")
+    assert len(refresh_candidates(old, old, params, path)) == 4
+    before = read_published(spark, path)
+    was = sorted((tuple(r) for r in before.collect()), key=str)
+    added = tx(spark, [("n1", "S", "x", 1.0, D(2024, 3, 4), 7.0, "M1", "Spain"), ("n2", "S", "x", 1.0, D(2024, 3, 5), 7.0, "new", "Spain")])
+    now = old.unionByName(added)
+    assert refresh_candidates(now, added, params, path, before=transaction_bounds(old)) == [("test", "2024-03-10")]
+    after = read_published(spark, path)
+    fresh = snapshot_candidates(now, params).withColumn("cutoff_day", F.date_format("cutoff_date", "yyyy-MM-dd"))
+    order = lambda df: sorted((tuple(r) for r in df.select(*fresh.columns).collect()), key=str)
+    assert order(after) == order(fresh) and order(after) != was
+    assert sorted((tuple(r) for r in before.collect()), key=str) == was  # a reader of the old table still has it
+    assert len([p for p in (tmp_path / "candidates").iterdir() if p.name.startswith("version-")]) == 2
+    # nothing new, nothing written
+    assert refresh_candidates(now, added.limit(0), params, path, before=transaction_bounds(now)) == []
+    # a refresh that dies midway leaves the table as it was; the table may be read by what replaces it
+    boom = F.udf(lambda _: 1 / 0, "string")
+    with pytest.raises(Exception, match="division by zero"):
+        publish(after.withColumn("eligibility_reason", boom("eligibility_reason")), path, ["split", "cutoff_day"])
+    assert order(read_published(spark, path)) == order(fresh)
+    with pytest.raises(ValueError, match="not replaced"):
+        publish(after, path, ["split", "cutoff_day"], [("test", "2024-03-10")])
+    publish(after.where("split = 'test' and is_eligible"), path, ["split", "cutoff_day"], [("test", "2024-03-10")])
+    assert order(read_published(spark, path).where("split = 'test'")) == order(fresh.where("split = 'test' and is_eligible"))
+    pruned = read_published(spark, path).where("split = 'train'")
+    assert "PartitionFilters: [" in pruned._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, str(tmp_path / "none"))
