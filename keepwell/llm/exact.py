@@ -2,11 +2,10 @@
 
 Three rounds, each reading more of the text for fewer rows: groups of equal byte
 length, then of equal prefix hash, then of equal SHA-256 of the whole text. What a
-round hands on is a set of hash buckets of the groups with two rows or more. It has
-at most ``BUCKETS`` rows whatever the corpus, so it is broadcast and no text is
-shuffled to find the candidates; a row that shares a bucket by chance is sorted out
-by the full hash. Group tables are aggregates (combined before the shuffle), so a
-group that holds a third of all rows costs one row per task.
+round hands on is a filter over the groups with two rows or more, sized by their number and
+bounded, so it is broadcast and no text is shuffled to find the candidates; a row that
+passes by chance is sorted out by the full hash. Group tables are aggregates (combined before
+the shuffle), so a group that holds a third of all rows costs one row per task.
 """
 
 from __future__ import annotations
@@ -14,31 +13,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.common import bucket, fresh, text_of, written
+from keepwell.llm.common import Members, fresh, text_of, written
 
 PREFIX_CHARS = 64
 
 
-def _suspects(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The hash buckets (``suspect``) of key groups with several rows: ``BUCKETS`` rows at most."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return written(groups.select(bucket(*keys).alias("suspect")).distinct(), "suspects")
+def _repeated(df: DataFrame, *keys: str) -> Members:
+    """The key groups with several rows."""
+    return Members(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), *keys)
 
 
 def _flagged(docs: DataFrame, text: Column, prefix_chars: int) -> tuple[DataFrame, str, str]:
-    """``docs`` with its byte length and a flag that is null unless length and prefix
+    """``docs`` with its byte length and a flag that is false unless length and prefix
     hash are shared with another row."""
-    n_bytes, place, flag = fresh(docs, "n_bytes", "place", "flag")
+    n_bytes, prefix = fresh(docs, "n_bytes", "prefix")
     hashed = F.xxhash64(F.substring(text, 1, prefix_chars))
     sized = docs.withColumn(n_bytes, F.octet_length(text))
-    lengths = _suspects(sized.select(n_bytes), [n_bytes])
+    lengths = _repeated(sized.select(n_bytes), n_bytes)
     # round 2 reads the prefixes of rows whose length is shared
-    live = (sized.withColumn(place, bucket(n_bytes))
-            .join(F.broadcast(lengths.withColumnRenamed("suspect", place)), place, "left_semi")
-            .select(F.col(n_bytes).alias("n_bytes"), hashed.alias("prefix")))
-    prefixes = _suspects(live, ["n_bytes", "prefix"]).select(F.col("suspect").alias(place), F.lit(True).alias(flag))
-    out = sized.withColumn(place, bucket(F.col(n_bytes), hashed)).join(F.broadcast(prefixes), place, "left")
-    return out.drop(place), n_bytes, flag
+    live, _ = lengths.split(sized, n_bytes)
+    prefixes = _repeated(live.select(F.col(n_bytes), hashed.alias(prefix)), n_bytes, prefix)
+    flagged, flag = prefixes.mark(sized, n_bytes, hashed)
+    return flagged, n_bytes, flag
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -56,8 +52,8 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flagged, n_bytes, live = _flagged(slim, F.col("t"), prefix_chars)
     full = F.sha2(F.col("t"), 256)
     marks = written(flagged.select(
-        F.monotonically_increasing_id().alias("row"), "id", n_bytes, F.col(live).isNotNull().alias("live"),
-        (full if digest_all else F.when(F.col(live).isNotNull(), full)).alias("sha")), "digests")
+        F.monotonically_increasing_id().alias("row"), "id", n_bytes, F.col(live).alias("live"),
+        (full if digest_all else F.when(F.col(live), full)).alias("sha")), "digests")
     groups = written(
         marks.where("live").groupBy(n_bytes, "sha")
         .agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("id", "row")).alias("keep")).where("size > 1"),
@@ -77,16 +73,21 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one row of each set of equal texts,
     that with the largest id (null text equals empty text, null ids rank lowest; of
-    rows equal in text and id, any one). Only rows that share length and prefix hash
-    are shuffled; copies collapse before the shuffle."""
-    flagged, n_bytes, live = _flagged(docs, text_of(text_col), prefix_chars)
+    rows equal in text and id, any one).
+
+    Rows whose text occurs once stay where they are: the full hash of suspects, on narrow rows,
+    tells which texts really recur, and only rows with such a hash are shuffled; copies
+    collapse before the shuffle."""
+    text = text_of(text_col)
+    flagged, n_bytes, live = _flagged(docs, text, prefix_chars)
     (sha,) = fresh(flagged, "sha")
     rows = [F.col(f"`{c}`") for c in docs.columns]
     fields = [c.alias(f"c{i}") for i, c in enumerate(rows)]
-    alone = flagged.where(F.col(live).isNull()).select(*rows)
-    met = (flagged.where(F.col(live).isNotNull())
-           .withColumn(sha, F.sha2(text_of(text_col), 256))
-           .groupBy(n_bytes, sha)
+    hashed = flagged.withColumn(sha, F.when(F.col(live), F.unhex(F.sha2(text, 256))))
+    again = _repeated(hashed.where(F.col(live)).select(n_bytes, sha), n_bytes, sha)
+    marked, hit = again.mark(hashed, n_bytes, sha)
+    copy = F.col(live) & F.col(hit)
+    met = (marked.where(copy).groupBy(n_bytes, sha)
            .agg(F.max_by(F.struct(*fields), F.struct(F.col(id_col))).alias("row"))
            .select(*[F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))
-    return alone.union(met)
+    return marked.where(~copy).select(*rows).union(met)

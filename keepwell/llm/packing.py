@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
-from keepwell.llm.common import ship, text_of, written
+from keepwell.llm.common import fresh, ship, text_of, written
 from keepwell.llm.tokens import word_bpe
 
 EOS = 1
@@ -115,8 +115,10 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return bins, offsets
 
 
-def _pack_group(group: pa.Table, capacity: Capacity) -> pa.Table:
-    group = group.sort_by("row")  # the same result whatever order the rows came in
+def _pack_group(group: pa.Table, capacity: Capacity, row: str, dealt: str, left: str) -> pa.Table:
+    """A group with its sequences; ``row``, ``dealt`` and ``left`` name the columns of the row number, the
+    group and the flag of unfilled sequences."""
+    group = group.sort_by(row)  # the same result whatever order the rows came in
     lengths = group["length"].to_numpy()
     bins, offsets = best_fit(lengths, capacity)
     demand = lengths.astype(np.float64)
@@ -124,9 +126,9 @@ def _pack_group(group: pa.Table, capacity: Capacity) -> pa.Table:
     least = lengths.min(initial=capacity.tokens)
     unfilled = ((tokens + least <= capacity.tokens) & (documents < capacity.documents)
                 & (attention + float(least) ** 2 <= capacity.attention))
-    first = group["bin_group"][0].as_py() << 32
-    return (group.drop_columns(["bin_group"]).append_column("sequence_id", pa.array(bins + first, pa.int64()))
-            .append_column("offset", pa.array(offsets, pa.int64())).append_column("unfilled", pa.array(unfilled[bins])))
+    first = group[dealt][0].as_py() << 32
+    return (group.drop_columns([dealt]).append_column("sequence_id", pa.array(bins + first, pa.int64()))
+            .append_column("offset", pa.array(offsets, pa.int64())).append_column(left, pa.array(unfilled[bins])))
 
 
 def _least(n: int, tokens: int, attention: float, capacity: Capacity) -> int:
@@ -135,28 +137,31 @@ def _least(n: int, tokens: int, attention: float, capacity: Capacity) -> int:
 
 
 def pack(cut: DataFrame, capacity: Capacity = Capacity(), group_pieces: int = 4096) -> DataFrame:
-    """``cut`` (any columns, ``length`` from 1 to the token capacity) with ``sequence_id``
-    and ``offset``. Pieces of a sequence lie one after another from 0. An empty table gives
+    """``cut`` (``length`` from 1 to the token capacity and any other columns, but none named like
+    the results) with ``sequence_id`` and ``offset``. Pieces of a sequence lie one after another from 0. An empty table gives
     no rows; repeated rows are pieces of their own.
 
     Rounds end when one group holds what is left, when the unfilled sequences are as few as
     their pieces allow, or when a round saves less than 1 % of the sequences it dealt again."""
+    if taken := {"sequence_id", "offset"} & {c.lower() for c in cut.columns}:
+        raise ValueError(f"columns may not be named like results: {sorted(taken)}")
     ship(cut.sparkSession)
-    rows = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    row, group_of, left_over = fresh(cut, "row", "bin_group", "unfilled")
+    rows = written(cut.withColumn(row, F.monotonically_increasing_id()), "pieces")
     schema = StructType([*rows.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType()),
-                         StructField("unfilled", BooleanType())])
+                         StructField(left_over, BooleanType())])
 
     def packed(group: pa.Table) -> pa.Table:
-        return _pack_group(group, capacity)
+        return _pack_group(group, capacity, row, group_of, left_over)
 
     totals = (F.count("length"), F.sum("length"), F.sum(F.col("length").cast("double") ** 2))
     total = [x or 0 for x in rows.agg(*totals).first()]
     base, before, parts = 0, None, []
     while True:
         groups = max(1, min(-(-total[0] // group_pieces), _least(*total, capacity) // GROUP_SEQUENCES))
-        dealt = rows.withColumn("bin_group", (F.pmod(F.xxhash64("row", F.lit(base)), F.lit(groups)) + base).cast("int"))
-        done = written(dealt.groupBy("bin_group").applyInArrow(packed, schema), "packed")
-        begins, unfilled = F.col("offset") == 0, F.col("unfilled")
+        dealt = rows.withColumn(group_of, (F.pmod(F.xxhash64(row, F.lit(base)), F.lit(groups)) + base).cast("int"))
+        done = written(dealt.groupBy(group_of).applyInArrow(packed, schema), "packed")
+        begins, unfilled = F.col("offset") == 0, F.col(left_over)
         length = F.when(unfilled, F.col("length"))
         made, left, *total = (x or 0 for x in done.agg(
             F.count_if(begins), F.count_if(begins & unfilled), F.count(length), F.sum(length),
@@ -168,13 +173,13 @@ def pack(cut: DataFrame, capacity: Capacity = Capacity(), group_pieces: int = 40
         if groups == 1 or slow or left <= _least(*total, capacity):
             parts.append(done)
             break
-        parts.append(done.where("not unfilled"))
-        before = (left, done.where("unfilled"))
-        rows, base = before[1].select(*rows.columns), base + groups
+        parts.append(done.where(~F.col(left_over)))
+        before = (left, done.where(F.col(left_over)))
+        rows, base = before[1].select(*[F.col(f"`{c}`") for c in rows.columns]), base + groups
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.drop("row", "unfilled")
+    return out.drop(row, left_over)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: Capacity = Capacity(),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from keepwell.llm.common import fresh, ship, text_of, written
+from keepwell.llm.common import Members, fresh, ship, text_of, written
 from keepwell.llm.components import components
 
 BITS, SEED = 64, 42
@@ -222,5 +222,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = fresh(docs, "gone_id", "gone_text")
     gone = written(verdict.where(F.col("key") > F.col("component_id")).select(
         F.col("key.own").alias(named[0]), F.col("key.text").alias(named[1])).distinct(), "dropped")
-    return (docs.join(gone, own.eqNullSafe(F.col(named[0])) & (text == F.col(named[1])), "left_anti")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # only rows that may be dropped meet the join
+    named_as = [F.col(c) for c in named]
+    met, others = Members(gone, *named_as).split(docs, own, text)
+    stay = met.join(gone, own.eqNullSafe(named_as[0]) & (text == named_as[1]), "left_anti")
+    return others.select(*columns).union(stay.select(*columns))

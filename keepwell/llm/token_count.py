@@ -57,6 +57,11 @@ def write_token_files(docs: DataFrame, folder: str | None = None, id_col: str =
     in which the documents lie in their file. Null and empty texts are a separator alone."""
     spark = docs.sparkSession
     ship(spark)
+    highest = byte_bpe(vocab).highest
+    if highest >= END:
+        raise ValueError(f"the vocabulary uses id {highest}; {END} and beyond must be free, as {END} ends a document")
+    if END > np.iinfo(np.dtype(dtype)).max:
+        raise ValueError(f"ids up to {END} do not fit into {dtype}")
     schema = StructType([StructField("path", StringType()), StructField("nth", LongType()),
                          StructField("id", docs.schema[id_col].dataType), StructField("tokens", LongType())])
     rows = written(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))

@@ -81,13 +81,15 @@ class ByteBpe:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
         import public_tokenizers
 
+        self.highest = max(ranks.values())
         self._encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
         return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
     def decode(self, ids) -> str:
-        return self._encoding.decode_bytes([int(i) for i in ids]).decode("utf-8")
+        """``ids``: a list, or any sequence of whole numbers."""
+        return self._encoding.decode_bytes(ids if isinstance(ids, list) else [int(i) for i in ids]).decode("utf-8")
 
 
 @functools.lru_cache(maxsize=4)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.llm.common import scratch, ship, text_of, written
+from keepwell.llm.common import Members, scratch, ship, text_of, written
 from keepwell.llm.store import new_file, reader
 
 #: Fixed values of the format.
@@ -35,6 +35,8 @@ ID_FORM = "<urn:keepwell:page:{}>"
 #: A new archive is begun after this many bytes.
 ARCHIVE_BYTES = 256 << 20
 _STEP = 1 << 20
+#: A header that has not ended after this many bytes is none.
+HEAD_BYTES = 1 << 20
 _NO_ID = "none"
 
 
@@ -112,9 +114,12 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     key: list[Column] = [F.octet_length("payload").alias("size"), F.sha1("payload").alias("sha")]
     first = written(rows.select("id", *key).where(F.col("size") >= revisit_bytes).groupBy("size", "sha")
                     .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeats")
-    # the repeats are a written table: small ones are broadcast, else the planner splits hot digests
-    linked = rows.select("*", *key).join(first, ["size", "sha"], "left").select(
-        "id", "url", "payload", F.when(~F.coalesce(F.col("id") == F.col("first"), F.lit(False)), F.col("first")).alias("refers"))
+    # only rows whose digest may recur meet the join; the repeats are a written table, so small ones
+    # are broadcast, else the planner splits hot digests
+    met, alone = Members(first, "size", "sha").split(rows.select("*", *key), "size", "sha")
+    link = F.when(~F.coalesce(F.col("id") == F.col("first"), F.lit(False)), F.col("first")).alias("refers")
+    linked = (alone.select("id", "url", "payload", F.lit(None).cast(first.schema["first"].dataType).alias("refers"))
+              .unionByName(met.join(first, ["size", "sha"], "left").select("id", "url", "payload", link)))
     return written(linked.mapInArrow(partial(_write, folder=folder, date=date, level=level, archive_bytes=archive_bytes),
                                      "path string, records long, bytes long"), "manifest")
 
@@ -135,7 +140,9 @@ class Record:
 
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
-    return {k.strip().lower().decode(): v.strip().decode() for k, _, v in (x.partition(b":") for x in lines if x)}
+    """Header fields by lower-case name. Bytes that are not UTF-8 are read as U+FFFD each."""
+    text = lambda x: x.strip().decode("utf-8", "replace")
+    return {text(k).lower(): text(v) for k, _, v in (x.partition(b":") for x in lines if x)}
 
 
 class Archive:
@@ -174,7 +181,7 @@ class Archive:
             nonlocal have
             while mark not in have:
                 data = next(chunks, None)
-                if data is None:
+                if data is None or len(have) > HEAD_BYTES:
                     raise ValueError(f"no end of header in the record at byte {start}")
                 have += data
             head, _, have = have.partition(mark)
@@ -198,11 +205,14 @@ class Archive:
             left -= len(part)
             block.update(part)
             if in_head:
-                head += part
-                if b"\r\n\r\n" not in head and left:
+                # a message whose head does not end, or not within its bound, is payload throughout
+                seen, head = max(0, len(head) - 3), head + part
+                ends = head.find(b"\r\n\r\n", seen)
+                if ends < 0 and left and len(head) <= HEAD_BYTES:
                     continue
-                in_head, (head, _, part) = False, head.partition(b"\r\n\r\n")
-                out.http = _fields(head.split(b"\r\n")[1:])
+                in_head, part = False, head
+                if 0 <= ends <= HEAD_BYTES:
+                    out.http, part = _fields(head[:ends].split(b"\r\n")[1:]), head[ends + 4:]
             payload.update(part)
             out.payload_bytes += len(part)
             if self._keep:
@@ -250,7 +260,7 @@ def read(archives: DataFrame, path_col: str = "path", payloads: bool = False) ->
 
     Length and digest are those of the bytes read; of a revisit, those that its headers
     give of the full payload. ``digest_ok`` is false if a digest in the headers is not that
-    of the bytes. A member that is cut off, without a header end or length, or whose block
+    of the bytes. An HTTP message whose head has no end within ``HEAD_BYTES`` is all payload. A member that is cut off, without a header end or length, or whose block
     does not end where its length says, ends the job with its offset. No archives, no rows.
     """
     ship(archives.sparkSession)
