@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from keepwell.llm.common import ship
@@ -45,17 +46,20 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1", text)
 
 
-def encode_turn(bpe, role: str, text: str, learn: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, loss mask) of a turn. The mask is the prefix sum of +1 where a learned segment
-    begins and -1 behind its end: the text of the turn, nothing else."""
-    segments = [np.array([OPEN], "<u4"), bpe.encode(escape(role)), np.array([BODY], "<u4"), bpe.encode(escape(text)),
-                np.array([CLOSE], "<u4")]
-    ends = np.cumsum([len(s) for s in segments])
-    steps = np.zeros(ends[-1] + 1, dtype=np.int32)
-    if learn:
-        steps[ends[2]] += 1
-        steps[ends[3]] -= 1
-    return np.concatenate(segments).astype(np.int32), np.cumsum(steps[:-1]) > 0
+def encode_turn(bpe, role: str, text: str, learn: bool) -> tuple[np.ndarray, int, int]:
+    """(ids, begin, end) of a turn: its learned segment, the text and nothing else, is ids[begin:end]."""
+    shown = bpe.encode(escape(role))
+    body = bpe.encode(escape(text))
+    ids = np.empty(len(shown) + len(body) + 3, dtype=np.int32)
+    begin = len(shown) + 2
+    ids[0], ids[1:begin - 1], ids[begin - 1], ids[begin:-1], ids[-1] = OPEN, shown, BODY, body, CLOSE
+    return ids, begin, begin + len(body) if learn else begin
+
+
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
+    flat = np.concatenate([*rows, np.zeros(0, rows[0].dtype if rows else np.int32)])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, kind))
 
 
 def _encode(batches: Iterable[pa.RecordBatch], learn: str, vocab: str | None) -> Iterator[pa.RecordBatch]:
@@ -64,47 +68,77 @@ def _encode(batches: Iterable[pa.RecordBatch], learn: str, vocab: str | None) ->
         made = [encode_turn(bpe, r or "", t or "", r == learn)
                 for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], pa.array([m[0] for m in made], pa.list_(pa.int32())),
-             pa.array([m[1] for m in made], pa.list_(pa.bool_()))], names=["conv_id", "turn", "ids", "loss"])
+            [*batch.columns[:2], _lists([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.int32()),
+             pa.array([m[2] for m in made], pa.int32())], names=["conv_id", "turn", "ids", "begin", "end"])
+
+
+def loss_mask(lengths: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A flag per id of turns that lie one after another: the prefix sum of +1 where a learned
+    segment begins and -1 behind its end."""
+    starts = np.cumsum(lengths) - lengths
+    steps = np.zeros(int(lengths.sum()) + 1, dtype=np.int32)
+    np.add.at(steps, starts + begins, 1)
+    np.add.at(steps, starts + ends, -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+class _Chunks:
+    """The chunks of conversations whose turns come in order. What is held is at most a chunk and a batch."""
+
+    def __init__(self, size: int):
+        self.size, self.conv, self.begun, self.nth = size, None, False, 0
+        self.ids: list[np.ndarray] = []
+        self.loss: list[np.ndarray] = []
+        self.out: list[tuple] = []
+
+    def add(self, ids: np.ndarray, loss: np.ndarray) -> None:
+        self.ids.append(ids), self.loss.append(loss)
+
+    def cut(self, last: bool) -> None:
+        if last:
+            self.add(np.array([END], np.int32), np.zeros(1, bool))
+        ids, loss = np.concatenate(self.ids), np.concatenate(self.loss)
+        whole = len(ids) if last else len(ids) // self.size * self.size
+        for at in range(0, whole, self.size):
+            self.out.append((self.conv, self.nth, ids[at:min(at + self.size, whole)], loss[at:min(at + self.size, whole)]))
+            self.nth += 1
+        self.ids, self.loss = [ids[whole:]], [loss[whole:]]
+
+    def begin(self, conv) -> None:
+        if self.begun:
+            self.cut(True)
+        self.conv, self.begun, self.nth, self.ids, self.loss = conv, True, 0, [], []
+
+    def flush(self, schema: pa.Schema) -> pa.RecordBatch:
+        keys, nths, ids, loss = (list(c) for c in zip(*self.out, strict=True)) if self.out else ([], [], [], [])
+        self.out = []
+        return pa.RecordBatch.from_arrays([pa.array(keys, schema.field(0).type), pa.array(nths, pa.int32()), _lists(ids, pa.int32()),
+                                           _lists(loss, pa.bool_())], schema=schema)
 
 
 def _assemble(batches: Iterable[pa.RecordBatch], chunk_tokens: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Sorted turns to chunks of conversations. The arrays held are at most a chunk and a turn."""
-    conv, begun, chunk, ids, loss = None, False, 0, np.zeros(0, np.int32), np.zeros(0, bool)
-    out: list[tuple] = []
-
-    def cut(last: bool) -> None:
-        nonlocal chunk, ids, loss
-        while len(ids) >= chunk_tokens or (last and len(ids)):
-            out.append((conv, chunk, ids[:chunk_tokens], loss[:chunk_tokens]))
-            chunk, ids, loss = chunk + 1, ids[chunk_tokens:], loss[chunk_tokens:]
-
-    def flush() -> pa.RecordBatch:
-        cols = list(zip(*out, strict=True)) or [[], [], [], []]
-        batch = pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-        out.clear()
-        return batch
-
-    def finish() -> None:
-        nonlocal ids, loss
-        ids, loss = np.append(ids, np.int32(END)), np.append(loss, False)
-        cut(True)
-
+    """Sorted turns to chunks of conversations."""
+    chunks = _Chunks(chunk_tokens)
     for batch in batches:
-        for key, x, m in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-            if not begun or key != conv:
-                if begun:
-                    finish()
-                conv, begun, chunk = key, True, 0
-            ids = np.concatenate([ids, np.asarray(x.values, dtype=np.int32)])
-            loss = np.concatenate([loss, m.values.to_numpy(zero_copy_only=False)])
-            cut(False)
-        if sum(len(o[2]) for o in out) > 1 << 20:
-            yield flush()
-    if begun:
-        finish()
-    if out:
-        yield flush()
+        if not batch.num_rows:
+            continue
+        keys, ids = batch.column(0).to_pylist(), batch.column(2)
+        lengths = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        mask = loss_mask(lengths, *(batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4)))
+        ends = np.cumsum(lengths)
+        first = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+        for a, b in zip(first, first[1:], strict=False):
+            if not chunks.begun or keys[a] != chunks.conv:
+                chunks.begin(keys[a])
+            chunks.add(flat[ends[a] - lengths[a]:ends[b - 1]], mask[ends[a] - lengths[a]:ends[b - 1]])
+        chunks.cut(False)
+        if sum(len(o[2]) for o in chunks.out) > 1 << 20:
+            yield chunks.flush(schema)
+    if chunks.begun:
+        chunks.cut(True)
+    if chunks.out:
+        yield chunks.flush(schema)
 
 
 def _together(rows: DataFrame, *order: Column | str) -> DataFrame:
@@ -118,25 +152,24 @@ def format_conversations(turns: DataFrame, learn: str = "assistant", chunk_token
     into chunks of ``chunk_tokens``, and a flag per id that is true for the text of turns
     whose role is ``learn``.
 
-    Turns come in order of ``turn`` (null last; equal ones in order of role and text, null
-    first, repeated rows each). Null roles and texts count as empty; rows with a null
-    conversation id form one conversation. A conversation ends with ``<|endoftext|>``. Other
+    Turns come in order of ``turn`` (null last; equal ones in order of role, null first, and then
+    of their ids, so whatever the order of the rows; repeated rows each). Null roles and texts count
+    as empty; rows with a null conversation id form one conversation. Ids may have any type. A conversation ends with ``<|endoftext|>``. Other
     columns are ignored; an empty table gives no rows.
     """
     ship(turns.sparkSession)
     key = turns.schema[id_col].dataType
     rows = turns.select(F.col(id_col).alias("conv_id"), F.struct(
-        F.col(turn_col).isNull().alias("late"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
-        F.xxhash64(F.col(text_col).cast("string")).alias("text")).alias("turn"),
+        F.col(turn_col).isNull().alias("late"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role")).alias("turn"),
         F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     coded = StructType([StructField("conv_id", key), StructField("turn", rows.schema["turn"].dataType),
-                        StructField("ids", ArrayType(IntegerType())), StructField("loss", ArrayType(BooleanType()))])
+                        StructField("ids", ArrayType(IntegerType())), StructField("begin", IntegerType()), StructField("end", IntegerType())])
     done = StructType([StructField("conv_id", key), StructField("chunk", IntegerType()),
                        StructField("ids", ArrayType(IntegerType())), StructField("loss", ArrayType(BooleanType()))])
-    arrow = pa.schema([("conv_id", pa.string() if isinstance(key, StringType) else pa.int64()), ("chunk", pa.int32()),
+    arrow = pa.schema([("conv_id", to_arrow_type(key)), ("chunk", pa.int32()),
                        ("ids", pa.list_(pa.int32())), ("loss", pa.list_(pa.bool_()))])
     encoded = rows.mapInArrow(partial(_encode, learn=learn, vocab=vocab), coded)
-    return _together(encoded, "turn").mapInArrow(partial(_assemble, chunk_tokens=chunk_tokens, schema=arrow), done)
+    return _together(encoded, "turn", "ids").mapInArrow(partial(_assemble, chunk_tokens=chunk_tokens, schema=arrow), done)
 
 
 class _Reading:
@@ -146,31 +179,36 @@ class _Reading:
         self.conv, self.bpe = conv, bpe
         self.turns, self.shown, self.learned = 0, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
-        self.parts: list[np.ndarray] = []  # of the segment that is being read
-        self.masked: list[np.ndarray] = []
+        self.parts: list[int] = []  # of the segment that is being read
+        self.masked: list[int] = []
 
     def take(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        start = 0
-        for at in np.flatnonzero(ids >= END):
-            self._add(ids[start:at], mask[start:at])
-            self._control(int(ids[at]))
+        start, listed, before = 0, ids.tolist(), np.concatenate([[0], np.cumsum(mask)]).tolist()
+        for at in np.flatnonzero(ids >= END).tolist():
+            self._add(listed, mask, before, start, at)
+            self._control(listed[at])
             start = at + 1
-        self._add(ids[start:], mask[start:])
-
-    def _add(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        self.parts.append(ids)
-        self.masked.append(ids[mask])
-
-    def _text(self, parts: list[np.ndarray]) -> str:
-        return self.bpe.decode(np.concatenate([*parts, np.zeros(0, np.int32)]))
+        self._add(listed, mask, before, start, len(listed))
+
+    def _add(self, listed: list[int], mask: np.ndarray, before: list[int], start: int, end: int) -> None:
+        if start == end:
+            return
+        part, learned = listed[start:end], before[end] - before[start]
+        self.parts += part
+        if learned == len(part):
+            self.masked += part
+        elif learned:
+            self.masked += [i for i, m in zip(part, mask[start:end].tolist(), strict=True) if m]
 
     def _control(self, control: int) -> None:
         self.shown += len(RESERVED[control])
         if control in (BODY, CLOSE):
-            text = self._text(self.parts)
+            text = self.bpe.decode(self.parts)
             self.shown += len(text)
-            self.all.update((unescape(text) + "\n").encode())
-            if learned := unescape(self._text(self.masked)):
+            plain = unescape(text)
+            self.all.update((plain + "\n").encode())
+            if self.masked:
+                learned = plain if len(self.masked) == len(self.parts) else unescape(self.bpe.decode(self.masked))
                 self.learned += len(learned)
                 self.loss.update(learned.encode())
         self.turns += control == CLOSE
@@ -189,7 +227,7 @@ def _read(batches: Iterable[pa.RecordBatch], vocab: str | None, schema: pa.Schem
                 if now is not None:
                     rows.append(now.row())
                 now = _Reading(key, bpe)
-            now.take(np.asarray(ids.values, dtype=np.int32), mask.values.to_numpy(zero_copy_only=False))
+            now.take(ids.values.to_numpy(zero_copy_only=False), mask.values.to_numpy(zero_copy_only=False))
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
     if now is not None:
         yield pa.RecordBatch.from_pylist([dict(zip(schema.names, now.row(), strict=True))], schema)
@@ -205,7 +243,7 @@ def read_back(formatted: DataFrame, vocab: str | None = None) -> DataFrame:
     out = StructType([StructField("conv_id", key), StructField("n_turns", LongType()), StructField("turns_sha256", StringType()),
                       StructField("loss_chars", LongType()), StructField("loss_sha256", StringType()),
                       StructField("formatted_chars", LongType())])
-    arrow = pa.schema([("conv_id", pa.string() if isinstance(key, StringType) else pa.int64()), ("n_turns", pa.int64()),
+    arrow = pa.schema([("conv_id", to_arrow_type(key)), ("n_turns", pa.int64()),
                        ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()),
                        ("formatted_chars", pa.int64())])
     return _together(formatted, "chunk").mapInArrow(partial(_read, vocab=vocab, schema=arrow), out)

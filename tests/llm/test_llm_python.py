@@ -191,9 +191,12 @@ def test_chat_escape_is_reversible_and_total():
 
 def test_chat_mask_covers_the_text_only():
     bpe = tokens.byte_bpe()
-    ids, mask = chat.encode_turn(bpe, "assistant", "some words", True)
-    assert bpe.decode(ids[mask]) == "some words" and ids[0] == chat.OPEN and ids[-1] == chat.CLOSE
-    assert not chat.encode_turn(bpe, "user", "some words", False)[1].any()
+    ids, begin, end = chat.encode_turn(bpe, "assistant", "some words", True)
+    assert bpe.decode(ids[begin:end]) == "some words" and ids[0] == chat.OPEN and ids[-1] == chat.CLOSE
+    other, b, e = chat.encode_turn(bpe, "user", "some words", False)
+    assert b == e
+    mask = chat.loss_mask(np.array([len(ids), len(other), len(ids)]), np.array([begin, b, begin]), np.array([end, e, end]))
+    assert bpe.decode(np.concatenate([ids, other, ids])[mask]) == "some wordssome words"
     assert (bpe.encode("<turn></turn><|endoftext|>") < chat.END).all()
 
 
