@@ -57,11 +57,14 @@ class Capacity:
 
 def _pieces(batches: Iterable[pa.RecordBatch], tokens: int, vocab: str | None) -> Iterator[pa.RecordBatch]:
     names = ["id", "piece", "start", "length", "ids_crc32"]
+    last, ids = None, np.zeros(0, "<u4")
     for batch in batches:
         bpe = word_bpe(vocab)
         rows, piece, start, length, crc = [], [], [], [], []
-        for i, text in enumerate(batch.column(1)):
-            ids = np.append(bpe.encode(text.as_py()), np.uint32(EOS)).astype("<u4", copy=False)
+        for i, cell in enumerate(batch.column(1)):
+            text = cell.as_py()
+            if text != last:  # a mix repeats a document in rows that follow one another
+                last, ids = text, np.append(bpe.encode(text), np.uint32(EOS)).astype("<u4", copy=False)
             for k, at in enumerate(range(0, len(ids), tokens)):
                 part = ids[at:at + tokens]
                 rows.append(i), piece.append(k), start.append(at), length.append(len(part))
