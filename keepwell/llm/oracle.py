@@ -112,5 +112,58 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op1_warc": OP1, "op4_chat_format": OP4,
+def _field(x: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({x} AS VARCHAR))) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256({})".format(" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")))
+#: CRC-32 bit by bit (the polynomial is a fixed value), as DuckDB has no such function.
+_CRC = """xor(list_reduce([4294967295] || [CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+  lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"""
+_RUN = "PARTITION BY level, tree, i // 16 ORDER BY i ROWS BETWEEN"
+
+
+def _climb(name: str, leaves: str) -> str:
+    """``name`` (level, tree, i, n, digest): every node of the trees over ``leaves`` (tree, i, n, digest)."""
+    return f"""{name} AS (SELECT 0 AS level, tree, i, n, digest FROM {leaves}
+  UNION ALL SELECT level + 1, tree, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i)) FROM {name}
+  WHERE n > 1 GROUP BY level, tree, i // 16, n)"""
+
+
+def _fold(name: str, start: str, nodes: str) -> str:
+    """``name``: rows of ``start`` (tree, i, proof, node, ...) on their way up, step by step."""
+    return f"""{name}_steps AS MATERIALIZED (SELECT level, tree, i,
+    coalesce(string_agg(digest, '') OVER ({_RUN} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER ({_RUN} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {nodes} WHERE n > 1),
+{name} AS (SELECT 0 AS level, row_id, tree, i, proof, node FROM {start}
+  UNION ALL SELECT p.level + 1, row_id, p.tree, p.i // 16, proof || l || r, sha256(l || node || r)
+  FROM {name} p JOIN {name}_steps s ON s.level = p.level AND s.tree = p.tree AND s.i = p.i),
+{name}_end AS MATERIALIZED (SELECT row_id, tree, max_by(proof, level) AS proof, max_by(node, level) AS node FROM {name} GROUP BY row_id, tree)"""
+
+
+OP11 = f"""
+WITH RECURSIVE base AS MATERIALIZED (
+  SELECT doc_id, coalesce('s' || source, 'n') AS tree, {_LEAF.format(text="text")} AS digest,
+         CASE WHEN {_CRC} % 5 = 0 THEN {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              END AS changed FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS row_id, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS i,
+         count(*) OVER (PARTITION BY tree) AS n FROM base),
+{_climb("inner_nodes", "leaves")},
+subroots AS MATERIALIZED (
+  SELECT tree AS source, 'top' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, digest
+  FROM inner_nodes WHERE n = 1),
+{_climb("top_nodes", "subroots")},
+begun AS (SELECT row_id, tree, i, '' AS proof, coalesce(changed, digest) AS node FROM leaves),
+{_fold("low", "begun", "inner_nodes")},
+halfway AS (SELECT row_id, s.tree, s.i, proof, node FROM low_end JOIN subroots s ON s.source = low_end.tree),
+{_fold("high", "halfway", "top_nodes")}
+SELECT doc_id, leaves.digest AS leaf, subroots.digest AS subroot, root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = root AS verified
+FROM leaves JOIN subroots ON subroots.source = leaves.tree JOIN high_end USING (row_id),
+     (SELECT digest AS root FROM top_nodes WHERE n = 1)
+"""
+
+ORACLE_SQL = {"op1_warc": OP1, "op4_chat_format": OP4, "op11_merkle_manifest": OP11,
               "op2_exact_dedup": OP2, "op6_quality_rules": OP6, "op8_mixing": OP8}
