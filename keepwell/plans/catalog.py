@@ -492,6 +492,24 @@ def q_stream_scoring(spark, sf_dir):
     return present(spark.read.parquet(f"{root}/out"))
 
 
+#: A given scorecard, so that streamed scores have an exact answer: feature -> (mean, standard
+#: deviation, coefficient), and coefficients of segments (the last one occurs nowhere).
+SCORECARD = {"recency_days": (90.0, 60.0, 0.9), "purchase_frequency": (4.0, 3.0, -0.4), "monetary_value": (500_000.0, 400_000.0, -0.3),
+             "purchase_regularity_days": (40.0, 25.0, 0.25), "recent_purchasing_trend": (0.0, 2.0, -0.15)}
+SCORECARD_SEGMENTS = {"ASIA": 0.2, "EUROPE": -0.3, "AFRICA": 0.1, "ATLANTIS": 9.0}
+SCORECARD_MEDIANS, SCORECARD_INTERCEPT = {"purchase_regularity_days": 35.0}, -0.2
+
+
+def q_stream_scoring_given(spark, sf_dir):
+    """The same stream scored with the given scorecard."""
+    train = _train(spark, sf_dir)
+    bundle = model.given_bundle(train, SCORECARD, SCORECARD_INTERCEPT, PLATT, SCORECARD_SEGMENTS, SCORECARD_MEDIANS)
+    root = _stream_root(spark, sf_dir, "scoring_given")
+    out = streams.scoring_stream(_scored_stream(spark, sf_dir), bundle, SCENARIO, PARAMS, known_segments(spark, sf_dir))
+    streams.run_available(out, f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.parquet(f"{root}/out"))
+
+
 def q_stream_drift(spark, sf_dir):
     """The shifted test cohort as a stream, drift alerts per micro-batch against a saved baseline."""
     cur = cohort(spark, sf_dir, "test")
@@ -526,12 +544,14 @@ def q_policy_lift_comparison(spark, sf_dir):
     return present(beside(churn, value))
 
 
+def comparison(spark, sf_dir):
+    """Summaries of the random, churn and value policies (written once)."""
+    return stage(spark, sf_dir, "policy_comparison", lambda: dec.compare_policies(cohort(spark, sf_dir), SCENARIO, PARAMS.history_days, 200))
+
+
 def q_policy_table(spark, sf_dir):
-    """Report table (R1) for the churn and value policies."""
-    c = cohort(spark, sf_dir)
-    rows = [dec.apply_policy(c, SCENARIO, p, PARAMS.history_days)[1] for p in ("churn_probability",
-                                                                            "expected_value")]
-    return present(dec.policy_table(rows[0].unionByName(rows[1])))
+    """Report table (R1) of the random, churn and value policies."""
+    return present(dec.policy_table(comparison(spark, sf_dir)))
 
 
 _BASELINES: dict = {}
@@ -606,7 +626,7 @@ def q_drift_record(spark, sf_dir):
 
 def q_compare_policies(spark, sf_dir):
     """Random, churn and value policies side by side."""
-    return present(dec.compare_policies(cohort(spark, sf_dir), SCENARIO, PARAMS.history_days, 200).select(*SUMMARY_COLUMNS))
+    return present(comparison(spark, sf_dir).select(*SUMMARY_COLUMNS))
 
 
 #: Scenarios in which the budget, the value of a contact, and all limits at once bind.
@@ -728,5 +748,6 @@ QUERIES = {
     "stream_transactions": q_stream_transactions,
     "stream_accounting": q_stream_accounting,
     "stream_scoring": q_stream_scoring,
+    "stream_scoring_given": q_stream_scoring_given,
     "stream_drift": q_stream_drift,
 }

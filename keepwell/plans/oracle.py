@@ -550,14 +550,12 @@ def build() -> dict[str, str]:
 
     def fmt(c):
         return f"format('{{:.3f}}', {c}) AS {c}" if c in rate else f"format('{{:,.2f}}', {c}) AS {c}"
-    both = (f"SELECT *, precision_at_budget AS observed_churn_rate FROM "
-            f"(SELECT * FROM ({with_(*pc)}{summary_select('churn_probability')}) UNION ALL "
-            f"SELECT * FROM ({with_(*pv)}{summary_select('expected_value')}))")
     cols = ["average_churn_probability", "average_estimated_margin_at_risk", "expected_net_value_per_contact",
             "observed_churn_rate", "recall_at_budget", "precision_at_budget", "lift_at_budget", "expected_net_value",
             "expected_campaign_cost"]
     q["policy_table"] = final(f"""SELECT policy, customers_contacted, {", ".join(fmt(c) for c in cols)},
-        binding_constraint, {fmt("scenario_realized_net_value")} FROM ({both})""")
+        binding_constraint, {fmt("scenario_realized_net_value")}
+      FROM (SELECT *, precision_at_budget AS observed_churn_rate FROM ({q["compare_policies"]}))""")
 
     import numpy as np
     fr = [float(v) for v in np.linspace(0.05, 0.50, 10)]
@@ -693,6 +691,25 @@ def portfolio_sql() -> dict[str, str]:
              WHEN coalesce(expected_net_value <= 0, false) THEN 'Expected net value is not positive under the configured scenario'
              ELSE 'Positive expected net value; portfolio ranking is still required' END AS reason FROM econ""",
         dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
+    from keepwell.plans.catalog import PLATT, SCORECARD, SCORECARD_INTERCEPT, SCORECARD_MEDIANS, SCORECARD_SEGMENTS
+
+    terms = [f"(coalesce(CAST({c} AS DOUBLE), {d(SCORECARD_MEDIANS.get(c, 0))}) - {d(mean)}) / {d(std)} * {d(weight)}"
+             for c, (mean, std, weight) in SCORECARD.items()]
+    terms.append("CASE WHEN geographic_segment IN (SELECT geographic_segment FROM snap WHERE split = 'train') THEN "
+                 f"CASE geographic_segment {' '.join(f'WHEN {s!r} THEN {d(w)}' for s, w in SCORECARD_SEGMENTS.items())} ELSE 0 END ELSE 0 END")
+    clipped = f"least(greatest(1 / (1 + exp(-z)), {d(1e-6)}), {d(1 - 1e-6)})"
+    streamed = snapshot_ctes(P) + [
+        f"""scores AS (SELECT *, {ops} AS ops, array_to_string({wl}, ' | ') AS warnings, {d(SCORECARD_INTERCEPT)} + {' + '.join(terms)} AS z
+            FROM cand WHERE split = 'test' AND len({lst}) = 0)""",
+        f"calibrated AS (SELECT *, 1 / (1 + exp(-({d(PLATT[0])} * ln({clipped} / (1 - {clipped})) + {d(PLATT[1])}))) AS churn_probability FROM scores)",
+        _economics_select("calibrated")]
+    q["stream_scoring_given"] = final(with_(*streamed) + """SELECT customer_id, churn_probability, 'given' AS model_version, warnings,
+        estimated_margin_at_risk AS margin_at_risk, expected_net_value,
+        len(ops) = 0 AND coalesce(expected_net_value > 0, false) AS economic_eligibility,
+        CASE WHEN len(ops) > 0 THEN 'Operational eligibility failed: ' || array_to_string(ops, ', ')
+             WHEN coalesce(expected_net_value <= 0, false) THEN 'Expected net value is not positive under the configured scenario'
+             ELSE 'Positive expected net value; portfolio ranking is still required' END AS reason FROM econ""",
+        dbl=["churn_probability", "margin_at_risk", "expected_net_value"])
     batch = port + [f"pops AS (SELECT *, {ops} AS ops FROM port WHERE len({lst}) = 0)",
                     "allecon AS (SELECT * FROM pops)",
                     _economics_select("(SELECT * FROM pops WHERE len(ops) = 0)")] + \
