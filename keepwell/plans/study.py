@@ -23,6 +23,7 @@ from keepwell.operators.model import save_bundle, score, train_and_select
 from keepwell.operators.normalize import normalize_transactions
 from keepwell.operators.snapshots import build_snapshots, eligibility_rollup
 from keepwell.operators.validation import validate_transactions, write_counted
+from keepwell.scratch import scope
 from keepwell.sources.files import read_csv, read_snapshots, write_csv, write_one_row, write_snapshots
 from keepwell.sources.lineage import file_fingerprints, lineage_record, table_checksum
 
@@ -36,7 +37,15 @@ def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params
               segment_map: dict | None = None, random_repetitions: int = 200, salt: str = "customer:",
               source_commit: str = "unknown", source_files: list[str] | None = None) -> dict:
     """Run the study. ``source_files``: the files that ``transactions`` came from, whose SHA-256
-    the lineage records hold beside the checksum of the lines and the digests of all parameters."""
+    the lineage records hold beside the checksum of the lines and the digests of all parameters.
+    Intermediate tables are gone when it returns; what is left is in ``out_dir``."""
+    with scope(spark):
+        return _run_study(spark, transactions, out_dir, params, scenario, model_params, full_data, segment_map,
+                          random_repetitions, salt, source_commit, source_files or [])
+
+
+def _run_study(spark, transactions, out_dir, params, scenario, model_params, full_data, segment_map, random_repetitions,
+               salt, source_commit, source_files) -> dict:
     out = out_dir.rstrip("/")
     validate_horizon_alignment(params.horizon_days, scenario)
     counted = write_counted(normalize_transactions(transactions), f"{out}/transactions")
@@ -82,7 +91,7 @@ def run_study(spark: SparkSession, transactions: DataFrame, out_dir: str, params
     given |= {f"{name}_sha256": sha256(repr(value).encode()).hexdigest() for name, value in given.items()}
     sources = table_checksum(transactions).first().asDict()  # of the lines as they were given
     inputs = {"transactions": f"{sources['rows']}:{sources['xor_hash64']}"} | {
-        name: digest for path in (source_files or []) for name, digest in
+        name: digest for path in source_files for name, digest in
         ((r["path"], r["sha256"]) for r in file_fingerprints(spark, path).collect())}  # a row per input file
     for name in ("transactions", "snapshots", "model_comparison", "scored_test", "drift_alerts"):
         sums = table_checksum(spark.read.parquet(f"{out}/{name}")).first()

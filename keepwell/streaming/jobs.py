@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from keepwell.config import EconomicScenario, SnapshotParams
 from keepwell.operators import drift, portfolio
 from keepwell.operators.normalize import normalize_transactions
+from keepwell.scratch import scope
 from keepwell.session import ensure_checkpoint_dir
 from keepwell.sources.tables import events_to_transactions
 
@@ -110,9 +111,11 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "ap
 
 
 def drift_per_batch(stream: DataFrame, baseline: drift.Baseline, sink: str, checkpoint: str):
-    """Alerts of every micro-batch against the baseline, in a folder per batch id."""
+    """Alerts of every micro-batch against the baseline, in a folder per batch id. A batch leaves
+    no other tables, so a stream may run on for as long as it likes."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        drift.drift_alerts(baseline, batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        with scope(batch.sparkSession):
+            drift.drift_alerts(baseline, batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
