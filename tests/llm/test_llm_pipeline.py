@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against brute force on a given table; SQL queries against DuckDB."""
 
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ from test_llm_native import _targets
 from test_llm_python import _check_places, _slow_components, _slow_print
 
 import corpus_pipeline
+from keepwell import scratch
 from keepwell.llm import tokens
 from keepwell.llm.common import written
 from keepwell.llm.oracle import ORACLE_SQL
@@ -19,10 +21,10 @@ from keepwell.llm.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def _duck(sql):
+def _duck(sql, sf=SF):
     con = duckdb.connect()
     for t in ("documents", "labels", "pages", "conversations"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     got = con.execute(sql)
     return [d[0] for d in got.description], got.fetchall()
 
@@ -80,6 +82,28 @@ def test_every_stage(spark):
             _check_places(got)
 
 
+def test_certified_cutoffs_reject_in_query_and_stage(spark):
+    """With labels enough to certify cutoffs, the learned rules reject documents that the base
+    rules keep; the query and the pipeline's first stage agree with SQL on every row."""
+    sf = "/root/testdata/sf0.1"
+    names, rows = _duck(ORACLE_SQL["op6_quality_rules"], sf)
+    got = QUERIES["op6_quality_rules"](spark, sf).select(*names)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(rows)
+    row = {r[0]: dict(zip(names, r, strict=True)) for r in rows}
+    learned = [i for i, r in row.items() if not r["kept"] and not r["base_failed"]]
+    assert len(learned) > 100
+    stage = corpus_pipeline.filter_quality(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert sorted(r.doc_id for r in stage.select("doc_id").collect()) == sorted(i for i, r in row.items() if r["kept"])
+
+
+def test_a_run_keeps_the_stages_only(spark):
+    root = scratch._tables(spark, spark.sparkContext.applicationId)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    out = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(root)) - before
+    assert sorted(os.listdir(f"{root}/{f}")[0] for f in left) == [f"stage_{k}" for k in range(5)] and out.count() > 0
+
+
 def test_stages_take_empty_tables_and_odd_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "1 AS kept", "'x' AS sha", "2 AS n_words", "3 AS fp", "4 AS src")
     for table in (docs, docs.where("false")):
