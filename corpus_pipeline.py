@@ -1,6 +1,7 @@
 """From raw documents to packed sequences: quality rules, exact dedup, SimHash
 near-dedup, mixing, packing. Each stage is written as Parquet in the shared folder and
-read again by the next, so a lost executor costs at most the stage that runs."""
+read again by the next, so a lost executor costs at most the stage that runs. What a
+stage wrote beside its result is deleted when the result is there."""
 
 from __future__ import annotations
 
@@ -9,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keepwell.llm import exact, mixing, packing, quality, simhash
-from keepwell.llm.common import table, written
+from keepwell.llm.common import table
+from keepwell.scratch import scope, scratch
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +53,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"stage_{k}")
+        path = scratch(spark, f"stage_{k}")
+        with scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return docs
