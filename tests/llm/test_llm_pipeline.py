@@ -1,7 +1,6 @@
 """The pipeline, stage by stage, against brute force on a given table; SQL queries against DuckDB."""
 
 import hashlib
-import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +11,6 @@ from test_llm_native import _targets
 from test_llm_python import _check_places, _slow_components, _slow_print
 
 import corpus_pipeline
-from keepwell import scratch
 from keepwell.llm import tokens
 from keepwell.llm.common import written
 from keepwell.llm.oracle import ORACLE_SQL
@@ -96,14 +94,6 @@ def test_certified_cutoffs_reject_in_query_and_stage(spark):
     assert sorted(r.doc_id for r in stage.select("doc_id").collect()) == sorted(i for i, r in row.items() if r["kept"])
 
 
-def test_a_run_keeps_the_stages_only(spark):
-    root = scratch._tables(spark, spark.sparkContext.applicationId)
-    before = set(os.listdir(root)) if os.path.isdir(root) else set()
-    out = corpus_pipeline.run(spark, SF)
-    left = set(os.listdir(root)) - before
-    assert sorted(os.listdir(f"{root}/{f}")[0] for f in left) == [f"stage_{k}" for k in range(5)] and out.count() > 0
-
-
 def test_stages_take_empty_tables_and_odd_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "1 AS kept", "'x' AS sha", "2 AS n_words", "3 AS fp", "4 AS src")
     for table in (docs, docs.where("false")):
