@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from keepwell.llm import (bpe, chat, exact, merkle, mixing, packing, quality, sharding, simhash, token_count, tokens, toxicity,
                           warc, whiten)
-from keepwell.llm.common import table, written
+from keepwell.llm.common import table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
-    return chat.read_back(written(chat.format_conversations(turns.unionByName(added)), "formatted"))
+    return chat.read_back(chat.format_conversations(turns.unionByName(added)))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,6 +139,58 @@ def test_a_conversation_of_many_turns(spark):
     assert (row["n_turns"], row["turns_sha256"]) == (20_000, want)
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_a_hot_conversation_is_many_ranges(spark, monkeypatch, same):
+    """A conversation that holds nearly all turns, different or equal ones, lies in most ranges; its
+    chunks count on across them and only the last one ends it."""
+    made, kept = [], chat.written
+
+    def seen(df, name):
+        made.append((name, kept(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(chat, "written", seen)
+    n, text = 4000, "\\\\ " * 3 + "é <turn>"
+    turns = spark.range(n).select(F.when(F.col("id") % 50 == 1, F.col("id")).alias("conv_id"), F.lit(3 if same else F.col("id")).alias("turn"),
+                                  F.lit("assistant").alias("role"),
+                                  F.lit(text) if same else F.concat(F.lit(text), F.col("id").cast("string")).alias("text"))
+    turns = turns.toDF("conv_id", "turn", "role", "text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        done = chat.format_conversations(turns, chunk_tokens=100)
+        chunks = sorted((r["chunk"], r["ids"], r["loss"]) for r in done.where("conv_id is null").collect())
+        places = dict(made)["chat_chunks"].where("conv_id is null").select("place").distinct().count()
+        rows = {r["conv_id"]: r for r in chat.read_back(done).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert places >= int(spark.conf.get("spark.sql.shuffle.partitions")) - 1 > 1
+    assert [c for c, *_ in chunks] == list(range(len(chunks)))
+    assert [i for _, ids, _ in chunks for i in ids if i == chat.END] == [chat.END] and chunks[-1][1][-1] == chat.END
+    assert all(0 < len(ids) == len(loss) <= 100 for _, ids, loss in chunks)
+    hot = [text if same else f"{text}{i}" for i in range(n) if i % 50 != 1]
+    assert len(rows) == 1 + n // 50
+    assert rows[None]["turns_sha256"] == hashlib.sha256("".join(f"assistant\n{t}\n" for t in hot).encode()).hexdigest()
+    assert rows[None]["loss_sha256"] == hashlib.sha256("".join(hot).encode()).hexdigest()
+    assert (rows[None]["n_turns"], rows[None]["loss_chars"]) == (len(hot), sum(map(len, hot)))
+
+
+def test_runs_of_backslashes_and_blanks_across_chunks(spark):
+    texts = ["\\" * 1001, "a" + "\\" * 77 + "<turn>", " " * 1_500_000, "\\"]
+    turns = spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(texts)], "conv_id int, turn int, role string, text string")
+    for size in (2, 3, 1000):
+        (row,) = chat.read_back(chat.format_conversations(turns if size > 3 else turns.where("turn <> 2"), chunk_tokens=size)).collect()
+        said = "".join(t for t in texts if size > 3 or t[0] != " ")
+        assert (row["loss_chars"], row["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_short_conversations_are_not_shuffled_to_be_read(spark):
+    turns = spark.range(300).select((F.col("id") % 100).alias("conv_id"), "id", F.lit("user").alias("role"), F.lit("x").alias("text"))
+    made = chat.format_conversations(turns.withColumnRenamed("id", "turn"))
+    plan = chat.read_back(made)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    assert made.count() == 100 and made.where(F.col("ids")[F.size("ids") - 1] != chat.END).count() == 0
+
+
 # --- packing, token files
 
 def test_pack_keeps_every_column(spark):

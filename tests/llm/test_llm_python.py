@@ -171,7 +171,7 @@ def _chat_expected(rows):
     return out
 
 
-@pytest.mark.parametrize("chunk", [5, 1 << 16])
+@pytest.mark.parametrize("chunk", [2, 5, 1 << 16])
 def test_chat_reads_back(spark, chunk):
     turns = spark.createDataFrame([(*r, "x") for r in TURNS], "conv_id long, turn long, role string, text string, ids string")
     made = chat.format_conversations(turns, chunk_tokens=chunk)
