@@ -59,7 +59,7 @@ class Bpe:
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
-        pattern = pattern or public_tokenizers.PATTERN
+        pattern, self.highest = pattern or public_tokenizers.PATTERN, max(ranks.values())
         self._size, self._matches = segment, regex.compile(pattern)
         self._texts = tiktoken.Encoding("texts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._match = tiktoken.Encoding("match", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})

@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from keepwell.llm.bpe import loaded
 from keepwell.llm.common import scratch, ship, text_of, written
 from keepwell.llm.store import new_file, random_reader
-from keepwell.llm.tokens import byte_bpe
+from keepwell.llm.tokens import public
 
 #: The vocabulary's free id, which no text yields.
 END = 50256
@@ -29,13 +30,13 @@ BLOCK_TOKENS = 1 << 20
 RUN = 1024
 
 
-def _write(batches: Iterable[pa.RecordBatch], folder: str, vocab: str | None, dtype: str) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterable[pa.RecordBatch], folder: str, vocab: str, dtype: str) -> Iterator[pa.RecordBatch]:
     """Rows (id, text) to one token file a task; a row per document, and one with the size."""
     out, uri, nth, total, kind = None, "", 0, 0, None
     for batch in batches:
         if out is None:
             uri, out = new_file(folder, ".tokens")
-        bpe, kind = byte_bpe(vocab), batch.schema.field(0).type
+        bpe, kind = loaded(vocab), batch.schema.field(0).type
         for text in batch.column(1):
             ids = np.append(bpe.encode(text.as_py()), np.uint32(END)).astype(dtype)
             out.write(ids.tobytes())
@@ -57,7 +58,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, id_col: str =
     in which the documents lie in their file. Null and empty texts are a separator alone."""
     spark = docs.sparkSession
     ship(spark)
-    highest = byte_bpe(vocab).highest
+    vocab = vocab or public("byte_bpe_50k.tiktoken")
+    highest = loaded(vocab).highest
     if highest >= END:
         raise ValueError(f"the vocabulary uses id {highest}; {END} and beyond must be free, as {END} ends a document")
     if END > np.iinfo(np.dtype(dtype)).max:

@@ -3,7 +3,6 @@ must lie at that path on every executor; none is given: the installed public fil
 
 from __future__ import annotations
 
-import base64
 import functools
 import json
 
@@ -71,32 +70,6 @@ class WordBpe:
         return np.array(self._slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
-class ByteBpe:
-    """A byte-level BPE of a rank file: lossless, and no text has an id beyond the ranks."""
-
-    def __init__(self, path: str):
-        import tiktoken
-
-        with open(path, "rb") as file:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
-        import public_tokenizers
-
-        self.highest = max(ranks.values())
-        self._encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(self, text: str) -> np.ndarray:
-        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
-
-    def decode(self, ids) -> str:
-        """``ids``: a list, or any sequence of whole numbers."""
-        return self._encoding.decode_bytes(ids if isinstance(ids, list) else [int(i) for i in ids]).decode("utf-8")
-
-
 @functools.lru_cache(maxsize=4)
 def word_bpe(path: str | None = None) -> WordBpe:
     return WordBpe(path or public("word_bpe_49k.json"))
-
-
-@functools.lru_cache(maxsize=4)
-def byte_bpe(path: str | None = None) -> ByteBpe:
-    return ByteBpe(path or public("byte_bpe_50k.tiktoken"))

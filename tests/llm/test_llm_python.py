@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from keepwell.llm import chat, packing, sharding, simhash, store, token_count, tokens, toxicity, warc
+from keepwell.llm.bpe import loaded
 from keepwell.llm.common import scratch
 
 EDGE = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "one two"), (6, "ONE two  three"), (7, "one two three"), (8, "É é ß ſ"),
@@ -190,13 +191,13 @@ def test_chat_escape_is_reversible_and_total():
 
 
 def test_chat_mask_covers_the_text_only():
-    bpe = tokens.byte_bpe()
+    bpe = loaded(tokens.public("byte_bpe_50k.tiktoken"))
     ids, begin, end = chat.encode_turn(bpe, "assistant", "some words", True)
-    assert bpe.decode(ids[begin:end]) == "some words" and ids[0] == chat.OPEN and ids[-1] == chat.CLOSE
+    assert bpe.decode(ids[begin:end]) == b"some words" and ids[0] == chat.OPEN and ids[-1] == chat.CLOSE
     other, b, e = chat.encode_turn(bpe, "user", "some words", False)
     assert b == e
     mask = chat.loss_mask(np.array([len(ids), len(other), len(ids)]), np.array([begin, b, begin]), np.array([end, e, end]))
-    assert bpe.decode(np.concatenate([ids, other, ids])[mask]) == "some wordssome words"
+    assert bpe.decode(np.concatenate([ids, other, ids])[mask]) == b"some wordssome words"
     assert (bpe.encode("<turn></turn><|endoftext|>") < chat.END).all()
 
 
@@ -439,12 +440,20 @@ def test_shuffle_is_uniform(spark):
 def test_token_counts(spark, block):
     rows = [r for r in EDGE if len(r[1] or "") < 100] + [(20, "w " * 30)] if block == 3 else EDGE
     docs = docs_of(spark, rows)
-    bpe = tokens.byte_bpe()
+    bpe = loaded(tokens.public("byte_bpe_50k.tiktoken"))
     want = Counter((i, len(bpe.encode(t or ""))) for i, t in rows)
     assert Counter(tuple(r) for r in token_count.count_documents(docs, block_tokens=block).collect()) == want
     assert token_count.count_documents(docs.where("false")).count() == 0
 
 
+def test_a_run_of_blanks_is_counted(spark):
+    """The library's own splitter fails on it."""
+    text = "a" + " " * 1_500_000 + "b"
+    ((_, n),) = token_count.count_documents(docs_of(spark, [(1, text)])).collect()
+    ids = loaded(tokens.public("byte_bpe_50k.tiktoken")).encode(text)
+    assert n == len(ids) and loaded(tokens.public("byte_bpe_50k.tiktoken")).decode(ids) == text.encode()
+
+
 def test_scan_stitches_blocks(spark, monkeypatch):
     monkeypatch.setattr(token_count, "RUN", 2)
     rnd, folder, want, files = random.Random(6), scratch(spark, "flat"), set(), []
