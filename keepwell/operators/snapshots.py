@@ -194,10 +194,15 @@ def _explode_panes(partials: DataFrame, plan: list[dict], names, first: str, las
             .withColumn("split", F.col("_c.split")).withColumn("cutoff_date", F.col("_c.cutoff")))
 
 
-def _gap_rows(dates: DataFrame, keys, order_cols, bucket_days: float) -> DataFrame:
+def _gap_rows(dates: DataFrame, keys, order_cols, bucket_days: float | None) -> DataFrame:
     """Gaps (days) between consecutive dates per ``keys`` without ordering a whole
     key in one task: dates are cut into fixed time buckets, ``lag`` runs inside a
-    bucket, and the gap across neighbouring buckets comes from bucket min/max."""
+    bucket, and the gap across neighbouring buckets comes from bucket min/max.
+    With None, where no key is large and rows lie by key already, ``lag`` runs over keys."""
+    if bucket_days is None:
+        gap = micros_between(F.lag("d").over(Window.partitionBy(*keys).orderBy(*order_cols)), F.col("d"))
+        return dates.select(*keys, gap.alias("_gap")).where("_gap is not null").select(
+            *keys, (F.col("_gap") / F.lit(MICROS_PER_DAY)).alias("gap_days"))
     bucket_us = int(bucket_days * MICROS_PER_DAY)
     d = dates.withColumn("_b", F.floor(epoch_micros(F.col("d")) / F.lit(bucket_us)))
     d = d.repartition(*keys, "_b")
@@ -225,7 +230,7 @@ def segment_expr(country: Column, segment_map: dict | None) -> Column:
 
 
 def customer_features(tx: DataFrame, params: SnapshotParams, plan: list[dict] | None = None,
-                      events: DataFrame | None = None, bucket_days: float = 1.0,
+                      events: DataFrame | None = None, bucket_days: float | None = 1.0,
                       segment_map: dict | None = None) -> DataFrame:
     """Per (split, cutoff, customer) feature aggregates over ``(cutoff-history, cutoff]``."""
     plan = plan or cutoff_plan(params)
@@ -375,15 +380,16 @@ SNAPSHOT_TAIL = [
 SNAPSHOT_COLUMNS = KEYS + NUMERIC_FEATURES + SNAPSHOT_TAIL
 
 
-def snapshot_candidates(tx: DataFrame, params: SnapshotParams, bounds=None, bucket_days: float = 1.0,
-                        strict: bool = True, segment_map: dict | None = None, only=None) -> DataFrame:
+def snapshot_candidates(tx: DataFrame | None, params: SnapshotParams, bounds=None, bucket_days: float | None = 1.0,
+                        strict: bool = True, segment_map: dict | None = None, only=None,
+                        events: DataFrame | None = None) -> DataFrame:
     """All (split, cutoff, customer) candidates with features, label, lineage and
     eligibility columns. ``bounds`` defaults to one scalar job over ``tx``; ``only`` names the
-    cutoffs wanted, if not all."""
+    cutoffs wanted, if not all. With ``events``, deduplicated before, and ``bounds``, ``tx`` is not read."""
     params.validate()
     bounds = bounds if bounds is not None else transaction_bounds(tx)
     plan = [c for c in cutoff_plan(params, bounds, strict=strict) if only is None or c["cutoff"] in only]
-    events = deduplicated_events(used_lines(tx, plan))
+    events = used_lines(events, plan) if events is not None else deduplicated_events(used_lines(tx, plan))
     feats = customer_features(tx, params, plan, events, bucket_days, segment_map)
     labels = future_labels(tx, params, plan, events)
     snap = feats.join(labels, KEYS, "left")

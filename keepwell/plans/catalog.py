@@ -10,6 +10,8 @@ doubles rounded to 6 places and timestamps as text, the same as the oracle SQL.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from keepwell.config import ORDERS_PARAMS, ORDERS_SCENARIO, EVENTS_PARAMS, Model
 from keepwell.functions.columns import beside
 from keepwell.operators import decisioning as dec
 from keepwell.operators import drift
+from keepwell.operators import layout as lay
 from keepwell.operators import model
 from keepwell.operators import portfolio as pf
 from keepwell.operators import evaluation as ev
@@ -82,6 +85,18 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              segment_map=nation_region_map(spark, sf_dir)))
 
 
+_LAYOUTS: dict[str, lay.Layout] = {}
+
+
+def customer_layout(spark: SparkSession, sf_dir: str) -> lay.Layout:
+    """Events of the transactions laid out by customer (written once)."""
+    path = stage_path(spark, sf_dir, "layout")
+    if path not in _LAYOUTS:
+        name = f"customer_events_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+        _LAYOUTS[path] = lay.write_layout(transactions(spark, sf_dir), path, name)
+    return _LAYOUTS[path]
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates(spark, sf_dir).filter(F.col("is_eligible"))
 
@@ -152,13 +167,23 @@ def q_future_label(spark, sf_dir):
     return present(future_labels(transactions(spark, sf_dir), PARAMS))
 
 
-def q_snapshots(spark, sf_dir):
-    return present(snapshots(spark, sf_dir).select(
+def _snapshot_rows(eligible: DataFrame) -> DataFrame:
+    return present(eligible.select(
         *KEYS, *FEATURE_COLUMNS, "purchase_regularity_days", "geographic_segment", "label_min_event_date",
         "label_max_event_date", "label_event_count", "churn", "feature_window_start", "label_window_start",
         "label_window_end"))
 
 
+def q_snapshots(spark, sf_dir):
+    return _snapshot_rows(snapshots(spark, sf_dir))
+
+
+def q_bucketed_snapshots(spark, sf_dir):
+    """The snapshots from events laid out by customer: no exchange behind the layout."""
+    rows = lay.layout_candidates(spark, customer_layout(spark, sf_dir), PARAMS, segment_map=nation_region_map(spark, sf_dir))
+    return _snapshot_rows(rows.filter(F.col("is_eligible")))
+
+
 def q_event_snapshots(spark, sf_dir):
     snap = snapshot_candidates(event_transactions(spark, sf_dir), EVENTS_PARAMS)
     return present(snap.select(*KEYS, "recency_days", "number_of_invoices", "monetary_value",
@@ -686,6 +711,7 @@ QUERIES = {
     "latest_segment": q_latest_segment,
     "future_label": q_future_label,
     "snapshots": q_snapshots,
+    "bucketed_snapshots": q_bucketed_snapshots,
     "event_snapshots": q_event_snapshots,
     "eligibility_reasons": q_eligibility_reasons,
     "eligibility_summary": q_eligibility_summary,

@@ -366,6 +366,7 @@ def build() -> dict[str, str]:
                                "label_max_event_date", "feature_window_start", "label_window_start",
                                "label_window_end"])
     ev_snap = snapshot_ctes(EVENTS_PARAMS, EVENTS_TX)
+    q["bucketed_snapshots"] = q["snapshots"]
     q["event_snapshots"] = final(with_(*ev_snap) + f"""SELECT {KEYS}, recency_days, number_of_invoices, monetary_value,
         purchase_regularity_days, geographic_segment, label_event_count, churn, is_eligible, eligibility_reason
       FROM cand""",
