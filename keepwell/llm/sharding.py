@@ -5,7 +5,7 @@ would have under a uniform permutation of all rows, with fixed row sums (the par
 and column sums (the blocks, cut from the shards). Then every partition permutes its
 rows and deals them out by its row of the matrix, and every block permutes what it gets.
 The result is a uniform permutation, shards differ by one row at most, and no task holds
-more than a partition's numbers or a block.
+more than the numbers of a partition or of a block; rows, with texts of any length, stream by.
 
 The matrix is never whole in one place. It is drawn down a binary tree over partitions:
 a node splits its columns' counts between its halves by a multivariate hypergeometric
@@ -20,7 +20,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -28,6 +28,9 @@ from keepwell.llm.common import fresh, ship, written
 
 #: numpy draws from populations below this.
 _NUMPY_LIMIT = 10 ** 9
+#: Rows of a block at most. A task holds that many numbers, whatever the size of the rows; the
+#: plan has a few numbers per block.
+BLOCK_ROWS = 1 << 18
 
 
 def hypergeometric(good: int, bad: int, n: int, rng: np.random.Generator) -> int:
@@ -112,7 +115,37 @@ def _deal(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int, name: str
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block)], names=[*batch.schema.names, name])
 
 
-def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int = 1 << 16) -> DataFrame:
+def _place(batches: Iterable[pa.RecordBatch], at: int, plan, seed: int) -> Iterator[pa.RecordBatch]:
+    """Rows of whole blocks in order of (block, rank) to their shard and slot; columns ``at`` and
+    ``at + 1`` are block and rank. A block's permutation of numbers is held, its rows are not."""
+    sizes, shard_of, first_of = plan.value[2:]
+    now, seen, order = None, 0, None
+
+    def whole() -> None:
+        if now is not None and seen != sizes[now]:
+            raise ValueError(f"block {now} got {seen} rows, the matrix says {sizes[now]}")
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, rank = (batch.column(at + i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        slots = np.empty(len(block), dtype=np.int64)
+        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]).tolist()
+        for a, b in zip(starts, [*starts[1:], len(block)], strict=True):
+            if now is None or block[a] != now:
+                whole()
+                now, seen = int(block[a]), 0
+                order = first_of[now] + np.random.default_rng([seed, 3, now]).permutation(int(sizes[now]))
+            seen += b - a
+            if seen > sizes[now]:
+                whole()
+            slots[a:b] = order[rank[a:b] - 1]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(shard_of[block], pa.int32()), pa.array(slots)],
+                                         names=[*batch.schema.names[:at], "shard", "slot"])
+    whole()
+
+
+def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``rows`` (all columns) with ``shard`` (0 to shards - 1) and ``slot``, the place in the
     shard, gapless from 0. A uniform permutation by ``seed``; shard sizes differ by one at
     most. Columns of ``rows`` of these names are replaced. Repeated rows are shuffled each;
@@ -120,7 +153,7 @@ def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int =
     spark = rows.sparkSession
     ship(spark)
     own = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c.lower() not in ("shard", "slot")])
-    part, nth, block = fresh(own, "part", "nth", "block")
+    part, nth, block, rank = fresh(own, "part", "nth", "block", "rank")
     # numbers are fixed by writing them: a task that runs again sees the same partition
     numbered = written(own.withColumn(part, F.spark_partition_id()).withColumn(
         nth, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
@@ -133,22 +166,14 @@ def shuffle(rows: DataFrame, shards: int = 24, seed: int = 7, block_rows: int =
     dealt = numbered.mapInArrow(partial(_deal, at=at, plan=plan, seed=seed, name=block),
                                 StructType([*numbered.schema.fields, StructField(block, IntegerType())]))
     schema = StructType([*own.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
-
-    def permuted(group: pa.Table) -> pa.Table:
-        group = group.sort_by([(part, "ascending"), (nth, "ascending")])  # whatever order the rows came in
-        b, (_, _, sizes, shard_of, first_of) = group[block][0].as_py(), plan.value
-        if group.num_rows != sizes[b]:
-            raise ValueError(f"block {b} got {group.num_rows} rows, the matrix says {sizes[b]}")
-        slots = first_of[b] + np.random.default_rng([seed, 3, b]).permutation(group.num_rows)
-        return (group.drop_columns([part, nth, block])
-                .append_column("shard", pa.array(np.full(group.num_rows, shard_of[b]), pa.int32()))
-                .append_column("slot", pa.array(slots, pa.int64())))
-
-    return dealt.groupBy(block).applyInArrow(permuted, schema)
+    # rows of a block are ranked by Spark's own sort, which spills, and never held together
+    ranked = dealt.withColumn(rank, F.row_number().over(Window.partitionBy(block).orderBy(part, nth)))
+    return ranked.select(*[F.col(f"`{c}`") for c in own.columns], block, rank).mapInArrow(
+        partial(_place, at=at, plan=plan, seed=seed), schema)
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
-                    block_rows: int = 1 << 16) -> DataFrame:
+                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per row of ``docs``: ``id_col``, ``size`` (bytes of the text in UTF-8 plus 8, null has
     none), ``text_crc32``, ``shard``, ``slot``. Texts are not moved."""
     text = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8")
@@ -157,6 +182,6 @@ def shard_documents(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", t
     return shuffle(slim, shards, seed, block_rows).withColumnRenamed("id", id_col)
 
 
-def write_shards(docs: DataFrame, folder: str, shards: int = 24, seed: int = 7, block_rows: int = 1 << 16) -> None:
+def write_shards(docs: DataFrame, folder: str, shards: int = 24, seed: int = 7, block_rows: int = BLOCK_ROWS) -> None:
     """Write whole rows as Parquet under ``folder``/shard=N, with their ``slot``."""
     shuffle(docs, shards, seed, block_rows).write.partitionBy("shard").parquet(folder)

@@ -6,8 +6,10 @@ import io
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -405,6 +407,19 @@ def test_shards_are_exact_and_gapless(spark):
     assert sharding.shuffle(docs.where("false")).count() == 0
 
 
+def test_rows_of_a_block_are_not_held_together(spark):
+    plan = sharding.shuffle(docs_of(spark, EDGE))._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and plan.count("MapInArrow") == 2 and "row_number" in plan
+    sizes = SimpleNamespace(value=(None, None, np.array([2, 3]), np.array([0, 1]), np.array([0, 0])))
+    batches = [pa.RecordBatch.from_pydict({"x": [7] * n, "block": b, "rank": r}) for n, b, r in ((1, [0], [1]), (3, [0, 1, 1], [2, 1, 2]))]
+    rest = pa.RecordBatch.from_pydict({"x": [7], "block": [1], "rank": [3]})
+    slots = [(r["shard"], r["slot"]) for b in sharding._place([*batches, rest], 1, sizes, 7) for r in b.to_pylist()]
+    assert sorted(slots) == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2)]
+    for wrong in (batches, [*batches, rest, rest]):
+        with pytest.raises(ValueError, match="block 1 got"):
+            list(sharding._place(wrong, 1, sizes, 7))
+
+
 def test_matrix_has_its_sums_and_law():
     rows, columns = np.array([3, 0, 5, 4, 1]), np.array([6, 2, 5])
     hits = np.zeros((5, 3))
