@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from keepwell.operators.normalize import normalize_transactions
 from keepwell.operators.snapshots import (
     PointInTimeError,
     build_snapshots,
+    customer_features,
     eligibility_summary,
     snapshot_candidates,
 )
@@ -257,3 +259,42 @@ def test_refresh_replaces_only_what_new_lines_concern(spark, tmp_path):
     assert "PartitionFilters: [" in pruned._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(FileNotFoundError):
         read_published(spark, str(tmp_path / "none"))
+
+
+def _planned(spark, build):
+    """The physical plan of ``build()`` where nothing is small enough to be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return build()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_do_not_move_for_their_customer(spark):
+    """Customers meet orders, and the order is the last join, so lines of an invoice lie together."""
+    plan = orders_transactions(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    first, *_, last = [line for line in plan.splitlines() if "Join " in line]
+    assert "l_orderkey" in first and "l_partkey" not in first
+    assert "c_nationkey" in last
+    assert not any("LeftOuter" in line and "l_" in line for line in plan.splitlines() if "Join " in line)
+
+
+def test_rows_are_not_moved_again_once_per_cutoff(spark):
+    lines = normalize_transactions(orders_transactions(spark, SF001))
+    plan = _planned(spark, lambda: customer_features(lines, ORDERS_PARAMS))
+    moved = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("split#" in keys for keys in moved)
+    assert not [keys for keys in moved if "split#" in keys and ("invoice_no#" in keys or "stock_code#" in keys)]
+    # invoices are added up once, for customer totals and gaps
+    assert not [keys for keys in moved if "invoice_no#" in keys and "country#" in keys]
+
+
+def test_an_invoice_of_two_countries_and_panes_counts_once(spark):
+    rows = [("a", "S", "x", 1.0, D(2024, 1, 12), 1.0, "A", "France"), ("a", "T", "x", 1.0, D(2024, 1, 19), 2.0, "A", "Japan"),
+            ("b", "S", "x", 1.0, D(2024, 1, 16), 4.0, "A", "France"), (None, "S", "x", 1.0, D(2024, 1, 18), 8.0, "A", None),
+            ("a", None, "x", 1.0, D(2024, 1, 19), 16.0, "B", "Japan")]
+    got = {r["customer_id"]: r for r in customer_features(tx(spark, rows), P).collect()}
+    assert (got["A"]["number_of_invoices"], got["A"]["number_of_unique_products"], got["A"]["monetary_value"]) == (3, 2, 15.0)
+    assert (got["A"]["recent_invoice_count"], got["A"]["feature_event_count"], got["A"]["recent_spend"]) == (2, 4, 10.0)
+    assert (got["B"]["number_of_invoices"], got["B"]["number_of_unique_products"], got["B"]["monetary_value"]) == (1, 1, 16.0)
