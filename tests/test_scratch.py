@@ -53,3 +53,11 @@ def test_a_drift_stream_leaves_only_its_alerts(spark, tmp_path):
     jobs.drift_per_batch(stream, drift.load_baseline(spark, str(tmp_path / "base")), str(tmp_path / "out"), str(tmp_path / "ckpt"))
     alerts = spark.read.schema(drift.ALERT_SCHEMA + ", batch_id long").parquet(str(tmp_path / "out"))
     assert set(os.listdir(root)) == before and alerts.where("issue like '%range%'").count() > 0
+
+
+def test_intermediate_tables_are_well_compressed(spark, tmp_path):
+    from keepwell.plans.stages import stage
+
+    ids = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("event_id"))
+    for table in (scratch.written(ids, "ids"), stage(spark, str(tmp_path), "ids", lambda: ids)):
+        assert table.count() == 1000 and all(".zstd." in f for f in table.inputFiles())
