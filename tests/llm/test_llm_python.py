@@ -319,6 +319,19 @@ def test_word_ids_are_those_of_the_library(spark):
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_met_before_are_not_merged_again(monkeypatch):
+    bpe = tokens.WordBpe(tokens.public("word_bpe_49k.json"))
+    texts = ["The cat don't sit, éß42", "  ", "", "cat the 42", "x" * 5000 + " don't the", "sit, SIT, sit,"]
+    want = [bpe._slow.encode(t, add_special_tokens=False).ids for t in texts]
+    merged, merge = [], bpe._merge
+    monkeypatch.setattr(bpe, "_merge", lambda words: merged.extend(words) or merge(words))
+    assert [bpe.encode(t).tolist() for t in texts] == want
+    assert sorted(merged) == sorted({w for t in texts for w in t.lower().split()})
+    monkeypatch.setattr(tokens, "KEPT_CHARS", 8)  # the table stays bounded, the ids stay the same
+    assert [bpe.encode(t).tolist() for t in [*texts, *texts]] == [*want, *want]
+    assert bpe._chars <= 8 and not any(len(w) > 8 for w in bpe._kept)
+
+
 def test_packing_every_id_once(spark):
     docs = docs_of(spark, EDGE)
     got = packing.pack_documents(docs, group_pieces=5).collect()
