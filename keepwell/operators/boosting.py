@@ -1,0 +1,251 @@
+"""Gradient-boosted trees on blocks of binned rows (M8).
+
+``BlockGBTClassifier`` has the parameters, the method and the model of Spark ML's
+``GBTClassifier``: thresholds from the distribution of each feature, logistic loss, variance
+gain, trees level by level, leaves that predict mean residuals. What differs is how rows lie.
+They are binned once into blocks of about 10,000, a byte a value; a pass over a tree level adds
+up a block's counts and residuals feature by feature, and only these sums, bounded by nodes x
+features x bins, are merged. A row's score travels with its block, so no round caches objects of rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.wrapper import JavaWrapper
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from keepwell.workers import ship
+
+#: Rows from which thresholds are found: this, or the square of the bins if that is more, as in
+#: Spark ML. Every row is binned by them and trained on.
+THRESHOLD_ROWS = 10_000
+#: Rounds after which scores are computed from all trees again, so that lineage stays short.
+REBUILD_ROUNDS = 20
+#: Partitions whose sums the driver adds by itself; more are added in tasks first.
+MERGED_BY_DRIVER = 32
+#: Variance below which Spark ML takes a node as pure.
+EPSILON = 2.220446049250313e-16
+
+
+@dataclass
+class Tree:
+    """A full binary tree by levels. A node that is not split sends every row to the left and
+    hands its value down; ``total`` holds count, sum and, but for the deepest leaves, sum of
+    squares of each node's residuals."""
+
+    feature: np.ndarray
+    code: np.ndarray
+    split: np.ndarray
+    gain: np.ndarray
+    total: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def empty(cls, depth: int, codes: int) -> Tree:
+        inner, nodes = (1 << depth) - 1, (2 << depth) - 1
+        return cls(np.zeros(inner, np.intp), np.full(inner, codes, np.intp), np.zeros(inner, bool), np.zeros(inner),
+                   np.zeros((nodes, 3)), np.zeros(1 << depth))
+
+
+def thresholds(rows: DataFrame, n: int, bins: int, seed: int) -> list[np.ndarray]:
+    """Per feature: midpoints between neighbouring values, all if they fit into the bins, else
+    those nearest to equal shares of the rows."""
+    wanted = max(bins * bins, THRESHOLD_ROWS)
+    some = rows.sample(wanted / n, seed) if n > wanted else rows
+    counts = some.select(F.posexplode(vector_to_array("features")).alias("feature", "value")).groupBy("feature", "value").count()
+
+    def cut(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("value")
+        at = midpoints(group["value"].to_numpy(), group["count"].to_numpy(), bins)
+        return pd.DataFrame({"feature": [group["feature"].iloc[0]], "at": [at]})
+
+    found = {r["feature"]: np.array(r["at"], float) for r in
+             counts.groupBy("feature").applyInPandas(cut, "feature int, at array<double>").collect()}
+    return [found[f] for f in range(len(found))]
+
+
+def midpoints(values: np.ndarray, counts: np.ndarray, bins: int) -> list[float]:
+    between = (values[:-1] + values[1:]) / 2.0
+    if len(between) < bins:
+        return between.tolist()
+    stride = counts.sum() / bins
+    upto = np.cumsum(counts)
+    out, target = [], stride
+    for i, at in enumerate(between):
+        if abs(upto[i] - target) < abs(upto[i + 1] - target):
+            out.append(float(at))
+            target += stride
+    return out
+
+
+def blocks(rows: DataFrame, label: str, cuts: list[np.ndarray]) -> RDD:
+    """(bins: features x rows, labels as -1 and 1) per block."""
+    codes = np.min_scalar_type(max(map(len, cuts)))
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(cuts))
+            y = b.column(1).to_numpy(zero_copy_only=False)
+            if not np.isfinite(x).all() or not np.isin(y, (0.0, 1.0)).all():
+                raise ValueError("features must be finite and labels 0 or 1")
+            out = np.stack([np.searchsorted(c, x[:, f]).astype(codes) for f, c in enumerate(cuts)])
+            yield pa.record_batch({"bins": pa.array([out.tobytes()], pa.binary()),
+                                   "labels": pa.array([(2 * y - 1).astype(np.int8).tobytes()], pa.binary())})
+
+    def arrays(row) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(bytes(row["bins"]), codes).reshape(len(cuts), -1), np.frombuffer(bytes(row["labels"]), np.int8)
+
+    return rows.select(vector_to_array("features").alias("x"), F.col(label).cast("double")).mapInArrow(
+        binned, "bins binary, labels binary").rdd.map(arrays)
+
+
+def place(bins: np.ndarray, tree: Tree, level: int) -> np.ndarray:
+    """The node of ``level``, from 0, that each row reaches."""
+    node, rows = np.zeros(bins.shape[1], np.intp), np.arange(bins.shape[1])
+    for _ in range(level):
+        node = 2 * node + 1 + (bins[tree.feature[node], rows] > tree.code[node])
+    return node - ((1 << level) - 1)
+
+
+def advance(block: tuple, trees: list[Tree], weights: list[float], margin: np.ndarray) -> tuple:
+    """The block with its scores after ``trees`` and the residuals that the next tree fits."""
+    bins, y = block[:2]
+    for tree, weight in zip(trees, weights, strict=True):
+        margin = margin + weight * tree.value[place(bins, tree, len(tree.value).bit_length() - 1)]
+    with np.errstate(over="ignore"):
+        return bins, y, margin, 4.0 * y / (1.0 + np.exp(2.0 * y * margin))
+
+
+def level_sums(state: RDD, tree: Tree, level: int, features: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and sums of residuals by (feature, node, bin), and squares by node."""
+    slots = width << level
+
+    def added(part: Iterator[tuple]) -> Iterator[tuple]:
+        sums, squares = np.zeros((features, 2, slots)), np.zeros(1 << level)
+        for bins, _, _, residual in part:
+            node = place(bins, tree, level)
+            squares += np.bincount(node, residual * residual, 1 << level)
+            first = node * width
+            for f in range(features):
+                slot = first + bins[f]
+                sums[f, 0] += np.bincount(slot, minlength=slots)
+                sums[f, 1] += np.bincount(slot, residual, slots)
+        yield sums, squares
+
+    sums, squares = state.mapPartitions(added).treeReduce(
+        lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=1 if state.getNumPartitions() <= MERGED_BY_DRIVER else 2)
+    return sums.reshape(features, 2, 1 << level, width), squares
+
+
+def best_split(sums: np.ndarray) -> tuple[float, int, int, np.ndarray, np.ndarray]:
+    """(gain, feature, last bin of the left side, count and sum of the left, of the right) of a node."""
+    left = np.cumsum(sums, axis=2)
+    whole = left[:, :, -1:]
+    right = whole - left
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where((left[:, 0] >= 1) & (right[:, 0] >= 1),
+                        left[:, 1] ** 2 / left[:, 0] + right[:, 1] ** 2 / right[:, 0] - whole[:, 1] ** 2 / whole[:, 0], -np.inf)
+    feature, code = np.unravel_index(np.argmax(gain), gain.shape)
+    return gain[feature, code] / whole[feature, 0, 0], int(feature), int(code), left[feature, :, code], right[feature, :, code]
+
+
+def grow(state: RDD, depth: int, features: int, width: int) -> Tree:
+    """One tree: a pass over the rows per level while a node can be split."""
+    tree = Tree.empty(depth, width)
+    for level in range(depth):
+        start = (1 << level) - 1
+        sums, squares = level_sums(state, tree, level, features, width)
+        tree.total[start:2 * start + 1, 2] = squares
+        if not level:
+            tree.total[0, :2] = sums[0, :, 0].sum(axis=1)
+        for node in range(start, 2 * start + 1):
+            count, total, square = tree.total[node]
+            if not count or node and not tree.split[(node - 1) // 2] or square / count - (total / count) ** 2 < EPSILON:
+                continue
+            gain, feature, code, left, right = best_split(sums[:, :, node - start])
+            if gain > 0:
+                tree.feature[node], tree.code[node], tree.split[node], tree.gain[node] = feature, code, True, gain
+                tree.total[2 * node + 1, :2], tree.total[2 * node + 2, :2] = left, right
+        if not tree.split[start:2 * start + 1].any():
+            break
+    for leaf in range(1 << depth):
+        node = leaf + (1 << depth) - 1
+        while node and not tree.split[(node - 1) // 2]:
+            node = (node - 1) // 2
+        tree.value[leaf] = tree.total[node, 1] / tree.total[node, 0] if tree.total[node, 0] else 0.0
+    return tree
+
+
+def boost(base: RDD, rounds: int, step: float, depth: int, features: int, width: int) -> tuple[list[Tree], list[float]]:
+    """Trees and their weights. The pass over a tree's first level keeps the scores it begins from."""
+    trees, weights = [], []
+    before, state = None, base.map(lambda b: (*b, np.zeros(len(b[1])), b[1].astype(float)))
+    while len(trees) < rounds:
+        state.persist(StorageLevel.MEMORY_AND_DISK)
+        trees.append(grow(state, depth, features, width))
+        weights.append(step if before else 1.0)
+        if before:
+            before.unpersist()
+        before, state = state, _next(base, state, trees, weights)
+    before.unpersist()
+    return trees, weights
+
+
+def _next(base: RDD, state: RDD, trees: list[Tree], weights: list[float]) -> RDD:
+    if len(trees) % REBUILD_ROUNDS:
+        last, weight = trees[-1:], weights[-1:]
+        return state.map(lambda b: advance(b, last, weight, b[2]))
+    every, theirs = list(trees), list(weights)
+    return base.map(lambda b: advance(b, every, theirs, np.zeros(len(b[1]))))
+
+
+def spark_model(trees: list[Tree], weights: list[float], cuts: list[np.ndarray], uid: str, spark) -> GBTClassificationModel:
+    """The trees as Spark ML's own model, which scores, is saved and is loaded as such."""
+    gateway = spark.sparkContext._gateway
+    jvm = gateway.jvm.org.apache.spark
+    nodes = jvm.ml.tree
+
+    def node(tree: Tree, i: int):
+        count, total, square = map(float, tree.total[i])
+        mean = total / count if count else 0.0
+        impurity = max(square / count - mean * mean, 0.0) if count else 0.0
+        stats = jvm.mllib.tree.impurity.VarianceCalculator(
+            JavaWrapper._new_java_array([count, total, square], gateway.jvm.double), int(count))
+        if i >= len(tree.split) or not tree.split[i]:
+            return nodes.LeafNode(mean, impurity, stats)
+        feature = int(tree.feature[i])
+        return nodes.InternalNode(mean, impurity, float(tree.gain[i]), node(tree, 2 * i + 1), node(tree, 2 * i + 2),
+                                  nodes.ContinuousSplit(feature, float(cuts[feature][tree.code[i]])), stats)
+
+    grown = [jvm.ml.regression.DecisionTreeRegressionModel(node(t, 0), len(cuts)) for t in trees]
+    return GBTClassificationModel(jvm.ml.classification.GBTClassificationModel(
+        uid, JavaWrapper._new_java_array(grown, jvm.ml.regression.DecisionTreeRegressionModel),
+        JavaWrapper._new_java_array(weights, gateway.jvm.double), len(cuts), 2))
+
+
+class BlockGBTClassifier(GBTClassifier):
+    """``GBTClassifier`` that trains on blocks. It uses ``labelCol``, ``maxIter``, ``stepSize``,
+    ``maxDepth``, ``maxBins`` and ``seed`` on a column ``features``; rows are all used and weigh the same."""
+
+    def _fit(self, dataset: DataFrame) -> GBTClassificationModel:
+        spark = dataset.sparkSession
+        ship(spark)
+        rows = dataset.select("features", self.getLabelCol())
+        n = rows.count()
+        bins = min(self.getMaxBins(), n)
+        cuts = thresholds(rows, n, bins, self.getSeed())
+        base = blocks(rows, self.getLabelCol(), cuts).persist(StorageLevel.MEMORY_AND_DISK)
+        trees, weights = boost(base, self.getMaxIter(), self.getStepSize(), self.getMaxDepth(), len(cuts), max(map(len, cuts)) + 1)
+        base.unpersist()
+        return self._copyValues(spark_model(trees, weights, cuts, self.uid, spark))

@@ -1,0 +1,75 @@
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from keepwell.config import ModelParams
+from keepwell.operators import boosting as B
+from keepwell.operators import model as M
+from keepwell.schemas import NUMERIC_FEATURES
+
+
+def _rows(spark, n=2000, parts=1):
+    rng = np.random.default_rng(5)
+    x = np.c_[rng.normal(size=n), rng.exponential(50.0, n), rng.integers(0, 9, n), rng.random(n) < 0.3, np.zeros(n)].astype(float)
+    y = (rng.random(n) < 1 / (1 + np.exp(-2 * x[:, 0] + (x[:, 2] > 4) - x[:, 3]))).astype(int)
+    df = spark.createDataFrame([(i, [float(v) for v in r], int(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))],
+                               "id long, x array<double>, churn int")
+    return df.select("id", array_to_vector("x").alias("features"), "churn").coalesce(1).repartitionByRange(parts, "id")
+
+
+def _scores(model, rows):
+    return np.array([r[0] for r in model.transform(rows).orderBy("id").select(vector_to_array("probability")[1]).collect()])
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_blocks_grow_the_trees_of_spark_ml(spark, parts, tmp_path, monkeypatch):
+    """More than the bins' distinct values, few values, two, one; scores rebuilt from all trees on the way."""
+    monkeypatch.setattr(B, "REBUILD_ROUNDS", 3)
+    rows = _rows(spark, parts=parts).cache()
+    settings = dict(labelCol="churn", maxIter=8, stepSize=0.08, maxDepth=4, maxBins=64, seed=42)
+    ours, theirs = B.BlockGBTClassifier(**settings).fit(rows), GBTClassifier(**settings).fit(rows)
+    assert type(ours) is GBTClassificationModel and ours.treeWeights == theirs.treeWeights
+    assert ours.totalNumNodes == theirs.totalNumNodes and ours.getMaxIter() == 8
+    assert _scores(ours, rows) == pytest.approx(_scores(theirs, rows), abs=1e-9)
+    assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=1e-6)
+    ours.write().save(str(tmp_path / "trees"))
+    assert (_scores(GBTClassificationModel.load(str(tmp_path / "trees")), rows) == _scores(ours, rows)).all()
+
+
+def test_thresholds_by_hand(spark):
+    assert B.midpoints(np.array([1.0, 2.0, 4.0]), np.array([5, 1, 1]), 3) == [1.5, 3.0]
+    assert B.midpoints(np.arange(8.0), np.ones(8), 4) == [1.5, 3.5, 5.5]
+    assert B.midpoints(np.array([3.0]), np.array([9]), 4) == []
+    found = B.thresholds(_rows(spark, 300, 2), 300, 64, 1)
+    assert [len(c) for c in found[2:]] == [8, 1, 0] and all(40 < len(c) < 64 for c in found[:2])
+
+
+def test_a_pass_reads_a_byte_a_value(spark):
+    """Every row is in one block, with a byte per feature and one for the label."""
+    rows = _rows(spark, 1500, 2)
+    kept = B.blocks(rows, "churn", B.thresholds(rows, 1500, 256, 1)).collect()
+    assert len(kept) == 2 and sum(len(y) for _, y in kept) == 1500
+    assert sum(b.nbytes + y.nbytes for b, y in kept) == 1500 * 6
+    assert sum(int((y == 1).sum()) for _, y in kept) == rows.where("churn = 1").count()
+
+
+def test_one_class_and_single_rows(spark):
+    for n in (1, 5):
+        rows = _rows(spark, n).withColumn("churn", F.lit(1))
+        fitted = B.BlockGBTClassifier(labelCol="churn", maxIter=3).fit(rows)
+        assert (_scores(fitted, rows) > 0.8).all() and fitted.totalNumNodes == 3
+    with pytest.raises(Exception, match="labels 0 or 1"):
+        B.BlockGBTClassifier(labelCol="churn", maxIter=1).fit(_rows(spark, 5).withColumn("churn", F.lit(2)))
+
+
+def test_candidates_are_trained_on_blocks(spark, monkeypatch):
+    """The trees of the model selection see every training row, once, in blocks."""
+    seen, real = [], B.boost
+    monkeypatch.setattr(B, "boost", lambda base, *a: seen.append(base.map(lambda b: len(b[1])).collect()) or real(base, *a))
+    train = spark.range(500).select((F.col("id") % 3 == 0).cast("int").alias("churn"), F.lit("x").alias("geographic_segment"),
+                                    *[((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(NUMERIC_FEATURES)])
+    pre = M.fit_preprocessing(train)
+    fitted = M.fit_candidates(train, pre, ModelParams(logistic_c_values=(1.0,)), gbt_max_iter=2)
+    assert [sum(s) for s in seen] == [500] and isinstance(fitted[-1].model, GBTClassificationModel)
