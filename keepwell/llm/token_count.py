@@ -130,4 +130,5 @@ def count_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of ``docs``: ``id_col`` and ``n_tokens`` as found by scanning token files written
     from them. Null and empty texts have 0; null ids are kept."""
     files, order = write_token_files(docs, id_col=id_col, text_col=text_col, vocab=vocab)
-    return scan(files, block_tokens=block_tokens).join(order, ["path", "nth"]).select(F.col("id").alias(id_col), "n_tokens")
+    # a row per document in four bytes of a file and some hundred of memory: by the size of its file it would be broadcast
+    return scan(files, block_tokens=block_tokens).join(order.hint("merge"), ["path", "nth"]).select(F.col("id").alias(id_col), "n_tokens")

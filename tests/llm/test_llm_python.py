@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -474,6 +475,15 @@ def test_token_counts(spark, block):
     assert token_count.count_documents(docs.where("false")).count() == 0
 
 
+def test_documents_of_token_files_are_not_broadcast(spark):
+    """Their file is small and they are as many as the documents, so its size says nothing."""
+    got = token_count.count_documents(docs_of(spark, [(i, f"t{i}") for i in range(300)]).repartition(3))
+    for _ in range(2):  # as planned, and as run
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[path#\d+, nth#\d+L?\]", plan), plan
+        assert sorted(r.doc_id for r in got.collect()) == list(range(300))
+
+
 def test_a_run_of_blanks_is_counted(spark):
     """The library's own splitter fails on it."""
     text = "a" + " " * 1_500_000 + "b"
